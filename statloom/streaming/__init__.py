@@ -1,0 +1 @@
+"""Empty on purpose: every flow this engine covers is batch, from tables of pages to result tables."""

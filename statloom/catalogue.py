@@ -82,7 +82,7 @@ def stat_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def wide(spark: SparkSession, d: str) -> DataFrame:
-    return merge.merge_wide(stat_tables(spark, d), "key")
+    return merge.merge_wide(stat_tables(spark, d), "key", strategy="union")
 
 
 def filled(spark: SparkSession, d: str) -> DataFrame:
@@ -135,7 +135,7 @@ def html_table_rows(spark, d):
             F.lit('</table>\n--><table id="stats_x"><tr><td>outside</td></tr></table></html>'),
         ).alias("html"),
     )
-    named = html.named_table(html.commented_table_rows(pages, "stats_x"))
+    named = html.commented_table(pages, "stats_x")
     return named.select(
         "page_id", F.col("row_ord").cast("bigint").alias("row_ord"),
         schema.quoted("Unnamed: 0").alias("name"),
@@ -366,13 +366,17 @@ def sort_first_token(spark, d):
 
 
 def merge_wide(spark, d):
-    typed = schema.coerce(wide(spark, d), ["orders_cnt", "lines_cnt", "qty", "events_cnt"], ["revenue"])
+    # the filtered table leads, as the joins then all become left joins on its key
+    tables_by_name = stat_tables(spark, d)
+    ordered = {name: tables_by_name[name] for name in ("lines", "base", "orders", "events")}
+    merged = merge.merge_wide(ordered, "key")
+    typed = schema.coerce(merged, ["orders_cnt", "lines_cnt", "qty", "events_cnt"], ["revenue"])
     order = ["key", "name", "segment", "nation", "absent", *STATS]
     return schema.in_order(typed.filter("qty > 90"), order)
 
 
 def merge_wide_union(spark, d):
-    return merge.merge_wide(stat_tables(spark, d), "key", strategy="union")
+    return wide(spark, d)
 
 
 def key_violations(spark, d):

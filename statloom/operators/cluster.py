@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -12,6 +9,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions.numeric import mean_of, round2
 from statloom.operators.features import standardize
+from statloom.operators.kmeans import fit_kmeans, nearest_centre
 from statloom.operators.schema import quoted
 from statloom.storage import materialize
 
@@ -40,50 +38,22 @@ def spread_of_one(vectors: DataFrame) -> float:
     return per_dim.agg(F.sum("ss")).first()[0] or 0.0
 
 
-def best_kmeans(
-    vectors: DataFrame, k: int, starts: int = 10, seed: int = 42, max_iter: int = 300
-) -> KMeansModel:
-    """The model with the lowest cost of several starts; starts run side by side."""
-
-    def fit(i: int) -> KMeansModel:
-        return KMeans(
-            k=k, seed=seed + i, maxIter=max_iter, featuresCol=VECTOR, predictionCol="cluster"
-        ).fit(vectors)
-
-    with ThreadPoolExecutor(min(4, starts)) as pool:
-        models = list(pool.map(fit, range(starts)))
-    return min(models, key=lambda m: m.summary.trainingCost)
-
-
 def elbow_curve(
     vectors: DataFrame, max_k: int = 10, starts: int = 10, seed: int = 42
 ) -> DataFrame:
     """Within-cluster sum of squares for every number of clusters: ``k, wcss``."""
-    spark = vectors.sparkSession
-    vectors = vectors.persist()
-    try:
-        curve = [(1, float(spread_of_one(vectors)))]
-        for k in range(2, max_k + 1):
-            cost = best_kmeans(vectors, k, starts, seed).summary.trainingCost
-            curve.append((k, float(cost)))
-    finally:
-        vectors.unpersist()
-    return spark.createDataFrame(curve, "k int, wcss double")
+    models = fit_kmeans(vectors, list(range(1, max_k + 1)), starts, seed)
+    curve = [(k, model.cost) for k, model in sorted(models.items())]
+    return vectors.sparkSession.createDataFrame(curve, "k int, wcss double")
 
 
 def kmeans_assign(
     vectors: DataFrame, k: int = 4, starts: int = 10, seed: int = 42
 ) -> DataFrame:
     """Rows with their cluster. Ids go by size (largest 0), then by the first centre coordinate."""
-    cached = vectors.persist()
-    try:
-        model = best_kmeans(cached, k, starts, seed)
-    finally:
-        cached.unpersist()
-    sizes, centres = model.summary.clusterSizes, model.clusterCenters()
-    order = sorted(range(len(centres)), key=lambda c: (-sizes[c], tuple(centres[c])))
-    new_id = F.create_map(*[F.lit(x) for new, old in enumerate(order) for x in (old, new)])
-    return model.transform(vectors).withColumn("cluster", new_id[F.col("cluster")])
+    model = fit_kmeans(vectors, [k], starts, seed)[k]
+    order = sorted(range(len(model.centres)), key=lambda c: (-model.sizes[c], tuple(model.centres[c])))
+    return vectors.withColumn("cluster", nearest_centre(F.col(VECTOR), model.centres[order]))
 
 
 def pca_2d(vectors: DataFrame) -> tuple[DataFrame, list[float]]:

@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.numeric import log_positive, to_number
-from statloom.operators.median import IN_MEMORY_VALUES, fits_in_memory, wide_medians
+from statloom.operators.median import (
+    IN_MEMORY_VALUES,
+    fits_in_memory,
+    narrowed_medians,
+    wide_medians,
+)
 from statloom.operators.schema import quoted, type_of
 from statloom.storage import join_bounded
 
@@ -26,26 +31,38 @@ def impute_median(
 ) -> DataFrame:
     """Fill missing numbers by the column median, overall or per group; 0 without any value."""
     data = _numbers(df, columns)
-    groups = [group] if group else []
-    held = data.select(*[quoted(c) for c in [*groups, *columns]])
-    if not groups:
-        held = held.withColumn("__one", F.lit(1))
-        data = data.withColumn("__one", F.lit(1))
-        groups = ["__one"]
+    if group is None:
+        known = _overall_medians(data, columns, in_memory, **limits)
+        return data.withColumns(
+            {c: F.coalesce(quoted(c), F.lit(float(known[c] or 0.0))) for c in columns}
+        )
+    held = data.select(quoted(group), *[quoted(c) for c in columns])
     if fits_in_memory(held.count(), len(columns), in_memory):
-        medians = held.groupBy(*[quoted(g) for g in groups]).agg(
+        medians = held.groupBy(quoted(group)).agg(
             *[F.median(quoted(c)).alias(c) for c in columns]
         )
     else:
-        medians = wide_medians(held, groups, columns, **limits)
+        medians = wide_medians(held, [group], columns, **limits)
     named = medians.select(
-        *[quoted(g) for g in groups], *[quoted(c).alias(f"__median_{c}") for c in columns]
+        quoted(group), *[quoted(c).alias(f"__median_{c}") for c in columns]
     )
-    joined = join_bounded(data, named, groups, "left")
+    joined = join_bounded(data, named, [group], "left")
     filled = {
         c: F.coalesce(quoted(c), quoted(f"__median_{c}"), F.lit(0.0)) for c in columns
     }
-    return joined.withColumns(filled).drop("__one", *[f"__median_{c}" for c in columns])
+    return joined.withColumns(filled).drop(*[f"__median_{c}" for c in columns])
+
+
+def _overall_medians(
+    data: DataFrame, columns: list[str], in_memory: int, **limits
+) -> dict[str, float | None]:
+    """One number per column."""
+    if fits_in_memory(data.count(), len(columns), in_memory):
+        row = data.agg(*[F.median(quoted(c)).alias(c) for c in columns]).first()
+        return {c: row[c] for c in columns}
+    found = narrowed_medians(data, [], columns, **limits).collect()
+    medians = {r["stat"]: r["median"] for r in found}
+    return {c: medians.get(c) for c in columns}
 
 
 def log_weighted(df: DataFrame, columns: list[str], weights: Mapping[str, float]) -> DataFrame:

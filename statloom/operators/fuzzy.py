@@ -24,9 +24,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statloom.functions.similarity import arrow_ratio, ratio, sorted_words
+from statloom.functions.similarity import ratio, sorted_words
 from statloom.operators.schema import quoted
-from statloom.storage import join_bounded
+from statloom.storage import join_bounded, materialize
 
 #: Subsets per name and partner length.
 SUBSETS = 32
@@ -127,9 +127,7 @@ def _with_signatures(names: DataFrame, threshold: int, rank: dict[str, int], min
     return names.select("text").mapInPandas(sign, "text string, sign bigint")
 
 
-def similar_pairs(
-    left: DataFrame, right: DataFrame, threshold: int, scorer: str = "arrow"
-) -> DataFrame:
+def similar_pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
     """All pairs of prepared texts that score at least ``threshold``: ``l_text, r_text, score``.
 
     Both sides hold a column ``text`` of distinct, non-empty, prepared names.
@@ -140,10 +138,7 @@ def similar_pairs(
     l_side = _with_signatures(left, threshold, rank, True).withColumnRenamed("text", "l_text")
     r_side = _with_signatures(right, threshold, rank, False).withColumnRenamed("text", "r_text")
     pairs = l_side.join(r_side, "sign").select("l_text", "r_text").distinct()
-    score = arrow_ratio("l_text", "r_text") if scorer == "arrow" else ratio(
-        F.col("l_text"), F.col("r_text")
-    )
-    return pairs.withColumn("score", score).filter(F.col("score") >= threshold)
+    return pairs.withColumn("score", ratio("l_text", "r_text")).filter(F.col("score") >= threshold)
 
 
 def _prepared(df: DataFrame, name: str, shorten) -> DataFrame:
@@ -151,9 +146,7 @@ def _prepared(df: DataFrame, name: str, shorten) -> DataFrame:
     return df.withColumn("__text", sorted_words(text))
 
 
-def best_text_matches(
-    left: DataFrame, right: DataFrame, threshold: int, scorer: str = "arrow"
-) -> DataFrame:
+def best_text_matches(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
     """Best right text per left text: ``text, r_ord, r_name, score``.
 
     ``right`` holds ``text, r_ord, r_name``. Equal texts score 100 and, up to 98 letters, nothing
@@ -162,7 +155,7 @@ def best_text_matches(
     same = left.join(right, "text").withColumn("score", F.lit(100))
     settled = same.filter(F.length("text") <= 98)
     rest = left.join(settled.select("text"), "text", "left_anti")
-    pairs = similar_pairs(rest, right, threshold, scorer)
+    pairs = similar_pairs(rest, right, threshold)
     named = pairs.join(right.withColumnRenamed("text", "r_text"), "r_text").select(
         F.col("l_text").alias("text"), "r_ord", "r_name", "score"
     )
@@ -179,7 +172,6 @@ def fuzzy_best_match(
     right_order: str,
     threshold: int,
     shorten=None,
-    scorer: str = "arrow",
 ) -> DataFrame:
     """Left rows with ``matched_name`` and ``match_score`` of the best right name, or NULLs.
 
@@ -197,7 +189,9 @@ def fuzzy_best_match(
         .select("text", "first.r_ord", "first.r_name")
     )
     l_texts = l_rows.filter("__text <> ''").select(F.col("__text").alias("text")).distinct()
-    best = best_text_matches(l_texts, r_texts, threshold, scorer).select(
+    # the names are prepared and reduced to distinct ones in one pass over each side
+    l_texts, r_texts = materialize(l_texts, "names"), materialize(r_texts, "names")
+    best = best_text_matches(l_texts, r_texts, threshold).select(
         F.col("text").alias("__text"),
         F.col("r_name").alias("matched_name"),
         F.col("score").alias("match_score"),

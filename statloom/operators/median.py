@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.operators.schema import quoted, unpivot_stats
@@ -12,7 +14,10 @@ from statloom.storage import join_bounded, materialize
 IN_MEMORY_VALUES = 4_000_000
 #: Distinct values of one group and statistic that one task may sort.
 SORTED_VALUES = 1_000_000
-SPLITS = 64
+#: First bracket around the middle of the rows, and the accuracy of the sketch behind it.
+BRACKET, ACCURACY = 0.01, 2_000
+#: Pieces per later round.
+PIECES = 16
 
 
 def fits_in_memory(rows: int, n_stats: int, limit: int = IN_MEMORY_VALUES) -> bool:
@@ -21,46 +26,64 @@ def fits_in_memory(rows: int, n_stats: int, limit: int = IN_MEMORY_VALUES) -> bo
 
 
 def narrowed_medians(
-    df: DataFrame,
-    groups: list[str],
-    stats: list[str],
-    sorted_values: int = SORTED_VALUES,
-    splits: int = SPLITS,
+    df: DataFrame, groups: list[str], stats: list[str], sorted_values: int = SORTED_VALUES
 ) -> DataFrame:
     """Median per group and statistic as ``groups, stat, median``, for groups of any size.
 
-    Values are counted per distinct value first, which spreads a hot group over all tasks. Then
-    every round splits the remaining values of a group at approximate quantiles, counts exactly
-    how many fall between the splits and keeps only the pieces that hold the middle ranks. When
-    the largest remainder is small enough, its running counts give the answer.
+    A sketch brackets the middle of each group; one pass counts exactly what lies below and
+    collects the distinct values inside with their counts, so about two percent of the values are
+    shuffled. The counts prove that the bracket holds the middle ranks; should one not, all values
+    are taken. While a group keeps too many distinct values for one task, further rounds cut them
+    at approximate quantiles, count the pieces exactly and keep those with the middle ranks.
     """
     keys = [*groups, "stat"]
-    cells = (
-        unpivot_stats(df, groups, stats)
-        .filter("value IS NOT NULL")
-        .groupBy(*[quoted(k) for k in keys], "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+    by = [quoted(k) for k in keys]
+    values = unpivot_stats(df, groups, stats).filter("value IS NOT NULL")
+
+    shares = F.array(F.lit(0.5 - BRACKET), F.lit(0.5 + BRACKET))
+    cuts = values.groupBy(*by).agg(F.percentile_approx("value", shares, ACCURACY).alias("cuts"))
+    bracketed = join_bounded(values, cuts, keys)
+    side = F.when(F.col("value") < F.col("cuts")[0], -1).when(F.col("value") > F.col("cuts")[1], 1)
+    inside = F.when(side.isNull(), F.col("value"))
+    counts = bracketed.groupBy(*by, side.alias("side"), inside.alias("value")).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    cells = materialize(cells, "cells")
-    n = F.sum("n")
-    ranks = cells.groupBy(*[quoted(k) for k in keys]).agg(
-        F.floor((n + 1) / 2).cast("bigint").alias("low"),
-        (F.floor(n / 2) + 1).cast("bigint").alias("high"),
+    counts = materialize(counts, "counts")
+    total, below = F.sum("n"), F.coalesce(F.sum(F.when(F.col("side") == -1, F.col("n"))), F.lit(0))
+    held = F.sum(F.when(F.col("side").isNull(), F.col("n")))
+    ranks = counts.groupBy(*by).agg(
+        (F.floor((total + 1) / 2) - below).cast("bigint").alias("low"),
+        (F.floor(total / 2) + 1 - below).cast("bigint").alias("high"),
+        held.alias("held"),
     )
     ranks = materialize(ranks, "ranks")
+    cells = counts.filter("side IS NULL").select(*by, "value", "n")
+    if not ranks.filter("low < 1 OR high > held OR held IS NULL").isEmpty():
+        cells, ranks = _all_cells(values, keys)
+    ranks = ranks.select(*by, "low", "high")
 
     while _largest(cells, keys) > sorted_values:
-        cells, ranks = _narrow(cells, ranks, keys, splits)
+        cells, ranks = _narrow(cells, ranks, keys)
 
-    upto = F.sum("n").over(Window.partitionBy(*[quoted(k) for k in keys]).orderBy("value"))
+    upto = F.sum("n").over(Window.partitionBy(*by).orderBy("value"))
     ranked = join_bounded(cells.withColumn("upto", upto), ranks, keys)
 
-    def at(rank: str):
-        return F.max(F.when((F.col("upto") >= F.col(rank)) & (F.col("upto") - F.col("n") < F.col(rank)), F.col("value")))
+    def at(rank: str) -> Column:
+        reached = (F.col("upto") >= F.col(rank)) & (F.col("upto") - F.col("n") < F.col(rank))
+        return F.max(F.when(reached, F.col("value")))
+
+    return ranked.groupBy(*by).agg(((at("low") + at("high")) / 2).alias("median"))
 
-    return ranked.groupBy(*[quoted(k) for k in keys]).agg(
-        ((at("low") + at("high")) / 2).alias("median")
+
+def _all_cells(values: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    by = [quoted(k) for k in keys]
+    cells = materialize(values.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n")), "cells")
+    n = F.sum("n")
+    ranks = cells.groupBy(*by).agg(
+        F.floor((n + 1) / 2).cast("bigint").alias("low"),
+        (F.floor(n / 2) + 1).cast("bigint").alias("high"),
     )
+    return cells, materialize(ranks, "ranks")
 
 
 def _largest(cells: DataFrame, keys: list[str]) -> int:
@@ -68,11 +91,12 @@ def _largest(cells: DataFrame, keys: list[str]) -> int:
     return sizes.agg(F.max("count")).first()[0] or 0
 
 
-def _narrow(cells: DataFrame, ranks: DataFrame, keys: list[str], splits: int):
+def _narrow(cells: DataFrame, ranks: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     by = [quoted(k) for k in keys]
-    shares = F.array(*[F.lit(i / splits) for i in range(1, splits)])
-    cuts = cells.groupBy(*by).agg(F.percentile_approx("value", shares, 10_000).alias("cuts"))
-    piece = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+    shares = F.array(*[F.lit(i / PIECES) for i in range(1, PIECES)])
+    cuts = cells.groupBy(*by).agg(F.percentile_approx("value", shares, ACCURACY).alias("cuts"))
+    above = [(F.col("value") > F.col("cuts")[i]).cast("int") for i in range(PIECES - 1)]
+    piece = reduce(lambda a, b: a + b, above)
     split = join_bounded(cells, cuts, keys).withColumn("piece", piece).drop("cuts")
 
     counts = split.groupBy(*by, "piece").agg(F.sum("n").alias("held"))
@@ -85,18 +109,14 @@ def _narrow(cells: DataFrame, ranks: DataFrame, keys: list[str], splits: int):
         .agg(
             F.min("piece").alias("first"),
             F.max("piece").alias("last"),
-            F.min("before").alias("skip"),
-            F.first("low").alias("low"),
-            F.first("high").alias("high"),
+            (F.max("low") - F.min("before")).alias("low"),
+            (F.max("high") - F.min("before")).alias("high"),
         )
     )
     ends = materialize(ends, "ends")
     kept = join_bounded(split, ends.select(*by, "first", "last"), keys)
     kept = kept.filter("piece BETWEEN first AND last").select(*by, "value", "n")
-    ranks = ends.select(
-        *by, (F.col("low") - F.col("skip")).alias("low"), (F.col("high") - F.col("skip")).alias("high")
-    )
-    return materialize(kept, "cells"), materialize(ranks, "ranks")
+    return materialize(kept, "cells"), ends.select(*by, "low", "high")
 
 
 def wide_medians(df: DataFrame, groups: list[str], stats: list[str], **limits) -> DataFrame:

@@ -64,10 +64,10 @@ def merge_wide(
 ) -> DataFrame:
     """Full outer merge of tables that each hold a key at most once.
 
-    ``join`` chains full outer joins: a later filter on the first table turns them into left
-    joins that shuffle every table once. ``union`` stacks the tables and groups by the key, one
-    shuffle for all, which suits an unfiltered merge of many tables. With ``validate`` a table
-    whose key repeats is skipped.
+    ``join`` chains full outer joins: with a filter on the first table they become left joins and
+    every table is shuffled once. ``union`` stacks the tables, one struct each, and groups by the
+    key: one shuffle in all, for a merge that keeps every key. With ``validate`` a table whose key
+    repeats is skipped.
     """
     frames = list(tables.values()) if isinstance(tables, Mapping) else list(tables)
     if validate:
@@ -79,9 +79,27 @@ def merge_wide(
         return reduce(lambda left, right: left.join(right, key, "outer"), frames)
     if strategy != "union":
         raise ValueError("strategy must be join or union")
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    values = [c for c in stacked.columns if c != key]
-    return stacked.groupBy(quoted(key)).agg(*[F.max(quoted(c)).alias(c) for c in values])
+    packed = [
+        table.select(
+            quoted(key), F.struct(*[quoted(c) for c in table.columns if c != key]).alias(f"__t{i}")
+        )
+        for i, table in enumerate(frames)
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
+    # sides hold a key once, so nothing is gained by combining before the shuffle
+    grouped = stacked.repartition(quoted(key)).groupBy(quoted(key))
+    held = grouped.agg(
+        *[F.first(f"__t{i}", ignorenulls=True).alias(f"__t{i}") for i in range(len(frames))]
+    )
+    return held.select(
+        quoted(key),
+        *[
+            F.col(f"__t{i}").getField(c).alias(c)
+            for i, table in enumerate(frames)
+            for c in table.columns
+            if c != key
+        ],
+    )
 
 
 def lookup(

@@ -19,12 +19,12 @@ from statloom.operators.schema import (
     sort_by_first_word,
 )
 from statloom.plans import season
-from statloom.sources.html import commented_table_rows, named_table
+from statloom.sources.html import commented_table
 
 
 def stat_table(pages: DataFrame, table_id: str, header: list[str] | None = None) -> DataFrame | None:
     """One stat table of the pages: known columns only, one row per player, first row wins."""
-    named = named_table(commented_table_rows(pages, table_id), header)
+    named = commented_table(pages, table_id, header)
     if named is None:
         return None
     table = rename_columns(named, season.HEADERS.get(table_id, {}))

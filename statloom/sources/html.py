@@ -149,21 +149,39 @@ def header_names(cells: list[str]) -> list[str]:
     return names
 
 
-def named_table(rows: DataFrame, header: list[str] | None = None) -> DataFrame | None:
-    """Cell rows to named text columns plus the order columns ``page_id, row_ord``.
+def table_header(pages: DataFrame, table_id: str) -> list[str] | None:
+    """Cells of the first row of the table, from the first page that holds it.
+
+    Pages that mention the id are tried in growing numbers, so usually one page is parsed.
+    """
+    mentioning = pages.filter(F.col("html").contains(table_id)).select("page_id", "html")
+    tried = 1
+    while True:
+        some = mentioning.orderBy("page_id").limit(tried)
+        top = commented_table_rows(some, table_id).filter("row_ord = 0").orderBy("page_id").take(1)
+        if top:
+            return list(top[0].cells)
+        if tried >= 256:
+            break
+        tried *= 16
+    top = commented_table_rows(mentioning, table_id).filter("row_ord = 0").orderBy("page_id").take(1)
+    return list(top[0].cells) if top else None
+
+
+def commented_table(
+    pages: DataFrame, table_id: str, header: list[str] | None = None
+) -> DataFrame | None:
+    """A commented table as named text columns plus the order columns ``page_id, row_ord``.
 
     Row 0 is the header; without a given one it is read from the first page that has the table.
     Later header lines stay as data, as numbers they do not parse. None when no page has it.
     """
+    header = header or table_header(pages, table_id)
     if header is None:
-        top = rows.filter("row_ord = 0").orderBy("page_id").select("cells").take(1)
-        if not top:
-            return None
-        header = list(top[0].cells)
+        return None
     cells = F.col("cells")
-    columns = [
-        _cell(cells, i).alias(name) for i, name in enumerate(header_names(header))
-    ]
+    columns = [_cell(cells, i).alias(name) for i, name in enumerate(header_names(header))]
+    rows = commented_table_rows(pages, table_id)
     return rows.filter("row_ord > 0").select("page_id", "row_ord", *columns)
 
 

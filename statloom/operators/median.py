@@ -62,8 +62,13 @@ def narrowed_medians(
         cells, ranks = _all_cells(values, keys)
     ranks = ranks.select(*by, "low", "high")
 
-    while _largest(cells, keys) > sorted_values:
-        cells, ranks = _narrow(cells, ranks, keys)
+    limit, accuracy = max(sorted_values, PIECES), ACCURACY
+    largest = _largest(cells, keys)
+    while largest > limit:
+        cells, ranks = _narrow(cells, ranks, keys, accuracy)
+        # a sketch as long as the group is exact, so raising it ends any slow progress
+        before, largest = largest, _largest(cells, keys)
+        accuracy = accuracy * 10 if largest > before / 2 else accuracy
 
     upto = F.sum("n").over(Window.partitionBy(*by).orderBy("value"))
     ranked = join_bounded(cells.withColumn("upto", upto), ranks, keys)
@@ -91,10 +96,12 @@ def _largest(cells: DataFrame, keys: list[str]) -> int:
     return sizes.agg(F.max("count")).first()[0] or 0
 
 
-def _narrow(cells: DataFrame, ranks: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+def _narrow(
+    cells: DataFrame, ranks: DataFrame, keys: list[str], accuracy: int
+) -> tuple[DataFrame, DataFrame]:
     by = [quoted(k) for k in keys]
     shares = F.array(*[F.lit(i / PIECES) for i in range(1, PIECES)])
-    cuts = cells.groupBy(*by).agg(F.percentile_approx("value", shares, ACCURACY).alias("cuts"))
+    cuts = cells.groupBy(*by).agg(F.percentile_approx("value", shares, accuracy).alias("cuts"))
     above = [(F.col("value") > F.col("cuts")[i]).cast("int") for i in range(PIECES - 1)]
     piece = reduce(lambda a, b: a + b, above)
     split = join_bounded(cells, cuts, keys).withColumn("piece", piece).drop("cuts")

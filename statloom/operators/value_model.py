@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -98,11 +99,17 @@ def value_all_roles(
     output: list[str],
     seed: int = 42,
 ) -> DataFrame | None:
-    """One model per role, results stacked and sorted by predicted value, highest first."""
-    parts = [
-        value_role(of_role(matched, role_column, c.code), c, target, key, output, seed)
-        for c in configs
-    ]
+    """One model per role, results stacked and sorted by predicted value, highest first.
+
+    The roles are independent, so their jobs run side by side.
+    """
+
+    def value(config: RoleModel) -> DataFrame | None:
+        rows = of_role(matched, role_column, config.code)
+        return value_role(rows, config, target, key, output, seed)
+
+    with ThreadPoolExecutor(len(configs)) as pool:
+        parts = list(pool.map(value, configs))
     found = [p for p in parts if p is not None]
     if not found:
         return None

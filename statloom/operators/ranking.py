@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -67,7 +66,7 @@ def top_bottom_n(
     bucket = F.pmod(F.xxhash64(*[quoted(c) for c in ids]), F.lit(BUCKETS))
     rows = data.groupBy(bucket.alias("bucket")).agg(*extremes).collect()
 
-    kept, entries = F.lit(False), []
+    entries = []
     for i, s in enumerate(stats):
         v = quoted(s)
         high, low = _limits(rows, i, n)
@@ -76,14 +75,14 @@ def top_bottom_n(
         in_bottom = v > 0 if low is None else (v > 0) & (v <= F.lit(low))
         if all_zero:
             in_bottom = v.isNotNull()
-        kept = kept | in_top | in_bottom
         for direction, inside in (("Highest", in_top), ("Lowest", in_bottom)):
             entry = F.struct(
                 F.lit(s).alias("stat"), F.lit(direction).alias("direction"), v.alias("value")
             )
             entries.append(F.when(inside, entry))
-    held = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    cells = data.filter(kept).select(*[quoted(c) for c in ids], F.inline(held))
+    # a row outside all bounds has no entry and yields nothing
+    held = F.array_compact(F.array(*entries))
+    cells = data.select(*[quoted(c) for c in ids], F.inline(held))
 
     # one signed order serves both directions
     signed = F.when(F.col("direction") == "Highest", -F.col("value")).otherwise(F.col("value"))

@@ -90,6 +90,7 @@ def max_number(df: DataFrame, texts: Column, default: int) -> DataFrame:
     """Largest whole number among the texts of all rows, at least 1; ``default`` without texts."""
     top = F.transform(texts, lambda t: F.coalesce(F.trim(t).try_cast("bigint"), F.lit(1)))
     per_row = df.select(F.array_max(top).alias("top"))
-    return per_row.agg(
-        F.coalesce(F.greatest(F.max("top"), F.lit(1)), F.lit(default)).cast("bigint").alias("pages")
-    )
+    found = F.max("top")
+    # greatest skips NULL, so the case without any text is asked first
+    largest = F.when(found.isNull(), F.lit(default)).otherwise(F.greatest(found, F.lit(1)))
+    return per_row.agg(largest.cast("bigint").alias("pages"))

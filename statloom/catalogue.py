@@ -30,8 +30,12 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def cents(column: str) -> Column:
-    """Two-decimal money as a decimal, so that sums do not depend on the order of rows."""
-    return F.col(column).cast("decimal(18,2)")
+    """Two-decimal money as whole cents, so that sums do not depend on the order of rows."""
+    return F.rint(F.col(column) * 100).cast("bigint")
+
+
+def units(cents_sum: Column) -> Column:
+    return cents_sum.cast("double") / 100.0
 
 
 def stat_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -49,7 +53,7 @@ def stat_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     orders = table(spark, d, "orders")
     order_stats = orders.groupBy(F.col("o_custkey").alias("key")).agg(
         F.count(F.lit(1)).cast("double").alias("orders_cnt"),
-        F.sum(cents("o_totalprice")).cast("double").alias("total_price"),
+        units(F.sum(cents("o_totalprice"))).alias("total_price"),
     )
     # lines are summed per order first: the join then moves one row per order
     per_order = (
@@ -66,8 +70,8 @@ def stat_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         .groupBy(F.col("o_custkey").alias("key"))
         .agg(
             F.sum("n").cast("double").alias("lines_cnt"),
-            F.sum("q").cast("double").alias("qty"),
-            F.sum("r").cast("double").alias("revenue"),
+            units(F.sum("q")).alias("qty"),
+            units(F.sum("r")).alias("revenue"),
         )
     )
     event_stats = (
@@ -75,7 +79,7 @@ def stat_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         .groupBy(F.col("user_id").alias("key"))
         .agg(
             F.count(F.lit(1)).cast("double").alias("events_cnt"),
-            F.sum(cents("value")).cast("double").alias("event_value"),
+            units(F.sum(cents("value"))).alias("event_value"),
         )
     )
     return {"base": base, "orders": order_stats, "lines": line_stats, "events": event_stats}
@@ -242,7 +246,7 @@ def fill_const(spark, d):
 
 
 def impute_median(spark, d):
-    rows = wide(spark, d).select("key", "segment", *STATS)
+    rows = materialize(wide(spark, d).select("key", "segment", *STATS), "plain")
     return features.impute_median(rows, STATS, group="segment")
 
 
@@ -558,7 +562,7 @@ def round6(column: Column) -> Column:
 
 
 def log_features(spark, d):
-    rows = features.impute_median(wide(spark, d).select("key", *STATS), STATS)
+    rows = features.impute_median(materialize(wide(spark, d).select("key", *STATS), "plain"), STATS)
     signed = rows.withColumn("event_value", F.col("event_value") - 500)
     weighted = features.log_weighted(signed, STATS, {"qty": 1.5, "revenue": 2.0, "orders_cnt": 0.5})
     return weighted.withColumns({c: round6(F.col(c)) for c in STATS})

@@ -118,9 +118,13 @@ def histogram(bins: int, group: str | None) -> str:
                  CASE WHEN min(value) = max(value) THEN max(value) + 0.5 ELSE max(value) END AS hi
           FROM c GROUP BY {ids}stat),
     g AS (SELECT m.*, CAST(b AS INTEGER) AS bin FROM m CROSS JOIN range(0, {bins}) AS t(b)),
-    n AS (SELECT {ids}stat, CAST(least(floor((value - lo) / (hi - lo) * CAST({bins} AS DOUBLE)), {bins} - 1) AS INTEGER) AS bin,
+    f AS (SELECT {ids}stat, value, lo, (hi - lo) / CAST({bins} AS DOUBLE) AS step,
+                 CAST(least(floor((value - lo) / (hi - lo) * CAST({bins} AS DOUBLE)), {bins} - 1) AS INTEGER) AS b
+          FROM c JOIN m USING ({ids}stat)),
+    n AS (SELECT {ids}stat, CASE WHEN value < lo + b * step THEN b - 1
+                 WHEN b < {bins} - 1 AND value >= lo + (b + 1) * step THEN b + 1 ELSE b END AS bin,
                  count(*) AS cnt
-          FROM c JOIN m USING ({ids}stat) GROUP BY ALL)
+          FROM f GROUP BY ALL)
     SELECT {ids}stat, bin,
            lo + bin * ((hi - lo) / CAST({bins} AS DOUBLE)) AS low,
            lo + (bin + 1) * ((hi - lo) / CAST({bins} AS DOUBLE)) AS high,

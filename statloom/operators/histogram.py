@@ -30,15 +30,23 @@ def histogram(df: DataFrame, stats: list[str], bins: int, group: str | None = No
 
     width = F.col("hi") - F.col("lo")
     place = F.floor((F.col("value") - F.col("lo")) / width * F.lit(float(bins)))
-    binned = join_bounded(cells, ends, keys).withColumn(
+    first = join_bounded(cells, ends, keys).withColumn(
         "bin", F.least(place, F.lit(bins - 1)).cast("int")
     )
+    # division may land one bin beside a value that lies on an edge: the edges decide
+    step = width / F.lit(float(bins))
+    edge, following = F.col("lo") + F.col("bin") * step, F.col("lo") + (F.col("bin") + 1) * step
+    binned = first.withColumn(
+        "bin",
+        F.when(F.col("value") < edge, F.col("bin") - 1)
+        .when((F.col("bin") < bins - 1) & (F.col("value") >= following), F.col("bin") + 1)
+        .otherwise(F.col("bin")),
+    )
     # the range travels with the key, so the empty bins need no further pass over the data
     counted = binned.groupBy(*by, "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
     filled = counted.groupBy(*by, "lo", "hi").agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("held")
     )
-    step = width / F.lit(float(bins))
     return (
         filled.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
         .select(

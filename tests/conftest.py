@@ -13,6 +13,7 @@ from statloom.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
+        shuffle_partitions=2,
         extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))},
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.llm.common import table
+from statloom.llm.decontaminate import decontaminate
+from statloom.llm.packing import pack
 from statloom.llm.quality_rules import quality_rules
 from statloom.llm.simhash import simhash_groups
 from statloom.llm.url_filter import url_filter
@@ -20,10 +22,24 @@ def op1_divergence(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, d: str) -> DataFrame:
+    pieces = pack(table(spark, d, "documents").select("doc_id", "text"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash_groups(table(spark, d, "documents").select("doc_id", "text"))
 
 
+def op9_fm_index(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = decontaminate(docs, table(spark, d, "benchmark").select("item_id", "text"))
+    ids = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", ids.alias("items_sha256"), "contaminated")
+
+
 def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages").select("page_id", "url")
     return url_filter(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -31,7 +47,9 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_divergence": op1_divergence,
+    "op3_packing": op3_packing,
     "op7_simhash": op7_simhash,
+    "op9_fm_index": op9_fm_index,
     "op10_url_filter": op10_url_filter,
 }
 

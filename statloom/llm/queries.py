@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm.common import table
+from statloom.llm.common import remainder, table
 from statloom.llm.decontaminate import decontaminate
+from statloom.llm.line_templates import drop_recurring_lines
+from statloom.llm.nb_svm import score_texts
 from statloom.llm.packing import pack
 from statloom.llm.quality_rules import quality_rules
 from statloom.llm.simhash import simhash_groups
@@ -29,10 +31,28 @@ def op3_packing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op5_nb_svm(spark: SparkSession, d: str) -> DataFrame:
+    labels = table(spark, d, "labels").where(F.coalesce(remainder("doc_id", 5), F.lit(0)) != 0)
+    scored = score_texts(table(spark, d, "documents").select("doc_id", "text"), labels, "quality")
+    return scored.select(
+        "doc_id",
+        (F.coalesce(remainder("doc_id", 5), F.lit(1)) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash_groups(table(spark, d, "documents").select("doc_id", "text"))
 
 
+def op8_line_templates(spark: SparkSession, d: str) -> DataFrame:
+    cleaned = drop_recurring_lines(table(spark, d, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.array_join("dropped", ",").alias("dropped"), "text"
+    )
+
+
 def op9_fm_index(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     found = decontaminate(docs, table(spark, d, "benchmark").select("item_id", "text"))
@@ -48,7 +68,9 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_divergence": op1_divergence,
     "op3_packing": op3_packing,
+    "op5_nb_svm": op5_nb_svm,
     "op7_simhash": op7_simhash,
+    "op8_line_templates": op8_line_templates,
     "op9_fm_index": op9_fm_index,
     "op10_url_filter": op10_url_filter,
 }

@@ -14,6 +14,7 @@ from statloom.llm.nb_svm import score_texts
 from statloom.llm.packing import pack
 from statloom.llm.quality_rules import quality_rules
 from statloom.llm.simhash import simhash_groups
+from statloom.llm.toxic_spans import score_toxicity
 from statloom.llm.url_filter import url_filter
 
 
@@ -31,17 +32,27 @@ def op3_packing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def op5_nb_svm(spark: SparkSession, d: str) -> DataFrame:
-    labels = table(spark, d, "labels").where(F.coalesce(remainder("doc_id", 5), F.lit(0)) != 0)
-    scored = score_texts(table(spark, d, "documents").select("doc_id", "text"), labels, "quality")
+def _learned_labels(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "labels").where(F.coalesce(remainder("doc_id", 5), F.lit(0)) != 0)
+
+
+def _predicted(scored: DataFrame, limit: float) -> DataFrame:
+    held_out = F.coalesce(remainder("doc_id", 5), F.lit(1)) == 0
     return scored.select(
-        "doc_id",
-        (F.coalesce(remainder("doc_id", 5), F.lit(1)) == 0).alias("held_out"),
-        "score",
-        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= limit).cast("int").alias("predicted")
     )
 
 
+def op4_crf(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return _predicted(score_toxicity(docs, _learned_labels(spark, d), "toxic"), 0.5)
+
+
+def op5_nb_svm(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return _predicted(score_texts(docs, _learned_labels(spark, d), "quality"), 0.3)
+
+
 def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash_groups(table(spark, d, "documents").select("doc_id", "text"))
 
@@ -68,6 +79,7 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_divergence": op1_divergence,
     "op3_packing": op3_packing,
+    "op4_crf": op4_crf,
     "op5_nb_svm": op5_nb_svm,
     "op7_simhash": op7_simhash,
     "op8_line_templates": op8_line_templates,

@@ -88,17 +88,20 @@ def margins(rows: list[np.ndarray], scale: np.ndarray, weights: np.ndarray, inte
     )
 
 
-def logistic_curve(margin: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the probability of label 1, by Newton steps on the weighted likelihood."""
-    a, b = 1.0, 0.0
+def logistic_curve(evidence: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Coefficients (the last is the offset) of the probability of label 1, by Newton steps.
+
+    ``evidence`` has one row per observation; the labels are drawn in a little from 0 and 1.
+    """
+    x = np.column_stack([evidence, np.ones(len(labels))])
     target = np.where(labels == 1, 1 - 1e-3, 1e-3)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -35, 35)))
-        wrong, spread = weight * (p - target), weight * p * (1 - p) + 1e-9
-        slope = np.array([(wrong * margin).sum() + 1e-3 * a, wrong.sum()])
-        bend = np.array([[(spread * margin**2).sum() + 1e-3, (spread * margin).sum()], [(spread * margin).sum(), spread.sum()]])
-        a, b = np.array([a, b]) - np.clip(np.linalg.solve(bend, slope), -2, 2)
-    return float(a), float(b)
+    found, ridge = np.zeros(x.shape[1]), np.diag([1e-3] * (x.shape[1] - 1) + [1e-6])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(x @ found, -35, 35)))
+        slope = x.T @ (weight * (p - target)) + ridge @ found
+        bend = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + ridge
+        found = found - np.clip(np.linalg.solve(bend, slope), -2, 2)
+    return found
 
 
 def sampled_labels(labels: DataFrame, id: str, label: str, sample: int) -> tuple[DataFrame, dict[int, int]]:
@@ -180,6 +183,6 @@ def _fit(rows: list[np.ndarray], y: np.ndarray, sizes: dict[int, int], slots: in
         w, c = descend([r for r, h in zip(rows, held, strict=True) if not h], y[~held], own)
         m = margins([r for r, h in zip(rows, held, strict=True) if h], own, w, c)
         weight = np.array([sizes[k] / max((y == k).sum(), 1) for k in (0, 1)])[y[held]]
-        a, b = logistic_curve(m, y[held], weight / weight.mean())
+        a, b = map(float, logistic_curve(m, y[held], weight / weight.mean()))
     weights, intercept = descend(rows, y, scale)
     return scale, weights, intercept, max(a, 1e-3), b

@@ -4,8 +4,8 @@ Only documents carry labels. Words, and beginnings of words, that come in many d
 toxic documents and in hardly any elsewhere label the tokens: such a word in a toxic document is
 toxic, every other token is not. A chain over each line, with indicators of the word, its first and
 last letters and its length, is fitted to these tokens by gradient ascent on the likelihood. Forward-backward marginals of all
-lines, summed as squares so that the faint ones of a long document do not add up, give each document
-its evidence, a logistic curve makes that a score, and tokens that are more likely toxic than not are the offending spans.
+lines give each document its expected number of toxic tokens, a logistic curve of that and of the
+number of all tokens makes it a score, and tokens that are more likely toxic than not are the offending spans.
 
 The fit uses at most ``sample`` labelled documents per class (none longer than ``most_bytes``).
 """
@@ -176,18 +176,15 @@ def fit_chain(
 
 
 def toxic_evidence(texts: list[bytes], model) -> tuple[np.ndarray, Lines, np.ndarray]:
-    """Per text the sum of squared marginals of its tokens; the lines and their marginals."""
+    """Per text the logarithms of its expected toxic and of all tokens; the lines and their marginals."""
     weights, bias, step = model
     lines = Lines(texts)
     if not lines.words:
-        return np.zeros(len(texts)), lines, np.zeros(0)
+        return np.log(np.full((len(texts), 2), [1e-3, 1.0])), lines, np.zeros(0)
     features = np.array([word_slots(w, len(weights)) for w in lines.words], np.int64)
     p = lines.marginals((weights[features].sum(1) + bias)[lines.which], step)
-    return np.bincount(lines.doc, p * p, minlength=len(texts)), lines, p
-
-
-def _evidence(expected: np.ndarray) -> np.ndarray:
-    return np.log(expected + 1e-3)
+    expected, all_ = np.bincount(lines.doc, p, minlength=len(texts)), np.bincount(lines.doc, minlength=len(texts))
+    return np.log(np.column_stack([expected + 1e-3, all_ + 1.0])), lines, p
 
 
 def _spans(text: bytes, hit: np.ndarray) -> list[dict]:
@@ -223,14 +220,14 @@ def score_toxicity(
     picked = source.join(F.broadcast(chosen), "__id").where(F.octet_length("__text") <= most_bytes)
     taken = sorted((r["__label"], r["__text"].encode()) for r in picked.select("__label", "__text").limit(2 * sample).collect())
     y, texts = np.array([k for k, _ in taken], np.int64), [t for _, t in taken]
-    model, (a, b) = (np.zeros(SLOTS), -30.0, np.ones((2, 2))), (0.0, -35.0)
+    model, curve = (np.zeros(SLOTS), -30.0, np.ones((2, 2))), np.array([0.0, 0.0, -35.0])
     if len(set(y.tolist())) == 2:
         model = fit_chain(texts, y)
         weight = np.array([sizes[k] / max((y == k).sum(), 1) for k in (0, 1)])[y]
-        a, b = logistic_curve(_evidence(toxic_evidence(texts, model)[0]), y, weight / weight.mean())
+        curve = logistic_curve(toxic_evidence(texts, model)[0], y, weight / weight.mean())
     elif sum(sizes.values()):
         share = min(max(sizes.get(1, 0) / sum(sizes.values()), 1e-9), 1 - 1e-9)
-        b = float(np.log(share / (1 - share)))
+        curve = np.array([0.0, 0.0, np.log(share / (1 - share))])
     sent = spark.sparkContext.broadcast(model)  # one number per slot
     added = ("score", "spans")
     carried = [c for c in docs.columns if c.lower() not in (*added, text.lower())]
@@ -239,7 +236,7 @@ def score_toxicity(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "__text", 8 << 20):
             own = texts_of(batch, "__text")
-            expected, lines, p = toxic_evidence(own, sent.value)
+            evidence, lines, p = toxic_evidence(own, sent.value)
             hit = p[lines.place] >= 0.5 if len(p) else np.zeros(0, bool)
             counts = np.bincount(lines.doc, minlength=len(own)) if len(p) else np.zeros(len(own), np.int64)
             end = np.cumsum(counts)
@@ -247,7 +244,7 @@ def score_toxicity(
             spans: list[list[dict]] = [[] for _ in own]
             for i in some:
                 spans[i] = _spans(own[i], hit[end[i] - counts[i] : end[i]])
-            scores = 1 / (1 + np.exp(-np.clip(a * _evidence(expected) + b, -35, 35)))
+            scores = 1 / (1 + np.exp(-np.clip(evidence @ curve[:2] + curve[2], -35, 35)))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carried), pa.array(scores), pa.array(spans, span)], [*carried, *added]
             )

@@ -12,6 +12,7 @@ from statloom.llm.decontaminate import decontaminate
 from statloom.llm.line_templates import drop_recurring_lines
 from statloom.llm.nb_svm import score_texts
 from statloom.llm.packing import pack
+from statloom.llm.pitman_yor import score_documents
 from statloom.llm.quality_rules import quality_rules
 from statloom.llm.simhash import simhash_groups
 from statloom.llm.toxic_spans import score_toxicity
@@ -25,6 +26,15 @@ def op1_divergence(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op2_pitman_yor(spark: SparkSession, d: str) -> DataFrame:
+    held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
+    docs = table(spark, d, "documents").select("doc_id", "text", (~held_out).alias("train"))
+    scored = score_documents(docs, "train")
+    return scored.select(
+        *("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    )
+
+
 def op3_packing(spark: SparkSession, d: str) -> DataFrame:
     pieces = pack(table(spark, d, "documents").select("doc_id", "text"))
     return pieces.select(
@@ -78,6 +88,7 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_divergence": op1_divergence,
+    "op2_pitman_yor": op2_pitman_yor,
     "op3_packing": op3_packing,
     "op4_crf": op4_crf,
     "op5_nb_svm": op5_nb_svm,

@@ -87,7 +87,7 @@ def _class_table() -> np.ndarray:
     return out
 
 
-def _features(lang_column: str, text_column: str):
+def _features(lang_column: str, text_column: str, keep_text: bool):
     lists = {lang: [w.encode() for w in words.split()] for lang, words in COMMON_WORDS.items()}
     every = [w.encode() for w in ALL_WORDS]
     inside = bytes(range(0x80, 0xC0)) + b" \t\n\r\x0b\x0c"
@@ -130,7 +130,7 @@ def _features(lang_column: str, text_column: str):
             kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
             names = [x.split()[0] for x in _FEATURES.split(", ")]
             made = [pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-            kept = [c for c in batch.schema.names if c != text_column]
+            kept = [c for c in batch.schema.names if keep_text or c != text_column]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *made], [*kept, *names])
 
     return measure
@@ -166,8 +166,11 @@ def quality_rules(
     char_least: int = CHAR_LEAST,
     word_limit: float = WORD_LIMIT,
     word_least: int = WORD_LEAST,
+    keep_text: bool = False,
 ) -> DataFrame:
-    """One row per input row: its columns but the text, the base measures, distances and verdict.
+    """One row per input row: its columns, the base measures, distances and verdict.
+
+    The text is left out unless ``keep_text`` is set.
 
     Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_distance,
     word_distance, kept``. A NULL or empty text has no words and fails the base rule. A NULL or
@@ -180,8 +183,9 @@ def quality_rules(
     lower = {c.lower() for c in (text, lang)}
     carried = [c for c in docs.columns if c.lower() not in added | lower]
     source = docs.select(*carried, F.col(lang).cast("string").alias("__lang"), F.col(text).cast("string").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("__text").schema)
-    measured = source.mapInArrow(_features("__lang", "__text"), f"{schema}, {_FEATURES}")
+    plain = source.schema if keep_text else source.drop("__text").schema
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain)
+    measured = source.mapInArrow(_features("__lang", "__text", keep_text), f"{schema}, {_FEATURES}")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = materialize(measured.withColumn("base_failed", failed), "quality")
 
@@ -208,6 +212,7 @@ def quality_rules(
     return joined.withColumn("kept", ~F.col("base_failed") & ~far).select(
         *carried,
         F.col("__lang").alias(lang),
+        *([F.col("__text").alias(text)] if keep_text else []),
         *("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
         *("base_failed", "char_distance", "word_distance", "kept"),
     )

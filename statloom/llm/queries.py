@@ -16,6 +16,7 @@ from statloom.llm.pitman_yor import score_documents
 from statloom.llm.quality_rules import quality_rules
 from statloom.llm.simhash import simhash_groups
 from statloom.llm.toxic_spans import score_toxicity
+from statloom.llm.training_order import materialise_order, new_path, read_slots
 from statloom.llm.url_filter import url_filter
 
 
@@ -63,6 +64,14 @@ def op5_nb_svm(spark: SparkSession, d: str) -> DataFrame:
     return _predicted(score_texts(docs, _learned_labels(spark, d), "quality"), 0.3)
 
 
+def op6_training_order(spark: SparkSession, d: str) -> DataFrame:
+    """Where each sequence was written, and the checksum of what stands there."""
+    path = new_path(spark)
+    places = materialise_order(table(spark, d, "documents").select("doc_id", "text"), path, key=2026)
+    written = read_slots(spark, path).select("slot", F.crc32("ids").alias("ids_crc32"))
+    return places.join(written, "slot")
+
+
 def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash_groups(table(spark, d, "documents").select("doc_id", "text"))
 
@@ -92,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_crf": op4_crf,
     "op5_nb_svm": op5_nb_svm,
+    "op6_training_order": op6_training_order,
     "op7_simhash": op7_simhash,
     "op8_line_templates": op8_line_templates,
     "op9_fm_index": op9_fm_index,

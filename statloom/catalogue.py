@@ -7,6 +7,7 @@ items and events, merged into one wide table the way the stat tables of a season
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,7 +87,7 @@ def stat_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def wide(spark: SparkSession, d: str) -> DataFrame:
-    return merge.merge_wide(stat_tables(spark, d), "key", strategy="union")
+    return merge.merge_wide(stat_tables(spark, d), "key")
 
 
 def filled(spark: SparkSession, d: str) -> DataFrame:
@@ -148,6 +149,35 @@ def html_table_rows(spark, d):
     )
 
 
+def html_table_spans(spark, d):
+    """Pages whose tables have their columns in two orders, a cell over two rows, and a wider row."""
+    even = key_is(2)
+    head = F.when(even, "<tr><th>Player</th><th>Min</th></tr>").otherwise("<tr><th>Min</th><th>Player</th></tr>")
+    name, minutes = F.col("c_name"), F.col("c_custkey").cast("string")
+    wide = F.concat(F.lit("<td>x"), minutes, F.lit("</td></tr>"))
+    body = F.when(
+        even,
+        F.concat(
+            F.lit("<tr><td rowspan='2'>"), name, F.lit("</td><td>"), minutes,
+            F.lit("</td></tr><tr><td>again</td>"), wide,
+        ),
+    ).otherwise(
+        F.concat(
+            F.lit("<tr><td>"), minutes, F.lit("</td><td rowspan='2'>"), name,
+            F.lit("</td></tr><tr><td>again</td>"), wide,
+        )
+    )
+    pages = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("page_id"),
+        F.concat(F.lit("<!--<table id='stats_y'>"), head, body, F.lit("</table>-->")).alias("html"),
+    )
+    named = html.commented_table(pages, "stats_y")
+    return named.select(
+        "page_id", F.col("row_ord").cast("bigint").alias("row_ord"), "Player", "Min",
+        schema.quoted("Unnamed: 2").alias("beyond"),
+    )
+
+
 def html_rows_min_cells(spark, d):
     row = F.concat(
         F.lit("<tr><td> "), F.col("p_name"), F.lit("<br>"), F.col("p_brand"), F.lit("</td><td>"),
@@ -189,7 +219,25 @@ def page_count(spark, d):
 
 
 def page_count_links(spark, d):
-    return tables.max_page(table(spark, d, "pages"))
+    return html.max_page(table(spark, d, "pages"))
+
+
+def page_count_listing(spark, d):
+    """Listing pages with a pagination, a stray year beside it, and marked-up link texts."""
+    key = F.col("c_custkey")
+    last = F.concat(F.lit("<li><a href='x'><span> "), (key % 9 + 1).cast("string"), F.lit("</span></a></li>"))
+    inside = F.when(key % 5 == 0, F.lit("<li><a>Next</a></li>")).otherwise(
+        F.concat(F.lit("<li><a>3</a></li>"), last, F.lit("<li><a>3.5</a><a>Next</a></li>"))
+    )
+    bar = F.concat(F.lit("<div class='wide pagination'><div><ul>"), inside, F.lit("</ul></div></div>"))
+    none = F.lit("<ul class='pages'><li><a>7</a></li></ul>")
+    pages = table(spark, d, "customer").select(
+        key.alias("page_id"),
+        F.concat(
+            F.lit("<html><a>2024</a>"), F.when(key % 7 == 0, none).otherwise(bar), F.lit("<a>99</a></html>")
+        ).alias("html"),
+    )
+    return html.page_numbers(pages)
 
 
 def url_list(spark, d):
@@ -246,7 +294,7 @@ def fill_const(spark, d):
 
 
 def impute_median(spark, d):
-    rows = materialize(wide(spark, d).select("key", "segment", *STATS), "plain")
+    rows = wide(spark, d).select("key", "segment", *STATS)
     return features.impute_median(rows, STATS, group="segment")
 
 
@@ -351,14 +399,14 @@ def bucket_counts(spark, d):
 
 
 def union_roles(spark, d):
+    """The parts of all segments, stacked; the segments are those of the table."""
     rows = table(spark, d, "customer")
+    segments = features.known_values(rows, "c_mktsegment")
     parts = [
-        values.of_role(rows, "c_mktsegment", code).select(
-            "c_custkey", "c_name", F.lit(role).alias("position")
-        )
-        for role, code in (("Builder", "building"), ("Carrier", "automobile"))
+        values.of_role(rows, "c_mktsegment", s).select("c_custkey", "c_name", F.lit(s).alias("position"))
+        for s in segments
     ]
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def sort_first_token(spark, d):
@@ -370,15 +418,23 @@ def sort_first_token(spark, d):
 
 
 def merge_wide(spark, d):
-    # the filtered table leads, as the joins then all become left joins on its key
+    # the filtered table leads: its keys are the only ones that stay
     tables_by_name = stat_tables(spark, d)
-    ordered = {name: tables_by_name[name] for name in ("lines", "base", "orders", "events")}
-    merged = merge.merge_wide(ordered, "key")
+    ordered = [tables_by_name[name] for name in ("lines", "base", "orders", "events")]
+    merged = merge.merge_wide([ordered[0].filter("qty > 90"), *ordered[1:]], "key", lead=0)
     typed = schema.coerce(merged, ["orders_cnt", "lines_cnt", "qty", "events_cnt"], ["revenue"])
     order = ["key", "name", "segment", "nation", "absent", *STATS]
     return schema.in_order(typed.filter("qty > 90"), order)
 
 
+def merge_skips_repeats(spark, d):
+    """Orders repeat their customer, so the merge leaves them out."""
+    customers = table(spark, d, "customer").select(F.col("c_custkey").alias("key"), "c_name")
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("key"), "o_totalprice")
+    nations = table(spark, d, "nation").select(F.col("n_nationkey").alias("key"), "n_name")
+    return merge.merge_wide([customers, orders, nations], "key", on_repeat="skip")
+
+
 def merge_wide_union(spark, d):
     return wide(spark, d)
 
@@ -562,7 +618,7 @@ def round6(column: Column) -> Column:
 
 
 def log_features(spark, d):
-    rows = features.impute_median(materialize(wide(spark, d).select("key", *STATS), "plain"), STATS)
+    rows = features.impute_median(wide(spark, d).select("key", *STATS), STATS)
     signed = rows.withColumn("event_value", F.col("event_value") - 500)
     weighted = features.log_weighted(signed, STATS, {"qty": 1.5, "revenue": 2.0, "orders_cnt": 0.5})
     return weighted.withColumns({c: round6(F.col(c)) for c in STATS})
@@ -580,7 +636,7 @@ def standardize(spark, d):
 
 def one_hot(spark, d):
     rows = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    return features.one_hot(rows, "c_mktsegment", ["AUTOMOBILE", "BUILDING"])
+    return features.one_hot(rows, "c_mktsegment", features.known_values(rows, "c_mktsegment"))
 
 
 def split_80_20(spark, d):
@@ -590,9 +646,14 @@ def split_80_20(spark, d):
 
 
 def _vectors(spark, d):
-    size = 64
-    parts = {f"x{i}": F.get("embedding", F.lit(i)).cast("double") for i in range(size)}
-    rows = table(spark, d, "embeddings").select("vec_id", *[c.alias(n) for n, c in parts.items()])
+    """The embeddings, one column per element; vectors of different lengths are an error."""
+    rows = table(spark, d, "embeddings").filter("embedding IS NOT NULL")
+    size = F.size("embedding")
+    least, most = rows.agg(F.min(size), F.max(size)).first()
+    if least != most:
+        raise ValueError(f"embeddings have {least} to {most} elements")
+    parts = {f"x{i}": F.get("embedding", F.lit(i)).cast("double") for i in range(least or 0)}
+    rows = rows.select("vec_id", *[c.alias(n) for n, c in parts.items()])
     return materialize(cluster.feature_table(rows, ["vec_id", *parts], list(parts)), "vectors")
 
 
@@ -623,7 +684,8 @@ def cluster_sizes(spark, d):
 
 
 def cluster_profile(spark, d):
-    return cluster.cluster_profile(_clustered(spark, d), [f"x{i}" for i in range(64)])
+    rows = _clustered(spark, d)
+    return cluster.cluster_profile(rows, [c for c in rows.columns if c not in ("vec_id", "cluster")])
 
 
 def pca_2d(spark, d):
@@ -656,29 +718,27 @@ def value_model(spark, d):
 
 
 def ols_one_feature(spark, d):
-    rows = table(spark, d, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice")
-    found = []
-    for role, code in FLAGS:
-        config = values.RoleModel(role, code, ["l_quantity"])
-        train = values.of_role(rows, "l_returnflag", code)
-        model = values.fit_values(train, config, "l_extendedprice")
-        scaler, line = model.stages[-3], model.stages[-1]
-        slope = float(line.coefficients[0] / scaler.std[0])
-        at_zero = float(line.intercept - slope * scaler.mean[0])
-        found.append((role, round(slope, 4), round(at_zero, 4)))
-    return spark.createDataFrame(found, "role string, slope double, intercept double")
+    """The line of price on quantity per flag: one aggregate for all flags."""
+    price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
+    names = F.create_map(*[F.lit(x) for role, code in FLAGS for x in (code.upper(), role)])
+    lines = table(spark, d, "lineitem").groupBy("l_returnflag").agg(
+        F.regr_slope(price, quantity).alias("slope"), F.regr_intercept(price, quantity).alias("intercept")
+    )
+    return lines.select(
+        names[F.col("l_returnflag")].alias("role"), F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept")
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__.removesuffix("_query"): f
     for f in (
         src_csv_na, html_comment_extract, html_table_rows, html_rows_min_cells, cell_pick,
-        page_count, page_count_links, url_list, strip_thousands,
+        html_table_spans, page_count, page_count_links, page_count_listing, url_list, strip_thousands,
         rename_map, conform_schema, unpivot_stats, coerce_numeric, coerce_int, fill_const,
         impute_median, drop_any_null,
         parse_age, last_token, clean_name, name_first_two, name_first_last, parse_money, main_role,
         position_buckets, bucket_counts, union_roles, sort_first_token,
-        merge_wide, merge_wide_union, key_violations, lookup_first, lookup_last_default,
+        merge_wide, merge_wide_union, merge_skips_repeats, key_violations, lookup_first, lookup_last_default,
         dedup_first, dedup_last, filter_threshold, role_filter,
         global_profile, group_profile, group_profile_wide, rollup_profile, narrowed_profile,
         group_means, distinct_groups, all_zero_stats,

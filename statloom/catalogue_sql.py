@@ -127,7 +127,8 @@ def histogram(bins: int, group: str | None) -> str:
           FROM f GROUP BY ALL)
     SELECT {ids}stat, bin,
            lo + bin * ((hi - lo) / CAST({bins} AS DOUBLE)) AS low,
-           lo + (bin + 1) * ((hi - lo) / CAST({bins} AS DOUBLE)) AS high,
+           CASE WHEN bin = {bins - 1} THEN hi
+                ELSE lo + (bin + 1) * ((hi - lo) / CAST({bins} AS DOUBLE)) END AS high,
            CAST(coalesce(cnt, 0) AS BIGINT) AS "rows"
     FROM g LEFT JOIN n USING ({ids}stat, bin)"""
 
@@ -178,8 +179,21 @@ ORACLE: dict[str, str] = {
         FROM (SELECT page_id, {LINKS} AS c FROM pages) WHERE len(c) >= 2""",
     "page_count": r"""SELECT CAST(coalesce(greatest(max(TRY_CAST(n AS BIGINT)), 1), 22) AS BIGINT) AS pages
         FROM (SELECT unnest(regexp_extract_all(url, 'page=(\d+)', 1)) AS n FROM pages)""",
-    "page_count_links": f"""SELECT CAST(coalesce(max(greatest(coalesce(TRY_CAST(trim(n) AS BIGINT), 1), 1)), 22) AS BIGINT)
-        AS pages FROM (SELECT unnest({LINKS}) AS n FROM pages)""",
+    # none of the given pages has an element of that class, so the default holds; were there one on
+    # the first page, its numbers would be compared
+    "page_count_links": r"""SELECT CAST(CASE WHEN len(bar) = 0 THEN 22
+        ELSE greatest(1, coalesce(list_max(list_transform(
+          regexp_extract_all(bar, '(?s)<a\b[^>]*>(.*?)</a>', 1),
+          lambda t: TRY_CAST(trim(regexp_replace(t, '<[^>]*>', '', 'g')) AS BIGINT))), 1)) END AS BIGINT) AS pages
+        FROM (SELECT coalesce(regexp_extract(arg_min(html, page_id),
+          '(?s)<(\w+)[^>]*\bclass=["''][^"'']*\bpagination\b[^"'']*["''][^>]*>(.*?)</(div|ul|nav)>', 2), '') AS bar
+          FROM pages)""",
+    "page_count_listing": """SELECT c_custkey AS page_id, CAST(CASE WHEN c_custkey % 7 = 0 THEN 22
+        WHEN c_custkey % 5 = 0 THEN 1 ELSE greatest(3, c_custkey % 9 + 1) END AS BIGINT) AS pages FROM customer""",
+    "html_table_spans": """
+        SELECT c_custkey AS page_id, CAST(1 AS BIGINT) AS row_ord, c_name AS Player,
+               CAST(c_custkey AS VARCHAR) AS Min, CAST(NULL AS VARCHAR) AS beyond FROM customer
+        UNION ALL SELECT c_custkey, 2, c_name, 'again', 'x' || CAST(c_custkey AS VARCHAR) FROM customer""",
     "url_list": """SELECT i AS page, 'https://example.com/list/' || CAST(i AS VARCHAR) AS url
         FROM range(1, (SELECT count(*) FROM pages) + 1) AS t(i)""",
     "strip_thousands": """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0
@@ -240,9 +254,8 @@ ORACLE: dict[str, str] = {
     "position_buckets": f"SELECT * FROM ({BUCKETS}) WHERE bucket IS NOT NULL",
     "bucket_counts": f"""SELECT bucket, count(*) AS "rows" FROM ({BUCKETS})
         WHERE bucket IS NOT NULL GROUP BY bucket""",
-    "union_roles": """SELECT c_custkey, c_name, 'Builder' AS position FROM customer
-        WHERE c_mktsegment = 'BUILDING'
-        UNION ALL SELECT c_custkey, c_name, 'Carrier' FROM customer WHERE c_mktsegment = 'AUTOMOBILE'""",
+    "union_roles": """SELECT c_custkey, c_name, c_mktsegment AS position FROM customer
+        WHERE c_mktsegment IS NOT NULL""",
     "sort_first_token": f"""SELECT c_custkey, n_name || ' ' || c_name AS name FROM {CUSTOMERS}
         ORDER BY n_name, name, c_custkey""",
     "merge_wide": WIDE + f"""SELECT key, name, segment, nation, CAST(orders_cnt AS BIGINT) AS orders_cnt,
@@ -250,6 +263,9 @@ ORACLE: dict[str, str] = {
         CASE WHEN qty = floor(qty) THEN CAST(qty AS BIGINT) END AS qty, {r2('revenue')} AS revenue,
         CAST(events_cnt AS BIGINT) AS events_cnt, event_value FROM w WHERE qty > 90""",
     "merge_wide_union": WIDE + "SELECT * FROM w",
+    "merge_skips_repeats": """SELECT key, c_name, n_name FROM
+        (SELECT c_custkey AS key, c_name FROM customer) FULL JOIN
+        (SELECT n_nationkey AS key, n_name FROM nation) USING (key)""",
     "key_violations": """SELECT o_custkey, count(*) AS "count" FROM orders GROUP BY o_custkey
         HAVING count(*) > 1""",
     "lookup_first": f"""SELECT c.c_custkey, c_name, o_orderpriority FROM customer c
@@ -317,9 +333,10 @@ ORACLE: dict[str, str] = {
         r6(f"coalesce(({s} - avg({s}) OVER ()) / nullif(stddev_pop({s}) OVER (), 0), 0.0)") + f" AS {s}"
         for s in RANKED
     ) + " FROM z",
-    "one_hot": """SELECT c_custkey, c_mktsegment,
-        CAST(c_mktsegment = 'AUTOMOBILE' AS INTEGER) AS "c_mktsegment=AUTOMOBILE",
-        CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS "c_mktsegment=BUILDING" FROM customer""",
+    "one_hot": "SELECT c_custkey, c_mktsegment, " + ", ".join(
+        f"""CAST(c_mktsegment = '{s}' AS INTEGER) AS "c_mktsegment={s}\""""
+        for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+    ) + " FROM customer",
     "split_80_20": """SELECT c_custkey,
         CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR) || ':42'), 1, 8) AS BIGINT) % 10 < 8 AS train
         FROM customer""",

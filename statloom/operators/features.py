@@ -15,7 +15,7 @@ from statloom.operators.median import (
     wide_medians,
 )
 from statloom.operators.schema import quoted, type_of
-from statloom.storage import join_bounded
+from statloom.storage import join_bounded, materialize
 
 
 def _numbers(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -29,8 +29,11 @@ def impute_median(
     in_memory: int = IN_MEMORY_VALUES,
     **limits,
 ) -> DataFrame:
-    """Fill missing numbers by the column median, overall or per group; 0 without any value."""
-    data = _numbers(df, columns)
+    """Fill missing numbers by the column median, overall or per group; 0 without any value.
+
+    The input is read for its size, its medians and the result, so it is written once.
+    """
+    data = materialize(_numbers(df, columns), "impute")
     if group is None:
         known = _overall_medians(data, columns, in_memory, **limits)
         return data.withColumns(
@@ -117,6 +120,18 @@ def split_train_test(
     return df.filter(chosen), df.filter(~chosen)
 
 
+#: Distinct values that a column may have to be coded one by one.
+MOST_VALUES = 1_000
+
+
+def known_values(df: DataFrame, column: str, most: int = MOST_VALUES) -> list[str]:
+    """The distinct values of a column in order; more than ``most`` are an error."""
+    found = df.select(quoted(column)).distinct().dropna().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return sorted(r[0] for r in found)
+
+
 def one_hot(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     """One 0/1 column per known value; a row with another value has zeros only."""
     hot = {

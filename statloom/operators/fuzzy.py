@@ -34,22 +34,23 @@ SUBSETS = 32
 LETTERS = 4096
 
 
-def _length_bands(top: int = 1 << 22) -> list[int]:
-    """First length of each band: single lengths up to 32, then bands of 6 percent."""
-    starts = list(range(1, 33))
-    while starts[-1] < top:
-        starts.append(max(starts[-1] + 1, int(starts[-1] * 1.06)))
-    return starts
+#: First length of each band: single lengths up to 32, then bands of 6 percent; grows on demand.
+BANDS = list(range(1, 33))
 
 
-BANDS = _length_bands()
+def _more_bands() -> None:
+    BANDS.append(max(BANDS[-1] + 1, int(BANDS[-1] * 1.06)))
 
 
 def _band(length: int) -> int:
+    while BANDS[-1] <= length:
+        _more_bands()
     return bisect_left(BANDS, length + 1) - 1
 
 
 def _ends(band: int) -> tuple[int, int]:
+    while len(BANDS) <= band + 1:
+        _more_bands()
     return BANDS[band], BANDS[band + 1] - 1
 
 

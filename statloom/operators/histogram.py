@@ -21,16 +21,25 @@ def histogram(df: DataFrame, stats: list[str], bins: int, group: str | None = No
     Columns: ``[group,] stat, bin (from 0), low, high, rows``; empty bins are listed with 0.
     """
     ids = [group] if group else []
-    cells = unpivot_stats(df, ids, stats).filter("value IS NOT NULL")
-    keys = [*ids, "stat"]
-    by = [quoted(k) for k in keys]
-    ends = cells.groupBy(*by).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    low, high = _edges(F.col("lo"), F.col("hi"))
-    ends = ends.select(*by, low.alias("lo"), high.alias("hi"))
+    by = [quoted(k) for k in [*ids, "stat"]]
+    ranges = []
+    for i, s in enumerate(stats):
+        value = quoted(s).cast("double")
+        ranges += [F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}")]
+    # one row per group: the columns are measured as they stand
+    ends = df.groupBy(*[quoted(g) for g in ids]).agg(*ranges)
+    entries = []
+    for i, s in enumerate(stats):
+        low, high = _edges(F.col(f"lo{i}"), F.col(f"hi{i}"))
+        entries.append(F.struct(F.lit(s).alias("stat"), low.alias("lo"), high.alias("hi")))
+    ends = ends.select(*[quoted(g) for g in ids], F.inline(F.array(*entries))).filter("lo IS NOT NULL")
 
+    # equal values are counted before they meet their range, so that a hot value does not move
+    cells = unpivot_stats(df, ids, stats).filter("value IS NOT NULL").groupBy(*by, "value")
+    counted = cells.agg(F.count(F.lit(1)).alias("n"))
     width = F.col("hi") - F.col("lo")
     place = F.floor((F.col("value") - F.col("lo")) / width * F.lit(float(bins)))
-    first = join_bounded(cells, ends, keys).withColumn(
+    first = join_bounded(counted, ends, [*ids, "stat"]).withColumn(
         "bin", F.least(place, F.lit(bins - 1)).cast("int")
     )
     # division may land one bin beside a value that lies on an edge: the edges decide
@@ -43,17 +52,18 @@ def histogram(df: DataFrame, stats: list[str], bins: int, group: str | None = No
         .otherwise(F.col("bin")),
     )
     # the range travels with the key, so the empty bins need no further pass over the data
-    counted = binned.groupBy(*by, "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
-    filled = counted.groupBy(*by, "lo", "hi").agg(
+    summed = binned.groupBy(*by, "bin", "lo", "hi").agg(F.sum("n").alias("n"))
+    filled = summed.groupBy(*by, "lo", "hi").agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("held")
     )
+    upper = F.col("lo") + (F.col("bin") + 1) * step
     return (
         filled.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
         .select(
             *by,
             "bin",
             (F.col("lo") + F.col("bin") * step).alias("low"),
-            (F.col("lo") + (F.col("bin") + 1) * step).alias("high"),
+            F.when(F.col("bin") == bins - 1, F.col("hi")).otherwise(upper).alias("high"),
             F.coalesce(F.try_element_at("held", F.col("bin")), F.lit(0)).cast("bigint").alias("rows"),
         )
     )

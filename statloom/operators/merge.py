@@ -56,50 +56,79 @@ def _apart(tables: list[DataFrame], key: str) -> list[DataFrame]:
     ]
 
 
+def _once(table: DataFrame, key: str, label: int) -> DataFrame:
+    """The table, one struct ``__t`` per key; reading a key that repeats fails.
+
+    The rows come out partitioned by the key, as a merge needs them.
+    """
+    others = [quoted(c) for c in table.columns if c != key]
+    held = table.groupBy(quoted(key)).agg(
+        F.count(F.lit(1)).alias("__n"), F.first(F.struct(F.lit(label).alias("__from"), *others)).alias("__t")
+    )
+    return held.select(quoted(key), _checked(F.col("__t"), F.col("__n"), key, label).alias("__t"))
+
+
+def _checked(value, count, key: str, label: int):
+    text = F.concat(F.lit(f"key {key} repeats in merged table {label}: "), F.col(f"`{key}`").cast("string"))
+    return F.when(count > 1, F.raise_error(F.coalesce(text, F.lit(f"NULL {key} repeats")))).otherwise(value)
+
+
 def merge_wide(
     tables: Mapping[str, DataFrame] | list[DataFrame],
     key: str,
-    validate: bool = False,
-    strategy: str = "join",
+    on_repeat: str = "raise",
+    lead: int | None = None,
 ) -> DataFrame:
-    """Full outer merge of tables that each hold a key at most once.
+    """Merge of tables that each hold a key at most once; a NULL key is a key.
 
-    ``join`` chains full outer joins: with a filter on the first table they become left joins and
-    every table is shuffled once. ``union`` stacks the tables, one struct each, and groups by the
-    key: one shuffle in all, for a merge that keeps every key. With ``validate`` a table whose key
-    repeats is skipped.
+    Without ``lead`` every key stays: the tables are stacked, one struct each, and grouped by the key
+    in one shuffle. With ``lead`` only the keys of that table stay, and the others are joined to it;
+    a filter on its columns goes to it before. Every table is then shuffled once, or not at all if
+    it comes partitioned by the key.
+
+    A repeated key, in whichever table, makes the result fail when it is read. With ``on_repeat``
+    ``skip`` the tables are checked first, and one whose key repeats is left out; if it is the first
+    one, nothing can be merged to it and it is the result.
     """
     frames = list(tables.values()) if isinstance(tables, Mapping) else list(tables)
-    if validate:
-        frames = [
-            t for i, t in enumerate(frames) if i == 0 or key_violations(t, [key]).isEmpty()
-        ]
+    if on_repeat == "skip":
+        if not key_violations(frames[0], [key]).isEmpty():
+            return frames[0]
+        kept = [0] + [i for i in range(1, len(frames)) if key_violations(frames[i], [key]).isEmpty()]
+        if lead is not None and lead not in kept:
+            raise ValueError("the key of the leading table repeats")
+        lead = None if lead is None else kept.index(lead)
+        frames = [frames[i] for i in kept]
+    elif on_repeat != "raise":
+        raise ValueError("on_repeat must be raise or skip")
     frames = _apart(frames, key)
-    if strategy == "join":
-        return reduce(lambda left, right: left.join(right, key, "outer"), frames)
-    if strategy != "union":
-        raise ValueError("strategy must be join or union")
-    packed = [
-        table.select(
-            quoted(key), F.struct(*[quoted(c) for c in table.columns if c != key]).alias(f"__t{i}")
-        )
-        for i, table in enumerate(frames)
-    ]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
-    # sides hold a key once, so nothing is gained by combining before the shuffle
-    grouped = stacked.repartition(quoted(key)).groupBy(quoted(key))
-    held = grouped.agg(
-        *[F.first(f"__t{i}", ignorenulls=True).alias(f"__t{i}") for i in range(len(frames))]
-    )
-    return held.select(
-        quoted(key),
-        *[
-            F.col(f"__t{i}").getField(c).alias(c)
+    columns = [(i, c) for i, table in enumerate(frames) for c in table.columns if c != key]
+    if lead is not None:
+        held = _once(frames[lead], key, lead).withColumnRenamed("__t", f"__t{lead}")
+        for i, table in enumerate(frames):
+            if i != lead:
+                other = _once(table, key, i).select(quoted(key).alias(f"__k{i}"), F.col("__t").alias(f"__t{i}"))
+                held = held.join(other, quoted(key).eqNullSafe(F.col(f"__k{i}")), "left")
+    else:
+        packed = [
+            table.select(
+                quoted(key),
+                F.struct(F.lit(i).alias("__from"), *[quoted(c) for c in table.columns if c != key]).alias(f"__t{i}"),
+            )
             for i, table in enumerate(frames)
-            for c in table.columns
-            if c != key
-        ],
-    )
+        ]
+        stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
+        # sides hold a key once, so nothing is gained by combining before the shuffle
+        grouped = stacked.repartition(quoted(key)).groupBy(quoted(key))
+        held = grouped.agg(
+            *[F.first(f"__t{i}", ignorenulls=True).alias(f"__t{i}") for i in range(len(frames))],
+            *[F.count(f"__t{i}").alias(f"__n{i}") for i in range(len(frames))],
+        )
+        held = held.select(
+            quoted(key),
+            *[_checked(F.col(f"__t{i}"), F.col(f"__n{i}"), key, i).alias(f"__t{i}") for i in range(len(frames))],
+        )
+    return held.select(quoted(key), *[F.col(f"__t{i}").getField(c).alias(c) for i, c in columns])
 
 
 def lookup(

@@ -52,18 +52,22 @@ def group_profile(
 ) -> DataFrame:
     """Median, mean and sample deviation (two decimals) of each statistic, per group or overall.
 
-    The table is written once; its row count decides whether the built-in median may hold the
-    values of a group or the narrowing one is used.
+    The number of rows decides whether the built-in median may hold the values of a group. If not,
+    the narrowing one is used; it reads its input several times, so the columns are written first.
     """
     groups = [group] if group else []
-    data = materialize(df.select(*[quoted(c) for c in [*groups, *stats]]), "profile")
+    data = df.select(*[quoted(c) for c in [*groups, *stats]])
     by = [quoted(g) for g in groups]
     if fits_in_memory(data.count(), len(stats), in_memory):
         return data.groupBy(*by).agg(*_moments(stats, with_median=True))
-    if groups:
-        plain = data.groupBy(*by).agg(*_moments(stats, with_median=False))
-        full = _with_medians(plain, data, groups, stats, **limits)
-        return full.select(*by, *_ordered(stats))
+    return _narrowed_profile(materialize(data, "profile"), group, stats, **limits)
+
+
+def _narrowed_profile(data: DataFrame, group: str | None, stats: list[str], **limits) -> DataFrame:
+    if group:
+        by = quoted(group)
+        plain = data.groupBy(by).agg(*_moments(stats, with_median=False))
+        return _with_medians(plain, data, [group], stats, **limits).select(by, *_ordered(stats))
     # one row: give both parts a constant key and join on it
     plain = data.agg(F.lit(1).alias("__one"), *_moments(stats, with_median=False))
     keyed = data.withColumn("__one", F.lit(1))
@@ -78,9 +82,8 @@ def rollup_profile(
     **limits,
 ) -> DataFrame:
     """``group_profile`` with a first row for the whole table, then the groups ascending."""
-    data = materialize(df.select(*[quoted(c) for c in [group, *stats]]), "profile")
-    small = fits_in_memory(data.count(), len(stats), in_memory)
-    if small:
+    data = df.select(*[quoted(c) for c in [group, *stats]])
+    if fits_in_memory(data.count(), len(stats), in_memory):
         grouped = data.rollup(quoted(group)).agg(
             F.grouping(quoted(group)).alias("__total"), *_moments(stats, with_median=True)
         )
@@ -90,10 +93,11 @@ def rollup_profile(
             .orderBy(F.col("__total").desc(), quoted(group))
             .select(quoted(group), *_ordered(stats))
         )
-    whole = group_profile(data, None, stats, in_memory, **limits).select(
+    data = materialize(data, "profile")
+    whole = _narrowed_profile(data, None, stats, **limits).select(
         F.lit(TOTAL).alias(group), *_ordered(stats), F.lit(1).alias("__total")
     )
-    parts = group_profile(data, group, stats, in_memory, **limits).withColumn("__total", F.lit(0))
+    parts = _narrowed_profile(data, group, stats, **limits).withColumn("__total", F.lit(0))
     return (
         whole.unionByName(parts)
         .orderBy(F.col("__total").desc(), quoted(group))

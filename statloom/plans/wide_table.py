@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statloom.functions.numeric import parse_number
 from statloom.functions.text import clean_name, last_word, parse_age
 from statloom.operators.merge import dedup, merge_wide
 from statloom.operators.schema import (
@@ -39,8 +40,17 @@ def stat_table(pages: DataFrame, table_id: str, header: list[str] | None = None)
 
 
 def merge_stat_tables(tables: Mapping[str, DataFrame], sort: bool = True) -> DataFrame:
-    """Merge stat tables by player, type the columns, keep players above the minutes limit."""
-    wide = in_order(merge_wide(tables, "Player"), season.REQUIRED)
+    """Merge stat tables by player, type the columns, keep players above the minutes limit.
+
+    The limit keeps only players of the one table whose minutes survive the merge under their own
+    name, so it is applied there, and the other tables are joined to what is left.
+    """
+    held = [i for i, t in enumerate(tables.values()) if "Minutes" in t.columns]
+    frames = list(tables.values())
+    lead = held[0] if len(held) == 1 else None
+    if lead is not None:
+        frames[lead] = frames[lead].filter(parse_number(quoted("Minutes")) > season.MIN_MINUTES)
+    wide = in_order(merge_wide(frames, "Player", lead=lead), season.REQUIRED)
     typed = coerce(wide, season.WHOLE, season.DECIMAL)
     played = typed.filter(quoted("Minutes") > season.MIN_MINUTES)
     named = played.withColumns(

@@ -78,14 +78,6 @@ def optional_source(load: Callable[[], DataFrame]) -> DataFrame | None:
     return load_sources([("table", load)]).get("table")
 
 
-def max_page(pages: DataFrame, html: str = "html", default: int = 22) -> DataFrame:
-    """Largest whole-number link text of all pages as ``(pages)``.
-
-    Links without a whole number count as page 1; without any link the default holds.
-    """
-    return max_number(pages, F.regexp_extract_all(html, F.lit(r"<a\b[^>]*>([^<]*)</a>"), 1), default)
-
-
 def max_number(df: DataFrame, texts: Column, default: int) -> DataFrame:
     """Largest whole number among the texts of all rows, at least 1; ``default`` without texts."""
     top = F.transform(texts, lambda t: F.coalesce(F.trim(t).try_cast("bigint"), F.lit(1)))

@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side of a join is broadcast only when it has at most this many rows.
-BROADCAST_ROWS = 100_000
+#: A side of a join is broadcast only when it has at most this many rows and bytes (as written).
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,7 +24,36 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/statloom/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/statloom/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def written_bytes(spark: SparkSession, path: str) -> int:
+    files, place = _file_system(spark, path)
+    return int(files.getContentSummary(place).getLength())
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes the hand-over tables that this process has written; how many there were.
+
+    To be called when no result that reads them is needed any more.
+    """
+    paths, gone = _written.pop(spark.sparkContext.applicationId, []), 0
+    for path in paths:
+        files, place = _file_system(spark, path)
+        gone += bool(files.delete(place, True))
+    return gone
+
+
+#: Hand-over tables of each application.
+_written: dict[str, list[str]] = {}
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -48,21 +77,24 @@ def join_bounded(
 ) -> DataFrame:
     """Equi-join ``big`` with a side that holds one row per key.
 
-    ``small`` is written once and counted: up to ``max_rows`` it is broadcast, so hot keys of
-    ``big`` never move. Beyond that both sides are shuffled, ``big`` salted by its row content
-    and ``small`` repeated per salt, so a hot key spreads over ``salts`` tasks.
+    ``small`` is written once and measured: up to ``max_rows`` rows and ``BROADCAST_BYTES`` bytes it
+    is broadcast, so hot keys of ``big`` never move. Beyond that both sides are shuffled, ``big``
+    salted by row number and ``small`` repeated per salt, so a hot key spreads over ``salts`` tasks.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    small = materialize(small, "side")
+    spark = big.sparkSession
+    path = scratch_path(spark, "side")
+    small.write.parquet(path)
+    small = spark.read.schema(small.schema).parquet(path)
     renamed = small.withColumnsRenamed({k: f"__{k}" for k in keys})
     on = None
     for k in keys:
         equal = big[k].eqNullSafe(renamed[f"__{k}"])
         on = equal if on is None else on & equal
-    if small.count() <= max_rows:
+    if small.count() <= max_rows and written_bytes(spark, path) <= BROADCAST_BYTES:
         return big.join(F.broadcast(renamed), on, how).drop(*[f"__{k}" for k in keys])
-    salted = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
+    salted = big.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
     repeated = renamed.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     on = salted["__salt"] == repeated["__copy"]
     for k in keys:

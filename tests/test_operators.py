@@ -63,35 +63,38 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_merge_strategies_agree(spark):
-    one = spark.createDataFrame([("a", 1, 7), ("b", 2, 8)], "k string, x int, both int")
-    two = spark.createDataFrame([("b", 3, 9), ("c", 4, None)], "k string, y int, both int")
+def test_merge_keeps_all_keys_or_those_of_a_leading_table(spark):
+    one = spark.createDataFrame([("a", 1, 7), ("b", 2, 8), (None, 5, 5)], "k string, x int, both int")
+    two = spark.createDataFrame([("b", 3, 9), ("c", 4, None), (None, 6, 6)], "k string, y int, both int")
     three = spark.createDataFrame([("c", "t")], "k string, z string")
-    joined = merge.merge_wide([one, two, three], "k")
-    stacked = merge.merge_wide({"a": one, "b": two, "c": three}, "k", strategy="union")
+    every = merge.merge_wide({"a": one, "b": two, "c": three}, "k")
+    assert every.columns == ["k", "x", "both_x", "y", "both_y", "z"]
     expected = [
         ("a", 1, 7, None, None, None), ("b", 2, 8, 3, 9, None), ("c", None, None, 4, None, "t"),
+        (None, 5, 5, 6, 6, None),
     ]
-    assert joined.columns == stacked.columns == ["k", "x", "both_x", "y", "both_y", "z"]
-    assert rows_of(joined, "k") == rows_of(stacked, "k") == expected
+    assert set(map(tuple, every.collect())) == set(expected)
+    for lead, keys in enumerate(({"a", "b", None}, {"b", "c", None}, {"c"})):
+        led = merge.merge_wide([one, two, three], "k", lead=lead)
+        assert led.columns == every.columns
+        assert set(map(tuple, led.collect())) == {r for r in expected if r[0] in keys}
 
 
-def test_merge_validation_skips_a_repeating_table(spark):
+@pytest.mark.parametrize("lead", [None, 0, 1])
+@pytest.mark.parametrize("first", [True, False])
+def test_merge_fails_or_skips_on_a_repeated_key(spark, lead, first):
     one = spark.createDataFrame([("a", 1)], "k string, x int")
     bad = spark.createDataFrame([("a", 1), ("a", 2)], "k string, y int")
-    assert merge.merge_wide([one, bad], "k", validate=True).columns == ["k", "x"]
+    frames = [bad, one] if first else [one, bad]
+    with pytest.raises(Exception, match="repeats"):
+        merge.merge_wide(frames, "k", lead=lead).collect()
+    if lead is None:
+        skipped = merge.merge_wide(frames, "k", on_repeat="skip")
+        assert skipped.columns == frames[0].columns and skipped.count() == frames[0].count()
     with pytest.raises(ValueError):
         merge.assert_unique(bad, ["k"])
 
 
-def test_filter_on_the_first_table_leaves_left_joins(spark):
-    tables = [
-        spark.createDataFrame([("a", 1)], f"k string, x{i} int") for i in range(3)
-    ]
-    plan = merge.merge_wide(tables, "k").filter("x0 > 90")._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftOuter" in plan and "FullOuter" not in plan
-
-
 @pytest.mark.parametrize("max_rows", [100, 0])
 def test_join_bounded_same_result_broadcast_or_salted(spark, max_rows):
     big = spark.createDataFrame([("h", i) for i in range(50)] + [(None, 50), ("q", 51)], "k string, i int")

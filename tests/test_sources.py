@@ -48,11 +48,36 @@ def test_header_names():
     ]
 
 
+def test_headers_by_page_and_spans(spark):
+    first = """<!--<table id="s"><tr><th>A</th><th>B</th></tr><tr><td rowspan="2">a1</td><td>b1</td></tr>
+    <tr><td>b2</td></tr><tr><td colspan="2">both</td></tr></table>-->"""
+    second = """<!--<table id="s"><tr><th>B</th><th>A</th></tr><tr><td>b3</td><td rowspan="3">a3</td></tr>
+    <tr><td>b4</td><td>more</td></tr></table>-->"""
+    table = html.commented_table(pages(spark, first, second), "s")
+    assert table.columns == ["page_id", "row_ord", "A", "B", "Unnamed: 2"]
+    assert [tuple(r) for r in table.orderBy("page_id", "row_ord").collect()] == [
+        (0, 1, "a1", "b1", None),
+        (0, 2, "a1", "b2", None),
+        (0, 3, "both", "both", None),
+        (1, 1, "a3", "b3", None),
+        (1, 2, "a3", "b4", "more"),
+    ]
+    chosen = html.commented_table(pages(spark, first, second), "s", ["B"])
+    assert [r.B for r in chosen.orderBy("page_id", "row_ord").collect()] == ["b1", "b2", "both", "b3", "b4"]
+
+
 def test_page_numbers(spark):
-    links = "<a href='x'>1</a><a>Next</a><a> 14 </a><a>3.5</a>"
-    assert tables.max_page(pages(spark, links, "<a>2</a>")).first().pages == 14
-    assert tables.max_page(pages(spark, "<a>Next</a>")).first().pages == 1
-    assert tables.max_page(pages(spark, "<p></p>")).first().pages == 22
+    def largest(*bodies):
+        return html.max_page(pages(spark, *bodies)).first().pages
+
+    bar = "<ul class='x pagination'><li><a href='x'>1</a><a>Next</a><a> 14 </a><a>3.5</a></li></ul>"
+    assert largest(bar, "<div class='pagination'><a>99</a></div>") == 14  # the first page counts
+    assert largest(f"<a>2024</a>{bar}<a>2025</a>") == 14
+    assert largest("<nav class='pagination'><a><span>7</span></a></nav>") == 7
+    assert largest("<nav class='pagination'><a>Next</a></nav>") == 1
+    assert largest("<nav class='pagination'></nav>") == 1
+    assert largest("<a>Next</a><a>5</a>") == 22
+    assert html.max_page(pages(spark, "<p></p>").limit(0)).first().pages == 22
     urls = tables.page_urls(spark, "http://x/", 2).orderBy("page").collect()
     assert [tuple(u) for u in urls] == [(1, "http://x/1"), (2, "http://x/2")]
 

@@ -456,6 +456,19 @@ def _adding(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
+_COUNTS = "p int, words binary, sizes binary, contexts binary, last binary"
+
+
+def count_by_part(source: DataFrame, contexts: int, parts: int) -> DataFrame:
+    """Training counts of ``source`` (``text, train``) as a written table, one row per part."""
+    spark = source.sparkSession
+    place = scratch_path(spark, "pitman-yor")
+    sent = source.select("text", "train").where("train").mapInArrow(_counting(contexts, parts), _COUNTS)
+    joined = sent.groupBy("p").applyInPandas(lambda f: _joined(f, contexts), _COUNTS)
+    joined.write.option("compression", "zstd").parquet(place)
+    return spark.read.schema(_COUNTS).parquet(place)
+
+
 def score_documents(
     docs: DataFrame,
     train: str,
@@ -480,11 +493,7 @@ def score_documents(
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     source = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), F.col(train).alias("train"))
-    packed = "p int, words binary, sizes binary, contexts binary, last binary"
-    place = scratch_path(spark, "pitman-yor")
-    sent = source.select("text", "train").where("train").mapInArrow(_counting(contexts, parts), packed)
-    sent.groupBy("p").applyInPandas(lambda f: _joined(f, contexts), packed).write.option("compression", "zstd").parquet(place)
-    counts = spark.read.schema(packed).parquet(place)
+    counts = count_by_part(source, contexts, parts)
     model = Model(counts, contexts, parts, burn_in, samples, seed)
 
     salts = model.hot()

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -667,12 +668,28 @@ def wcss_k1(spark, d):
     return spark.createDataFrame([(1, round(total, 4))], "k int, wcss double")
 
 
+def _first_centres(vectors: DataFrame, n: int = 10) -> dict:
+    """The vectors with the least ids as first centres, moved until they stand still."""
+    rows = vectors.select("vec_id", cluster.VECTOR).orderBy("vec_id").limit(n).collect()
+    return {"first": np.array([r[cluster.VECTOR].toArray() for r in rows]), "tolerance": 1e-12}
+
+
 def elbow_curve(spark, d):
-    return cluster.elbow_curve(_vectors(spark, d))
+    vectors = _vectors(spark, d)
+    curve = cluster.elbow_curve(vectors, **_first_centres(vectors))
+    return curve.withColumn("wcss", F.round("wcss", 4))
+
+
+def elbow_drawn(spark, d):
+    """The curve of drawn starts, whose first point needs no luck."""
+    curve = cluster.elbow_curve(_vectors(spark, d), max_k=3, starts=4)
+    return curve.filter("k = 1").withColumn("wcss", F.round("wcss", 4))
 
 
 def _clustered(spark, d):
-    return materialize(cluster.kmeans_assign(_vectors(spark, d)).drop(cluster.VECTOR), "clustered")
+    vectors = _vectors(spark, d)
+    assigned = cluster.kmeans_assign(vectors, **_first_centres(vectors))
+    return materialize(assigned.drop(cluster.VECTOR), "clustered")
 
 
 def kmeans_assign(spark, d):
@@ -690,7 +707,13 @@ def cluster_profile(spark, d):
 
 def pca_2d(spark, d):
     projected, _ = cluster.pca_2d(_vectors(spark, d))
-    return projected.select("vec_id", "pc1", "pc2")
+    return projected.select("vec_id", round6(F.col("pc1")).alias("pc1"), round6(F.col("pc2")).alias("pc2"))
+
+
+def pca_shares(spark, d):
+    _, shares = cluster.pca_2d(_vectors(spark, d))
+    rows = [(i + 1, share) for i, share in enumerate(shares)]
+    return spark.createDataFrame(rows, "component int, share double").withColumn("share", round6(F.col("share")))
 
 
 def _priced_lines(spark, d):
@@ -698,7 +721,8 @@ def _priced_lines(spark, d):
     joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     return joined.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"),
-        "l_returnflag", "p_brand", "l_quantity", "l_discount", "l_tax",
+        # order and line number repeat in the given tables, so part and supplier order the rows
+        "l_partkey", "l_suppkey", "l_returnflag", "p_brand", "l_quantity", "l_discount", "l_tax",
         F.col("p_size").cast("double").alias("p_size"),
         (F.col("l_extendedprice") * 1000).alias("value"),
     )
@@ -714,7 +738,8 @@ def value_model(spark, d):
         for role, code in FLAGS
     ]
     rows = materialize(_priced_lines(spark, d), "lines")
-    return values.value_all_roles(rows, configs, "l_returnflag", "value", "line", ["line"])
+    out = ["line", "l_partkey", "l_suppkey"]
+    return values.value_all_roles(rows, configs, "l_returnflag", "value", "line", out)
 
 
 def ols_one_feature(spark, d):
@@ -746,6 +771,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         hist_global, hist_group,
         token_sort_ratio_query, fuzzy_best_match, fuzzy_best_match_70, fuzzy_semi, fuzzy_unmatched,
         log_features, clip_scale, standardize, one_hot, split_80_20, wcss_k1, ols_one_feature,
-        elbow_curve, kmeans_assign, cluster_sizes, cluster_profile, pca_2d, value_model,
+        elbow_curve, elbow_drawn, kmeans_assign, cluster_sizes, cluster_profile, pca_2d, pca_shares,
+        value_model,
     )
 }

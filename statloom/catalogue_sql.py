@@ -159,6 +159,108 @@ def kept(order: str) -> str:
 LINKS = r"regexp_extract_all(html, '<a\b[^>]*>([^<]*)</a>', 1)"
 SIZE = 64
 
+# Embeddings, standardised, as one list per vector.
+SCALED = """
+v AS (SELECT vec_id, i, CAST(embedding[i] AS DOUBLE) AS x FROM embeddings, range(1, len(embedding) + 1) AS t(i)
+      WHERE embedding IS NOT NULL),
+m AS (SELECT i, avg(x) AS mean, stddev_pop(x) AS dev FROM v GROUP BY i),
+c AS (SELECT vec_id, i, CASE WHEN dev > 0 THEN (x - mean) / dev ELSE 0 END AS z FROM v JOIN m USING (i)),
+s AS MATERIALIZED (SELECT vec_id, list(z ORDER BY i) AS z FROM c GROUP BY vec_id)"""
+
+
+def lloyd(ks: list[int], rounds: int = 60) -> str:
+    """K-means from the vectors with the least ids: ``km`` holds the centres after each round,
+    ``near`` the last one's nearest centre of each vector."""
+    return f"""WITH RECURSIVE {SCALED},
+    f AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS c, z FROM s ORDER BY vec_id LIMIT {max(ks)}),
+    km(it, k, c, z) AS (
+      SELECT 0, k, c, z FROM f JOIN (SELECT unnest({ks}) AS k) ON c < k
+      UNION ALL
+      SELECT it, k, c, list(mean ORDER BY i) FROM (
+        SELECT it, k, c, i, avg(z[i]) AS mean FROM (
+          SELECT it + 1 AS it, k, vec_id, any_value(s.z) AS z, arg_min(c, list_distance(s.z, km.z)) AS c
+          FROM s CROSS JOIN km WHERE it < {rounds} GROUP BY it, k, vec_id)
+        CROSS JOIN (SELECT unnest(range(1, (SELECT max(len(z)) FROM s) + 1)) AS i)
+        GROUP BY it, k, c, i) GROUP BY it, k, c),
+    near AS (
+      SELECT k, vec_id, arg_min(c, list_distance(s.z, km.z)) AS c, min(list_distance(s.z, km.z)) AS d
+      FROM s CROSS JOIN km WHERE it = {rounds} GROUP BY k, vec_id)"""
+
+
+CLUSTERED = lloyd([4]) + """,
+    ids AS (SELECT c, n, row_number() OVER (ORDER BY n DESC, z) - 1 AS id
+            FROM (SELECT c, count(*) AS n FROM near GROUP BY c) JOIN (SELECT c, z FROM km WHERE it = 60) USING (c))"""
+
+
+def components(squarings: int = 14) -> str:
+    """The two leading directions of the covariance: its power by repeated squaring maps any vector
+    to the first; with that taken out, the same again gives the second."""
+
+    def power(start: str, name: str) -> str:
+        steps, last = [], start
+        for n in range(squarings):
+            product = f"SELECT a.i, b.j, sum(a.x * b.x) AS x FROM {last} a JOIN {last} b ON a.j = b.i GROUP BY a.i, b.j"
+            steps.append(
+                f"{name}{n} AS MATERIALIZED (SELECT i, j, x / sqrt(sum(x * x) OVER ()) AS x FROM ({product}))"
+            )
+            last = f"{name}{n}"
+        # the column with the largest diagonal is not orthogonal to the direction
+        column = f"SELECT j FROM {last} WHERE i = j ORDER BY x DESC LIMIT 1"
+        picked = f"SELECT i, x / sqrt(sum(x * x) OVER ()) AS x FROM {last} WHERE j = ({column})"
+        steps.append(f"{name}u AS (SELECT i, x, (SELECT x FROM ({picked}) ORDER BY abs(x) DESC LIMIT 1) AS top FROM ({picked}))")
+        steps.append(f"{name} AS MATERIALIZED (SELECT i, x * sign(top) AS x FROM {name}u)")
+        return ",\n".join(steps)
+
+    value = "SELECT sum(a.x * b.x * c.x) AS x FROM {m} a JOIN {v} b ON a.i = b.i JOIN {v} c ON a.j = c.i"
+    return f"""WITH {SCALED},
+    cov AS MATERIALIZED (
+      SELECT a.i, b.i AS j, sum(a.z * b.z) / (count(*) - 1) AS x FROM c a JOIN c b USING (vec_id) GROUP BY a.i, b.i),
+    {power("cov", "p")},
+    e1 AS ({value.format(m="cov", v="p")}),
+    rest AS MATERIALIZED (
+      SELECT cov.i, cov.j, cov.x - (SELECT x FROM e1) * a.x * b.x AS x
+      FROM cov JOIN p a ON cov.i = a.i JOIN p b ON cov.j = b.i),
+    {power("rest", "q")},
+    e2 AS ({value.format(m="cov", v="q")})"""
+
+
+def least_squares() -> str:
+    """The value model: numbers beside one category are fitted on what is left of them within the
+    category's rows; the normal equations are eliminated step by step."""
+    numbers = ["l_quantity", "l_discount", "l_tax", "p_size"]
+    n, sql = len(numbers), []
+    logs = ", ".join(f"ln(1 + greatest(CAST({x} AS DOUBLE), 0)) AS x{i}" for i, x in enumerate(numbers))
+    sql.append(f"""r AS MATERIALIZED (
+      SELECT l_orderkey || '-' || l_linenumber AS line, l_partkey, l_suppkey, l_returnflag AS f, p_brand AS b,
+             {logs}, l_extendedprice * 1000 AS x{n}
+      FROM lineitem JOIN part ON l_partkey = p_partkey)""")
+    sql.append("""t AS (SELECT * FROM r
+      WHERE CAST('0x' || substr(md5(line || ':42'), 1, 8) AS BIGINT) % 10 < 8)""")
+    columns = range(n + 1)
+    sql.append("g AS (SELECT f, b, " + ", ".join(f"avg(x{i}) AS m{i}" for i in columns) + " FROM t GROUP BY f, b)")
+    left = ", ".join(f"x{i} - m{i} AS d{i}" for i in columns)
+    sql.append(f"d AS (SELECT f, {left} FROM t JOIN g USING (f, b))")
+    cells = [(i, j) for i in range(n) for j in range(i, n + 1)]
+    sql.append("a0 AS (SELECT f, " + ", ".join(f"sum(d{i} * d{j}) AS a{i}_{j}" for i, j in cells) + " FROM d GROUP BY f)")
+    for k in range(n - 1):
+        after = []
+        for i, j in cells:
+            term = f"a{i}_{j} - a{k}_{i} * a{k}_{j} / a{k}_{k}" if i > k else f"a{i}_{j}"
+            after.append(f"{term} AS a{i}_{j}")
+        sql.append(f"a{k + 1} AS (SELECT f, {', '.join(after)} FROM a{k})")
+    last = f"a{n - 1}"
+    for i in reversed(range(n)):
+        known = "".join(f" - a{i}_{j} * w{j}" for j in range(i + 1, n))
+        sql.append(f"w{i} AS (SELECT *, (a{i}_{n}{known}) / a{i}_{i} AS w{i} FROM {last})")
+        last = f"w{i}"
+    guess = f"m{n} + " + " + ".join(f"w{i} * (x{i} - m{i})" for i in range(n))
+    return f"""WITH {', '.join(sql)}
+    SELECT line, l_partkey, l_suppkey,
+           CASE f WHEN 'A' THEN 'Accepted' WHEN 'N' THEN 'None' ELSE 'Returned' END AS position,
+           {r2(f"x{n} / 1e6")} AS actual_m, {r2(f"least(greatest({guess}, 100000), 200000000) / 1e6")} AS predicted_m
+    FROM r JOIN g USING (f, b) JOIN {last} USING (f)"""
+
+
 ORACLE: dict[str, str] = {
     "src_csv_na": """SELECT c_custkey, CASE WHEN c_custkey % 11 <> 0 THEN c_name END AS name,
         CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS balance FROM customer""",
@@ -347,4 +449,21 @@ ORACLE: dict[str, str] = {
         ELSE 'Returned' END AS role, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
         round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept
         FROM lineitem GROUP BY l_returnflag""",
+    "elbow_curve": lloyd(list(range(1, 11)))
+    + " SELECT CAST(k AS INTEGER) AS k, round(sum(d * d), 4) AS wcss FROM near GROUP BY k",
+    "elbow_drawn": f"WITH {SCALED} SELECT 1 AS k, round(sum(list_dot_product(z, z)), 4) AS wcss FROM s",
+    "kmeans_assign": CLUSTERED + " SELECT vec_id, CAST(id AS INTEGER) AS cluster FROM near JOIN ids USING (c)",
+    "cluster_sizes": CLUSTERED + """ SELECT CAST(id AS INTEGER) AS cluster, n AS "rows" FROM ids ORDER BY id""",
+    "cluster_profile": CLUSTERED
+    + ", g AS (SELECT id, i, avg(x) AS mean FROM v JOIN near USING (vec_id) JOIN ids USING (c) GROUP BY id, i)"
+    + " SELECT CAST(id AS INTEGER) AS cluster, "
+    + ", ".join(f"{r2(f'max(mean) FILTER (i = {i + 1})')} AS x{i}" for i in range(64))
+    + " FROM g GROUP BY id",
+    "pca_2d": components()
+    + f" SELECT vec_id, {r6('sum(c.z * p.x)')} AS pc1, {r6('sum(c.z * q.x)')} AS pc2"
+    + " FROM c JOIN p ON c.i = p.i JOIN q ON c.i = q.i GROUP BY vec_id",
+    "pca_shares": components()
+    + f""" SELECT 1 AS component, {r6("(SELECT x FROM e1) / sum(x)")} AS share FROM cov WHERE i = j
+    UNION ALL SELECT 2, {r6("(SELECT x FROM e2) / sum(x)")} FROM cov WHERE i = j""",
+    "value_model": least_squares() + " ORDER BY predicted_m DESC, line, l_partkey, l_suppkey",
 }

@@ -39,19 +39,22 @@ def spread_of_one(vectors: DataFrame) -> float:
 
 
 def elbow_curve(
-    vectors: DataFrame, max_k: int = 10, starts: int = 10, seed: int = 42
+    vectors: DataFrame, max_k: int = 10, starts: int = 10, seed: int = 42, **options
 ) -> DataFrame:
-    """Within-cluster sum of squares for every number of clusters: ``k, wcss``."""
-    models = fit_kmeans(vectors, list(range(1, max_k + 1)), starts, seed)
+    """Within-cluster sum of squares for every number of clusters: ``k, wcss``.
+
+    ``options`` go to :func:`fit_kmeans`, as they do below.
+    """
+    models = fit_kmeans(vectors, list(range(1, max_k + 1)), starts, seed, **options)
     curve = [(k, model.cost) for k, model in sorted(models.items())]
     return vectors.sparkSession.createDataFrame(curve, "k int, wcss double")
 
 
 def kmeans_assign(
-    vectors: DataFrame, k: int = 4, starts: int = 10, seed: int = 42
+    vectors: DataFrame, k: int = 4, starts: int = 10, seed: int = 42, **options
 ) -> DataFrame:
     """Rows with their cluster. Ids go by size (largest 0), then by the first centre coordinate."""
-    model = fit_kmeans(vectors, [k], starts, seed)[k]
+    model = fit_kmeans(vectors, [k], starts, seed, **options)[k]
     order = sorted(range(len(model.centres)), key=lambda c: (-model.sizes[c], tuple(model.centres[c])))
     return vectors.withColumn("cluster", nearest_centre(F.col(VECTOR), model.centres[order]))
 

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from statloom.storage import materialize
+
 
 @dataclass
 class Clusters:
@@ -130,46 +132,46 @@ def fit_kmeans(
     max_iter: int = 300,
     tolerance: float = 1e-4,
     column: str = "features",
+    first: np.ndarray | None = None,
 ) -> dict[int, Clusters]:
     """The cheapest model of several starts for every number of clusters.
 
-    Iteration of a model ends when its centres move less than ``tolerance`` times the mean
+    With ``first`` nothing is drawn: a model of k clusters starts from the first k of these centres.
+    The rows are written once, as every pass reads them. Iteration of a model ends when its centres move less than ``tolerance`` times the mean
     variance of the data. A centre without rows stays where it is.
     """
     x = vector_to_array(column)
-    rows = vectors.select(x.alias("x"), F.xxhash64(x).alias("digest")).persist()
-    try:
+    rows = materialize(vectors.select(x.alias("x"), F.xxhash64(x).alias("digest")), "kmeans")
+    if first is not None:
+        chains = [np.asarray(first, float)]
+    else:
         chains = [np.empty((0, len(rows.first().x)))] * starts
         for _ in range(max(ks)):
             chains = _seed_pass(rows, chains, seed)
-        models = [chain[:k].copy() for k in ks for chain in chains]
-        names = [k for k in ks for _ in chains]
-        # the spread of the data is the cost of a single cluster, per value
-        spread = _tally(rows, [chains[0][:1] * 0.0])[0]
-        size = max(int(spread[1][0]), 1)
-        variance = max(spread[2] / size - float(((spread[0][0] / size) ** 2).sum()), 0.0)
-        least = tolerance * variance / max(models[0].shape[1], 1)
-
-        moving = list(range(len(models)))
-        for _ in range(max_iter):
-            still = []
-            for i, (sums, counts, _) in zip(moving, _tally(rows, [models[i] for i in moving])):
-                moved = np.where(
-                    counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], models[i]
-                )
-                if float(((moved - models[i]) ** 2).sum()) > least:
-                    still.append(i)
-                models[i] = moved
-            moving = still
-            if not moving:
-                break
-        best: dict[int, Clusters] = {}
-        for k, model, (_, counts, cost) in zip(names, models, _tally(rows, models)):
-            if k not in best or cost < best[k].cost:
-                best[k] = Clusters(model, counts, cost)
-        return best
-    finally:
-        rows.unpersist()
+    models = [chain[:k].copy() for k in ks for chain in chains]
+    names = [k for k in ks for _ in chains]
+    # the spread of the data is the cost of a single cluster, per value
+    spread = _tally(rows, [chains[0][:1] * 0.0])[0]
+    size = max(int(spread[1][0]), 1)
+    variance = max(spread[2] / size - float(((spread[0][0] / size) ** 2).sum()), 0.0)
+    least = tolerance * variance / max(models[0].shape[1], 1)
+
+    moving = list(range(len(models)))
+    for _ in range(max_iter):
+        still = []
+        for i, (sums, counts, _) in zip(moving, _tally(rows, [models[i] for i in moving])):
+            moved = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], models[i])
+            if float(((moved - models[i]) ** 2).sum()) > least:
+                still.append(i)
+            models[i] = moved
+        moving = still
+        if not moving:
+            break
+    best: dict[int, Clusters] = {}
+    for k, model, (_, counts, cost) in zip(names, models, _tally(rows, models)):
+        if k not in best or cost < best[k].cost:
+            best[k] = Clusters(model, counts, cost)
+    return best
 
 
 def nearest_centre(vector: Column, centres: np.ndarray) -> Column:

@@ -19,6 +19,7 @@ from statloom.functions.similarity import token_sort_ratio
 from statloom.operators import cluster, features, fuzzy, histogram, merge, profile, ranking, schema
 from statloom.operators import value_model as values
 from statloom.operators.median import narrowed_medians
+from statloom.plans import transfers
 from statloom.sources import html, tables
 from statloom.storage import materialize, scratch_path
 
@@ -117,6 +118,37 @@ def src_csv_na(spark, d):
     return tables.read_csv(spark, path, rows.schema)
 
 
+def _names_in_file(spark, d, missing):
+    """Names with commas, quotes and letters beyond ASCII, and some that are missing."""
+    name = F.concat(F.lit('Ø"'), F.col("c_name"), F.lit(', é"'))
+    rows = table(spark, d, "customer").select("c_custkey", F.when(~key_is(7), name).alias("name"))
+    path = scratch_path(spark, "csv")
+    tables.write_csv(rows, path, missing)
+    return tables.read_csv(spark, path, rows.schema, missing)
+
+
+def src_csv_empty(spark, d):
+    return _names_in_file(spark, d, "")
+
+
+def src_csv_plain(spark, d):
+    return _names_in_file(spark, d, txt.MISSING)
+
+
+def sources_tolerant(spark, d):
+    """Rows of the sources that are there; a missing file and an empty answer are skipped."""
+    found = tables.load_sources(
+        [
+            ("customer", lambda: table(spark, d, "customer")),
+            ("absent", lambda: table(spark, d, "no_such_table")),
+            ("nothing", lambda: None),
+            ("nation", lambda: table(spark, d, "nation")),
+        ]
+    )
+    counts = [t.agg(F.lit(name).alias("source"), F.count(F.lit(1)).alias("rows")) for name, t in found.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def html_comment_extract(spark, d):
     return table(spark, d, "pages").select(
         "page_id", F.posexplode(html.comments(F.col("html"))).alias("pos", "body")
@@ -260,6 +292,22 @@ def rename_map(spark, d):
     return schema.select_known(renamed, ["p_size", "label", "key", "missing"])
 
 
+def first_names(spark, d):
+    """Cells under a header with a repeated name: the first column of each name stays."""
+    cells = F.array(F.col("p_partkey").cast("string"), "p_name", "p_type", "p_brand")
+    names = schema.first_of_names(["key", "label", "key", "brand"])
+    rows = table(spark, d, "part").select(cells.alias("cells"))
+    return rows.select(*[F.get("cells", F.lit(i)).alias(name) for i, name in names])
+
+
+def numeric_totals(spark, d):
+    """Sum of every column that is not excluded, over the wide table."""
+    rows = wide(spark, d)
+    names = schema.numeric_names(rows, ["key", "name", "nation", "segment"])
+    sums = rows.agg(*[F.sum(F.rint(schema.quoted(c) * 100)).alias(c) for c in names])
+    return sums.unpivot([], names, "stat", "total").withColumn("total", F.col("total") / 100)
+
+
 def conform_schema(spark, d):
     wanted = {"p_partkey": "bigint", "p_name": "string", "rating": "double", "note": "string"}
     return schema.conform(table(spark, d, "part"), wanted)
@@ -428,6 +476,15 @@ def merge_wide(spark, d):
     return schema.in_order(typed.filter("qty > 90"), order)
 
 
+def merge_suffixes(spark, d):
+    """Two tables that share a column besides the key."""
+    customers = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")
+    )
+    suppliers = table(spark, d, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"))
+    return merge.merge_wide([customers, suppliers], "key")
+
+
 def merge_skips_repeats(spark, d):
     """Orders repeat their customer, so the merge leaves them out."""
     customers = table(spark, d, "customer").select(F.col("c_custkey").alias("key"), "c_name")
@@ -610,6 +667,19 @@ def fuzzy_unmatched(spark, d):
     return rest.withColumn("role", F.lit("Part"))
 
 
+def values_without_players(spark, d):
+    """Listed values when there is no player table: every first row of a name, position unknown."""
+    row = F.concat(
+        F.lit("<tr><td>1</td><td> "), F.col("p_name"), F.lit("<br>Club</td><td>x</td><td>€"),
+        F.col("p_partkey").cast("string"), F.lit("M</td></tr>"),
+    )
+    pages = table(spark, d, "part").select(
+        F.col("p_partkey").alias("page_id"),
+        F.concat(F.lit("<table class='similar-players-table'>"), row, F.lit("</table>")).alias("html"),
+    )
+    return transfers.estimated_values(None, pages).drop("ord")
+
+
 # --- features, clusters, value model -------------------------------------------------------------
 
 
@@ -742,6 +812,17 @@ def value_model(spark, d):
     return values.value_all_roles(rows, configs, "l_returnflag", "value", "line", out)
 
 
+def roles_skipped(spark, d):
+    """Valued rows per role; a role without rows is left out."""
+    rows = table(spark, d, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"), "l_returnflag", "l_quantity",
+        (F.col("l_extendedprice") * 1000).alias("value"),
+    )
+    configs = [values.RoleModel(r, c, ["l_quantity"]) for r, c in (("Accepted", "a"), ("Nobody", "z"))]
+    valued = values.value_all_roles(rows, configs, "l_returnflag", "value", "line", ["line"])
+    return valued.groupBy("position").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def ols_one_feature(spark, d):
     """The line of price on quantity per flag: one aggregate for all flags."""
     price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
@@ -757,20 +838,22 @@ def ols_one_feature(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__.removesuffix("_query"): f
     for f in (
-        src_csv_na, html_comment_extract, html_table_rows, html_rows_min_cells, cell_pick,
+        src_csv_na, src_csv_empty, src_csv_plain, sources_tolerant, html_comment_extract, html_table_rows, html_rows_min_cells, cell_pick,
         html_table_spans, page_count, page_count_links, page_count_listing, url_list, strip_thousands,
-        rename_map, conform_schema, unpivot_stats, coerce_numeric, coerce_int, fill_const,
+        rename_map, first_names, numeric_totals, conform_schema, unpivot_stats, coerce_numeric, coerce_int, fill_const,
         impute_median, drop_any_null,
         parse_age, last_token, clean_name, name_first_two, name_first_last, parse_money, main_role,
         position_buckets, bucket_counts, union_roles, sort_first_token,
-        merge_wide, merge_wide_union, merge_skips_repeats, key_violations, lookup_first, lookup_last_default,
+        merge_wide, merge_wide_union, merge_suffixes, merge_skips_repeats, key_violations, lookup_first, lookup_last_default,
         dedup_first, dedup_last, filter_threshold, role_filter,
         global_profile, group_profile, group_profile_wide, rollup_profile, narrowed_profile,
         group_means, distinct_groups, all_zero_stats,
         top_bottom_n, top_k_single, leader_per_stat, leader_wins, best_group,
         hist_global, hist_group,
         token_sort_ratio_query, fuzzy_best_match, fuzzy_best_match_70, fuzzy_semi, fuzzy_unmatched,
+        values_without_players,
         log_features, clip_scale, standardize, one_hot, split_80_20, wcss_k1, ols_one_feature,
+        roles_skipped,
         elbow_curve, elbow_drawn, kmeans_assign, cluster_sizes, cluster_profile, pca_2d, pca_shares,
         value_model,
     )

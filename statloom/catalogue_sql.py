@@ -264,6 +264,12 @@ def least_squares() -> str:
 ORACLE: dict[str, str] = {
     "src_csv_na": """SELECT c_custkey, CASE WHEN c_custkey % 11 <> 0 THEN c_name END AS name,
         CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS balance FROM customer""",
+    "src_csv_empty": """SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN 'Ø"' || c_name || ', é"' END AS name
+        FROM customer""",
+    "src_csv_plain": """SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN 'Ø"' || c_name || ', é"' END AS name
+        FROM customer""",
+    "sources_tolerant": """SELECT 'customer' AS source, count(*) AS "rows" FROM customer
+        UNION ALL SELECT 'nation', count(*) FROM nation""",
     "html_comment_extract": r"""SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, bodies[i] AS body FROM (
         SELECT page_id, bodies, unnest(range(1, len(bodies) + 1)) AS i FROM (
           SELECT page_id, regexp_extract_all(html, '(?s)<!--(.*?)-->', 1) AS bodies FROM pages))""",
@@ -302,6 +308,9 @@ ORACLE: dict[str, str] = {
         THEN format('{:,}', c_custkey * 98765) || ' kg'
         ELSE CAST(c_custkey * 98765 AS VARCHAR) END AS text FROM customer""",
     "rename_map": "SELECT p_size, p_name AS label, p_partkey AS key FROM part",
+    "first_names": "SELECT CAST(p_partkey AS VARCHAR) AS key, p_name AS label, p_brand AS brand FROM part",
+    "numeric_totals": WIDE + ", u AS (" + stacked("key", "w", STATS)
+    + ") SELECT stat, CAST(sum(round_even(value * 100, 0)) AS DOUBLE) / 100 AS total FROM u GROUP BY stat",
     "conform_schema": """SELECT p_partkey, p_name, CAST(NULL AS DOUBLE) AS rating, '' AS note
         FROM part""",
     "unpivot_stats": WIDE + stacked("key", "w", STATS),
@@ -365,6 +374,9 @@ ORACLE: dict[str, str] = {
         CASE WHEN qty = floor(qty) THEN CAST(qty AS BIGINT) END AS qty, {r2('revenue')} AS revenue,
         CAST(events_cnt AS BIGINT) AS events_cnt, event_value FROM w WHERE qty > 90""",
     "merge_wide_union": WIDE + "SELECT * FROM w",
+    "merge_suffixes": """SELECT key, name_x, balance, name_y FROM
+        (SELECT c_custkey AS key, c_name AS name_x, c_acctbal AS balance FROM customer) FULL JOIN
+        (SELECT s_suppkey AS key, s_name AS name_y FROM supplier) USING (key)""",
     "merge_skips_repeats": """SELECT key, c_name, n_name FROM
         (SELECT c_custkey AS key, c_name FROM customer) FULL JOIN
         (SELECT n_nationkey AS key, n_name FROM nation) USING (key)""",
@@ -422,6 +434,10 @@ ORACLE: dict[str, str] = {
     "fuzzy_semi": matched(80) + "SELECT p_partkey, spelled FROM m WHERE matched_name IS NOT NULL",
     "fuzzy_unmatched": matched(90) + """SELECT p_partkey, spelled, 'Part' AS role FROM m
         WHERE matched_name IS NULL""",
+    "values_without_players": """SELECT trim(p_name) AS Player, 'Unknown' AS Position,
+        '€' || CAST(min(p_partkey) AS VARCHAR) || 'M' AS Price FROM part GROUP BY trim(p_name)""",
+    "roles_skipped": """SELECT 'Accepted' AS position, count(*) AS "rows" FROM lineitem
+        WHERE l_returnflag = 'A'""",
     "log_features": WIDE + ", p AS (SELECT key, " + ", ".join(
         f"coalesce({s}, (SELECT median({s}) FROM w), 0.0) AS {s}" for s in STATS
     ) + ") SELECT key, ".replace(") SELECT", " FROM w) SELECT") + ", ".join(

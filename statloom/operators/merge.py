@@ -79,7 +79,7 @@ def merge_wide(
     on_repeat: str = "raise",
     lead: int | None = None,
 ) -> DataFrame:
-    """Merge of tables that each hold a key at most once; a NULL key is a key.
+    """Merge of tables that each hold a key at most once; a NULL key matches no other.
 
     Without ``lead`` every key stays: the tables are stacked, one struct each, and grouped by the key
     in one shuffle. With ``lead`` only the keys of that table stay, and the others are joined to it;
@@ -108,7 +108,7 @@ def merge_wide(
         for i, table in enumerate(frames):
             if i != lead:
                 other = _once(table, key, i).select(quoted(key).alias(f"__k{i}"), F.col("__t").alias(f"__t{i}"))
-                held = held.join(other, quoted(key).eqNullSafe(F.col(f"__k{i}")), "left")
+                held = held.join(other, quoted(key) == F.col(f"__k{i}"), "left")
     else:
         packed = [
             table.select(
@@ -119,7 +119,9 @@ def merge_wide(
         ]
         stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
         # sides hold a key once, so nothing is gained by combining before the shuffle
-        grouped = stacked.repartition(quoted(key)).groupBy(quoted(key))
+        label = F.coalesce(*[F.col(f"__t{i}").getField("__from") for i in range(len(frames))])
+        apart = F.when(quoted(key).isNull(), label).alias("__apart")
+        grouped = stacked.repartition(quoted(key)).groupBy(quoted(key), apart)
         held = grouped.agg(
             *[F.first(f"__t{i}", ignorenulls=True).alias(f"__t{i}") for i in range(len(frames))],
             *[F.count(f"__t{i}").alias(f"__n{i}") for i in range(len(frames))],

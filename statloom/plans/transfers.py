@@ -104,8 +104,11 @@ def estimated_values(
     return dedup(rows, ["Player"], ["ord"]).orderBy("ord")
 
 
-def match_values(wide: DataFrame, values: DataFrame, order: str = "Player") -> DataFrame:
-    """Players with their main role, linked name, score and value (NULL where not linked)."""
+def match_values(wide: DataFrame, values: DataFrame, order: str) -> DataFrame:
+    """Players with their main role, linked name, score and value (NULL where not linked).
+
+    ``order`` is the column of ``values`` that holds the order of its rows; it decides ties.
+    """
     priced = values.select(
         F.col("Player").alias("Known"), quoted(order).alias("__ord"), F.col("Price")
     )
@@ -119,7 +122,7 @@ def match_values(wide: DataFrame, values: DataFrame, order: str = "Player") -> D
     )
 
 
-def value_report(wide: DataFrame, values: DataFrame, order: str = "Player") -> dict[str, DataFrame | None]:
+def value_report(wide: DataFrame, values: DataFrame, order: str) -> dict[str, DataFrame | None]:
     """``values``: players with actual and predicted value; ``unmatched``: role and player."""
     matched = materialize(match_values(wide, values, order), "matched")
     linked = matched.filter("Linked_Name IS NOT NULL").withColumn(

@@ -4,9 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 from season_pages import fee_page, players, season_pages
 
+from statloom.functions.numeric import in_millions
+from statloom.functions.text import main_role, parse_money
+from statloom.operators.merge import dedup
 from statloom.operators.ranking import best_group, leader_wins
-from statloom.plans import reports, season, transfers
-from statloom.plans.wide_table import build_wide_table
+from statloom.plans import flows, reports, season, transfers
+from statloom.plans.wide_table import build_wide_table, merge_stat_tables
 from statloom.storage import materialize
 
 ROWS = players()
@@ -108,21 +111,86 @@ def test_transfer_flows(spark, wide):
     assert ("Defender", rows[1]["Player"]) in unmatched
 
 
-# fixed values: leading team of each statistic of the recorded season, in table order
-RECORDED = """Fulham;Nott'ham Forest;Brentford;Liverpool;Liverpool;Liverpool;Chelsea;Arsenal;Liverpool;
-Liverpool;Manchester City;Liverpool;Liverpool;Manchester City;Liverpool;Liverpool;Chelsea;
-Leicester City;Bournemouth;Brentford;Everton;Nott'ham Forest;Bournemouth;Arsenal;Crystal Palace;
-Liverpool;Manchester City;Liverpool;Manchester City;Manchester City;Liverpool;Liverpool;Liverpool;
-Liverpool;Fulham;Liverpool;Liverpool;Liverpool;Liverpool;Crystal Palace;Crystal Palace;Liverpool;
-Nott'ham Forest;Brentford;Brentford;Crystal Palace;Bournemouth;Liverpool;Brentford;Brentford;
-Liverpool;Manchester City;Liverpool;Arsenal;Liverpool;Crystal Palace;Manchester City;
-Manchester City;Manchester City;Manchester City;Nott'ham Forest;Newcastle Utd;Liverpool;Liverpool;
-Bournemouth;Newcastle Utd;Nott'ham Forest;Fulham;Bournemouth;Brentford;Crystal Palace;Brentford"""
+# fixed values: statistic, leading team and its mean in the recorded season, in table order
+RECORDED = [
+    ("Age", "Fulham", 29.0),
+    ("Matches Played", "Nott'ham Forest", 25.24),
+    ("Starts", "Brentford", 18.33),
+    ("Minutes", "Liverpool", 1643.1),
+    ("Gls", "Liverpool", 3.81),
+    ("Ast", "Liverpool", 2.86),
+    ("crdY", "Chelsea", 3.88),
+    ("crdR", "Arsenal", 0.23),
+    ("xG", "Liverpool", 3.68),
+    ("xAG", "Liverpool", 2.68),
+    ("PrgC", "Manchester City", 41.64),
+    ("PrgP", "Liverpool", 83.95),
+    ("PrgR", "Liverpool", 83.05),
+    ("Gls per 90", "Manchester City", 0.18),
+    ("Ast per 90", "Liverpool", 0.14),
+    ("xG per 90", "Liverpool", 0.18),
+    ("xAG per 90", "Chelsea", 0.16),
+    ("GA90", "Leicester City", 0.32),
+    ("Save%", "Bournemouth", 10.43),
+    ("CS%", "Brentford", 5.6),
+    ("PK Save%", "Everton", 4.76),
+    ("SoT%", "Nott'ham Forest", 34.8),
+    ("SoT per 90", "Bournemouth", 0.54),
+    ("G per Sh", "Arsenal", 0.13),
+    ("Dist", "Crystal Palace", 18.12),
+    ("Cmp", "Liverpool", 807.14),
+    ("Cmp%", "Manchester City", 86.5),
+    ("TotDist", "Liverpool", 13712.95),
+    ("ShortCmp%", "Manchester City", 92.13),
+    ("MedCmp%", "Manchester City", 89.52),
+    ("LongCmp%", "Liverpool", 60.28),
+    ("KP", "Liverpool", 22.43),
+    ("Pass into 1_3", "Liverpool", 69.57),
+    ("PPA", "Liverpool", 19.05),
+    ("CrsPA", "Fulham", 4.65),
+    ("SCA", "Liverpool", 50.81),
+    ("SCA90", "Liverpool", 2.62),
+    ("GCA", "Liverpool", 6.52),
+    ("GCA90", "Liverpool", 0.33),
+    ("Tkl", "Crystal Palace", 33.14),
+    ("TklW", "Crystal Palace", 19.62),
+    ("Deff Att", "Liverpool", 28.95),
+    ("Lost", "Nott'ham Forest", 14.33),
+    ("Blocks", "Brentford", 21.19),
+    ("Sh", "Brentford", 8.71),
+    ("Pass", "Crystal Palace", 14.9),
+    ("Int", "Bournemouth", 14.39),
+    ("Touches", "Liverpool", 1139.43),
+    ("Def Pen", "Brentford", 145.57),
+    ("Def 3rd", "Brentford", 366.48),
+    ("Mid 3rd", "Liverpool", 513.48),
+    ("Att 3rd", "Manchester City", 353.4),
+    ("Att Pen", "Liverpool", 57.38),
+    ("Take-Ons Att", "Arsenal", 30.59),
+    ("Succ%", "Liverpool", 52.19),
+    ("Tkld%", "Crystal Palace", 45.69),
+    ("Carries", "Manchester City", 664.68),
+    ("ProDist", "Manchester City", 2051.96),
+    ("Carries 1_3", "Manchester City", 31.16),
+    ("CPA", "Manchester City", 14.48),
+    ("Mis", "Nott'ham Forest", 24.67),
+    ("Dis", "Newcastle Utd", 17.96),
+    ("Rec", "Liverpool", 798.24),
+    ("Rec PrgR", "Liverpool", 83.05),
+    ("Fls", "Bournemouth", 20.52),
+    ("Fld", "Newcastle Utd", 18.22),
+    ("Off", "Nott'ham Forest", 3.95),
+    ("Crs", "Fulham", 40.05),
+    ("Recov", "Bournemouth", 73.22),
+    ("Aerl Won", "Brentford", 27.52),
+    ("Aerl Lost", "Crystal Palace", 28.19),
+    ("Aerl Won%", "Brentford", 54.89),
+]
 
 
 def test_recorded_leaders(spark):
-    teams = RECORDED.replace("\n", "").split(";")
-    leaders = spark.createDataFrame(list(zip(season.STATS, teams)), "stat string, `group` string")
+    assert [stat for stat, _, _ in RECORDED] == season.STATS
+    leaders = spark.createDataFrame([r[:2] for r in RECORDED], "stat string, `group` string")
     wins = leader_wins(leaders, season.NEGATIVE)
     assert {tuple(r) for r in wins.collect()} == {
         ("Liverpool", 26), ("Manchester City", 10), ("Brentford", 8), ("Crystal Palace", 5),
@@ -130,3 +198,76 @@ def test_recorded_leaders(spark):
         ("Everton", 1), ("Newcastle Utd", 1),
     }
     assert tuple(best_group(wins).first()) == ("Liverpool", 26, 63)
+
+
+# fixed values: recorded prices with the value in millions, the positions of the valued players with
+# their number, and the confirmed fees that tell no number
+PRICES = [("€198.8M", 198.8), ("€62.7M", 62.7), ("€58.2M", 58.2), ("€126.5M", 126.5), ("€42.3M", 42.3), ("€37.4M", 37.4)]
+POSITIONS = [
+    ("DF", 150), ("DF,MF", 15), ("DF,FW", 4), ("MF", 85), ("MF,FW", 37), ("MF,DF", 8), ("FW", 64), ("FW,MF", 50),
+    ("FW,DF", 3), ("GK", 39),
+]
+FEES = [("Omar Marmoush", "€75M", 75e6), ("Manuel Ugarte", "€50M", 50e6), ("A", "Free", None)]
+
+
+def test_recorded_money_and_roles(spark):
+    money = spark.createDataFrame(PRICES, "text string, value double")
+    parsed = money.select(in_millions(parse_money(F.col("text"))).alias("got"), "value").collect()
+    assert all(r.got == r.value for r in parsed)
+    fees = spark.createDataFrame(FEES, "player string, text string, value double")
+    assert all(r.got == r.value for r in fees.select(parse_money(F.col("text")).alias("got"), "value").collect())
+    held = spark.createDataFrame(POSITIONS, "position string, n int")
+    counts = held.groupBy(main_role(F.col("position")).alias("role")).agg(F.sum("n").alias("n")).collect()
+    assert {r.role: r.n for r in counts} == {"DF": 169, "MF": 130, "FW": 117, "GK": 39}
+
+
+def test_flows_end_in_files(spark, tmp_path):
+    pages = {t: (lambda p=p: spark.createDataFrame(p, PAGE)) for t, p in season_pages(ROWS).items()}
+    pages["absent"] = lambda: spark.read.parquet(str(tmp_path / "absent"))
+    result = flows.wide_flow(pages, str(tmp_path))["result"]
+    played = {r["Player"] for r in ROWS if r["Minutes"] > 90}
+    assert {r.Player for r in result.collect()} == played and result.columns == season.REQUIRED
+    path = str(tmp_path / "result")
+
+    stats = flows.statistics_flow(spark, path, str(tmp_path / "stats"))
+    assert stats["profile"].count() == 4 and stats["leaders"].count() == 72
+    assert stats["ranking"].select("stat").distinct().count() == 72
+    means = {r["Team"]: r for r in stats["profile"].collect()}
+    for r in stats["leaders"].collect():
+        assert means[r["group"]][f"Mean of {r.stat}"] == r["mean"]
+
+    clusters = flows.cluster_flow(spark, path, str(tmp_path / "clusters"), clusters=2, max_k=2, starts=2)
+    assert clusters["sizes"].agg(F.sum("rows")).first()[0] == clusters["clustered"].count()
+
+    rows = [r for r in ROWS if r["Minutes"] > 90]
+    fees = spark.createDataFrame([(1, fee_page([(rows[0]["Player"], "€10M"), ("Xyz", "Free")], "transfer-table", 0))], PAGE)
+    listed = [(r["Player"], f"€{5 + i}.5M") for i, r in enumerate(rows)]
+    values = spark.createDataFrame([(1, fee_page(listed, "similar-players-table", 1))], PAGE)
+    out = flows.transfer_flow(spark, path, str(tmp_path / "transfers"), fees, values)
+    assert out["regular"].count() == sum(r["Minutes"] > 900 for r in rows)
+    assert out["fees"].count() == (rows[0]["Minutes"] > 900)
+    assert out["estimates"].count() == len(rows) and out["estimates"].columns == ["Player", "Position", "Price"]
+    predicted = [r.Predicted_Transfer_Value_M for r in out["values"].collect()]
+    assert predicted == sorted(predicted, reverse=True) and len(predicted) + out["unmatched"].count() == len(rows)
+    alone = flows.transfer_flow(spark, str(tmp_path / "gone"), str(tmp_path / "alone"), None, values)
+    assert set(alone) == {"estimates"} and {r.Position for r in alone["estimates"].collect()} == {"Unknown"}
+
+
+def test_season_merge_shuffles_each_table_once(spark, tmp_path):
+    tables, ids = {}, list(season.HEADERS)
+    others = [c for c in season.STATS if c != "Minutes"]
+    for name, column in zip(ids, ["Minutes", *others]):
+        frame = spark.createDataFrame([(f"P {k}", str(100 * k), k) for k in range(30)], f"Player string, `{column}` string, ord int")
+        frame.write.parquet(str(tmp_path / name))
+        rows = spark.read.parquet(str(tmp_path / name))
+        tables[name] = dedup(rows, ["Player"], ["ord"]).select("Player", f"`{column}`")
+    assert len(tables) == 8
+    # small tables would be broadcast, and then not be shuffled at all
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_stat_tables(tables, sort=False)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert merged.count() == 29
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 8

@@ -7,6 +7,8 @@ drop white space before anything else; any other one gets whole texts.
 from __future__ import annotations
 
 import json
+import re
+from itertools import repeat
 
 import numpy as np
 import regex
@@ -15,9 +17,10 @@ from tokenizers import Tokenizer
 
 from statloom.llm.common import flat_words, ragged
 
-#: A task forgets its words when it has gathered so many.
+#: A task forgets its words before the next texts when it has gathered so many.
 WORDS_KEPT = 1_000_000
 _PLAIN = regex.compile(r"[\x21-\x7EÀ-ÿ]{1,256}")
+_ODD = re.compile(rb"[\x00-\x08\x0E-\x1F\x7F]")
 _END, _BREAK = "\0", "\n"
 
 
@@ -77,12 +80,8 @@ class Encoder:
         self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _learn(self, words: list[bytes]) -> None:
-        texts = [w.decode() for w in words]
-        plain = []
-        if self.fast:
-            plain = [bool(_PLAIN.fullmatch(t)) and not any(s in t for s in self.special) for t in texts]
-        else:
-            plain = [False] * len(texts)
+        texts = b"\n".join(words).decode().split("\n")  # words have no line ends
+        plain = self._quick(words, texts) if self.fast else [False] * len(words)
         quick = [t for t, p in zip(texts, plain, strict=True) if p]
         slow = self.whole.encode_batch([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False)
         made: list[np.ndarray] = [np.array(e.ids, np.uint32) for e in slow]
@@ -102,6 +101,13 @@ class Encoder:
         self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
         self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
 
+    def _quick(self, words: list[bytes], texts: list[str]) -> list[bool]:
+        """Which words the faster library may encode: printable Latin letters, no special token."""
+        blob = b" ".join(words)
+        if _ODD.search(blob) or any(s.encode() in blob for s in self.special):
+            return [bool(_PLAIN.fullmatch(t)) and not any(s in t for s in self.special) for t in texts]
+        return [len(t) <= 256 if t.isascii() else bool(_PLAIN.fullmatch(t)) for t in texts]
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and the number of ids of each text."""
         if not self.by_word:
@@ -110,12 +116,13 @@ class Encoder:
                 [len(m) for m in made], np.int64
             )
         words, counts = flat_words(texts)
-        distinct = dict.fromkeys(words)
-        if len(self.number) + len(distinct) > WORDS_KEPT:
+        if len(self.number) > WORDS_KEPT:
             self._forget()
-        if new := [w for w in distinct if w not in self.number]:
-            self._learn(new)
-        which = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        which = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        if len(missing := np.flatnonzero(which < 0)):
+            unknown = [words[i] for i in missing.tolist()]
+            self._learn(list(dict.fromkeys(unknown)))
+            which[missing] = np.fromiter(map(self.number.__getitem__, unknown), np.int64, len(unknown))
         sizes = self.sizes[which]
         upto = np.concatenate([[0], np.cumsum(sizes)])
         ends = np.cumsum(counts)

@@ -8,17 +8,13 @@ from statloom.llm import line_templates as lt
 D, L = "doc_id long, text string", {"texts": 3, "short_texts": 5, "short_words": 6, "least_words": 3}
 
 
-def masked(line):
-    return tuple("<*>" if any(c in "0123456789" for c in w) else w for w in line.encode().split() and line.split())
-
-
-def expected(rows):
+def expected(rows, limits=L):
     """The method by plain loops: per line the template, then what recurs."""
     occ, texts_of, key_texts = [], defaultdict(set), defaultdict(set)
     for i, t in rows:
         for k, line in enumerate((t or "").split("\n")):
             own = tuple("<*>" if any(c.isdigit() and c.isascii() for c in w) else w for w in line.split())
-            if t is not None and len(own) >= L["least_words"]:
+            if t is not None and len(own) >= limits["least_words"]:
                 occ.append((i, k, own))
                 texts_of[own].add(t)
     template = {}
@@ -26,7 +22,7 @@ def expected(rows):
     for own in texts_of:
         leaves[len(own), own[: lt.DEPTH]].append(own)
     for leaf, lines in leaves.items():
-        if sum(len(texts_of[x]) for x in lines) < L["texts"]:
+        if sum(len(texts_of[x]) for x in lines) < limits["texts"]:
             continue
         rest = lines
         for number in range(lt.ROUNDS):
@@ -49,7 +45,7 @@ def expected(rows):
     dropped = defaultdict(set)
     for members in groups.values():
         n = sum(len(texts_of[x]) for x in {m[2] for m in members})
-        if n >= (L["short_texts"] if len(members[0][2]) < L["short_words"] else L["texts"]):
+        if n >= (limits["short_texts"] if len(members[0][2]) < limits["short_words"] else limits["texts"]):
             first = min((m[:2] for m in members if m[0] is not None), default=None)
             for i, k, _ in members:
                 if i is not None and (i, k) != first:

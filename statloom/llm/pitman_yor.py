@@ -372,6 +372,8 @@ def _sending(contexts: int, parts: int, salts: dict[int, int], kind: pa.DataType
 
 
 _SUMS = ("scores", "logs", "known")
+#: Documents of a chunk whose sums of all parts meet in one group.
+DOC_BLOCK = 256
 
 
 def _scoring(model: Model):
@@ -415,9 +417,14 @@ def _scoring(model: Model):
         order = np.argsort(words, kind="stable")
         sorted_words = np.concatenate([words[order], np.zeros(0, np.uint64)])
         out, nothing = [], dict.fromkeys(("ids", "n_tokens", *_SUMS))
+
+        def blocks(r) -> Iterator[tuple[dict, slice]]:
+            for k in range(0, r.n_docs, DOC_BLOCK):
+                yield nothing | {"uid": r.uid, "block": k // DOC_BLOCK}, slice(k, k + DOC_BLOCK)
+
         for r in frame[frame["kind"] >= 2].itertuples(index=False):
             if r.kind == 3:
-                out.append(nothing | {"uid": r.uid, "ids": r.ids, "n_tokens": r.n_tokens})
+                out += [row | {"ids": r.ids[at], "n_tokens": r.n_tokens[at]} for row, at in blocks(r)]
                 continue
             asked = np.frombuffer(r.words, "<u8")
             sizes = np.frombuffer(r.sizes, "<u4").astype(np.int64)
@@ -435,15 +442,15 @@ def _scoring(model: Model):
             text = np.frombuffer(r.last, "<u2")
             sums = (np.log10(p / room[context]), np.log10(counts[number] + 1), (counts[number] > 0).astype(float))
             made = [np.bincount(text, x, minlength=r.n_docs) for x in sums]
-            known = made[2].astype("<u4").tobytes()
-            out.append(nothing | {"uid": r.uid, "scores": made[0].tobytes(), "logs": made[1].tobytes(), "known": known})
-        return pd.DataFrame(out, columns=["uid", "ids", "n_tokens", *_SUMS])
+            made[2] = made[2].astype("<u4")
+            out += [row | {name: x[at].tobytes() for name, x in zip(_SUMS, made, strict=True)} for row, at in blocks(r)]
+        return pd.DataFrame(out, columns=["uid", "block", "ids", "n_tokens", *_SUMS])
 
     return run
 
 
 def _adding(frame: pd.DataFrame) -> pd.DataFrame:
-    """Sums of all parts for the documents of one chunk."""
+    """Sums of all parts for one block of documents."""
     listed = frame[frame["ids"].notna()].iloc[0]
     parts = frame[frame["scores"].notna()]
     out = {"id": list(listed["ids"]), "n_tokens": list(listed["n_tokens"])}
@@ -511,9 +518,9 @@ def score_documents(
         F.lit(0).alias("n_docs"),
         *none,
     )
-    sums = "uid long, ids array<{0}>, n_tokens array<long>, scores binary, logs binary, known binary".format(kind)
+    sums = "uid long, block int, ids array<{0}>, n_tokens array<long>, scores binary, logs binary, known binary".format(kind)
     partial = tokens.unionByName(own).unionByName(hot).groupBy("p").applyInPandas(_scoring(model), sums)
-    added = partial.groupBy("uid").applyInPandas(_adding, f"id {kind}, n_tokens long, scores double, logs double, known long")
+    added = partial.groupBy("uid", "block").applyInPandas(_adding, f"id {kind}, n_tokens long, scores double, logs double, known long")
     share = float(np.log10(model.tokens + model.vocabulary + 1))
     return added.select(
         F.col("id").alias(id),

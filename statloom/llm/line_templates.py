@@ -188,7 +188,9 @@ def drop_recurring_lines(
     per_doc = materialize(gone.groupBy("id").agg(F.array_sort(F.collect_set("line_no")).alias("dropped")), "dropped")
 
     carried = [c for c in docs.columns if c.lower() not in ("n_lines", "dropped")]
-    joined = docs.select(*carried).join(per_doc.withColumnRenamed("id", "__id"), F.col(id) == F.col("__id"), "left")
+    # merged by sorting at every size, as the list of dropped lines grows with the documents
+    gone = per_doc.withColumnRenamed("id", "__id").hint("merge")
+    joined = docs.select(*carried).join(gone, F.col(id) == F.col("__id"), "left")
     split = F.split(F.col(text).cast("string"), "\n", -1)
     left = F.filter(split, lambda x, i: ~F.array_contains("dropped", i))
     cleaned = F.when(F.col("dropped").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))

@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import pandas as pd
@@ -115,7 +116,15 @@ def _letter_rank(names: DataFrame) -> dict[str, int]:
     return {r.token: i for i, r in enumerate(reversed(top))}
 
 
+#: Letter classes whose counts bound how many letters two names share.
+CLASSES = 12
+#: Names of one side that meet those of the other under one signature in one task.
+MEETING = 2_000
+
+
 def _with_signatures(names: DataFrame, threshold: int, rank: dict[str, int], mine_first: bool):
+    """``text, n, c0..`` (length and letters per class) and one row per signature."""
+
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), 256):
@@ -125,7 +134,50 @@ def _with_signatures(names: DataFrame, threshold: int, rank: dict[str, int], min
                     {"sign": "int64"}
                 )
 
-    return names.select("text").mapInPandas(sign, "text string, sign bigint")
+    signed = names.select("text").mapInPandas(sign, "text string, sign bigint")
+    letters = F.transform(F.split("text", ""), lambda c: F.pmod(F.ascii(c), F.lit(CLASSES)))
+    counted = signed.withColumn("letters", letters).withColumn("n", F.length("text"))
+    in_class = lambda i: F.filter("letters", lambda x: x == i)
+    classes = [F.size(in_class(i)).alias(f"c{i}") for i in range(CLASSES)]
+    return counted.select("text", "sign", "n", *classes)
+
+
+def _dealt(side: DataFrame, sizes: DataFrame, mine: str, other: str) -> DataFrame:
+    """Rows of crowded signatures dealt over parts of their side, one copy per part of the other."""
+    known = join_bounded(side, sizes, ["sign"], "left")
+    parts, copies = F.coalesce(mine, F.lit(1)), F.coalesce(other, F.lit(1))
+    return (
+        known.withColumn(mine, F.pmod(F.xxhash64("text"), parts))
+        .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1)))
+    )
+
+
+def candidates(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
+    """Distinct pairs ``l_text, r_text`` that share a signature and enough letters by class.
+
+    No task joins more than ``MEETING`` names of one side with as many of the other under one
+    signature: crowded ones are dealt over parts, and every part meets every part.
+    """
+    rank = _letter_rank(left.select("text").unionByName(right.select("text")))
+    l_side = materialize(_with_signatures(left, threshold, rank, True), "left-signatures")
+    r_side = materialize(_with_signatures(right, threshold, rank, False), "right-signatures")
+    l_sizes = l_side.groupBy("sign").agg(F.ceil(F.count(F.lit(1)) / MEETING).alias("lp"))
+    r_sizes = r_side.groupBy("sign").agg(F.ceil(F.count(F.lit(1)) / MEETING).alias("rp"))
+    sizes = l_sizes.join(r_sizes, "sign").filter("lp > 1 OR rp > 1")
+    sizes = materialize(sizes, "crowded-signatures")
+    l_dealt, r_dealt = _dealt(l_side, sizes, "lp", "rp"), _dealt(r_side, sizes, "rp", "lp")
+    shared = reduce(
+        lambda a, b: a + b, [F.least(F.col(f"l.c{i}"), F.col(f"r.c{i}")) for i in range(CLASSES)]
+    )
+    # a pair that scores shares at least this many letters, and classes only add chance ones
+    share = max(threshold - 0.5, 1.0) / 100.0
+    need = F.ceil((F.col("l.n") + F.col("r.n")) * share / 2 - 1e-9)
+    met = l_dealt.alias("l").join(
+        r_dealt.alias("r"),
+        (F.col("l.sign") == F.col("r.sign")) & (F.col("l.lp") == F.col("r.lp")) & (F.col("l.rp") == F.col("r.rp")),
+    )
+    pairs = met.filter(shared >= need)
+    return pairs.select(F.col("l.text").alias("l_text"), F.col("r.text").alias("r_text")).distinct()
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
@@ -135,10 +187,7 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFram
     """
     if not 1 <= threshold <= 100:
         raise ValueError("threshold must be between 1 and 100")
-    rank = _letter_rank(left.select("text").unionByName(right.select("text")))
-    l_side = _with_signatures(left, threshold, rank, True).withColumnRenamed("text", "l_text")
-    r_side = _with_signatures(right, threshold, rank, False).withColumnRenamed("text", "r_text")
-    pairs = l_side.join(r_side, "sign").select("l_text", "r_text").distinct()
+    pairs = candidates(left, right, threshold)
     return pairs.withColumn("score", ratio("l_text", "r_text")).filter(F.col("score") >= threshold)
 
 

@@ -36,6 +36,15 @@ def _bag(names: list[str], rows) -> Counter:
     return Counter(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
+def order_differs(df, con: duckdb.DuckDBPyConnection, sql: str) -> int | None:
+    """First position at which the rows are not those of the SQL, whose order is then meant."""
+    cur = con.execute(sql)
+    names = [c[0] for c in cur.description]
+    theirs = [tuple(map(_plain, r)) for r in cur.fetchall()]
+    ours = [tuple(map(_plain, r)) for r in df.select(*[f"`{n}`" for n in names]).collect()]
+    return next((i for i, (a, b) in enumerate(zip(ours, theirs, strict=True)) if a != b), None)
+
+
 def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None when equal, otherwise what differs."""
     cur = con.execute(sql)

@@ -6,7 +6,7 @@ Set CATALOGUE_SF_DIR for another size.
 import os
 
 import pytest
-from oracle import connect, differences
+from oracle import connect, differences, order_differs
 
 from __spark_entry__ import entry, oracle_sql, queries
 
@@ -30,6 +30,20 @@ def test_query_equals_sql(spark, con, name):
     assert differences(QUERIES[name](spark, DIR), con, ORACLE[name]) is None
 
 
+# queries that promise an order, with the order of their SQL
+ORDERED = {
+    "sort_first_token": "",
+    "distinct_groups": " ORDER BY nation NULLS FIRST",
+    "rollup_profile": " ORDER BY grouping(nation) DESC, nation NULLS FIRST",
+    "value_model": "",
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_order(spark, con, name):
+    assert order_differs(QUERIES[name](spark, DIR), con, ORACLE[name] + ORDERED[name]) is None
+
+
 def test_entry(spark):
     assert entry(spark).columns == ["stat", "group", "mean"]
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +49,52 @@ def prepare_features(df: DataFrame, config: RoleModel, **limits) -> DataFrame:
     )
 
 
-def fit_values(train: DataFrame, config: RoleModel, target: str) -> PipelineModel:
-    """Ordinary least squares on scaled numbers and one-hot categories (unseen ones are zeros)."""
+@dataclass(frozen=True)
+class LinearFit:
+    """Feature stages, and the line on their result."""
+
+    stages: PipelineModel
+    coefficients: np.ndarray
+    intercept: float
+
+    def estimate(self, df: DataFrame) -> DataFrame:
+        """The rows with ``estimate``."""
+        weights, at_zero = self.coefficients, self.intercept
+
+        def predict(x: pd.Series) -> pd.Series:
+            return pd.Series(np.stack(x) @ weights + at_zero if len(x) else [], dtype="float64")
+
+        features = self.stages.transform(df)
+        return features.withColumn("estimate", F.pandas_udf(predict, "double")(vector_to_array("__all")))
+
+
+def _cross_products(rows: DataFrame) -> np.ndarray:
+    """Sum over the rows of ``x x'`` for x = (1, features, target), of ``features`` and ``target``.
+
+    Tasks add up their rows; the cells of their matrices are summed before they come back.
+    """
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("features").flatten().to_numpy().reshape(batch.num_rows, -1)
+                whole = np.column_stack([np.ones(len(x)), x, batch.column("target").to_numpy()])
+                total = whole.T @ whole + (0 if total is None else total)
+        cells = np.zeros(0) if total is None else total.ravel()
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(np.arange(len(cells))), "value": pa.array(cells)})
+
+    parts = rows.mapInArrow(add_up, "cell bigint, value double")
+    cells = parts.groupBy("cell").agg(F.sum("value").alias("value")).orderBy("cell").toPandas()
+    size = math.isqrt(len(cells))
+    return cells["value"].to_numpy().reshape(size, size)
+
+
+def fit_values(train: DataFrame, config: RoleModel, target: str) -> LinearFit:
+    """Ordinary least squares on scaled numbers and one-hot categories (unseen ones are zeros).
+
+    Of all best lines, as one-hot columns depend on each other, the one with the least weights.
+    """
     index = [f"__i{i}" for i in range(len(config.categorical))]
     hot = [f"__h{i}" for i in range(len(config.categorical))]
     stages = []
@@ -59,12 +107,16 @@ def fit_values(train: DataFrame, config: RoleModel, target: str) -> PipelineMode
         VectorAssembler(inputCols=config.numeric, outputCol="__numbers"),
         StandardScaler(inputCol="__numbers", outputCol="__scaled", withMean=True),
         VectorAssembler(inputCols=["__scaled", *hot], outputCol="__all"),
-        LinearRegression(
-            featuresCol="__all", labelCol=target, predictionCol="estimate", regParam=0.0,
-            solver="normal",
-        ),
     ]
-    return Pipeline(stages=stages).fit(train)
+    fitted = Pipeline(stages=stages).fit(train)
+    rows = fitted.transform(train).select(
+        vector_to_array("__all").alias("features"), quoted(target).cast("double").alias("target")
+    )
+    sums = _cross_products(rows)
+    n, mean = sums[0, 0], sums[0] / sums[0, 0]
+    centred = sums[1:, 1:] - n * np.outer(mean[1:], mean[1:])
+    weights = np.linalg.pinv(centred[:-1, :-1], rcond=1e-10, hermitian=True) @ centred[:-1, -1]
+    return LinearFit(fitted, weights, float(mean[-1] - mean[1:-1] @ weights))
 
 
 def value_role(
@@ -82,7 +134,7 @@ def value_role(
     train, _ = split_train_test(known, key, seed)
     model = fit_values(train, config, target)
     low, high = VALUE_RANGE
-    return model.transform(prepared).select(
+    return model.estimate(prepared).select(
         *[quoted(c) for c in output],
         F.lit(config.role).alias("position"),
         in_millions(quoted(target)).alias("actual_m"),

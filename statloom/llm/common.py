@@ -17,14 +17,6 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def free_name(taken: list[str], name: str) -> str:
-    """``name``, or with underscores until no column of ``taken`` has it (case ignored)."""
-    lower = {c.lower() for c in taken}
-    while name.lower() in lower:
-        name = f"_{name}"
-    return name
-
-
 def remainder(column: str, mod: int) -> Column:
     """crc32 of the column's text, modulo ``mod``; NULL for NULL."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % mod

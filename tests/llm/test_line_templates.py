@@ -1,8 +1,6 @@
 import random
 from collections import Counter, defaultdict
 
-import pytest
-
 from statloom.llm import line_templates as lt
 
 D, L = "doc_id long, text string", {"texts": 3, "short_texts": 5, "short_words": 6, "least_words": 3}

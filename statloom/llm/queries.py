@@ -14,6 +14,7 @@ from statloom.llm.nb_svm import score_texts
 from statloom.llm.packing import pack
 from statloom.llm.pitman_yor import score_documents
 from statloom.llm.quality_rules import quality_rules
+from statloom.llm.queries_sql import ORACLE
 from statloom.llm.simhash import simhash_groups
 from statloom.llm.toxic_spans import score_toxicity
 from statloom.llm.training_order import materialise_order, new_path, read_slots
@@ -108,4 +109,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

@@ -37,7 +37,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = simhash_groups(docs.select("doc_id", "text"))
     kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id")
     kept = materialize(kept, "kept")
-    chosen = docs.join(kept.distinct(), "doc_id", "left_semi").select(*docs.columns)
+    # merged by sorting at every size, as the list of kept documents grows with them
+    chosen = docs.join(kept.distinct().hint("merge"), "doc_id", "left_semi").select(*docs.columns)
     if kept.count() > kept.distinct().count():
         chosen = chosen.dropDuplicates(["doc_id"])
     return chosen.unionByName(docs.where(F.col("doc_id").isNull()))

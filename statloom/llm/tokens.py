@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 from statloom.llm.common import flat_words, ragged
 
 #: A task forgets its words before the next texts when it has gathered so many.
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 250_000
 _PLAIN = regex.compile(r"[\x21-\x7EÀ-ÿ]{1,256}")
 _ODD = re.compile(rb"[\x00-\x08\x0E-\x1F\x7F]")
 _END, _BREAK = "\0", "\n"

@@ -26,7 +26,7 @@ from statloom.llm.common import chunks, mixed, texts_of
 from statloom.llm.tokens import Encoder, default_path
 from statloom.storage import materialize, scratch_path
 
-LENGTH, END_ID, SHARD_RECORDS, ROUNDS = 4096, 2, 1024, 6
+LENGTH, END_ID, SHARD_RECORDS, ROUNDS = 4096, 2, 256, 6
 #: Ids take two bytes; this one, which no vocabulary of at most 65,535 ids has, fills up a sequence.
 PAD_ID = 0xFFFF
 
@@ -73,7 +73,7 @@ def token_sequences(
             names = ["task", "local", "n_ids", "doc", "start", "ids"]
             return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
 
-        for batch in chunks(batches, "text", 4 << 20):
+        for batch in chunks(batches, "text", 2 << 20):
             arrow = batch.schema.field("doc").type
             ids, counts = encoder.encode_ended(texts_of(batch, "text"), end)
             if len(ids) and ids.max() >= PAD_ID:

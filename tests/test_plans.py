@@ -207,7 +207,7 @@ POSITIONS = [
     ("DF", 150), ("DF,MF", 15), ("DF,FW", 4), ("MF", 85), ("MF,FW", 37), ("MF,DF", 8), ("FW", 64), ("FW,MF", 50),
     ("FW,DF", 3), ("GK", 39),
 ]
-FEES = [("Omar Marmoush", "€75M", 75e6), ("Manuel Ugarte", "€50M", 50e6), ("A", "Free", None)]
+FEES = [("Omar Marmoush", "€75M", 75e6), ("Manuel Ugarte", "€50M", 50e6), ("Baylin Johnson", "Free", None)]
 
 
 def test_recorded_money_and_roles(spark):

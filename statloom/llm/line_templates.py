@@ -3,17 +3,19 @@
 A line's words are masked (a word with a digit is a variable field) and the line goes down a tree of
 fixed depth: first by its number of words, then by its leading words. In a leaf the words that most
 texts have at a position form the template, the other positions are variable; a line belongs to it
-if enough of its words agree. What stays outside may form a second template of the leaf, and so on
-for a few rounds; any other line is a template of its own. A template that recurs in several
-different texts is dropped everywhere but at its first occurrence.
+if enough of its words agree. After a few such rounds the rest of the leaf is divided by seeds: the
+most frequent remaining line (the smallest hash among equals) takes all that agree with it, until no
+line is left, so a leaf has as many templates as it holds. A template that recurs in several different
+texts is dropped everywhere but at its first occurrence.
 
 Texts that are equal count once, so that exact copies of a document do not empty it.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +24,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statloom.llm.common import chunks, mixed, numbered, ragged, texts_of
-from statloom.storage import materialize
+from statloom.storage import join_bounded, materialize
 
 #: Leading words on the way to a leaf, share of a line's words that must agree with its template,
-#: share of a leaf's texts that make a word part of it, templates sought per leaf.
+#: share of a leaf's texts that make a word part of it, rounds by majority before those by seed.
 DEPTH, AGREE, CONSTANT, ROUNDS = 3, 0.7, 0.5, 2
 #: Lines with fewer words stay; short ones must recur in more texts than others.
 LEAST_WORDS, SHORT_WORDS, SHORT_TEXTS, TEXTS = 3, 8, 10, 3
 
+#: A leaf whose rest has at most this many lines and words is divided in one task; a larger one meets
+#: in blocks. Both give the same templates.
+LEAF_LINES, LEAF_WORDS = 2_000, 4_000_000
+
 _DIGIT = re.compile(rb"[0-9]")
 
 
@@ -97,8 +103,135 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("line"), batch.column("leaf"), pa.array(share)], ["line", "leaf", "share"])
 
 
-def leaf_templates(lines: DataFrame, agree: float, constant: float, rounds: int) -> DataFrame | None:
-    """``(line, template)`` of the lines that belong to a template of their leaf.
+def _needed(n: int, agree: float, depth: int) -> int:
+    """Words beyond the leading ones in which two lines of ``n`` words and one leaf must agree."""
+    return math.ceil(agree * n - 1e-9) - min(depth, n)
+
+
+def _banded(agree: float, depth: int):
+    """One row per line and band of positions.
+
+    Lines that may differ in d positions are equal in at least one of d + 1 bands, so lines that
+    agree share a block (leaf and words of a band).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, keys = [], []
+            for i, (leaf, n, letters) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("leaf", "n", "letters")), strict=True)):
+                need, beyond = _needed(n, agree, depth), max(n - depth, 0)
+                bands = min(beyond - need, beyond) + 1 if need > 0 else 1
+                cuts = [depth + beyond * k // bands for k in range(bands + 1)] if need > 0 else [0, 0]
+                for k in range(bands):
+                    own = leaf.to_bytes(8, "little", signed=True) + k.to_bytes(4, "little") + letters[2 * cuts[k] : 2 * cuts[k + 1]]
+                    rows.append(i), keys.append(xxhash.xxh64_intdigest(own))
+            taken = batch.select(["leaf", "line", "n", "texts", "letters"]).take(pa.array(rows, pa.int64()))
+            key = pa.array(np.array(keys, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([key, *taken.columns], ["block", "leaf", "line", "n", "texts", "letters"])
+
+    return run
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block, in batches that hold whole blocks."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block = batch.column("block").to_numpy()
+        if held and block[0] != last:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+        last = block[-1]
+        cut = int(np.searchsorted(block, last))
+        if cut:
+            yield from pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks().to_batches()
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _firsts(words: np.ndarray, need: int, seeds: bool) -> np.ndarray:
+    """Per row the first row that agrees with it (itself if none before does).
+
+    With ``seeds`` rows that follow another are passed over: the row is then the seed that takes it.
+    """
+    first, rest = np.arange(len(words)), np.arange(len(words))
+    for c in range(len(words)):
+        if not len(rest):
+            break
+        if seeds and first[c] != c:
+            continue
+        rest = rest[rest > c]
+        near = (words[rest] == words[c]).sum(axis=1) >= need
+        first[rest[near]] = c
+        rest = rest[~near]
+    return first
+
+
+def _pointing(agree: float, depth: int, seeds: bool) -> Callable:
+    """Per row the line it follows in its block, in the order of falling ``texts`` and rising hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _blocks(batches):
+            block, leaf, line, n, texts = (batch.column(c).to_numpy() for c in ("block", "leaf", "line", "n", "texts"))
+            letters = batch.column("letters").to_pylist()
+            order = np.lexsort((line, -texts, leaf, block))
+            cuts = np.flatnonzero((np.diff(block[order]) != 0) | (np.diff(leaf[order]) != 0)) + 1
+            up = np.arange(len(order))
+            for a, b in zip([0, *cuts], [*cuts, len(order)], strict=True):
+                if b - a > 1:
+                    own = order[a:b]
+                    words = np.frombuffer(b"".join(letters[i] for i in own), "<u2").reshape(b - a, -1)[:, depth:]
+                    up[own] = own[_firsts(words, _needed(int(n[own[0]]), agree, depth), seeds)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (line, leaf, line[up], texts[up])], ["line", "leaf", "up", "up_texts"]
+            )
+
+    return run
+
+
+_POINTED = "line long, leaf long, up long, up_texts long"
+
+
+def seeded_templates(lines: DataFrame, agree: float, depth: int) -> DataFrame:
+    """``(line, template)``: per leaf the most frequent remaining line takes all that agree with it.
+
+    Small leaves are divided in one task. In others a line whose every agreeing line ranks lower is a
+    seed whatever comes before it in the leaf; it takes the lines whose first agreeing line it is, and
+    what is left goes on, until nothing is.
+    """
+    columns = ["leaf", "line", "n", "texts", "letters"]
+    sizes = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
+    crowded = (F.col("c") > LEAF_LINES) | (F.col("w") > LEAF_WORDS)
+    sizes = materialize(sizes.where("c > 1").select("leaf", crowded.alias("crowded")), "leaf-sizes")
+
+    def pointed(blocks: DataFrame, seeds: bool) -> DataFrame:
+        return blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_pointing(agree, depth, seeds), _POINTED)
+
+    few = lines.join(sizes.where("NOT crowded").select("leaf"), "leaf", "left_semi")
+    few = pointed(few.select(F.col("leaf").alias("block"), *columns), True)
+    found = materialize(few.select("line", F.xxhash64("leaf", "up").alias("template")), "seeded")
+    rest = materialize(lines.join(sizes.where("crowded").select("leaf"), "leaf", "left_semi").select(*columns), "crowded")
+    seeds = rest.limit(0)
+    while not rest.isEmpty():
+        schema = "block long, leaf long, line long, n int, texts long, letters binary"
+        up = pointed(rest.unionByName(seeds).mapInArrow(_banded(agree, depth), schema), False)
+        up = up.groupBy("leaf", "line").agg(F.min(F.struct((-F.col("up_texts")).alias("t"), "up")).alias("up"))
+        up = materialize(up.select("leaf", "line", F.col("up.up").alias("up")), "followed")
+        mine = join_bounded(up, up.where("line = up").select("up"), ["up"])
+        mine = materialize(mine.join(rest.select("line"), "line", "left_semi"), "seeded")
+        found = found.unionByName(mine.select("line", F.xxhash64("leaf", "up").alias("template")))
+        # seeds stay to be found by lines whose first agreeing line went to another seed
+        seeds = seeds.unionByName(rest.join(mine.where("line = up").select("line"), "line", "left_semi").select(*columns))
+        rest = materialize(rest.join(mine.select("line"), "line", "left_anti").select(*columns), "crowded")
+    return found
+
+
+def leaf_templates(lines: DataFrame, agree: float, constant: float, rounds: int, depth: int) -> DataFrame:
+    """``(line, template)`` of the lines of leaves with several lines.
 
     ``lines`` has ``line, leaf, n, letters, texts``, one row per distinct line. Words are counted per
     leaf and position, so that a leaf of any size is summed up before its rows move.
@@ -123,8 +256,9 @@ def leaf_templates(lines: DataFrame, agree: float, constant: float, rounds: int)
         near = shares.where(F.col("share") >= agree)
         mine = near.select("line", F.xxhash64("leaf", F.lit(number)).alias("template"))
         found = mine if found is None else found.unionByName(mine)
-        rest = rest.join(near.select("line", "leaf"), ["line", "leaf"], "left_anti")
-    return found
+        rest = materialize(rest.join(near.select("line", "leaf"), ["line", "leaf"], "left_anti"), "rest")
+    seeded = seeded_templates(rest, agree, depth)
+    return seeded if found is None else found.unionByName(seeded)
 
 
 def drop_recurring_lines(
@@ -170,14 +304,10 @@ def drop_recurring_lines(
     shared = materialize(shared, "leaf-lines")
     letters = lines.select("line", "leaf", "letters").join(leaves, "leaf", "left_semi")
     letters = letters.groupBy("line").agg(F.min("letters").alias("letters"))
-    members = leaf_templates(shared.join(materialize(letters, "letters"), "line"), agree, constant, rounds)
-
-    named = per_line.select("line", "n", "texts", "first")
-    if members is not None:
-        members = materialize(members, "members")
-        named = named.join(members, "line", "left")
-    else:
-        named = named.withColumn("template", F.lit(None).cast("long"))
+    members = leaf_templates(shared.join(materialize(letters, "letters"), "line"), agree, constant, rounds, depth)
+    members = materialize(members, "members")
+
+    named = per_line.select("line", "n", "texts", "first").join(members, "line", "left")
     named = materialize(named.withColumn("template", F.coalesce("template", "line")), "named")
     total = named.groupBy("template", "n").agg(F.sum("texts").alias("texts"), F.min("first").alias("first"))
     enough = F.when(F.col("n") < short_words, short_texts).otherwise(texts)

@@ -101,3 +101,50 @@ def test_empty_table_clashing_columns_and_long_lines(spark):
     assert got.columns == ["doc_id", "text", "line", "leaf", "n_lines", "dropped"]
     assert sorted((r.doc_id, 0 in r.dropped) for r in got.collect()) == [(0, False), (1, True), (2, True), (3, True)]
     assert lt.drop_recurring_lines(docs.limit(0)).count() == 0
+
+
+def crowded_leaf():
+    """One leaf of many templates of equal weight with a spelled-out variable field, among unique lines."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    fields = [[word() for _ in range(8)] for _ in range(7)]
+    lines = [["the", "weather", "in", *own[:3], word(), *own[3:]] for own in fields for _ in range(4)]
+    lines += [["the", "weather", "in", *(word() for _ in range(9))] for _ in range(30)]
+    lines += [["the", "weather", "in", *(word() if rnd.random() < 0.25 else w for w in fields[0]), word()] for _ in range(12)]
+    rnd.shuffle(lines)
+    return [(i, " ".join(line)) for i, line in enumerate(lines)]
+
+
+def test_a_leaf_has_as_many_templates_as_it_holds(spark):
+    rows = crowded_leaf()
+    got = lt.drop_recurring_lines(spark.createDataFrame(rows, D).repartition(3), **L).collect()
+    fields = Counter(t.split()[-1] for _, t in rows if t.split()[-1] != t.split()[-2])
+    left = Counter(r.text.split()[-1] for r in got if r.text)
+    for last, n in fields.items():
+        if n == 4:  # the four lines of a template: its first stays
+            assert left[last] == 1
+    assert sum(not r.dropped for r in got if fields[rows[r.doc_id][1].split()[-1]] == 1) >= 30
+
+
+def test_seeds_against_plain_loops(spark, monkeypatch):
+    """In one task and in blocks, the most frequent remaining line takes all that agree with it."""
+    rnd = random.Random(9)
+    lines = [bytes(x for k in range(12) for x in (k if k < 3 else rnd.randrange(2), 0)) for _ in range(150)]
+    lines = sorted(set(lines))
+    rows = [(i * 7919 % 1009, 5, 12, x, rnd.randint(1, 3)) for i, x in enumerate(lines)]
+    rows += [(5000 + i, 6, 12, x, 1) for i, x in enumerate(lines[:20])]
+    want, need = set(), lt._needed(12, 0.7, 3)
+    for leaf in (5, 6):
+        rest = sorted((r for r in rows if r[1] == leaf), key=lambda r: (-r[4], r[0]))
+        while rest:
+            near = [r for r in rest if sum(a == b for a, b in zip(r[3][6::2], rest[0][3][6::2])) >= need]
+            want.add(frozenset(r[0] for r in near))
+            rest = [r for r in rest if r not in near]
+    assert len(want) > 4
+    frame = spark.createDataFrame([(a, b, c, bytearray(d), e) for a, b, c, d, e in rows], "line long, leaf long, n int, letters binary, texts long")
+    for most in (lt.LEAF_LINES, 1):
+        monkeypatch.setattr(lt, "LEAF_LINES", most)
+        groups = defaultdict(set)
+        for r in lt.seeded_templates(frame.repartition(3), 0.7, 3).collect():
+            groups[r.template].add(r.line)
+        assert {frozenset(g) for g in groups.values()} == want

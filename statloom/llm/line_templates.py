@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from statloom.llm.common import chunks, mixed, numbered, ragged, texts_of
 from statloom.storage import join_bounded, materialize
 
-#: Leading words on the way to a leaf, share of a line's words that must agree with its template,
-#: share of a leaf's texts that make a word part of it, rounds by majority before those by seed.
+#: Leading words on the way to a leaf, share of a line's words after these that must agree with its
+#: template (one at least), share of a leaf's texts that make a word part of it, rounds by majority before those by seed.
 DEPTH, AGREE, CONSTANT, ROUNDS = 3, 0.7, 0.5, 2
 #: Lines with fewer words stay; short ones must recur in more texts than others.
 LEAST_WORDS, SHORT_WORDS, SHORT_TEXTS, TEXTS = 3, 8, 10, 3
@@ -93,19 +93,23 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Share of each line's positions that agree with the template (-1: variable)."""
-    for batch in batches:
-        share = []
-        for letters, places, wanted in zip(*(batch.column(c).to_pylist() for c in ("letters", "places", "wanted")), strict=True):
-            own = np.frombuffer(letters, "<u2")
-            share.append(float((own[places] == np.array(wanted, np.int64)).sum() / len(own)) if places else 0.0)
-        yield pa.RecordBatch.from_arrays([batch.column("line"), batch.column("leaf"), pa.array(share)], ["line", "leaf", "share"])
-
-
 def _needed(n: int, agree: float, depth: int) -> int:
     """Words beyond the leading ones in which two lines of ``n`` words and one leaf must agree."""
-    return math.ceil(agree * n - 1e-9) - min(depth, n)
+    return max(1, math.ceil(agree * max(n - depth, 0) - 1e-9))
+
+
+def _agreeing(agree: float, depth: int):
+    """The lines that agree with the template of their leaf in enough places beyond the leading words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for letters, places, wanted in zip(*(batch.column(c).to_pylist() for c in ("letters", "places", "wanted")), strict=True):
+                own = np.frombuffer(letters, "<u2")
+                near.append(bool((own[places] == np.array(wanted, np.int64)).sum() >= _needed(len(own), agree, depth)))
+            yield pa.RecordBatch.from_arrays([batch.column("line"), batch.column("leaf")], ["line", "leaf"]).filter(pa.array(near, pa.bool_()))
+
+    return run
 
 
 def _banded(agree: float, depth: int):
@@ -120,8 +124,8 @@ def _banded(agree: float, depth: int):
             rows, keys = [], []
             for i, (leaf, n, letters) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("leaf", "n", "letters")), strict=True)):
                 need, beyond = _needed(n, agree, depth), max(n - depth, 0)
-                bands = min(beyond - need, beyond) + 1 if need > 0 else 1
-                cuts = [depth + beyond * k // bands for k in range(bands + 1)] if need > 0 else [0, 0]
+                bands = max(beyond - need, 0) + 1
+                cuts = [depth + beyond * k // bands for k in range(bands + 1)]
                 for k in range(bands):
                     own = leaf.to_bytes(8, "little", signed=True) + k.to_bytes(4, "little") + letters[2 * cuts[k] : 2 * cuts[k + 1]]
                     rows.append(i), keys.append(xxhash.xxh64_intdigest(own))
@@ -247,13 +251,12 @@ def leaf_templates(lines: DataFrame, agree: float, constant: float, rounds: int,
         best = counts.groupBy("leaf", "pos").agg(
             F.max(F.struct("texts", F.col("letter"))).alias("top"), F.sum("texts").alias("all")
         )
-        kept = best.where(F.col("top.texts") >= constant * F.col("all")).select("leaf", F.struct("pos", "top.letter").alias("p"))
+        kept = best.where((F.col("pos") >= depth) & (F.col("top.texts") >= constant * F.col("all"))).select("leaf", F.struct("pos", "top.letter").alias("p"))
         # as many entries as a line of the leaf has words
         template = kept.groupBy("leaf").agg(F.array_sort(F.collect_list("p")).alias("p"))
         template = materialize(template.select("leaf", F.col("p.pos").alias("places"), F.col("p.letter").alias("wanted")), "templates")
         shares = rest.join(template, "leaf").select("line", "leaf", "letters", "places", "wanted")
-        shares = materialize(shares.mapInArrow(_agreeing, "line long, leaf long, share double"), "shares")
-        near = shares.where(F.col("share") >= agree)
+        near = materialize(shares.mapInArrow(_agreeing(agree, depth), "line long, leaf long"), "near")
         mine = near.select("line", F.xxhash64("leaf", F.lit(number)).alias("template"))
         found = mine if found is None else found.unionByName(mine)
         rest = materialize(rest.join(near.select("line", "leaf"), ["line", "leaf"], "left_anti"), "rest")
@@ -309,10 +312,20 @@ def drop_recurring_lines(
 
     named = per_line.select("line", "n", "texts", "first").join(members, "line", "left")
     named = materialize(named.withColumn("template", F.coalesce("template", "line")), "named")
-    total = named.groupBy("template", "n").agg(F.sum("texts").alias("texts"), F.min("first").alias("first"))
+    total = named.groupBy("template", "n").agg(
+        F.sum("texts").alias("texts"), F.min("first").alias("first"), F.count(F.lit(1)).alias("lines")
+    )
     enough = F.when(F.col("n") < short_words, short_texts).otherwise(texts)
-    total = materialize(total.where(F.col("texts") >= enough).select("template", "first"), "recurring")
-    marked = materialize(named.select("line", "template").join(total, "template").select("line", "first"), "marked")
+    total = total.withColumn("enough", enough).where("texts >= enough").select("template", "first", "lines", "enough")
+    marked = join_bounded(named.select("line", "template"), total, ["template"])
+    marked = materialize(marked, "marked")
+    # a text with several lines of a template counts once
+    several = marked.where("lines > 1").select("line", "template", "enough")
+    held = lines.select("line", "text_hash").join(several, "line").groupBy("template", "text_hash", "enough").agg(F.lit(1))
+    held = held.groupBy("template", "enough").agg(F.count(F.lit(1)).alias("texts"))
+    recurring = materialize(held.where("texts >= enough").select("template"), "recurring")
+    several = join_bounded(marked.where("lines > 1"), recurring, ["template"])
+    marked = marked.where("lines = 1").select("line", "first").unionByName(several.select("line", "first"))
     gone = lines.select("id", "line_no", "line").join(marked, "line")
     gone = gone.where((F.col("id") != F.col("first.id")) | (F.col("line_no") != F.col("first.line_no")))
     per_doc = materialize(gone.groupBy("id").agg(F.array_sort(F.collect_set("line_no")).alias("dropped")), "dropped")

@@ -148,3 +148,19 @@ def test_seeds_against_plain_loops(spark, monkeypatch):
         for r in lt.seeded_templates(frame.repartition(3), 0.7, 3).collect():
             groups[r.template].add(r.line)
         assert {frozenset(g) for g in groups.values()} == want
+
+
+def test_several_lines_of_one_text_count_once(spark):
+    """Rows of a table in one text recur nowhere; the same rows in three texts do."""
+    row = "the price of one kilogram of {} was high in that year"
+    table = "\n".join(row.format(x) for x in ("rye", "oats", "wheat", "barley"))
+    got = lt.drop_recurring_lines(spark.createDataFrame([(1, table), (2, "own words"), (3, table)], D)).collect()
+    assert all(not r.dropped for r in got)
+    more = [(i, table + f"\nmore {'of this ' * i}text") for i in (1, 2, 3)]
+    got = {r.doc_id: list(r.dropped) for r in lt.drop_recurring_lines(spark.createDataFrame(more, D)).collect()}
+    assert got == {1: [1, 2, 3], 2: [0, 1, 2, 3], 3: [0, 1, 2, 3]}
+
+
+def test_leading_words_alone_make_no_template(spark):
+    rows = [(i, f"How to make {'abcdefghijkl'[i] * 4}") for i in range(12)]
+    assert all(not r.dropped for r in lt.drop_recurring_lines(spark.createDataFrame(rows, D)).collect())

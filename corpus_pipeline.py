@@ -19,9 +19,13 @@ def _as_documents(changed: DataFrame, docs: DataFrame) -> DataFrame:
     return changed.select([length.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
+#: Words that the passing documents of a language must have in all for it to be judged by distances.
+REFERENCE_LEAST = 1_000
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality rules reject."""
-    return quality_rules(docs, keep_text=True).where("kept").select(*docs.columns)
+    return quality_rules(docs, keep_text=True, reference_least=REFERENCE_LEAST).where("kept").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

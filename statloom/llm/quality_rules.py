@@ -1,7 +1,8 @@
 """Distribution divergence: documents whose characters or common words are unlike their language.
 
 Each document has two histograms, one over character classes and one over the common words of its
-language. The reference of a language is the sum over its documents that pass the base rule. A
+language. The reference of a language is the sum over its documents that pass the base rule; every
+language that occurs has one, and documents without a language have one of their own. A
 document is rejected when the Jensen-Shannon distance (square root of the divergence to base 2, so
 0 to 1) to its reference passes a limit; documents too short for a histogram are not judged by it.
 """
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.llm.common import chunks, flat_words, numbered, texts_of
-from statloom.storage import materialize
+from statloom.storage import join_bounded, materialize
 
 # Common words of the languages that have a list of their own. Other languages are
 # measured with all of them together.
@@ -44,8 +45,8 @@ SYMBOLS = CLASSES["symbol"].encode()
 #: Limits of the distances, and the least characters or words of a document to be judged.
 CHAR_LIMIT, CHAR_LEAST = 0.3, 200
 WORD_LIMIT, WORD_LEAST = 0.262, 100
-#: A language has a reference of its own when it holds this share of the documents; the others
-#: share one, so there are at most 1 / LANG_SHARE + 1 references.
+#: Used by the SQL only, which puts languages below this share of the documents together; the
+#: operator has a reference for each.
 LANG_SHARE = 0.001
 
 _FEATURES = (
@@ -167,15 +168,17 @@ def quality_rules(
     word_limit: float = WORD_LIMIT,
     word_least: int = WORD_LEAST,
     keep_text: bool = False,
+    reference_least: int = 0,
 ) -> DataFrame:
     """One row per input row: its columns, the base measures, distances and verdict.
 
     The text is left out unless ``keep_text`` is set.
 
     Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_distance,
-    word_distance, kept``. A NULL or empty text has no words and fails the base rule. A NULL or
-    rare language is compared with the documents of all such languages together. An empty table
-    gives an empty result; equal rows get equal verdicts. Input columns that bear the name of an
+    word_distance, kept``. A NULL or empty text has no words and fails the base rule. A document is
+    compared with those of its language only, one of NULL language with the others of NULL language;
+    where these have fewer than ``reference_least`` words in all, it is not judged by distances (NULL).
+    An empty table gives an empty result; equal rows get equal verdicts. Input columns that bear the name of an
     added one are replaced by it.
     """
     added = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "commons"}
@@ -189,22 +192,19 @@ def quality_rules(
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = materialize(measured.withColumn("base_failed", failed), "quality")
 
-    sizes = measured.groupBy("__lang").agg(F.count(F.lit(1)).alias("n"))
-    total = measured.count()
-    own = sizes.where(F.col("__lang").isNotNull() & (F.col("n") >= F.lit(LANG_SHARE * total)))
-    names = [r["__lang"] for r in own.select("__lang").collect()]  # at most 1 / LANG_SHARE
-    listed = F.col("__lang").isin(list(COMMON_WORDS))
-    named = F.when(F.col("__lang").isin(names), F.col("__lang"))
-    # a listed language that is rare keeps its own list, hence its own reference
-    measured = measured.withColumn("ref_lang", F.coalesce(named, F.when(listed, F.col("__lang")), F.lit("")))
-
+    # summed up per language before any row moves, as is the look-up of common languages
     passed = measured.where(~F.col("base_failed"))
-    refs = _summed("chars", passed, ["ref_lang"]).join(_summed("commons", passed, ["ref_lang"]), "ref_lang")
-    joined = measured.join(F.broadcast(refs), "ref_lang", "left")  # at most 1 / LANG_SHARE + 5 rows
+    chars = _summed("chars", passed, ["__lang"]).withColumnRenamed("__lang", "ref_lang")
+    commons = _summed("commons", passed, ["__lang"])
+    refs = chars.join(commons, F.col("ref_lang").eqNullSafe(F.col("__lang"))).drop("ref_lang")
+    # a reference holds all words of its documents: the listed ones and the others
+    held = F.aggregate("ref_commons", F.lit(0).cast("long"), lambda a, b: a + b)
+    joined = join_bounded(measured, refs.where(held >= reference_least), ["__lang"], "left")
+    judged = F.col("ref_chars").isNotNull()
     char_total = F.aggregate("chars", F.lit(0).cast("long"), lambda a, b: a + b)
-    joined = joined.withColumn("char_distance", F.when(char_total >= char_least, _distance(F.col("chars"), F.col("ref_chars"))))
+    joined = joined.withColumn("char_distance", F.when((char_total >= char_least) & judged, _distance(F.col("chars"), F.col("ref_chars"))))
     joined = joined.withColumn(
-        "word_distance", F.when(F.col("n_words") >= word_least, _distance(F.col("commons"), F.col("ref_commons")))
+        "word_distance", F.when((F.col("n_words") >= word_least) & judged, _distance(F.col("commons"), F.col("ref_commons")))
     )
     far = (F.coalesce(F.col("char_distance"), F.lit(0.0)) > char_limit) | (
         F.coalesce(F.col("word_distance"), F.lit(0.0)) > word_limit

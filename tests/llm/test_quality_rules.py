@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -82,3 +83,19 @@ def test_long_text(spark):
     one = spark.createDataFrame([(1, "wörter und so weiter " * 100_000, "de")], "doc_id long, text string, lang string")
     row = q.quality_rules(one).first()
     assert (row.n_words, row.word_chars, row.n_repeat_words) == (400_000, 1_700_000, 400_000) and row.base_failed
+
+
+def test_every_language_has_its_own_reference(spark):
+    """A language far below 0.1 % of the documents, in another script, is not held against others."""
+    rnd = random.Random(5)
+    word = lambda letters: "".join(rnd.choice(letters) for _ in range(rnd.randint(2, 8)))
+    prose = lambda letters: " ".join(word(letters) for _ in range(60))
+    rows = [(i, prose("aeioulrnst"), "en") for i in range(3000)]
+    rows += [(5000 + i, prose("aeioulrnst"), f"r{i % 20}") for i in range(40)]
+    rows += [(9000 + i, prose("абвгдежзик"), "ru") for i in range(2)] + [(9100, prose("абвгдежзик"), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in q.quality_rules(docs).collect()}
+    assert len(got) == len(rows) and all(r.kept for r in got.values())
+    assert got[9000].char_distance < 0.1 and got[9100].char_distance == pytest.approx(0, abs=1e-9)
+    few = {r.doc_id: r for r in q.quality_rules(docs, reference_least=1000).collect()}
+    assert few[9000].char_distance is None and few[9000].kept and few[0].char_distance is not None

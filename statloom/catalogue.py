@@ -756,6 +756,11 @@ def elbow_drawn(spark, d):
     return curve.filter("k = 1").withColumn("wcss", F.round("wcss", 4))
 
 
+def elbow_drawn_curve(spark, d):
+    """The whole curve of the operator's ten drawn starts, which SQL cannot repeat."""
+    return cluster.elbow_curve(_vectors(spark, d)).withColumn("wcss", F.round("wcss", 4))
+
+
 def _clustered(spark, d):
     vectors = _vectors(spark, d)
     assigned = cluster.kmeans_assign(vectors, **_first_centres(vectors))
@@ -824,15 +829,19 @@ def roles_skipped(spark, d):
 
 
 def ols_one_feature(spark, d):
-    """The line of price on quantity per flag: one aggregate for all flags."""
-    price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
-    names = F.create_map(*[F.lit(x) for role, code in FLAGS for x in (code.upper(), role)])
-    lines = table(spark, d, "lineitem").groupBy("l_returnflag").agg(
-        F.regr_slope(price, quantity).alias("slope"), F.regr_intercept(price, quantity).alias("intercept")
-    )
-    return lines.select(
-        names[F.col("l_returnflag")].alias("role"), F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept")
-    )
+    """The line of price on quantity per flag, fitted by the operator and read off at 0 and 1."""
+    lines = table(spark, d, "lineitem").where("l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL")
+    ends = spark.createDataFrame([(0.0,), (1.0,)], "l_quantity double")
+    out = []
+    for role, code in FLAGS:
+        rows = lines.where(F.col("l_returnflag") == code.upper())
+        if rows.isEmpty():
+            continue
+        fit = values.fit_values(rows, values.RoleModel(role, code, ["l_quantity"]), "l_extendedprice")
+        at = {r["l_quantity"]: r["estimate"] for r in fit.estimate(ends).select("l_quantity", "estimate").collect()}
+        out.append((role, at[1.0] - at[0.0], at[0.0]))
+    fitted = spark.createDataFrame(out, "role string, slope double, intercept double")
+    return fitted.select("role", F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -854,7 +863,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         values_without_players,
         log_features, clip_scale, standardize, one_hot, split_80_20, wcss_k1, ols_one_feature,
         roles_skipped,
-        elbow_curve, elbow_drawn, kmeans_assign, cluster_sizes, cluster_profile, pca_2d, pca_shares,
+        elbow_curve, elbow_drawn, elbow_drawn_curve, kmeans_assign, cluster_sizes, cluster_profile, pca_2d, pca_shares,
         value_model,
     )
 }

@@ -4,6 +4,7 @@ Set CATALOGUE_SF_DIR for another size.
 """
 
 import os
+from itertools import combinations
 
 import pytest
 from oracle import connect, differences, order_differs
@@ -63,3 +64,34 @@ def test_values_cover_all_rows_in_range(spark):
     rows = QUERIES["value_model"](spark, DIR).collect()
     assert len(rows) == spark.read.parquet(f"{DIR}/lineitem.parquet").count()
     assert all(0.1 <= r.predicted_m <= 200 for r in rows)
+
+
+def test_regression_query_runs_the_operator(spark, monkeypatch):
+    from statloom import catalogue
+
+    fitted, fit = [], catalogue.values.fit_values
+    monkeypatch.setattr(catalogue.values, "fit_values", lambda *a: fitted.append(a[1].role) or fit(*a))
+    lines = [(f, float(q), 3.0 * q + k) for k, f in enumerate("ANR") for q in (1, 2, 5, 9)] + [("A", None, 7.0), ("A", 4.0, None)]
+    frame = spark.createDataFrame(lines, "l_returnflag string, l_quantity double, l_extendedprice double")
+    monkeypatch.setattr(catalogue, "table", lambda *_: frame)
+    got = {r.role: (r.slope, r.intercept) for r in catalogue.ols_one_feature(spark, "").collect()}
+    assert fitted == list(got) == ["Accepted", "None", "Returned"]
+    assert got == {"Accepted": (3.0, 0.0), "None": (3.0, 1.0), "Returned": (3.0, 2.0)}
+
+
+def test_drawn_starts_against_brute_force(spark, monkeypatch):
+    """The best division of points on a line is one of intervals; all of them are tried."""
+    from statloom import catalogue
+
+    spots = [0.0, 0.3, 0.7, 1.2, 50.0, 50.2, 50.9, 51.1, 90.0, 90.4, 90.5, 91.3]
+    frame = spark.createDataFrame([(i, [x]) for i, x in enumerate(spots)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(catalogue, "table", lambda *_: frame)
+    own = sorted(r[catalogue.cluster.VECTOR][0] for r in catalogue._vectors(spark, "").collect())
+    spread = lambda a, b: sum((x - sum(own[a:b]) / (b - a)) ** 2 for x in own[a:b])
+    best = {}
+    for k in range(1, 11):
+        divisions = ([0, *cuts, len(own)] for cuts in combinations(range(1, len(own)), k - 1))
+        best[k] = min(sum(map(spread, cuts, cuts[1:])) for cuts in divisions)
+    got = {r.k: r.wcss for r in QUERIES["elbow_drawn_curve"](spark, "").collect()}
+    assert sorted(got) == list(best) and all(got[k] >= best[k] - 1e-4 for k in best)
+    assert all(got[k] == pytest.approx(best[k], abs=1e-4) for k in (1, 2, 3))

@@ -13,6 +13,7 @@ from statloom.llm.line_templates import drop_recurring_lines
 from statloom.llm.nb_svm import score_texts
 from statloom.llm.packing import pack
 from statloom.llm.pitman_yor import score_documents
+from statloom.llm.prefix_trie import prefix_trie
 from statloom.llm.quality_rules import quality_rules
 from statloom.llm.queries_sql import ORACLE
 from statloom.llm.simhash import simhash_groups
@@ -96,6 +97,10 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_divergence": op1_divergence,
     "op2_pitman_yor": op2_pitman_yor,
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_templates": op8_line_templates,
     "op9_fm_index": op9_fm_index,
     "op10_url_filter": op10_url_filter,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -92,4 +92,37 @@ def _windows() -> str:
     FROM d LEFT JOIN h USING (n) LEFT JOIN f USING (n)"""
 
 
-ORACLE: dict[str, str] = {"op1_divergence": _divergence(), "op9_fm_index": _windows()}
+def _trie() -> str:
+    """Rebuilt turns, their prefixes, and the sums over the nodes below each prefix."""
+    crc = (
+        "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), "
+        "lambda a, b: list_reduce(list_prepend(xor(a, b), [1, 2, 3, 4, 5, 6, 7, 8]), lambda v, k: xor(v >> 1, (v & 1) * 3988292384))), 4294967295)"
+    )
+    return f"""WITH t AS MATERIALIZED (
+      SELECT conv_id AS c, n, sha256(concat(octet_length(encode(r)), ':', r, x))[:32] AS g, CAST(length(x) AS BIGINT) AS chars,
+             row_number() OVER (PARTITION BY conv_id ORDER BY n NULLS FIRST, sha256(concat(octet_length(encode(r)), ':', r, x))[:32]) AS k
+      FROM (SELECT conv_id, turn AS n, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+    h AS (SELECT c, c - c % 100 AS b, {crc} % 6 AS h FROM (SELECT DISTINCT c FROM t)),
+    u AS (SELECT h.c, t.k, g, chars FROM h JOIN t ON t.c = h.b AND t.k <= h.h
+          UNION ALL SELECT h.c, t.k, g, chars FROM h JOIN t ON t.c = h.c AND t.k > h.h),
+    v AS (SELECT c, g, chars, row_number() OVER (PARTITION BY c ORDER BY k) AS d FROM u),
+    p AS MATERIALIZED (
+      SELECT c, d, chars, string_agg(g, '') OVER (PARTITION BY c ORDER BY d) AS p FROM v
+      UNION ALL SELECT c, 0, 0, '' FROM h),
+    z AS (SELECT c, max(d) AS z FROM p GROUP BY c),
+    m AS MATERIALIZED (
+      SELECT p, d, min(c) AS id, count(*) AS n, max(chars) AS chars,
+             string_agg(CASE WHEN d = z THEN CAST(c AS VARCHAR) END, ',' ORDER BY c) AS ends
+      FROM p JOIN z USING (c) GROUP BY p, d),
+    w AS (SELECT p, left(p, 32 * (d - 1)) AS up FROM m WHERE d > 0),
+    k AS (SELECT up, count(*) AS n FROM w GROUP BY up),
+    a AS (
+      SELECT top, sum(leaf) AS leaves, sum(save) AS saved FROM (
+        SELECT left(m.p, 32 * unnest(range(0, d + 1))) AS top, CASE WHEN k.n IS NULL THEN 1 ELSE 0 END AS leaf, (m.n - 1) * chars AS save
+        FROM m LEFT JOIN k ON k.up = m.p) GROUP BY top)
+    SELECT m.id AS conv_id, m.d AS depth, o.id AS parent_conv_id, m.n AS n_convs, coalesce(k.n, 0) AS n_children,
+           CAST(a.leaves AS BIGINT) AS n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
+    FROM m LEFT JOIN w ON w.p = m.p LEFT JOIN m o ON o.p = w.up LEFT JOIN k ON k.up = m.p JOIN a ON a.top = m.p"""
+
+
+ORACLE: dict[str, str] = {"op1_divergence": _divergence(), "op9_fm_index": _windows(), "op13_prefix_trie": _trie()}

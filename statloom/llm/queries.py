@@ -12,6 +12,7 @@ from statloom.llm.decontaminate import decontaminate
 from statloom.llm.line_templates import drop_recurring_lines
 from statloom.llm.nb_svm import score_texts
 from statloom.llm.packing import pack
+from statloom.llm.phrase_mining import collocations
 from statloom.llm.pitman_yor import score_documents
 from statloom.llm.prefix_trie import prefix_trie
 from statloom.llm.quality_rules import quality_rules
@@ -97,6 +98,10 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_son_phrases(spark: SparkSession, d: str) -> DataFrame:
+    return collocations(table(spark, d, "documents").select("lang", "text"))
+
+
 def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
     return prefix_trie(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"))
 
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_templates": op8_line_templates,
     "op9_fm_index": op9_fm_index,
     "op10_url_filter": op10_url_filter,
+    "op11_son_phrases": op11_son_phrases,
     "op13_prefix_trie": op13_prefix_trie,
 }
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from statloom.llm import quality_rules as q
 from statloom.llm.decontaminate import WINDOW
+from statloom.llm.phrase_mining import COVERED, LONGEST, SUPPORT, TOP
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -92,6 +93,37 @@ def _windows() -> str:
     FROM d LEFT JOIN h USING (n) LEFT JOIN f USING (n)"""
 
 
+def _collocations() -> str:
+    """All phrases of a language counted, cut, scored and ranked."""
+    return rf"""WITH p AS (
+      SELECT coalesce(lang, 'und') AS lang,
+             unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?
+-]')) AS p FROM documents),
+    w AS MATERIALIZED (SELECT lang, regexp_extract_all(p, '[^ 	]+') AS w FROM p),
+    n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+    f AS MATERIALIZED (
+      SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS p, count(*) AS a FROM (
+        SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM (SELECT lang, w, unnest(range(1, {LONGEST + 1})) AS k FROM w))
+      GROUP BY lang, k, p HAVING count(*) >= {SUPPORT}),
+    c AS (SELECT lang, p, a, string_split(p, ' ') AS w, unnest(range(1, k)) AS cut, k FROM f WHERE k > 1),
+    s AS (
+      SELECT c.lang, c.p, c.k, c.a, c.cut, l.a AS l, r.a AS r, n.n,
+             CAST((1000::HUGEINT * c.a * n.n) // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+      FROM c JOIN n ON n.lang = c.lang
+      JOIN f l ON l.lang = c.lang AND l.p = array_to_string(w[1:cut], ' ')
+      JOIN f r ON r.lang = c.lang AND r.p = array_to_string(w[cut + 1:], ' ')),
+    b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+    x AS (
+      SELECT lang, part, max(a) AS longer FROM (
+        SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS part FROM (
+          SELECT lang, a, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM (
+            SELECT lang, a, string_split(p, ' ') AS w, unnest(range(2, k)) AS m FROM f WHERE k > 2))) GROUP BY lang, part),
+    k AS (
+      SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, p) AS rank
+      FROM b LEFT JOIN x ON x.lang = b.lang AND x.part = b.p WHERE longer IS NULL OR 100 * longer < {COVERED} * a)
+    SELECT lang, rank, p AS phrase, a, l, r, n, score FROM k WHERE rank <= {TOP}"""
+
+
 def _trie() -> str:
     """Rebuilt turns, their prefixes, and the sums over the nodes below each prefix."""
     crc = (
@@ -125,4 +157,4 @@ def _trie() -> str:
     FROM m LEFT JOIN w ON w.p = m.p LEFT JOIN m o ON o.p = w.up LEFT JOIN k ON k.up = m.p JOIN a ON a.top = m.p"""
 
 
-ORACLE: dict[str, str] = {"op1_divergence": _divergence(), "op9_fm_index": _windows(), "op13_prefix_trie": _trie()}
+ORACLE: dict[str, str] = {"op1_divergence": _divergence(), "op9_fm_index": _windows(), "op11_son_phrases": _collocations(), "op13_prefix_trie": _trie()}

@@ -1,21 +1,22 @@
 """Phrase collocations, mined by partitioning (SON).
 
-A shard is what a task holds of the corpus, up to a bound of bytes. The first pass mines each shard
-completely, level by level, at the support lowered in proportion to the shard's share of a language's
-bytes: a phrase that is frequent in all must be so in some shard. The reports of all shards bound the
-count of each phrase from above (a shard that does not report it holds less than its bar), and the
-phrases whose bound reaches the support are the candidates. The second pass counts them everywhere,
-exactly: a bit filter of bounded size tells a shard which of its phrases may be candidates; what it
-lets through by chance is counted like the others and falls to the support.
-
-With an absolute support the bar falls as shards multiply. From one occurrence on the first pass
-reports every phrase; results stay the same.
+A shard is what a task reads. It goes through memory in slices of bounded size; each slice is mined
+completely, level by level, at the support lowered in proportion to its share of a language's bytes,
+and what its slices report bounds a phrase's count in the shard (a slice that does not report it holds
+less than its bar). A shard reports the phrases that may reach its own bar: one that is frequent in
+all reaches it in some shard. In the same way all reports bound the count in all, and the phrases
+whose bound reaches the support are the candidates. The second pass counts them everywhere, exactly:
+a bit filter of bounded size tells which phrases may be candidates; what it lets through by chance
+is counted like the others and fails the support.
+
+With an absolute support the bars fall as shards multiply. From one occurrence on the first pass
+reports every phrase, with its count; results stay the same.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import count
 
 import numpy as np
@@ -30,8 +31,11 @@ from statloom.llm.common import chunks, mixed, texts_of
 from statloom.storage import join_bounded, materialize
 
 SUPPORT, LONGEST, TOP, COVERED = 100, 5, 2_000, 100
-#: Bytes of text that a shard holds at most (or one longer text).
-SHARD_BYTES = 32 << 20
+#: Bytes of text that a shard has if there are enough for all cores, those of its slices (or one longer
+#: text), and positions that are numbered at once.
+SHARD_BYTES, SLICE_BYTES, PART = 256 << 20, 32 << 20, 1_000_000
+#: Phrases that a shard holds before it ends early, and bytes of counts that are summed up before they are sent.
+REPORTS, COUNTED_BYTES = 4_000_000, 64 << 20
 #: Bits of the filter for each candidate, and its bytes at most; a fuller one lets more through.
 FILTER_BITS, FILTER_BYTES = 16, 16 << 20
 
@@ -42,8 +46,13 @@ _TABLE = bytes(
 )
 
 
-class Shard:
-    """The texts of one language in a task: word numbers in a row, 0 between pieces."""
+def bar_of(support: int, size: int, total: int) -> int:
+    """Occurrences that make a phrase frequent in ``size`` of ``total`` bytes."""
+    return max(1, -(-support * size // max(total, 1)))
+
+
+class Slice:
+    """Texts of one language in a task: word numbers in a row, 0 between pieces."""
 
     def __init__(self, lang: str, total: int):
         self.lang, self.total, self.bytes = lang, total, 0
@@ -57,17 +66,21 @@ class Shard:
         words = (_END.join(texts) + _END).translate(_TABLE).replace(_END, b" \xff ").split()
         self.parts.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
 
-    def words(self) -> list[bytes]:
-        return list(self.number)  # the end of a piece first, as it was numbered first
+    def close(self) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """The numbers in a row, and the hash and the text of each number; the slice is emptied."""
+        hashes = word_hashes(self.lang, self.number)
+        words = pa.array(list(self.number), pa.binary())  # the end of a piece first, as it was numbered first
+        self.number.clear()
+        ids, self.parts = np.concatenate(self.parts), []
+        return ids, hashes, words
 
     def bar(self, support: int) -> int:
-        """Occurrences that make a phrase locally frequent."""
-        return max(1, -(-support * self.bytes // max(self.total, 1)))
+        return bar_of(support, self.bytes, self.total)
 
 
-def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+def word_hashes(lang: str, words: Iterable[bytes]) -> np.ndarray:
     seed = xxhash.xxh64_intdigest(lang.encode())
-    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64)
 
 
 def phrases(ids: np.ndarray, hashes: np.ndarray, longest: int, keep: Callable) -> Iterator[tuple]:
@@ -86,26 +99,32 @@ def phrases(ids: np.ndarray, hashes: np.ndarray, longest: int, keep: Callable) -
     alive, gram, own = kept[ids], ids, hashes
     with np.errstate(over="ignore"):
         for k in range(1, longest):
-            at = np.flatnonzero(alive[:-1] & alive[1:])
+            at = np.flatnonzero(alive[:-1] & alive[1:]).astype(np.int32)
             if not len(at):
                 return
-            code, pairs = pd.factorize(gram[at].astype(np.int64) * size + ids[at + k])
-            counts = np.bincount(code, minlength=len(pairs))
-            own = mixed(mixed(own[pairs // size] + np.uint64(0x9E3779B97F4A7C15)) + hashes[pairs % size])
-            kept = keep(own, counts)
-            first = np.zeros(len(pairs), np.int64)
-            first[code[::-1]] = at[::-1]
-            yield k + 1, first[kept], own[kept], counts[kept]
-            near = kept[code]
-            alive = np.zeros(len(ids), bool)
-            alive[at[near]] = True
-            gram = np.zeros(len(ids), np.int32)
-            gram[at[near]] = code[near]
-
-
-def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[Shard]]:
-    """The task's rows as shards of all their languages."""
-    held: dict[str, Shard] = {}
+            alive, longer, made, size_now = np.zeros(len(ids), bool), np.zeros(len(ids), np.int32), [], 0
+            parts = len(at) // PART + 1
+            for part in range(parts):  # pairs with one shorter phrase meet in one part
+                here = at[gram[at] % parts == part] if parts > 1 else at
+                code, pairs = pd.factorize(gram[here].astype(np.int64) * size + ids[here + k])
+                counts = np.bincount(code, minlength=len(pairs))
+                mine = mixed(mixed(own[pairs // size] + np.uint64(0x9E3779B97F4A7C15)) + hashes[pairs % size])
+                kept = keep(mine, counts)
+                first = np.zeros(len(pairs), np.int64)
+                first[code[::-1]] = here[::-1]
+                made.append((first[kept], mine[kept], counts[kept]))
+                near = kept[code]
+                alive[here[near]] = True
+                longer[here[near]] = (np.cumsum(kept) - 1 + size_now)[code[near]]
+                size_now += len(made[-1][0])
+            first, own, counts = (np.concatenate(x) for x in zip(*made, strict=True))
+            yield k + 1, first, own, counts
+            gram = longer
+
+
+def _slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[Slice]]:
+    """The task's rows as slices of at most ``most`` bytes (or one longer text), by language."""
+    held: dict[str, Slice] = {}
     size = 0
     for batch in chunks(batches, "text", 4 << 20):
         texts, langs = texts_of(batch, "text"), batch.column("lang").to_pylist()
@@ -117,10 +136,11 @@ def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[Shard
         if size and size + more > most:
             yield list(held.values())
             held, size = {}, 0
+            pa.default_memory_pool().release_unused()
         size += more
         for lang, own in by_lang.items():
             if lang not in held:
-                held[lang] = Shard(lang, totals[lang])
+                held[lang] = Slice(lang, totals[lang])
             held[lang].add(own)
     if held:
         yield list(held.values())
@@ -129,26 +149,56 @@ def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[Shard
 _REPORT = "lang string, h long, c long, slack long"
 
 
+class Reports:
+    """What the slices of a shard report of one language."""
+
+    def __init__(self) -> None:
+        self.bytes = self.words = self.slack = self.total = 0
+        self.h, self.c, self.reported = (np.zeros(0, np.int64) for _ in range(3))
+
+    def add(self, slice: Slice, support: int, longest: int) -> None:
+        bar = slice.bar(support)
+        ids, hashes, _ = slice.close()
+        found = list(phrases(ids, hashes, longest, lambda h, c: c >= bar))
+        self.bytes, self.total = self.bytes + slice.bytes, slice.total
+        self.words, self.slack = self.words + int((ids > 0).sum()), self.slack + bar - 1
+        h = np.concatenate([self.h, *(x[2].view(np.int64) for x in found)])
+        c = np.concatenate([self.c, *(x[3].astype(np.int64) for x in found)])
+        reported = np.concatenate([self.reported, np.full(len(h) - len(self.h), bar - 1)])
+        order = np.argsort(h, kind="stable")
+        starts = np.flatnonzero(np.diff(h[order], prepend=h[order[:1]] - 1))
+        self.h = h[order][starts]
+        if len(starts):
+            self.c, self.reported = np.add.reduceat(c[order], starts), np.add.reduceat(reported[order], starts)
+
+    def rows(self, lang: str, support: int) -> Iterator[pa.RecordBatch]:
+        """The phrases that may be frequent in the shard, by the most they can count there; the shard itself."""
+        bar = bar_of(support, self.bytes, self.total)
+        most = self.c + self.slack - self.reported
+        kept = most >= bar
+        h, most = self.h[kept], most[kept]
+        for k in range(0, len(h), 100_000):
+            own = pa.array(h[k : k + 100_000]), pa.array(most[k : k + 100_000])
+            n = len(own[0])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), *own, pa.array(np.full(n, bar - 1))], ["lang", "h", "c", "slack"])
+        told = zip([[lang], [None], [self.words], [bar - 1]], (pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in told], ["lang", "h", "c", "slack"])
+
+
 def _mine(support: int, longest: int, most: int):
-    """Pass one: locally frequent phrases by hash, and one row without hash for the shard itself."""
+    """Pass one: by hash the phrases that are frequent in a shard, and one row without hash for the shard itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shards in _shards(batches, most):
-            for shard in shards:
-                ids = np.concatenate(shard.parts)
-                bar = shard.bar(support)
-                hashes = word_hashes(shard.lang, shard.words())
-                found = list(phrases(ids, hashes, longest, lambda h, c, bar=bar: c >= bar))
-                h = np.concatenate([x[2] for x in found]).view(np.int64)
-                c = np.concatenate([x[3] for x in found]).astype(np.int64)
-                for k in range(0, len(h) + 1, 100_000):
-                    own = pa.array(h[k : k + 100_000]), pa.array(c[k : k + 100_000])
-                    n = len(own[0])
-                    columns = [pa.array([shard.lang] * n, pa.string()), *own, pa.array(np.full(n, bar - 1))]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "h", "c", "slack"])
-                told = [[shard.lang], [None], [int((ids > 0).sum())], [bar - 1]]
-                kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(told, kinds, strict=True)], ["lang", "h", "c", "slack"])
+        held: defaultdict[str, Reports] = defaultdict(Reports)
+        for slices in _slices(batches, most):
+            for slice in slices:
+                held[slice.lang].add(slice, support, longest)
+            if sum(len(x.h) for x in held.values()) > REPORTS:
+                for lang, reports in held.items():
+                    yield from reports.rows(lang, support)
+                held.clear()
+        for lang, reports in held.items():
+            yield from reports.rows(lang, support)
 
     return run
 
@@ -173,7 +223,17 @@ def bit_filter(candidates: DataFrame, n: int) -> np.ndarray:
 
 
 def _count(sent, longest: int, most: int):
-    """Pass two: the counts of all phrases that the filter lets through."""
+    """Pass two: the counts of all phrases that the filter lets through, summed up over a task's slices."""
+
+    def counted(slice: Slice, listed: Callable) -> Iterator[pa.Table]:
+        ids, hashes, words = slice.close()
+        for k, first, _, counts in phrases(ids, hashes, longest, listed):
+            said = words.take(pa.array(ids[first]))
+            for j in range(1, k):
+                said = pc.binary_join_element_wise(said, words.take(pa.array(ids[first + j])), b" ")
+            lang = pa.array([slice.lang]).take(pa.array(np.zeros(len(first), np.int32)))
+            length, a = pa.array(np.full(len(first), k, np.int32)), pa.array(counts.astype(np.int64))
+            yield pa.table([lang, said.cast(pa.string()), length, a], ["lang", "phrase", "k", "a"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = sent.value
@@ -182,27 +242,22 @@ def _count(sent, longest: int, most: int):
             mask = _mask(h)
             return blocks[((h >> np.uint64(32)) & np.uint64(len(blocks) - 1)).astype(np.int64)] & mask == mask
 
-        for shards in _shards(batches, most):
-            for shard in shards:
-                ids, own = np.concatenate(shard.parts), shard.words()
-                words = pa.array(own, pa.binary())
-                for k, first, _, counts in phrases(ids, word_hashes(shard.lang, own), longest, listed):
-                    for a in range(0, len(first), 100_000):
-                        at = first[a : a + 100_000]
-                        said = words.take(pa.array(ids[at]))
-                        for j in range(1, k):
-                            said = pc.binary_join_element_wise(said, words.take(pa.array(ids[at + j])), b" ")
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([shard.lang] * len(at), pa.string()), said.cast(pa.string()), pa.array(np.full(len(at), k, np.int32)),
-                             pa.array(counts[a : a + 100_000].astype(np.int64))],
-                            ["lang", "phrase", "k", "a"],
-                        )
+        held: list[pa.Table] = []
+        for slices in _slices(batches, most):
+            for slice in slices:
+                held += counted(slice, listed)
+            summed = pa.concat_tables(held).group_by(["lang", "phrase", "k"]).aggregate([("a", "sum")])
+            held = [summed.select(["lang", "phrase", "k", "a_sum"]).rename_columns(["lang", "phrase", "k", "a"])]
+            if held[0].nbytes > COUNTED_BYTES:
+                yield from held.pop().to_batches(100_000)
+        for rest in held:
+            yield from rest.to_batches(100_000)
 
     return run
 
 
 def frequent_phrases(
-    docs: DataFrame, lang: str = "lang", text: str = "text", support: int = SUPPORT, longest: int = LONGEST, shard_bytes: int = SHARD_BYTES
+    docs: DataFrame, lang: str = "lang", text: str = "text", support: int = SUPPORT, longest: int = LONGEST, slice_bytes: int = SLICE_BYTES
 ) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, k, a`` of all phrases of up to ``longest`` words with ``support`` or more
     occurrences in their language, and ``lang, n``: the words of each language."""
@@ -212,18 +267,18 @@ def frequent_phrases(
     )
     totals = materialize(source.groupBy("lang").agg(F.sum(F.octet_length("text")).cast("long").alias("total")), "language-bytes")
     size = totals.agg(F.sum("total")).first()[0] or 0
-    # small partitions are read together, so that shards are as large as they may be
-    shards = max(spark.sparkContext.defaultParallelism, -(-size // shard_bytes))
-    source = join_bounded(source, totals, ["lang"]).select("lang", "text", "total").coalesce(shards)
+    source = join_bounded(source, totals, ["lang"]).select("lang", "text", "total")
 
-    reports = materialize(source.mapInArrow(_mine(support, longest, shard_bytes), _REPORT), "local-phrases")
+    # small partitions are read together, as long as all cores have work
+    shards = source.coalesce(max(spark.sparkContext.defaultParallelism, -(-size // SHARD_BYTES)))
+    reports = materialize(shards.mapInArrow(_mine(support, longest, slice_bytes), _REPORT), "local-phrases")
     told = reports.where(F.col("h").isNull()).groupBy("lang").agg(F.sum("c").alias("n"), F.sum("slack").alias("all_slack"))
     told = materialize(told, "language-words")
     bound = reports.where(F.col("h").isNotNull()).groupBy("lang", "h").agg(F.sum("c").alias("c"), F.sum("slack").alias("slack"))
     bound = join_bounded(bound, told.select("lang", "all_slack"), ["lang"])
     candidates = materialize(bound.where(F.col("c") + F.col("all_slack") - F.col("slack") >= support).select("h"), "candidates")
     sent = spark.sparkContext.broadcast(bit_filter(candidates, candidates.count()))
-    counted = source.mapInArrow(_count(sent, longest, shard_bytes), "lang string, phrase string, k int, a long")
+    counted = shards.mapInArrow(_count(sent, longest, slice_bytes), "lang string, phrase string, k int, a long")
     counted = counted.groupBy("lang", "phrase", "k").agg(F.sum("a").alias("a")).where(F.col("a") >= support)
     return materialize(counted, "frequent-phrases"), told.select("lang", "n")
 
@@ -236,7 +291,7 @@ def collocations(
     longest: int = LONGEST,
     covered: int = COVERED,
     top: int = TOP,
-    shard_bytes: int = SHARD_BYTES,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """The first ``top`` phrases of each language: ``lang, rank, phrase, a, l, r, n, score``.
 
@@ -246,7 +301,7 @@ def collocations(
     rising bytes. A NULL language is ``und``, a NULL text empty; a text of any length is read whole;
     repeated rows count each; an empty table gives no rows. Other columns are not read.
     """
-    found, words = frequent_phrases(docs, lang, text, support, longest, shard_bytes)
+    found, words = frequent_phrases(docs, lang, text, support, longest, slice_bytes)
     long = found.where("k > 1").withColumn("w", F.split("phrase", " "))
     said = lambda a, n: F.array_join(F.slice("w", a, n), " ")
     cuts = long.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("k") - 1)))

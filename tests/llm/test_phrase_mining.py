@@ -58,18 +58,33 @@ def brute(rows, support, longest, covered, top):
 def test_against_brute_force(spark, support, covered, top, size, parts):
     rows = corpus()
     frame = spark.createDataFrame(rows, ROWS).repartition(parts)
-    got = mining.collocations(frame, support=support, covered=covered, top=top, shard_bytes=size).collect()
+    got = mining.collocations(frame, support=support, covered=covered, top=top, slice_bytes=size).collect()
     assert sorted(map(tuple, got)) == brute(rows, support, 5, covered, top)
 
 
+def test_numbered_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(mining, "PART", 50)
+    monkeypatch.setattr(mining, "COUNTED_BYTES", 500)
+    rows = corpus(seed=8)
+    got = mining.collocations(spark.createDataFrame(rows, ROWS).coalesce(2), support=6, slice_bytes=1_500).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 6, 5, 100, 2000)
+
+
 def test_crowded_filter(spark, monkeypatch):
     """A filter that lets much through by chance changes nothing."""
     monkeypatch.setattr(mining, "FILTER_BYTES", 128)
     rows = corpus(seed=4)
-    got = mining.collocations(spark.createDataFrame(rows, ROWS), support=4, shard_bytes=2_000).collect()
+    got = mining.collocations(spark.createDataFrame(rows, ROWS), support=4, slice_bytes=2_000).collect()
     assert sorted(map(tuple, got)) == brute(rows, 4, 5, 100, 2000)
 
 
+def test_shards_that_end_early(spark, monkeypatch):
+    monkeypatch.setattr(mining, "REPORTS", 300)
+    rows = corpus(seed=11)
+    got = mining.collocations(spark.createDataFrame(rows, ROWS).coalesce(2), support=9, slice_bytes=1_000).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 9, 5, 100, 2000)
+
+
 def test_local_bars_lose_nothing():
     """Some shard reaches its bar for every phrase that is frequent in all."""
     rnd = random.Random(1)
@@ -77,12 +92,7 @@ def test_local_bars_lose_nothing():
         sizes = [rnd.randint(1, 50) for _ in range(rnd.randint(1, 9))]
         counts = [rnd.randint(0, s) for s in sizes]
         support = max(1, sum(counts))
-        bars = []
-        for s in sizes:
-            shard = mining.Shard("x", sum(sizes))
-            shard.bytes = s
-            bars.append(shard.bar(support))
-        assert sum(counts) < support or any(c >= b for c, b in zip(counts, bars, strict=True))
+        assert sum(counts) < support or any(c >= mining.bar_of(support, s, sum(sizes)) for c, s in zip(counts, sizes, strict=True))
 
 
 def test_mask_equals_sql(spark):

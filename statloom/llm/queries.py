@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from statloom.llm.common import remainder, table
 from statloom.llm.decontaminate import decontaminate
+from statloom.llm.license_scan import scan_licenses
 from statloom.llm.line_templates import drop_recurring_lines
 from statloom.llm.nb_svm import score_texts
 from statloom.llm.packing import pack
@@ -102,6 +103,20 @@ def op11_son_phrases(spark: SparkSession, d: str) -> DataFrame:
     return collocations(table(spark, d, "documents").select("lang", "text"))
 
 
+def op12_licenses(spark: SparkSession, d: str) -> DataFrame:
+    found = scan_licenses(table(spark, d, "documents").select("doc_id", "text"))
+    starts = F.transform("base", lambda b: b["start"])
+    own = F.array_sort(F.array_distinct(F.transform("base", lambda b: b["label"])))
+    return found.select(
+        *("doc_id", "n_words", F.size("base").cast("long").alias("n_base")),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(own, ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
     return prefix_trie(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"))
 
@@ -118,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fm_index": op9_fm_index,
     "op10_url_filter": op10_url_filter,
     "op11_son_phrases": op11_son_phrases,
+    "op12_licenses": op12_licenses,
     "op13_prefix_trie": op13_prefix_trie,
 }
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,8 +25,10 @@ def remainder(column: str, mod: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % mod
 
 
-def chunks(batches: Iterable[pa.RecordBatch], column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices whose texts stay below ``most`` bytes (a longer text is alone)."""
+def chunks(
+    batches: Iterable[pa.RecordBatch], column: str, most: int = CHUNK_BYTES, rows: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices whose texts stay below ``most`` bytes (a longer text is alone), of ``rows`` rows at most."""
     for batch in batches:
         sizes = np.zeros(batch.num_rows + 1, np.int64)
         lengths = pa.compute.binary_length(batch.column(column)).fill_null(0)
@@ -31,7 +36,7 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str, most: int = CHUNK_BYT
         start = 0
         while start < batch.num_rows:
             end = int(np.searchsorted(sizes, sizes[start] + most, "right")) - 1
-            end = min(max(end, start + 1), batch.num_rows)
+            end = min(max(end, start + 1), batch.num_rows, start + (rows or batch.num_rows))
             yield batch.slice(start, end - start)
             start = end
 
@@ -76,5 +81,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def release() -> None:
+    """Gives freed memory back to the system; Python workers live on after a task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+        if trim:
+            trim(0)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

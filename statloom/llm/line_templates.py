@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.llm.common import chunks, mixed, numbered, ragged, texts_of
@@ -264,6 +264,19 @@ def leaf_templates(lines: DataFrame, agree: float, constant: float, rounds: int,
     return seeded if found is None else found.unionByName(seeded)
 
 
+def _kept(lines: Column, dropped: Column) -> Column:
+    """The lines between those that are dropped, whose numbers rise; each line is copied once."""
+
+    def between(both: Column) -> Column:
+        after = F.concat(F.array(F.lit(-1)), both["dropped"])
+        before = F.concat(both["dropped"], F.array(F.size(both["lines"])))
+        gaps = F.arrays_zip(after.alias("after"), before.alias("before"))
+        return F.flatten(F.transform(gaps, lambda g: F.slice(both["lines"], g["after"] + 2, g["before"] - g["after"] - 1)))
+
+    # an array of one struct, so that the lines are split once and not for each gap
+    return F.transform(F.array(F.struct(lines.alias("lines"), dropped.alias("dropped"))), between)[0]
+
+
 def drop_recurring_lines(
     docs: DataFrame,
     id: str = "doc_id",
@@ -335,8 +348,7 @@ def drop_recurring_lines(
     gone = per_doc.withColumnRenamed("id", "__id").hint("merge")
     joined = docs.select(*carried).join(gone, F.col(id) == F.col("__id"), "left")
     split = F.split(F.col(text).cast("string"), "\n", -1)
-    left = F.filter(split, lambda x, i: ~F.array_contains("dropped", i))
-    cleaned = F.when(F.col("dropped").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    cleaned = F.when(F.col("dropped").isNull(), F.col(text)).otherwise(F.array_join(_kept(split, F.col("dropped")), "\n"))
     return joined.select(
         *[cleaned.alias(c) if c == text else F.col(c) for c in carried],
         F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),

@@ -42,9 +42,10 @@ class Packer:
     def place(self, piece: Piece) -> None:
         doc, start, ids, total = piece
         size = self.size
-        while len(ids) >= 4 * size:
-            self.done.append([(doc, start, ids[: 4 * size], total)])
-            start, ids = start + size, ids[4 * size :]
+        full = len(ids) // (4 * size)
+        for k in range(full):
+            self.done.append([(doc, start + k * size, ids[4 * k * size : 4 * (k + 1) * size], total)])
+        start, ids = start + full * size, ids[4 * full * size :]
         while n := len(ids) // 4:
             best, room = None, size + 1
             for k, (used, _) in enumerate(self.open):
@@ -155,7 +156,7 @@ def pack(
 
     Every id of every document (its text's ids and ``end``) lies in one piece; ``ids`` are 4 bytes
     each, little-endian. A NULL or empty text is the id ``end`` alone; a NULL id stays NULL. Equal
-    rows are packed separately. An empty table gives no rows. Sequences have ``size`` ids, but for
+    rows are packed separately. A long text's ids are held by its task at once, four bytes each. An empty table gives no rows. Sequences have ``size`` ids, but for
     at most log2(size) last ones, whose lengths are falling powers of two.
     """
     if size & (size - 1):

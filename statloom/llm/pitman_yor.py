@@ -32,7 +32,8 @@ from statloom.storage import scratch_path
 #: Context restaurants; rounds before the first and rounds that are averaged; concentrations.
 CONTEXTS, BURN_IN, SAMPLES = 4096, 2, 3
 THETA, ROOT_THETA = 1.0, 1.0
-CHUNK = 12 << 20
+#: Bytes and texts of a chunk; a text's number within its chunk takes two bytes.
+CHUNK, CHUNK_TEXTS = 12 << 20, 1 << 16
 END = xxhash.xxh64_intdigest(b"")
 
 _PACKET = "p int, uid long, kind int, words binary, sizes binary, contexts binary, last binary, n_docs int"
@@ -343,20 +344,22 @@ def _sending(contexts: int, parts: int, salts: dict[int, int], kind: pa.DataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 24
-        for batch in chunks(batches, "text", CHUNK):
+        for batch in chunks(batches, "text", CHUNK, CHUNK_TEXTS):
             tokens = _Tokens(texts_of(batch, "text"), contexts)
             order = np.argsort(tokens.token, kind="stable")
             sizes = np.bincount(tokens.token, minlength=len(tokens.hashes))
+            # chunk ids count from a multiple of a power of two in each task
+            deal = int(mixed(np.array([uid]))[0] >> np.uint64(1))
             salt = np.zeros(len(tokens.hashes), np.int64)
             if len(hot):
                 at = np.minimum(np.searchsorted(hot, tokens.hashes), len(hot) - 1)
-                salt = np.where(hot[at] == tokens.hashes, uid % dealt[at], 0)
+                salt = np.where(hot[at] == tokens.hashes, deal % dealt[at], 0)
             part = _part(tokens.hashes, parts, salt)
             rows = list(_packets(tokens.hashes, part, sizes, tokens.context[order], tokens.text[order].astype("<u2")))
             n, none = len(rows), [None]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([r[0] for r in rows] + [uid % parts], pa.int32()),
+                    pa.array([r[0] for r in rows] + [deal % parts], pa.int32()),
                     pa.array([uid] * (n + 1), pa.int64()),
                     pa.array([2] * n + [3], pa.int32()),
                     *(pa.array([r[k] for r in rows] + none, pa.binary()) for k in range(1, 5)),

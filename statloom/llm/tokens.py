@@ -17,8 +17,9 @@ from tokenizers import Tokenizer
 
 from statloom.llm.common import flat_words, ragged
 
-#: A task forgets its words before the next texts when it has gathered so many.
-WORDS_KEPT = 250_000
+#: When a task has gathered so many words it forgets, before the next texts, those it has met only
+#: in so few of them.
+WORDS_KEPT, FORGOTTEN = 250_000, 2
 _PLAIN = regex.compile(r"[\x21-\x7EÀ-ÿ]{1,256}")
 _ODD = re.compile(rb"[\x00-\x08\x0E-\x1F\x7F]")
 _END, _BREAK = "\0", "\n"
@@ -78,6 +79,19 @@ class Encoder:
     def _forget(self) -> None:
         self.number: dict[bytes, int] = {}
         self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.met = np.zeros(0, np.int64)
+
+    def _forget_rare(self) -> None:
+        """Keeps the words that came again; all go if these are more than half."""
+        kept = np.flatnonzero(self.met > FORGOTTEN)
+        if len(kept) > WORDS_KEPT // 2:
+            return self._forget()
+        words = list(self.number)
+        self.ids = self.ids[ragged(self.starts[kept], self.sizes[kept])]
+        self.sizes = self.sizes[kept]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.met = np.zeros(len(kept), np.int64)
+        self.number = {words[k]: i for i, k in enumerate(kept.tolist())}
 
     def _learn(self, words: list[bytes]) -> None:
         texts = b"\n".join(words).decode().split("\n")  # words have no line ends
@@ -117,12 +131,14 @@ class Encoder:
             )
         words, counts = flat_words(texts)
         if len(self.number) > WORDS_KEPT:
-            self._forget()
+            self._forget_rare()
         which = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
         if len(missing := np.flatnonzero(which < 0)):
             unknown = [words[i] for i in missing.tolist()]
             self._learn(list(dict.fromkeys(unknown)))
             which[missing] = np.fromiter(map(self.number.__getitem__, unknown), np.int64, len(unknown))
+        self.met = np.concatenate([self.met, np.zeros(len(self.number) - len(self.met), np.int64)])
+        self.met += np.bincount(which, minlength=len(self.met))
         sizes = self.sizes[which]
         upto = np.concatenate([[0], np.cumsum(sizes)])
         ends = np.cumsum(counts)

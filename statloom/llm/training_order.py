@@ -22,11 +22,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm.common import chunks, mixed, texts_of
+from statloom.llm.common import chunks, mixed, release, texts_of
 from statloom.llm.tokens import Encoder, default_path
 from statloom.storage import materialize, scratch_path
 
-LENGTH, END_ID, SHARD_RECORDS, ROUNDS = 4096, 2, 256, 6
+LENGTH, END_ID, SHARD_RECORDS, ROUNDS = 4096, 2, 1024, 6
 #: Ids take two bytes; this one, which no vocabulary of at most 65,535 ids has, fills up a sequence.
 PAD_ID = 0xFFFF
 
@@ -54,7 +54,8 @@ def token_sequences(
 
     ``doc`` and ``start`` tell the document of the first id and how many of its ids came before;
     ``ids`` is compressed. Each document is followed by the id ``end``; a NULL text is that id alone.
-    Only the last sequence of a task may have fewer than ``length`` ids. An empty table has none.
+    Only the last sequence of a task may have fewer than ``length`` ids. A long text's ids are held by
+    its task at once. Other columns are not read. An empty table has none.
     """
     path = tokenizer or default_path()
     source = docs.select(F.col(id).alias("doc"), F.col(text).cast("string").alias("text"))
@@ -101,6 +102,8 @@ def token_sequences(
         if len(rest):
             padded = np.concatenate([rest, np.full(length - len(rest), PAD_ID, np.uint16)])
             yield rows_of([(task, local, len(rest), *origin, press.compress(padded.astype("<u2").tobytes()))])
+        del encoder, press
+        release()
 
     return source.mapInArrow(run, f"task long, local long, n_ids long, doc {kind}, start long, ids binary")
 
@@ -130,49 +133,64 @@ def training_order(sequences: DataFrame, key: int, shard_records: int = SHARD_RE
     )
 
 
-def write_shards(ordered: DataFrame, path: str, length: int = LENGTH, shard_records: int = SHARD_RECORDS) -> None:
-    """One file per shard under ``path/shards``, its records in the order of their slots, and a
-    manifest under ``path/manifest``. A range of slots is sorted and written by one task."""
+_MANIFEST = "total long, length long, shard_records long, stride long, pad_id long, key long, tokenizer string"
+
+
+def write_shards(
+    ordered: DataFrame, path: str, total: int, key: int, tokenizer: str, length: int = LENGTH, shard_records: int = SHARD_RECORDS
+) -> None:
+    """One file per shard under ``path/shards``, its records in the order of their slots, and last a
+    manifest under ``path/manifest``: without it the shards are not complete. A range of slots is
+    sorted and written by one task."""
 
     def open_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                raw = [press.decompress(x) for x in part.column("ids").to_pylist()]
+            for k in range(0, batch.num_rows, 64):
+                part = batch.slice(k, 64)
+                raw = [press.decompress(x.as_buffer()) for x in part.column("ids")]
                 yield pa.RecordBatch.from_arrays([part.column("shard"), pa.array(raw, pa.binary())], ["shard", "raw"])
+        release()
 
     spark = ordered.sparkSession
     ranges = ordered.select("shard", "slot", "ids").repartition("shard").sortWithinPartitions("shard", "slot")
     records = ranges.select("shard", "ids").mapInArrow(open_, "shard long, raw binary")
     lines = records.select("shard", F.col("raw").cast("string").alias("value"))
     lines.write.partitionBy("shard").option("lineSep", "\0\0").text(f"{path}/shards")
-    told = [(length, shard_records, 2 * (length + 1))]
-    spark.createDataFrame(told, "length long, shard_records long, stride long").coalesce(1).write.json(f"{path}/manifest")
+    told = [(total, length, shard_records, 2 * (length + 1), PAD_ID, key, os.path.basename(tokenizer))]
+    spark.createDataFrame(told, _MANIFEST).coalesce(1).write.json(f"{path}/manifest")
 
 
 def read_slots(spark: SparkSession, path: str, first: int = 0, past: int | None = None) -> DataFrame:
-    """``slot, ids`` (two bytes each, padding included) of the slots from ``first`` to before ``past``."""
-    told = spark.read.schema("length long, shard_records long, stride long").json(f"{path}/manifest").first()
-    length, per, stride = told["length"], told["shard_records"], told["stride"]
+    """``slot, ids`` (two bytes each, padding included) of the slots from ``first`` to before ``past``.
+
+    A shard that is missing or shorter than the manifest says is an error.
+    """
+    told = spark.read.schema(_MANIFEST).json(f"{path}/manifest").first()
+    total, length, per, stride = told["total"], told["length"], told["shard_records"], told["stride"]
+    past = total if past is None else min(past, total)
+    if first >= past:
+        return spark.createDataFrame([], "slot long, ids binary")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/shards")
     shard = F.regexp_extract("path", r"shard=(\d+)/", 1).cast("long")
-    files = files.select(shard.alias("shard"), "content").where(F.col("shard") >= first // per)
-    if past is not None:
-        files = files.where(F.col("shard") <= max(past - 1, 0) // per)
+    files = files.select(shard.alias("shard"), "length", "content").where(F.col("shard").between(first // per, (past - 1) // per))
+    whole = F.least(F.lit(per), total - F.col("shard") * per) * stride
+    good = files.where(F.col("length") == whole).select("shard").count()  # lengths are read without contents
+    if good != (past - 1) // per - first // per + 1:
+        raise ValueError(f"{path}: shards are missing or cut off")
+    files = files.select("shard", "content")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
                 raw = memoryview(content.as_buffer())
-                for k in range(0, len(raw) // stride, 256):
-                    some = range(k, min(k + 256, len(raw) // stride))
+                for k in range(0, len(raw) // stride, 128):
+                    some = range(k, min(k + 128, len(raw) // stride))
                     slots = [shard * per + i for i in some]
                     ids = [bytes(raw[i * stride : i * stride + 2 * length]) for i in some]
                     yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(ids, pa.binary())], ["slot", "ids"])
 
-    found = files.mapInArrow(cut, "slot long, ids binary").where(F.col("slot") >= first)
-    return found if past is None else found.where(F.col("slot") < past)
+    return files.mapInArrow(cut, "slot long, ids binary").where((F.col("slot") >= first) & (F.col("slot") < past))
 
 
 def materialise_order(
@@ -190,9 +208,10 @@ def materialise_order(
     ``offset`` is the byte at which the record begins in its shard. Nulls, empty tables and repeated
     rows are as in :func:`token_sequences`; an empty table writes a manifest and no shard.
     """
-    made = token_sequences(docs, id, text, tokenizer, length)
-    ordered = training_order(materialize(made, "sequences"), key, shard_records)
-    write_shards(ordered, path, length, shard_records)
+    tokenizer = tokenizer or default_path()
+    made = materialize(token_sequences(docs, id, text, tokenizer, length), "sequences")
+    ordered = training_order(made, key, shard_records)
+    write_shards(ordered, path, made.count(), key, tokenizer, length, shard_records)
     return ordered.select(
         "slot", "shard", (F.col("record") * (2 * (length + 1))).alias("offset"), "n_ids", F.col("doc").alias(id), "start"
     )

@@ -164,3 +164,20 @@ def test_several_lines_of_one_text_count_once(spark):
 def test_leading_words_alone_make_no_template(spark):
     rows = [(i, f"How to make {'abcdefghijkl'[i] * 4}") for i in range(12)]
     assert all(not r.dropped for r in lt.drop_recurring_lines(spark.createDataFrame(rows, D)).collect())
+
+
+def test_kept_lines_are_copied_once(spark):
+    """Many lines, of which many go, in time that grows with them alone."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from statloom.llm.line_templates import _kept
+
+    made = spark.range(1).select(F.sequence(F.lit(0), F.lit(99_999)).alias("n"))
+    made = made.select(F.transform("n", lambda x: x.cast("string")).alias("lines"), F.filter("n", lambda x: x % 3 != 1).alias("dropped"))
+    start = time.perf_counter()
+    kept = made.select(F.array_join(_kept(F.split(F.array_join("lines", "\n"), "\n", -1), F.col("dropped")), ",")).first()[0]
+    assert kept == ",".join(str(i) for i in range(1, 100_000, 3)) and time.perf_counter() - start < 20
+    one = spark.sql("SELECT array('a') AS l, array(0) AS d UNION ALL SELECT array('a', 'b', 'c'), array(0, 2)")
+    assert sorted(r[0] for r in one.select(_kept(F.col("l"), F.col("d"))).collect()) == [[], ["b"]]

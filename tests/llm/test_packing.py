@@ -126,3 +126,39 @@ def test_order_of_an_empty_table(spark, no_docs):
     path = training_order.new_path(spark)
     assert training_order.materialise_order(no_docs, path, key=1).count() == 0
     assert training_order.read_slots(spark, path).count() == 0
+
+
+def test_incomplete_shards_are_an_error(spark, docs):
+    import pathlib
+
+    path = training_order.new_path(spark)
+    training_order.materialise_order(docs, path, key=3, length=32, shard_records=50)
+    file = next(pathlib.Path(path.removeprefix("file:")).glob("shards/shard=1/part-*"))
+    whole = file.read_bytes()
+    file.write_bytes(whole[:-100])
+    for crc in file.parent.glob(".*.crc"):
+        crc.unlink()
+    with pytest.raises(ValueError):
+        training_order.read_slots(spark, path)
+    assert training_order.read_slots(spark, path, 100, 120).count() == 20
+
+
+def test_long_document_is_packed_in_linear_time():
+    """Sixteen million ids of one document; copying the rest for each window took over a minute."""
+    import time
+
+    packer, raw = packing.Packer(4096, 32), bytes(4 * 16_000_000 + 4 * 5)
+    start = time.perf_counter()
+    packer.place((1, 0, raw, len(raw) // 4))
+    assert len(packer.done) == 16_000_005 // 4096 and time.perf_counter() - start < 5
+    assert sum(len(p[2]) for w in packer.done for p in w) + sum(n for n, _ in packer.open) * 4 == len(raw)
+
+
+def test_frequent_words_are_remembered(monkeypatch):
+    monkeypatch.setattr(tokens, "WORDS_KEPT", 40)
+    encoder, whole = tokens.Encoder(tokens.default_path()), Tokenizer.from_file(tokens.default_path())
+    for k in range(30):
+        text = "the river the river the stone the " + " ".join(f"word{k}x{i}" for i in range(25))
+        ids, _ = encoder.encode([text.encode()] * 2)
+        assert ids.tolist() == whole.encode(text).ids * 2
+    assert b"the" in encoder.number and len(encoder.number) < 100

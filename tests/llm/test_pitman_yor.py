@@ -119,3 +119,14 @@ def test_without_training_rows_and_without_rows(docs, no_docs):
     assert len(alone) == docs.count()
     assert all(r.score == r.base_score == 0 and r.n_known == r.train_tokens == 0 for r in alone)
     assert py.score_documents(no_docs.withColumn("train", F.lit(True)), "train").count() == 0
+
+
+def test_many_texts_in_one_batch(spark):
+    """More texts than two bytes number, in one Arrow batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100_000)
+    try:
+        docs = spark.range(70_000, numPartitions=1).selectExpr("id AS doc_id", "concat('w', id % 7, ' the') AS text", "true AS train")
+        got = py.score_documents(docs, "train").groupBy("n_tokens", "n_known").agg({"score": "max", "*": "count"}).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [(r.n_tokens, r.n_known, r["count(1)"]) for r in got] == [(3, 3, 70_000)] and got[0]["max(score)"] < 0

@@ -22,11 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm.common import chunks, mixed, release, texts_of
+from statloom.llm.common import arrow_rows, chunks, mixed, release, texts_of
 from statloom.llm.tokens import Encoder, default_path
 from statloom.storage import materialize, scratch_path
 
-LENGTH, END_ID, SHARD_RECORDS, ROUNDS = 4096, 2, 1024, 6
+LENGTH, END_ID, SHARD_RECORDS, ROUNDS = 4096, 2, 512, 6
+#: Documents or sequences that Python gets at once.
+BATCH_ROWS = 256
 #: Ids take two bytes; this one, which no vocabulary of at most 65,535 ids has, fills up a sequence.
 PAD_ID = 0xFFFF
 
@@ -189,6 +191,7 @@ def read_slots(spark: SparkSession, path: str, first: int = 0, past: int | None
                     slots = [shard * per + i for i in some]
                     ids = [bytes(raw[i * stride : i * stride + 2 * length]) for i in some]
                     yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(ids, pa.binary())], ["slot", "ids"])
+        release()
 
     return files.mapInArrow(cut, "slot long, ids binary").where((F.col("slot") >= first) & (F.col("slot") < past))
 
@@ -209,9 +212,10 @@ def materialise_order(
     rows are as in :func:`token_sequences`; an empty table writes a manifest and no shard.
     """
     tokenizer = tokenizer or default_path()
-    made = materialize(token_sequences(docs, id, text, tokenizer, length), "sequences")
-    ordered = training_order(made, key, shard_records)
-    write_shards(ordered, path, made.count(), key, tokenizer, length, shard_records)
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        made = materialize(token_sequences(docs, id, text, tokenizer, length), "sequences")
+        ordered = training_order(made, key, shard_records)
+        write_shards(ordered, path, made.count(), key, tokenizer, length, shard_records)
     return ordered.select(
         "slot", "shard", (F.col("record") * (2 * (length + 1))).alias("offset"), "n_ids", F.col("doc").alias(id), "start"
     )

@@ -32,8 +32,8 @@ def _short_lengths(xs: list[str], ys: list[str]) -> np.ndarray:
     return row[-1].astype(np.int64)
 
 
-def _long_length(x: str, y: str) -> int:
-    """The same for one long pair, a whole table row per big-integer step."""
+def common_length(x: str, y: str) -> int:
+    """Common subsequence length of one pair of any size, a whole table row per big-integer step."""
     where: dict[str, int] = {}
     for i, ch in enumerate(x):
         where[ch] = where.get(ch, 0) | (1 << i)
@@ -60,7 +60,7 @@ def pair_scores(xs: pd.Series, ys: pd.Series) -> pd.Series:
             common[part] = _short_lengths([x[i] for i in part], [y[i] for i in part])
         low = high
     for i in np.flatnonzero(longest > 64):
-        common[i] = _long_length(x[i], y[i]) if nx[i] and ny[i] else 0
+        common[i] = common_length(x[i], y[i]) if nx[i] and ny[i] else 0
     total = np.maximum(nx + ny, 1)
     return pd.Series(np.rint(100.0 * (2.0 * common / total)).astype(np.int32))
 

@@ -1,195 +1,19 @@
 """Approximate name joins by token-sort similarity: best match, semi and anti.
 
-Candidates come from an equi-join on exact signatures, so no pair at or above the threshold is
-lost and no cross product is formed.
-
-A pair scores at least t only if the longest common subsequence, and so the number of common
-letters, reaches a = ceil(t (n + m) / 2) for the lengths n and m. Letters are numbered per
-occurrence and sorted rarest first in one order for all names. Two names that share a letters
-then share at least k of their first n - a + k and m - a + k letters, for every k. Each name
-therefore emits, per admissible partner length, one signature for every k-subset of that prefix;
-k is the largest value that keeps the number of subsets within a budget, since longer subsets are
-rarer and meet fewer strangers.
+The pairs come from a metric join (:mod:`statloom.operators.metric_join`), which loses no pair at or
+above the threshold. Names are prepared, reduced to distinct ones, and equal ones settled before.
 """
 
 from __future__ import annotations
 
-import math
-from bisect import bisect_left
-from collections.abc import Iterator
-from functools import reduce
-from itertools import combinations
-
-import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statloom.functions.similarity import ratio, sorted_words
+from statloom.functions.similarity import sorted_words
+from statloom.operators.metric_join import similar_pairs
 from statloom.operators.schema import quoted
 from statloom.storage import join_bounded, materialize
 
-#: Subsets per name and partner length.
-SUBSETS = 32
-#: Letters whose frequency is looked up; all others count as rarest. Bounds what is collected.
-LETTERS = 4096
-
-
-#: First length of each band: single lengths up to 32, then bands of 6 percent; grows on demand.
-BANDS = list(range(1, 33))
-
-
-def _more_bands() -> None:
-    BANDS.append(max(BANDS[-1] + 1, int(BANDS[-1] * 1.06)))
-
-
-def _band(length: int) -> int:
-    while BANDS[-1] <= length:
-        _more_bands()
-    return bisect_left(BANDS, length + 1) - 1
-
-
-def _ends(band: int) -> tuple[int, int]:
-    while len(BANDS) <= band + 1:
-        _more_bands()
-    return BANDS[band], BANDS[band + 1] - 1
-
-
-def _subset_size(spare: int, need: int, budget: int) -> int:
-    """Largest k <= need with C(spare + k, k) within the budget, at least 1."""
-    k = 1
-    while k < need and math.comb(spare + k + 1, k + 1) <= budget:
-        k += 1
-    return k
-
-
-def _numbered(text: str, rank: dict[str, int]) -> list[str]:
-    """Letters with their occurrence numbers, rarest first."""
-    seen: dict[str, int] = {}
-    out = []
-    for ch in text:
-        seen[ch] = seen.get(ch, 0) + 1
-        token = f"{ch}{seen[ch]}"
-        out.append((rank.get(token, -1), token))
-    out.sort()
-    return [token for _, token in out]
-
-
-def name_signatures(
-    text: str, threshold: int, rank: dict[str, int], mine_first: bool, budget: int = SUBSETS
-) -> list[int]:
-    """Signatures of one prepared name for all partner lengths that can reach the threshold."""
-    n = len(text)
-    if not n:
-        return []
-    # the score is rounded, so anything from half a point below may reach the threshold
-    share = max(threshold - 0.5, 1.0) / 100.0
-    own = _band(n)
-    letters = _numbered(text, rank)
-    found: set[int] = set()
-    low = _band(max(1, math.floor(n * share / (2 - share))))
-    high = _band(math.ceil(n * (2 - share) / share))
-    for other in range(low, high + 1):
-        (n_low, n_high), (m_low, m_high) = _ends(own), _ends(other)
-        need = math.ceil(share * (n_low + m_low) / 2 - 1e-9)
-        if need > min(n, m_high):
-            continue
-        spare = max(n_high, m_high) - need
-        k = _subset_size(spare, min(need, n_low, m_low), budget)
-        label = f"{own},{other}:" if mine_first else f"{other},{own}:"
-        for subset in combinations(letters[: n - need + k], k):
-            found.add(xxhash.xxh64_intdigest(label + "|".join(subset)) - (1 << 63))
-    return list(found)
-
-
-def _letter_rank(names: DataFrame) -> dict[str, int]:
-    """Rank of the most frequent numbered letters, rarest 0; at most ``LETTERS`` entries."""
-    # occurrence numbers follow from the sorted letters of a name
-    spread = names.select(F.array_sort(F.split("text", "")).alias("letters")).select(
-        F.posexplode("letters").alias("at", "ch"), "letters"
-    )
-    token = F.concat(
-        "ch", (F.col("at") - F.array_position("letters", F.col("ch")) + 2).cast("string")
-    )
-    counts = spread.groupBy(token.alias("token")).agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), "token").limit(LETTERS).collect()
-    return {r.token: i for i, r in enumerate(reversed(top))}
-
-
-#: Letter classes whose counts bound how many letters two names share.
-CLASSES = 12
-#: Names of one side that meet those of the other under one signature in one task.
-MEETING = 2_000
-
-
-def _with_signatures(names: DataFrame, threshold: int, rank: dict[str, int], mine_first: bool):
-    """``text, n, c0..`` (length and letters per class) and one row per signature."""
-
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), 256):
-                texts = batch["text"].iloc[start : start + 256]
-                keys = [name_signatures(t, threshold, rank, mine_first) for t in texts]
-                yield pd.DataFrame({"text": texts, "sign": keys}).explode("sign").dropna().astype(
-                    {"sign": "int64"}
-                )
-
-    signed = names.select("text").mapInPandas(sign, "text string, sign bigint")
-    letters = F.transform(F.split("text", ""), lambda c: F.pmod(F.ascii(c), F.lit(CLASSES)))
-    counted = signed.withColumn("letters", letters).withColumn("n", F.length("text"))
-    in_class = lambda i: F.filter("letters", lambda x: x == i)
-    classes = [F.size(in_class(i)).alias(f"c{i}") for i in range(CLASSES)]
-    return counted.select("text", "sign", "n", *classes)
-
-
-def _dealt(side: DataFrame, sizes: DataFrame, mine: str, other: str) -> DataFrame:
-    """Rows of crowded signatures dealt over parts of their side, one copy per part of the other."""
-    known = join_bounded(side, sizes, ["sign"], "left")
-    parts, copies = F.coalesce(mine, F.lit(1)), F.coalesce(other, F.lit(1))
-    return (
-        known.withColumn(mine, F.pmod(F.xxhash64("text"), parts))
-        .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1)))
-    )
-
-
-def candidates(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
-    """Distinct pairs ``l_text, r_text`` that share a signature and enough letters by class.
-
-    No task joins more than ``MEETING`` names of one side with as many of the other under one
-    signature: crowded ones are dealt over parts, and every part meets every part.
-    """
-    rank = _letter_rank(left.select("text").unionByName(right.select("text")))
-    l_side = materialize(_with_signatures(left, threshold, rank, True), "left-signatures")
-    r_side = materialize(_with_signatures(right, threshold, rank, False), "right-signatures")
-    l_sizes = l_side.groupBy("sign").agg(F.ceil(F.count(F.lit(1)) / MEETING).alias("lp"))
-    r_sizes = r_side.groupBy("sign").agg(F.ceil(F.count(F.lit(1)) / MEETING).alias("rp"))
-    sizes = l_sizes.join(r_sizes, "sign").filter("lp > 1 OR rp > 1")
-    sizes = materialize(sizes, "crowded-signatures")
-    l_dealt, r_dealt = _dealt(l_side, sizes, "lp", "rp"), _dealt(r_side, sizes, "rp", "lp")
-    shared = reduce(
-        lambda a, b: a + b, [F.least(F.col(f"l.c{i}"), F.col(f"r.c{i}")) for i in range(CLASSES)]
-    )
-    # a pair that scores shares at least this many letters, and classes only add chance ones
-    share = max(threshold - 0.5, 1.0) / 100.0
-    need = F.ceil((F.col("l.n") + F.col("r.n")) * share / 2 - 1e-9)
-    met = l_dealt.alias("l").join(
-        r_dealt.alias("r"),
-        (F.col("l.sign") == F.col("r.sign")) & (F.col("l.lp") == F.col("r.lp")) & (F.col("l.rp") == F.col("r.rp")),
-    )
-    pairs = met.filter(shared >= need)
-    return pairs.select(F.col("l.text").alias("l_text"), F.col("r.text").alias("r_text")).distinct()
-
-
-def similar_pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
-    """All pairs of prepared texts that score at least ``threshold``: ``l_text, r_text, score``.
-
-    Both sides hold a column ``text`` of distinct, non-empty, prepared names.
-    """
-    if not 1 <= threshold <= 100:
-        raise ValueError("threshold must be between 1 and 100")
-    pairs = candidates(left, right, threshold)
-    return pairs.withColumn("score", ratio("l_text", "r_text")).filter(F.col("score") >= threshold)
-
 
 def _prepared(df: DataFrame, name: str, shorten) -> DataFrame:
     text = quoted(name) if shorten is None else shorten(quoted(name))
@@ -204,7 +28,7 @@ def best_text_matches(left: DataFrame, right: DataFrame, threshold: int) -> Data
     """
     same = left.join(right, "text").withColumn("score", F.lit(100))
     settled = same.filter(F.length("text") <= 98)
-    rest = left.join(settled.select("text"), "text", "left_anti")
+    rest = materialize(left.join(settled.select("text"), "text", "left_anti"), "names")
     pairs = similar_pairs(rest, right, threshold)
     named = pairs.join(right.withColumnRenamed("text", "r_text"), "r_text").select(
         F.col("l_text").alias("text"), "r_ord", "r_name", "score"

@@ -8,6 +8,7 @@ from test_functions import brute_common
 
 from statloom.functions.text import first_two_words
 from statloom.operators import fuzzy
+from statloom.operators import metric_join as metric
 
 
 def score(x, y):
@@ -38,24 +39,75 @@ def prepared(text):
     return " ".join(sorted(cleaned.split()))
 
 
+def distance(x, y):
+    return len(x) + len(y) - 2 * brute_common(x, y)
+
+
+def test_distances_are_those_of_the_table():
+    texts = ["ben mee", "", "größe \u0142 x", "a" * 200, "é", "ab" * 40, "fernandes bruno"]
+    pivots = ["mee ben", "x", "fernandes bruno", "ab" * 31 + "a", "ba" * 50]
+    got = metric.distances(pivots, texts)
+    assert got.tolist() == [[distance(t, p) for p in pivots] for t in texts]
+
+
+def test_runs_of_lengths():
+    lengths = {1: 3, 2: 4, 5: 40, 9: 1, 12: 1}
+    parts = metric.parts_of(lengths, 7)
+    assert parts == [(1, 2, 1, 0), (5, 5, 6, 1), (9, 12, 1, 7)]
+    for share in (0.01, 0.5, 0.695, 0.895, 0.995):
+        for a, b in product(parts, parts):
+            near = any(abs(n - m) <= metric.reach(n, m, share) for n in range(a.low, a.high + 1) for m in range(b.low, b.high + 1))
+            assert metric.may_meet(a, b, share) == near
+
+
 @pytest.mark.parametrize("threshold", [1, 50, 70, 80, 90, 100])
-def test_signatures_lose_no_pair(threshold):
-    """Any two texts that reach the threshold share a signature, for any letter order."""
-    left, right = names(60, 1), names(60, 2)
-    left, right = {prepared(t) for t in left} - {""}, {prepared(t) for t in right} - {""}
-    rank = {f"{c}{i}": k for k, (c, i) in enumerate(product("zyxe lirnos", (1, 2, 3)))}
-    mine = {t: set(fuzzy.name_signatures(t, threshold, rank, True)) for t in left}
-    theirs = {t: set(fuzzy.name_signatures(t, threshold, rank, False)) for t in right}
-    for x, y in product(left, right):
-        if score(x, y) >= threshold:
-            assert mine[x] & theirs[y], (x, y)
-
-
-def test_signatures_are_selective():
-    x = fuzzy.name_signatures("fernandes bruno", 90, {}, True)
-    y = fuzzy.name_signatures("silva bernardo", 90, {}, False)
-    assert not set(x) & set(y)
-    assert len(x) <= fuzzy.SUBSETS * 12
+def test_pivots_lose_no_pair(threshold):
+    """Whatever the pivots, pairs that reach the threshold stay, each once."""
+    left, right = ({prepared(t) for t in names(60, seed)} - {""} for seed in (1, 2))
+    left, right = sorted(left), sorted(right)
+    share = max(threshold - 0.5, 1.0) / 100
+    for pivots in ([], right[:1], right[::9], ["zzz", "x" * 70]):
+        far = [metric.distances(pivots, side) for side in (left, right)]
+        near = [(left[i], right[k]) for x, y in metric.near_pairs(left, right, *far, share) for i, k in zip(x, y, strict=True)]
+        assert len(near) == len(set(near))
+        assert {p for p in product(left, right) if score(*p) >= threshold} <= set(near)
+
+
+def made_up(n, seed):
+    rng = random.Random(seed)
+    syllables = "ma ri jo an el ka ne to lu ce son ber vi do ha san mi ra le ti go fer nan des sil va bru no".split()
+    word = lambda most: "".join(rng.choice(syllables) for _ in range(rng.randint(2, most)))
+    found = set()
+    while len(found) < n:
+        found.add(" ".join(sorted([word(3), word(4)])))
+    return sorted(found)
+
+
+@pytest.mark.parametrize(("threshold", "most"), [(70, 0.5), (80, 0.35)])
+def test_candidates_per_pair_fall_with_the_names(threshold, most):
+    """The share of pairs that are scored falls as names, and with them pivots, multiply."""
+    shares = []
+    for n in (1_000, 16_000):
+        right = made_up(n, 2)
+        left = made_up(n, 1)[:: max(1, n // 150)]
+        pivots = random.Random(5).sample(right, min(int(2 * n**0.5), metric.MOST_PIVOTS))
+        far = [metric.distances(pivots, side) for side in (left, right)]
+        scored = sum(len(x) for x, _ in metric.near_pairs(left, right, *far, (threshold - 0.5) / 100))
+        shares.append(scored / (len(left) * len(right)))
+    assert shares[1] < most * shares[0], shares
+
+
+@pytest.mark.parametrize("threshold", [60, 75])
+def test_pairs_over_several_blocks(spark, monkeypatch, threshold):
+    monkeypatch.setattr(metric, "LEFT_BLOCK", 7)
+    monkeypatch.setattr(metric, "RIGHT_BLOCK", 11)
+    monkeypatch.setattr(metric, "SCORED", 5)
+    left, right = (sorted({prepared(t) for t in names(70, seed)} - {""}) for seed in (5, 6))
+    frames = [spark.createDataFrame([(t,) for t in side], "text string") for side in (left, right)]
+    got = [tuple(r) for r in metric.similar_pairs(*frames, threshold).collect()]
+    assert sorted(got) == sorted((x, y, score(x, y)) for x, y in product(left, right) if score(x, y) >= threshold)
+    empty = frames[0].limit(0)
+    assert metric.similar_pairs(empty, frames[1], 70).collect() == metric.similar_pairs(frames[0], empty, 70).collect() == []
 
 
 @pytest.mark.parametrize("threshold", [70, 90])

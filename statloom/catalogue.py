@@ -531,7 +531,8 @@ def dedup_last(spark, d):
 
 
 def filter_threshold(spark, d):
-    return wide(spark, d).select("key", "name", "qty").filter(F.col("qty") > 900)
+    over = {"lines": F.col("qty") > 900}
+    return merge.merge_wide(stat_tables(spark, d), "key", where=over, columns=["name", "qty"])
 
 
 def role_filter(spark, d):

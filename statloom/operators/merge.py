@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.operators.schema import quoted
@@ -57,15 +57,13 @@ def _apart(tables: list[DataFrame], key: str) -> list[DataFrame]:
 
 
 def _once(table: DataFrame, key: str, label: int) -> DataFrame:
-    """The table, one struct ``__t`` per key; reading a key that repeats fails.
+    """The table with one row per key; reading a column of a key that repeats fails.
 
     The rows come out partitioned by the key, as a merge needs them.
     """
-    others = [quoted(c) for c in table.columns if c != key]
-    held = table.groupBy(quoted(key)).agg(
-        F.count(F.lit(1)).alias("__n"), F.first(F.struct(F.lit(label).alias("__from"), *others)).alias("__t")
-    )
-    return held.select(quoted(key), _checked(F.col("__t"), F.col("__n"), key, label).alias("__t"))
+    others = [c for c in table.columns if c != key]
+    held = table.groupBy(quoted(key)).agg(F.count(F.lit(1)).alias("__n"), *[F.first(quoted(c)).alias(c) for c in others])
+    return held.select(quoted(key), *[_checked(quoted(c), F.col("__n"), key, label).alias(c) for c in others])
 
 
 def _checked(value, count, key: str, label: int):
@@ -78,20 +76,35 @@ def merge_wide(
     key: str,
     on_repeat: str = "raise",
     lead: int | None = None,
+    where: Mapping[int | str, Column | str] | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Merge of tables that each hold a key at most once; a NULL key matches no other.
 
-    Without ``lead`` every key stays: the tables are stacked, one struct each, and grouped by the key
-    in one shuffle. With ``lead`` only the keys of that table stay, and the others are joined to it;
-    a filter on its columns goes to it before. Every table is then shuffled once, or not at all if
-    it comes partitioned by the key.
+    Without ``lead`` every key stays: the tables are stacked and grouped by the key in one shuffle.
+    With ``lead`` only the keys of that table stay, and the others are joined to it. Every table is then
+    shuffled once, or not at all if it comes partitioned by the key.
 
-    A repeated key, in whichever table, makes the result fail when it is read. With ``on_repeat``
+    ``where`` names conditions on single tables (by position or name) in terms of their own columns;
+    only keys whose rows meet them all stay, as if the merged rows had been filtered, but each goes to
+    its table before the merge, the first of them leads, and a key that a table lacks is out.
+    ``columns`` are those that are wanted besides the key, by their merged names; a table that has
+    none of them, nor a condition, nor leads, is not read if it cannot add keys.
+
+    A repeated key fails when a column of its table is read, in whichever table. With ``on_repeat``
     ``skip`` the tables are checked first, and one whose key repeats is left out; if it is the first
-    one, nothing can be merged to it and it is the result.
+    one, nothing can be merged to it and it is the result. Rows that a condition drops are not checked.
     """
     frames = list(tables.values()) if isinstance(tables, Mapping) else list(tables)
+    names = list(tables) if isinstance(tables, Mapping) else list(range(len(frames)))
+    needed = {}
+    for name, condition in (where or {}).items():
+        i = names.index(name) if name in names else int(name)
+        frames[i] = frames[i].filter(condition)
+        needed[i] = True
     if on_repeat == "skip":
+        if where:
+            raise ValueError("conditions go with on_repeat raise")
         if not key_violations(frames[0], [key]).isEmpty():
             return frames[0]
         kept = [0] + [i for i in range(1, len(frames)) if key_violations(frames[i], [key]).isEmpty()]
@@ -101,36 +114,37 @@ def merge_wide(
         frames = [frames[i] for i in kept]
     elif on_repeat != "raise":
         raise ValueError("on_repeat must be raise or skip")
+    if lead is None and needed:
+        lead = min(needed)
     frames = _apart(frames, key)
-    columns = [(i, c) for i, table in enumerate(frames) for c in table.columns if c != key]
+    wanted = [c for table in frames for c in table.columns if c != key]
+    if columns is not None:
+        missing = set(columns) - set(wanted)
+        if missing:
+            raise ValueError(f"no table has {sorted(missing)}")
+        wanted = [c for c in wanted if c in columns]
     if lead is not None:
-        held = _once(frames[lead], key, lead).withColumnRenamed("__t", f"__t{lead}")
+        held = _once(frames[lead], key, lead)
         for i, table in enumerate(frames):
-            if i != lead:
-                other = _once(table, key, i).select(quoted(key).alias(f"__k{i}"), F.col("__t").alias(f"__t{i}"))
-                held = held.join(other, quoted(key) == F.col(f"__k{i}"), "left")
+            if i == lead or not (i in needed or set(table.columns) & set(wanted)):
+                continue
+            other = _once(table, key, i).withColumnRenamed(key, f"__k{i}")
+            held = held.join(other, quoted(key) == F.col(f"__k{i}"), "inner" if i in needed else "left")
     else:
-        packed = [
-            table.select(
-                quoted(key),
-                F.struct(F.lit(i).alias("__from"), *[quoted(c) for c in table.columns if c != key]).alias(f"__t{i}"),
-            )
-            for i, table in enumerate(frames)
-        ]
-        stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
+        marked = [table.withColumn("__from", F.lit(i)) for i, table in enumerate(frames)]
+        stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
         # sides hold a key once, so nothing is gained by combining before the shuffle
-        label = F.coalesce(*[F.col(f"__t{i}").getField("__from") for i in range(len(frames))])
-        apart = F.when(quoted(key).isNull(), label).alias("__apart")
+        apart = F.when(quoted(key).isNull(), F.col("__from")).alias("__apart")
         grouped = stacked.repartition(quoted(key)).groupBy(quoted(key), apart)
         held = grouped.agg(
-            *[F.first(f"__t{i}", ignorenulls=True).alias(f"__t{i}") for i in range(len(frames))],
-            *[F.count(f"__t{i}").alias(f"__n{i}") for i in range(len(frames))],
+            *[F.first(quoted(c), ignorenulls=True).alias(c) for table in frames for c in table.columns if c != key],
+            *[F.count_if(F.col("__from") == i).alias(f"__n{i}") for i in range(len(frames))],
         )
         held = held.select(
             quoted(key),
-            *[_checked(F.col(f"__t{i}"), F.col(f"__n{i}"), key, i).alias(f"__t{i}") for i in range(len(frames))],
+            *[_checked(quoted(c), F.col(f"__n{i}"), key, i).alias(c) for i, table in enumerate(frames) for c in table.columns if c != key],
         )
-    return held.select(quoted(key), *[F.col(f"__t{i}").getField(c).alias(c) for i, c in columns])
+    return held.select(quoted(key), *[quoted(c) for c in wanted])
 
 
 def lookup(

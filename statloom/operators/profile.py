@@ -52,15 +52,16 @@ def group_profile(
 ) -> DataFrame:
     """Median, mean and sample deviation (two decimals) of each statistic, per group or overall.
 
-    The number of rows decides whether the built-in median may hold the values of a group. If not,
-    the narrowing one is used; it reads its input several times, so the columns are written first.
+    The columns are computed and written once. The number of rows, which the written files tell,
+    decides whether the built-in median may hold the values of a group; if not, the narrowing one is
+    used, which reads them several times.
     """
     groups = [group] if group else []
-    data = df.select(*[quoted(c) for c in [*groups, *stats]])
+    data = materialize(df.select(*[quoted(c) for c in [*groups, *stats]]), "profile")
     by = [quoted(g) for g in groups]
     if fits_in_memory(data.count(), len(stats), in_memory):
         return data.groupBy(*by).agg(*_moments(stats, with_median=True))
-    return _narrowed_profile(materialize(data, "profile"), group, stats, **limits)
+    return _narrowed_profile(data, group, stats, **limits)
 
 
 def _narrowed_profile(data: DataFrame, group: str | None, stats: list[str], **limits) -> DataFrame:
@@ -82,7 +83,7 @@ def rollup_profile(
     **limits,
 ) -> DataFrame:
     """``group_profile`` with a first row for the whole table, then the groups ascending."""
-    data = df.select(*[quoted(c) for c in [group, *stats]])
+    data = materialize(df.select(*[quoted(c) for c in [group, *stats]]), "profile")
     if fits_in_memory(data.count(), len(stats), in_memory):
         grouped = data.rollup(quoted(group)).agg(
             F.grouping(quoted(group)).alias("__total"), *_moments(stats, with_median=True)
@@ -93,7 +94,6 @@ def rollup_profile(
             .orderBy(F.col("__total").desc(), quoted(group))
             .select(quoted(group), *_ordered(stats))
         )
-    data = materialize(data, "profile")
     whole = _narrowed_profile(data, None, stats, **limits).select(
         F.lit(TOTAL).alias(group), *_ordered(stats), F.lit(1).alias("__total")
     )

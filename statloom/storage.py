@@ -45,6 +45,8 @@ def clear_scratch(spark: SparkSession) -> int:
 
     To be called when no result that reads them is needed any more.
     """
+    for name in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     paths, gone = _written.pop(spark.sparkContext.applicationId, []), 0
     for path in paths:
         files, place = _file_system(spark, path)
@@ -52,8 +54,9 @@ def clear_scratch(spark: SparkSession) -> int:
     return gone
 
 
-#: Hand-over tables of each application.
+#: Folders of hand-over tables of each application, and names of those that the session's catalog knows.
 _written: dict[str, list[str]] = {}
+_tables: dict[str, list[str]] = {}
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -67,6 +70,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_by(df: DataFrame, label: str, key: str, buckets: int | None = None) -> DataFrame:
+    """``materialize`` into buckets by ``key``, one sorted file each.
+
+    Joins and groupings by the key of tables with as many buckets (default: shuffle partitions) then
+    move no rows. One shuffle now, for tables that are merged or grouped by the key more than once.
+    """
+    spark = df.sparkSession
+    n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path, name = scratch_path(spark, label), f"statloom_{uuid.uuid4().hex}"
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
+    dealt = df.repartition(n, f"`{key}`")
+    dealt.write.format("parquet").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def join_bounded(
     big: DataFrame,
     small: DataFrame,

@@ -289,3 +289,99 @@ def test_one_hot_unknown_is_all_zero(spark):
 def test_key_weights_multiply():
     weights = features.key_weights(["Gls", "Minutes"])
     assert weights == {"Gls": 2.0, "Minutes": 3.0, "Age": 0.5}
+
+
+def shuffled_rows(df):
+    """Collects the rows and tells how many each exchange of the plan wrote."""
+    rows = df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return rows, found
+
+
+@pytest.mark.parametrize("group", [None, "g"])
+def test_histogram_shuffles_bins_only(spark, group):
+    """A task sends a row per group, statistic and bin at most, however many values are distinct."""
+    df = spark.range(20_000, numPartitions=4).selectExpr("id % 3 AS g", "id * 0.37 AS a", "sqrt(id) AS b")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows, sent = shuffled_rows(histogram.histogram(df, ["a", "b"], 10, group))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    groups = 3 if group else 1
+    assert len(rows) == groups * 20 and sum(r["rows"] for r in rows) == 40_000
+    assert sent and all(n <= 4 * groups * 2 * 10 for n in sent)
+
+
+def test_profile_computes_its_input_once(spark):
+    """The input is written, its size read from the files, and the profile from what was written."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(500).selectExpr("string(id % 3) AS g", "id * 1.0D AS a").mapInArrow(count, "g string, a double")
+    assert profile.group_profile(df, "g", ["a"]).count() == 3 and seen.value == 500
+    assert len(profile.rollup_profile(df, "g", ["a"]).collect()) == 4 and seen.value == 1_000
+
+
+def test_merge_conditions_go_to_their_tables(spark):
+    """Conditions on single tables give the rows of a filter on the merged table."""
+    import random
+
+    rng = random.Random(4)
+    pick = lambda n, *kinds: [(k, *(f() for f in kinds)) for k in rng.sample([*range(12), None], n)]
+    number = lambda: rng.choice([None, 1, 2, 3])
+    for _ in range(4):
+        tables = {
+            "a": spark.createDataFrame(pick(8, lambda: rng.choice("xy")), "k int, s string"),
+            "b": spark.createDataFrame(pick(9, number, number), "k int, v int, z int"),
+            "c": spark.createDataFrame(pick(7, number), "k int, z int"),
+        }
+        every = merge.merge_wide(tables, "k")
+        assert every.columns == ["k", "s", "v", "z_x", "z_y"]
+        for where, plain in [({"b": "v > 1"}, "v > 1"), ({"c": "z = 2", "b": "v >= 1"}, "v >= 1 AND z_y = 2"), ({0: "s = 'x'"}, "s = 'x'")]:
+            found = merge.merge_wide(tables, "k", where=where)
+            assert found.columns == every.columns
+            assert sorted(map(str, found.collect())) == sorted(map(str, every.filter(plain).collect()))
+            some = merge.merge_wide(tables, "k", where=where, columns=["z_y", "v"])
+            assert sorted(map(str, some.collect())) == sorted(map(str, every.filter(plain).select("k", "v", "z_y").collect()))
+    with pytest.raises(ValueError):
+        merge.merge_wide(tables, "k", columns=["none"])
+
+
+def test_filter_threshold_reads_what_it_needs(spark):
+    """The condition stands below the joins, tables without a wanted column are not read, columns are pruned."""
+    from statloom import catalogue
+
+    plan = catalogue.filter_threshold(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "events.parquet" not in plan and "c_acctbal" not in plan and "l_extendedprice" not in plan
+    joins = [i for i, line in enumerate(plan.splitlines()) if "Join" in line]
+    conditions = [i for i, line in enumerate(plan.splitlines()) if "Filter" in line and "> 900.0" in line]
+    assert conditions and min(conditions) > min(joins)
+
+
+def test_bucketed_tables_merge_without_exchange(spark):
+    from statloom.storage import _written, clear_scratch, materialize_by
+
+    app = spark.sparkContext.applicationId
+    kept, _written[app] = _written.get(app, []), []  # what other tests have written stays
+    try:
+        frames = [spark.range(50).selectExpr(f"id * {i + 2} % 53 AS k", f"id AS v{i}") for i in range(3)]
+        held = [materialize_by(f, "merged", "k", 4) for f in frames]
+        merged = merge.merge_wide(held, "k", lead=0).groupBy("k").agg({"v0": "sum", "v1": "sum", "v2": "sum"})
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+        plain = merge.merge_wide(frames, "k", lead=0).groupBy("k").agg({"v0": "sum", "v1": "sum", "v2": "sum"})
+        assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, plain.collect()))
+        assert clear_scratch(spark) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        _written[app] = kept

@@ -813,9 +813,8 @@ def value_model(spark, d):
         values.RoleModel(role, code, numbers, ["p_brand"], {"l_quantity": 2.0, "p_size": 0.5})
         for role, code in FLAGS
     ]
-    rows = materialize(_priced_lines(spark, d), "lines")
     out = ["line", "l_partkey", "l_suppkey"]
-    return values.value_all_roles(rows, configs, "l_returnflag", "value", "line", out)
+    return values.value_all_roles(_priced_lines(spark, d), configs, "l_returnflag", "value", "line", out)
 
 
 def roles_skipped(spark, d):

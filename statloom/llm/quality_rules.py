@@ -42,12 +42,13 @@ CLASSES = {
 }
 SYMBOLS = CLASSES["symbol"].encode()
 
-#: Limits of the distances, and the least characters or words of a document to be judged.
+#: Limits of the distances, and the least characters or words of a document to be judged. n words drawn
+#: from the reference itself lie at a distance that falls with the root of n: the word limit has a
+#: part for that noise.
 CHAR_LIMIT, CHAR_LEAST = 0.3, 200
-WORD_LIMIT, WORD_LEAST = 0.262, 100
-#: Used by the SQL only, which puts languages below this share of the documents together; the
-#: operator has a reference for each.
-LANG_SHARE = 0.001
+WORD_LIMIT, WORD_NOISE, WORD_LEAST = 0.17, 1.2, 50
+#: Words that the passing documents of a language must have in all for it to be judged by distances.
+REFERENCE_LEAST = 1_000
 
 _FEATURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -166,13 +167,15 @@ def quality_rules(
     char_limit: float = CHAR_LIMIT,
     char_least: int = CHAR_LEAST,
     word_limit: float = WORD_LIMIT,
+    word_noise: float = WORD_NOISE,
     word_least: int = WORD_LEAST,
     keep_text: bool = False,
-    reference_least: int = 0,
+    reference_least: int = REFERENCE_LEAST,
 ) -> DataFrame:
     """One row per input row: its columns, the base measures, distances and verdict.
 
-    The text is left out unless ``keep_text`` is set.
+    The text is left out unless ``keep_text`` is set. A document of n words is rejected beyond the
+    character limit or beyond ``word_limit + word_noise / sqrt(n)``.
 
     Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_distance,
     word_distance, kept``. A NULL or empty text has no words and fails the base rule. A document is
@@ -207,7 +210,7 @@ def quality_rules(
         "word_distance", F.when((F.col("n_words") >= word_least) & judged, _distance(F.col("commons"), F.col("ref_commons")))
     )
     far = (F.coalesce(F.col("char_distance"), F.lit(0.0)) > char_limit) | (
-        F.coalesce(F.col("word_distance"), F.lit(0.0)) > word_limit
+        F.coalesce(F.col("word_distance"), F.lit(0.0)) > word_limit + word_noise / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     )
     return joined.withColumn("kept", ~F.col("base_failed") & ~far).select(
         *carried,

@@ -24,7 +24,6 @@ def _divergence() -> str:
         f"WHEN '{lang}' THEN [{', '.join(map(_text, listed.split()))}]" for lang, listed in q.COMMON_WORDS.items()
     )
     every = f"[{', '.join(map(_text, q.ALL_WORDS))}]"
-    named = ", ".join(map(_text, q.COMMON_WORDS))
 
     def distance(own: str, reference: str) -> str:
         p, r = f"(x / greatest(list_sum({own}), 1))", f"({reference}[i] / greatest(list_sum({reference}), 1))"
@@ -55,8 +54,7 @@ def _divergence() -> str:
     h AS MATERIALIZED (
       SELECT b.* EXCLUDE (found, listed), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
              list_transform(list_append(cw, n_words - coalesce(list_sum(cw), 0)), lambda x: CAST(x AS DOUBLE)) AS commons,
-             CASE WHEN lang IN ({named}) OR count(*) OVER (PARTITION BY lang) >= {q.LANG_SHARE} * count(*) OVER ()
-                  THEN coalesce(lang, '') ELSE '' END AS ref
+             coalesce('=' || lang, '') AS ref
       FROM (SELECT *, list_transform(listed, lambda x: coalesce(found[x], 0)) AS cw FROM b) b),
     e AS (
       SELECT ref, list(s ORDER BY i) AS ref_chars FROM (
@@ -65,11 +63,11 @@ def _divergence() -> str:
     g AS (
       SELECT ref, list(s ORDER BY i) AS ref_commons FROM (
         SELECT ref, i, sum(commons[i]) AS s FROM (SELECT ref, commons, unnest(range(1, len(commons) + 1)) AS i FROM h WHERE NOT base_failed)
-        GROUP BY ref, i) GROUP BY ref)
+        GROUP BY ref, i) GROUP BY ref HAVING sum(s) >= {q.REFERENCE_LEAST})
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
       NOT base_failed
-      AND NOT coalesce(list_sum(chars) >= {q.CHAR_LEAST} AND {distance("chars", "ref_chars")} > {q.CHAR_LIMIT}, FALSE)
-      AND NOT coalesce(n_words >= {q.WORD_LEAST} AND {distance("commons", "ref_commons")} > {q.WORD_LIMIT}, FALSE) AS kept
+      AND NOT coalesce(ref_commons IS NOT NULL AND list_sum(chars) >= {q.CHAR_LEAST} AND {distance("chars", "ref_chars")} > {q.CHAR_LIMIT}, FALSE)
+      AND NOT coalesce(n_words >= {q.WORD_LEAST} AND {distance("commons", "ref_commons")} > {q.WORD_LIMIT} + {q.WORD_NOISE} / sqrt(n_words), FALSE) AS kept
     FROM h LEFT JOIN e USING (ref) LEFT JOIN g USING (ref)"""
 
 
@@ -98,7 +96,8 @@ def _collocations() -> str:
     return rf"""WITH p AS (
       SELECT coalesce(lang, 'und') AS lang,
              unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?
--]')) AS p FROM documents),
+-
+]')) AS p FROM documents),
     w AS MATERIALIZED (SELECT lang, regexp_extract_all(p, '[^ 	]+') AS w FROM p),
     n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
     f AS MATERIALIZED (

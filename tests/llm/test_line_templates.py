@@ -1,49 +1,77 @@
+import math
 import random
+import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import xxhash
+
 from statloom.llm import line_templates as lt
+from statloom.llm.common import mixed
 
 D, L = "doc_id long, text string", {"texts": 3, "short_texts": 5, "short_words": 6, "least_words": 3}
 
 
+def letter(word):
+    """A word as the leaves count it: any word with a digit is the same one."""
+    return xxhash.xxh64_intdigest("<*>" if any(c.isdigit() and c.isascii() for c in word) else word)
+
+
+def line_hash(own):
+    """The hash that ranks lines of equally many texts."""
+    letters, place = np.array(own, np.uint64), np.arange(len(own), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        whole = mixed(letters + mixed(place + np.uint64(1))).sum(dtype=np.uint64) + mixed(np.array([len(own)]))[0]
+    return int(np.array([whole], np.uint64).view(np.int64)[0])
+
+
 def expected(rows, limits=L):
     """The method by plain loops: per line the template, then what recurs."""
-    occ, texts_of, key_texts = [], defaultdict(set), defaultdict(set)
+    occ, texts_of = [], defaultdict(set)
     for i, t in rows:
         for k, line in enumerate((t or "").split("\n")):
-            own = tuple("<*>" if any(c.isdigit() and c.isascii() for c in w) else w for w in line.split())
-            if t is not None and len(own) >= limits["least_words"]:
-                occ.append((i, k, own))
+            own = tuple(letter(w) for w in re.findall(r"[^\x20\x09-\x0D]+", line))
+            if len(own) >= limits["least_words"]:
+                occ.append((i, k, own, t))
                 texts_of[own].add(t)
     template = {}
     leaves = defaultdict(list)
     for own in texts_of:
         leaves[len(own), own[: lt.DEPTH]].append(own)
     for leaf, lines in leaves.items():
-        if sum(len(texts_of[x]) for x in lines) < limits["texts"]:
+        if len(lines) < 2 or sum(len(texts_of[x]) for x in lines) < limits["texts"]:
             continue
+        beyond = range(lt.DEPTH, leaf[0])
+        need = max(1, math.ceil(lt.AGREE * max(leaf[0] - lt.DEPTH, 0) - 1e-9))
         rest = lines
         for number in range(lt.ROUNDS):
             if len(rest) < 2:
                 break
-            pattern = []
-            for pos in range(leaf[0]):
+            pattern = {}
+            for pos in beyond:
                 counts = Counter()
                 for x in rest:
-                    counts[x[pos]] += len(texts_of[x])
-                top = max(counts.values())
-                pattern.append(next((w for w, n in counts.items() if n == top and n >= lt.CONSTANT * sum(counts.values())), None))
-            near = [x for x in rest if sum(a == b for a, b in zip(x, pattern)) >= lt.AGREE * leaf[0] - 1e-12]
+                    counts[x[pos] & 0xFFFF] += len(texts_of[x])
+                texts, word = max((n, w) for w, n in counts.items())
+                if texts >= lt.CONSTANT * sum(counts.values()):
+                    pattern[pos] = word
+            near = [x for x in rest if sum(x[pos] & 0xFFFF == w for pos, w in pattern.items()) >= need]
             for x in near:
                 template[x] = (leaf, number)
             rest = [x for x in rest if x not in near]
+        rest = sorted(rest, key=lambda x: (-len(texts_of[x]), line_hash(x)))
+        while len(rest) > 0:
+            seed = rest[0]
+            mine = [x for x in rest if x == seed or sum(x[pos] == seed[pos] for pos in beyond) >= need]
+            for x in mine:
+                template[x] = (leaf, seed)
+            rest = [x for x in rest if x not in mine]
     groups = defaultdict(list)
-    for i, k, own in occ:
-        groups[template.get(own, own)].append((i, k, own))
+    for i, k, own, t in occ:
+        groups[template.get(own, own), len(own)].append((i, k, t))
     dropped = defaultdict(set)
-    for members in groups.values():
-        n = sum(len(texts_of[x]) for x in {m[2] for m in members})
-        if n >= (limits["short_texts"] if len(members[0][2]) < limits["short_words"] else limits["texts"]):
+    for (_, n), members in groups.items():
+        if len({m[2] for m in members}) >= (limits["short_texts"] if n < limits["short_words"] else limits["texts"]):
             first = min((m[:2] for m in members if m[0] is not None), default=None)
             for i, k, _ in members:
                 if i is not None and (i, k) != first:
@@ -67,6 +95,12 @@ def made_up(seed=6):
             lines.append(f"user {i} logged in at 12:{i:02d} from host node{i} with key {word()} today")
         if i % 2 == 0:
             lines.append("all rights reserved" if i % 4 else "")
+        # four words of which three lead, several lines of a template in one text, templates of equal weight
+        lines.append(f"how to make {word()}")
+        if i % 6 == 0:
+            lines += [f"table row with values {word()} and more in it" for _ in range(3)]
+        shape = [["red", "green", "blue", "white"], ["one", "two", "three", "four"], ["north", "south", "east", "west"]][i % 3]
+        lines.append(" ".join(["see the list", *shape, word(), *shape, word()]))
         rows.append((i, "\n".join(lines)))
     rows += [(100 + k, rows[1][1]) for k in range(6)]  # exact copies count once
     rows += [(200, None), (201, ""), (202, "\n\n"), (None, passage), (203, passage + "\n" + passage), rows[7], rows[7]]
@@ -91,7 +125,9 @@ def test_against_plain_loops(spark):
     left = "\n".join(r.text or "" for r in got if r.doc_id is not None)
     assert "logged in" in gone and left.count("logged in") == 1  # variable fields do not hide a template
     passage = texts[203].split("\n")[0]
-    assert left.count(passage) == 1 and left.count(texts[1]) == 7
+    own = max(texts[1].split("\n")[:-3], key=len)  # a line that only copies of one text have
+    assert left.count(passage) == 1 and left.count(own) == 7
+    assert left.count("how to make") == 40 + 6 + 2 and "table row with values" in gone and "see the list" in gone
 
 
 def test_empty_table_clashing_columns_and_long_lines(spark):

@@ -44,20 +44,20 @@ def made_up():
 def by_loops(rows, items):
     # quality rules
     failed = {r[1]: (lambda m: m[0] < 50 or 100 * m[4] > 50 * m[0])(base(r[1])) for r in rows}
-    named = lambda lang: lang if lang == "en" else "xx" if lang == "xx" else ""
     refs = {}
     for r in rows:
         if not failed[r[1]]:
             both = histograms(r[1], r[2])
-            refs[named(r[2])] = tuple(a + b for a, b in zip(refs.get(named(r[2]), (0, 0)), both))
+            refs[r[2]] = tuple(a + b for a, b in zip(refs.get(r[2], (0, 0)), both))
     kept = []
     for r in rows:
         if failed[r[1]]:
             continue
         chars, commons = histograms(r[1], r[2])
-        ref = refs[named(r[2])]
-        far = chars.sum() >= quality_rules.CHAR_LEAST and distance(chars, ref[0]) > quality_rules.CHAR_LIMIT
-        far |= commons.sum() >= quality_rules.WORD_LEAST and distance(commons, ref[1]) > quality_rules.WORD_LIMIT
+        ref, limit = refs[r[2]], quality_rules.WORD_LIMIT + quality_rules.WORD_NOISE / commons.sum() ** 0.5
+        judged = ref[1].sum() >= quality_rules.REFERENCE_LEAST
+        far = judged and chars.sum() >= quality_rules.CHAR_LEAST and distance(chars, ref[0]) > quality_rules.CHAR_LIMIT
+        far |= judged and commons.sum() >= quality_rules.WORD_LEAST and distance(commons, ref[1]) > limit
         if not far:
             kept.append((r[0], r[1]))
     # line dedup
@@ -117,4 +117,4 @@ def test_queries_are_registered():
     from __spark_entry__ import queries
 
     names = [n for n in queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted(n.split("_")[0] for n in names) == sorted(["pipeline", *(f"op{i}" for i in range(1, 11))])
+    assert sorted(n.split("_")[0] for n in names) == sorted(["pipeline", *(f"op{i}" for i in range(1, 14))])

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from statloom.llm.common import chunks, flat_words, mixed, numbered, texts_of
 
-#: Slots of the hashed features, and the labelled rows per class that the fit sees at most.
-SLOTS, SAMPLE = 1 << 18, 3000
+#: Slots of the hashed features, the labelled rows per class that the fit sees at most, and their bytes each.
+SLOTS, SAMPLE, MOST_BYTES = 1 << 18, 3000, 1 << 16
 #: Added to the counts of each slot; price of a violated margin; rounds of the descent.
 SMOOTHING, COST, ROUNDS = 1.0, 1.0, 15
 
@@ -121,10 +121,12 @@ def score_texts(
     text: str = "text",
     slots: int = SLOTS,
     sample: int = SAMPLE,
+    most_bytes: int = MOST_BYTES,
 ) -> DataFrame:
     """The input columns but the text, with ``score``: the probability of label 1.
 
-    ``labels`` holds the ids to learn from; ids without a text, and labels other than 0 and 1, are
+    ``labels`` holds the ids to learn from, of which at most ``sample`` per label and no text above
+    ``most_bytes`` bytes are used, so that what comes to the driver is bounded; ids without a text, and labels other than 0 and 1, are
     ignored, and of several labels of an id the smallest counts. With only one class, or none, every
     score is that class's share (0.5 without any). NULL and empty texts are scored by the features
     of an empty text. Equal texts get equal scores; an empty table gives an empty result. An input
@@ -133,15 +135,16 @@ def score_texts(
     spark = docs.sparkSession
     chosen, sizes = sampled_labels(labels, id, label, sample)  # at most 2 * sample rows
     source = docs.select(F.col(id).alias("__id"), F.col(text).cast("string").alias("__text"))
-    picked = source.join(F.broadcast(chosen), "__id").select("__label", "__text")
+    picked = source.join(F.broadcast(chosen), "__id").where(F.coalesce(F.octet_length("__text"), F.lit(0)) <= most_bytes)
+    # of several texts of an id the one with the smallest hash, so that the sample does not depend on tasks
+    picked = picked.groupBy("__id", "__label").agg(F.min_by("__text", F.xxhash64("__text")).alias("__text")).select("__label", "__text")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "__text", 4 << 20):
             found = [x.astype("<u4").tobytes() for x in slots_of_texts(texts_of(batch, "__text"), slots)]
             yield pa.RecordBatch.from_arrays([batch.column("__label"), pa.array(found, pa.binary())], ["y", "slots"])
 
-    # repeated documents of an id may give more rows than labels: then the bound holds by limit
-    taken = sorted((r["y"], bytes(r["slots"])) for r in picked.mapInArrow(extract, "y int, slots binary").limit(2 * sample).collect())
+    taken = sorted((r["y"], bytes(r["slots"])) for r in picked.mapInArrow(extract, "y int, slots binary").collect())
     y = np.array([k for k, _ in taken], int)
     rows = [np.frombuffer(x, "<u4").astype(np.int64) for _, x in taken]
     model = _fit(rows, y, sizes, slots)

@@ -51,16 +51,16 @@ def _learned_labels(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "labels").where(F.coalesce(remainder("doc_id", 5), F.lit(0)) != 0)
 
 
-def _predicted(scored: DataFrame, limit: float) -> DataFrame:
+def _predicted(scored: DataFrame, limit: float, *more: str) -> DataFrame:
     held_out = F.coalesce(remainder("doc_id", 5), F.lit(1)) == 0
     return scored.select(
-        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= limit).cast("int").alias("predicted")
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= limit).cast("int").alias("predicted"), *more
     )
 
 
 def op4_crf(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return _predicted(score_toxicity(docs, _learned_labels(spark, d), "toxic"), 0.5)
+    return _predicted(score_toxicity(docs, _learned_labels(spark, d), "toxic"), 0.5, "spans")
 
 
 def op5_nb_svm(spark: SparkSession, d: str) -> DataFrame:

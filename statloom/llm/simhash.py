@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.common import chunks, texts_of
+from statloom.llm.common import chunks, shuffle_partitions, texts_of
 from statloom.storage import materialize
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -183,7 +183,8 @@ def links(marks: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFra
         "band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "__fp"
     )
     group = ["band", "key", "i", "j"]
-    sorted_pairs = pairs.repartition(*group).sortWithinPartitions(*group)
+    # a fixed number of tasks: the rows are few bytes, the comparisons many
+    sorted_pairs = pairs.repartition(shuffle_partitions(marks.sparkSession), *group).sortWithinPartitions(*group)
     return sorted_pairs.mapInPandas(_links(radius), "hi long, lo long").distinct()
 
 

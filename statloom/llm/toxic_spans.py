@@ -209,7 +209,8 @@ def score_toxicity(
     """The input columns but the text, with ``score`` (0 to 1) and ``spans`` of toxic words.
 
     ``spans`` are ranges of code points (start, past the end). NULL and empty texts have no tokens,
-    hence the lowest score. Labels of unknown ids or other than 0 and 1 are ignored; without both
+    hence the lowest score. Labels of unknown ids or other than 0 and 1 are ignored, and of several labels
+    of an id the smallest counts; without both
     classes no word is toxic and every score is the share of label 1 (0 without labels). Equal texts
     get equal scores; an empty table gives an empty result. Input columns that bear an added name
     are replaced.
@@ -218,7 +219,9 @@ def score_toxicity(
     chosen, sizes = sampled_labels(labels, id, label, sample)  # at most 2 * sample rows
     source = docs.select(F.col(id).alias("__id"), F.col(text).cast("string").alias("__text"))
     picked = source.join(F.broadcast(chosen), "__id").where(F.octet_length("__text") <= most_bytes)
-    taken = sorted((r["__label"], r["__text"].encode()) for r in picked.select("__label", "__text").limit(2 * sample).collect())
+    # of several texts of an id the one with the smallest hash, so that the sample does not depend on tasks
+    picked = picked.groupBy("__id", "__label").agg(F.min_by("__text", F.xxhash64("__text")).alias("__text"))
+    taken = sorted((r["__label"], r["__text"].encode()) for r in picked.collect())
     y, texts = np.array([k for k, _ in taken], np.int64), [t for _, t in taken]
     model, curve = (np.zeros(SLOTS), -30.0, np.ones((2, 2))), np.array([0.0, 0.0, -35.0])
     if len(set(y.tolist())) == 2:

@@ -133,3 +133,19 @@ def test_marginals_against_all_labellings():
         wanted_pairs += pairs / total
         at += size
     assert np.allclose(expected, wanted_pairs)
+
+
+def test_samples_do_not_depend_on_tasks(spark):
+    """Ids that repeat with other texts give the same scores however the rows are dealt."""
+    rnd = random.Random(12)
+    good, bad = ["river", "stone", "light", "tree"], ["zzz", "qqq", "stone", "light"]
+    prose = lambda stems: " ".join(rnd.choice(stems) for _ in range(30))
+    rows = [(i % 40, prose(bad if i % 2 else good)) for i in range(160)] + [(3, None), (5, "")]
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)] + [(7, 0, 0)], "doc_id long, quality int, toxic int")
+    for operator, label in ((nb_svm.score_texts, "quality"), (toxic_spans.score_toxicity, "toxic")):
+        found = []
+        for order in (rows, rows[::-1]):
+            docs = spark.createDataFrame(order, "doc_id long, text string").repartition(len(found) + 2)
+            got = operator(docs.selectExpr("*", "text AS own"), labels, label, sample=15).collect()
+            found.append(sorted((r.doc_id, r.own or "", r.score) for r in got))
+        assert found[0] == found[1]

@@ -34,6 +34,8 @@ SUPPORT, LONGEST, TOP, COVERED = 100, 5, 2_000, 100
 #: Bytes of text that a shard has if there are enough for all cores, those of its slices (or one longer
 #: text), and positions that are numbered at once.
 SHARD_BYTES, SLICE_BYTES, PART = 256 << 20, 32 << 20, 1_000_000
+#: Bytes of text that are cut into words at once.
+CUT_BYTES = 4 << 20
 #: Phrases that a shard holds before it ends early, and bytes of counts that are summed up before they are sent.
 REPORTS, COUNTED_BYTES = 4_000_000, 64 << 20
 #: Bits of the filter for each candidate, and its bytes at most; a fuller one lets more through.
@@ -63,8 +65,13 @@ class Slice:
 
     def add(self, texts: list[bytes]) -> None:
         self.bytes += sum(map(len, texts))
-        words = (_END.join(texts) + _END).translate(_TABLE).replace(_END, b" \xff ").split()
-        self.parts.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
+        plain, a = (_END.join(texts) + _END).translate(_TABLE), 0
+        while a < len(plain):  # long texts are cut into words part by part, between words
+            b = plain.find(b" ", a + CUT_BYTES)
+            b = len(plain) if b < 0 else b
+            words = plain[a:b].replace(_END, b" \xff ").split()
+            self.parts.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
+            a = b
 
     def close(self) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """The numbers in a row, and the hash and the text of each number; the slice is emptied."""

@@ -64,6 +64,7 @@ def test_against_brute_force(spark, support, covered, top, size, parts):
 
 def test_numbered_in_parts(spark, monkeypatch):
     monkeypatch.setattr(mining, "PART", 50)
+    monkeypatch.setattr(mining, "CUT_BYTES", 9)
     monkeypatch.setattr(mining, "COUNTED_BYTES", 500)
     rows = corpus(seed=8)
     got = mining.collocations(spark.createDataFrame(rows, ROWS).coalesce(2), support=6, slice_bytes=1_500).collect()

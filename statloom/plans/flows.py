@@ -15,9 +15,6 @@ from statloom.plans.wide_table import build_wide_table
 from statloom.sources.tables import load_sources, optional_source, read_csv, write_csv, write_ranking
 from statloom.storage import materialize
 
-WIDE_SCHEMA = ", ".join(
-    f"`{c}` {'bigint' if c in season.WHOLE else 'double' if c in season.DECIMAL else 'string'}" for c in season.REQUIRED
-)
 VALUE_SCHEMA = "Player string, Position string, Price string"
 
 
@@ -35,7 +32,7 @@ def wide_flow(loaders: Mapping[str, Callable[[], DataFrame | None]], out: str) -
 
 def statistics_flow(spark: SparkSession, wide_path: str, out: str) -> dict[str, DataFrame]:
     """The wide table's file to ranking, profile, leaders and histograms."""
-    wide = read_csv(spark, wide_path, WIDE_SCHEMA, season.MISSING)
+    wide = read_csv(spark, wide_path, season.WIDE_SCHEMA, season.MISSING)
     report = reports.statistics_report(wide)
     write_ranking(report["ranking"], f"{out}/ranking")
     found = {"ranking": spark.read.parquet(f"{out}/ranking")}
@@ -48,7 +45,7 @@ def statistics_flow(spark: SparkSession, wide_path: str, out: str) -> dict[str,
 
 def cluster_flow(spark: SparkSession, wide_path: str, out: str, **options) -> dict[str, DataFrame]:
     """The wide table's file to the clustered players and the tables beside them."""
-    wide = read_csv(spark, wide_path, WIDE_SCHEMA, season.MISSING)
+    wide = read_csv(spark, wide_path, season.WIDE_SCHEMA, season.MISSING)
     report = reports.cluster_report(wide, **options)
     return {name: _written(table, f"{out}/{name}", "") for name, table in report.items()}
 
@@ -64,7 +61,7 @@ def transfer_flow(
 
     A missing player file leaves only the listings, with their positions unknown.
     """
-    wide = optional_source(lambda: read_csv(spark, wide_path, WIDE_SCHEMA, season.MISSING))
+    wide = optional_source(lambda: read_csv(spark, wide_path, season.WIDE_SCHEMA, season.MISSING))
     found = {}
     if wide is not None:
         found["regular"] = _written(transfers.regular_players(wide), f"{out}/regular", season.MISSING)

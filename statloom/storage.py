@@ -76,12 +76,16 @@ def materialize_by(df: DataFrame, label: str, key: str, buckets: int | None = No
     Joins and groupings by the key of tables with as many buckets (default: shuffle partitions) then
     move no rows. One shuffle now, for tables that are merged or grouped by the key more than once.
     """
+    n = buckets or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return write_buckets(df.repartition(n, f"`{key}`"), label, key, n)
+
+
+def write_buckets(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+    """The writing of ``materialize_by`` alone, for rows that a grouping has dealt by the key already."""
     spark = df.sparkSession
-    n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     path, name = scratch_path(spark, label), f"statloom_{uuid.uuid4().hex}"
     _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
-    dealt = df.repartition(n, f"`{key}`")
-    dealt.write.format("parquet").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
     return spark.table(name)
 
 

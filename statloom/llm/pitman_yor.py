@@ -1,17 +1,20 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-A token's context is the word before it, hashed to one of a fixed number of restaurants (and one more
-for the beginning of a text); all of them share the unigram restaurant as their parent, whose own base
-is uniform over the vocabulary. Customers are the training tokens. Their seating is sampled by Gibbs:
-in each round all customers of a dish in a restaurant are reseated given everybody else, first in the
-context restaurants, then, one customer for each of their tables, in the parent. The predictive
-probabilities of the last rounds are averaged.
-
-Work is split by dish: a part owns the counts of its words in all contexts, and so seats them and
-their parents without asking others. Only the number of tables per restaurant is shared, by one sum
-per round, which every part takes from the round before. A part draws from a generator of its own, so
-that the later rounds and the scoring repeat its earlier rounds instead of storing them. Tokens travel
-to the parts of their words, packed in arrays; very common words are dealt over several parts.
+A token's context is the word before it, or the end before a text's first word. Every context word has
+a restaurant of its own; all of them share the unigram restaurant as their parent, whose own base is
+uniform over the vocabulary. Customers are the training tokens. Their seating is sampled in rounds: all
+customers of a dish in a restaurant are reseated given everybody else, first in the context restaurants,
+then, one customer for each of their tables, in the parent. The predictive probabilities of the last
+rounds are averaged.
+
+Work is split by dish: a part owns the counts of its words in all contexts, in one bucket of a table
+that never moves again. What a dish needs to know of a restaurant is the number of its tables. These
+numbers are split by context: after each round every part sends the tables it has in each of its
+contexts to the part of that context, which adds them up and sends back the sums. Only six sums and
+the totals of the parent pass the driver. Each round is written, so that no round is repeated. Words of
+held-out texts are counted as zero, so that a part knows every pair it will be asked for. To be scored,
+tokens travel to the parts of their words, packed in arrays; very common words are dealt over several
+parts.
 """
 
 from __future__ import annotations
@@ -27,32 +30,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statloom.llm.common import chunks, flat_words, mixed, numbered, ragged, shuffle_partitions, texts_of
-from statloom.storage import scratch_path
+from statloom.storage import materialize, write_buckets
 
-#: Context restaurants; rounds before the first and rounds that are averaged; concentrations.
-CONTEXTS, BURN_IN, SAMPLES = 4096, 2, 3
+#: Rounds before the first and rounds that are averaged; concentrations.
+BURN_IN, SAMPLES = 2, 3
 THETA, ROOT_THETA = 1.0, 1.0
 #: Bytes and texts of a chunk; a text's number within its chunk takes two bytes.
 CHUNK, CHUNK_TEXTS = 12 << 20, 1 << 16
 END = xxhash.xxh64_intdigest(b"")
 
-_PACKET = "p int, uid long, kind int, words binary, sizes binary, contexts binary, last binary, n_docs int"
+_COUNTS = "p int, words binary, sizes binary, ctx binary, contexts binary, last binary"
+_PACKET = "p int, uid long, kind int, words binary, sizes binary, ctx binary, contexts binary, last binary, n_docs int"
+#: What parts send each other: addressee, sender, kind, arrays, sums for the driver.
+_MAIL = "p int, sender int, kind int, v array<binary>, sums array<double>"
+STATE, OPEN, PLACES, TABLES, FIRST, TOTALS, HOT, TOKENS, LISTED = range(9)
+
+
+def _packed(a: np.ndarray) -> bytes:
+    """Numbers as compressed planes of bytes."""
+    planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(planes, asbytes=True)
+
+
+def _numbers(b: bytes, kind: str) -> np.ndarray:
+    size, kind = int.from_bytes(b[:8], "little"), np.dtype(kind)
+    if not size:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.Codec("zstd").decompress(b[8:], size, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
 class _Tokens:
-    """The tokens of some texts: number of the word, context, text."""
+    """The tokens of some texts: number of the word, number of the word before, text."""
 
-    def __init__(self, texts: list[bytes], contexts: int):
+    def __init__(self, texts: list[bytes]):
         words, counts = flat_words([t.lower() for t in texts])
         distinct, which = numbered(words)
         self.hashes = np.fromiter((*map(xxhash.xxh64_intdigest, distinct), END), np.uint64, len(distinct) + 1)
         ends = np.cumsum(counts)
         self.token = np.insert(which, ends, len(distinct)).astype(np.int64)
         self.counts = counts + 1
-        first = np.cumsum(self.counts) - self.counts
-        bucket = (self.hashes % np.uint64(contexts)).astype(np.int64)[self.token]
-        self.context = np.concatenate([[0], bucket[:-1]])
-        self.context[first] = contexts
+        self.context = np.concatenate([[len(distinct)], self.token[:-1]])
         self.text = np.repeat(np.arange(len(texts)), self.counts)
 
 
@@ -64,7 +82,8 @@ def _part(hashes: np.ndarray, parts: int, salt: np.ndarray | int = 0) -> np.ndar
 def _packets(hashes, part, sizes, contexts, last) -> Iterator[tuple]:
     """Splits entries sorted by word into one packet per part, words in order of their hash.
 
-    ``sizes`` counts the entries of each word; ``contexts`` and ``last`` hold the entries.
+    ``sizes`` counts the entries of each word; ``contexts`` (numbers of words) and ``last`` hold the
+    entries. A packet lists the hashes of its contexts and numbers them.
     """
     order = np.lexsort((hashes, part))
     order = order[sizes[order] > 0]
@@ -77,48 +96,59 @@ def _packets(hashes, part, sizes, contexts, last) -> Iterator[tuple]:
         if a < b:
             own = order[a:b]
             entries = slice(upto[a], upto[b])
+            listed, number = np.unique(contexts[entries], return_inverse=True)
             yield (
                 int(part[own[0]]),
                 hashes[own].astype("<u8").tobytes(),
-                sizes[own].astype("<u4").tobytes(),
-                contexts[entries].astype("<u2").tobytes(),
-                last[entries].tobytes(),
+                _packed(sizes[own].astype("<u4")),
+                hashes[listed].astype("<u8").tobytes(),
+                _packed(number.astype("<u4")),
+                _packed(last[entries]),
             )
 
 
-def _counting(contexts: int, parts: int):
+def _counting(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", CHUNK):
-            kept = [t for t, k in zip(texts_of(batch, "text"), batch.column("train").to_pylist(), strict=True) if k]
-            if not kept:
+            if not batch.num_rows:
                 continue
-            tokens = _Tokens(kept, contexts)
-            code, n = np.unique(tokens.token * (contexts + 1) + tokens.context, return_counts=True)
-            sizes = np.bincount(code // (contexts + 1), minlength=len(tokens.hashes))
-            rows = list(_packets(tokens.hashes, _part(tokens.hashes, parts), sizes, code % (contexts + 1), n.astype("<u4")))
+            tokens = _Tokens(texts_of(batch, "text"))
+            train = np.array([bool(k) for k in batch.column("train").to_pylist()])
+            size = len(tokens.hashes)
+            code, n = np.unique((tokens.token * size + tokens.context) * 2 + train[tokens.text], return_counts=True)
+            n *= code & 1
+            code >>= 1
+            first = np.flatnonzero(np.diff(code, prepend=-1))
+            code, n = code[first], np.add.reduceat(n, first)
+            sizes = np.bincount(code // size, minlength=size)
+            rows = list(_packets(tokens.hashes, _part(tokens.hashes, parts), sizes, code % size, n.astype("<u4")))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 5))],
-                ["p", "words", "sizes", "contexts", "last"],
+                [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 6))],
+                [x.split()[0] for x in _COUNTS.split(", ")],
             )
 
     return run
 
 
-def _joined(frame: pd.DataFrame, contexts: int) -> pd.DataFrame:
+def _joined(frame: pd.DataFrame) -> pd.DataFrame:
     """One row per part: its words, their contexts, and counts."""
     words = np.frombuffer(b"".join(frame["words"]), "<u8")
-    sizes = np.frombuffer(b"".join(frame["sizes"]), "<u4").astype(np.int64)
+    sizes = np.concatenate([_numbers(b, "<u4") for b in frame["sizes"]]).astype(np.int64)
     distinct, number = np.unique(words, return_inverse=True)
-    code = np.repeat(number, sizes) * (contexts + 1) + np.frombuffer(b"".join(frame["contexts"]), "<u2")
+    ctx, place = np.unique(np.frombuffer(b"".join(frame["ctx"]), "<u8"), return_inverse=True)
+    base = np.cumsum([0, *(len(b) // 8 for b in frame["ctx"])])
+    at = np.concatenate([place[a + _numbers(b, "<u4")] for a, b in zip(base, frame["contexts"])])
+    code = np.repeat(number, sizes) * len(ctx) + at
+    del at, words, place
     code, place = np.unique(code, return_inverse=True)
-    counts = np.bincount(place, np.frombuffer(b"".join(frame["last"]), "<u4")).astype("<i8")
-    sizes = np.bincount(code // (contexts + 1), minlength=len(distinct))
+    counts = np.bincount(place, np.concatenate([_numbers(b, "<u4") for b in frame["last"]])).astype("<i8")
     row = {
         "p": int(frame["p"].iloc[0]),
         "words": distinct.astype("<u8").tobytes(),
-        "sizes": sizes.astype("<u4").tobytes(),
-        "contexts": (code % (contexts + 1)).astype("<u2").tobytes(),
-        "last": counts.tobytes(),
+        "sizes": _packed(np.bincount(code // len(ctx), minlength=len(distinct)).astype("<u4")),
+        "ctx": ctx.astype("<u8").tobytes(),
+        "contexts": _packed((code % len(ctx)).astype("<u4")),
+        "last": _packed(counts),
     }
     return pd.DataFrame([row])
 
@@ -156,105 +186,176 @@ def reseat(customers: np.ndarray, weight: np.ndarray, base: np.ndarray, discount
 class Seating:
     """The restaurants' customers of one part's dishes, and how they are seated."""
 
-    def __init__(self, words: bytes, sizes: bytes, contexts: bytes, counts: bytes, part: int, settings: dict):
-        self.words = np.frombuffer(words, "<u8")
-        self.sizes = np.frombuffer(sizes, "<u4").astype(np.int64)
-        self.contexts = np.frombuffer(contexts, "<u2").astype(np.int64)
-        self.counts = np.frombuffer(counts, "<i8")
+    def __init__(self, r, settings: dict):
+        self.p, self.settings = int(r.p), settings
+        self.words = np.frombuffer(r.words, "<u8")
+        self.sizes = _numbers(r.sizes, "<u4").astype(np.int64)
+        self.ctx = np.frombuffer(r.ctx, "<u8")
+        self.contexts = _numbers(r.contexts, "<u4").astype(np.int64)
+        self.counts = _numbers(r.last, "<i8")
         self.word = np.repeat(np.arange(len(self.words)), self.sizes)
-        self.tables, self.root = np.ones(len(self.counts)), np.ones(len(self.words))
         self.many = np.flatnonzero(self.counts > 1)
-        self.random, self.settings = np.random.default_rng([settings["seed"], part]), settings
+        # before the first round every dish has one table wherever it is served
+        self.tables = np.minimum(self.counts, 1).astype(float)
+        self.root = np.minimum(self.customers(), 1)
+        #: tables of the averaged rounds, summed up; customers, tables of the parent and all tables, each
+        self.sums, self.kept = np.zeros(len(self.many), np.int64), []
 
     def customers(self) -> np.ndarray:
         """Of the parent: one for each table of a context restaurant."""
         return np.bincount(self.word, self.tables, minlength=len(self.words))
 
-    def parent(self, totals: dict) -> np.ndarray:
-        """The parent's probability of each word."""
+    def parent(self, customers: np.ndarray, root: np.ndarray, totals: tuple) -> np.ndarray:
+        """The parent's probability of each word, given all customers and tables there."""
         s = self.settings
         theta, d = s["root_theta"], s["root_discount"]
-        seated = self.customers() - d * self.root + (theta + d * totals["root"]) / (s["vocabulary"] + 1)
-        return seated / (theta + totals["customers"])
-
-    def round(self, totals: dict) -> None:
-        """Reseats everybody, given the totals of the round before."""
-        s, many = self.settings, self.many
-        at = self.contexts[many]
-        others = s["theta"] + s["discount"] * np.maximum(totals["tables"][at] - self.tables[many], 0)
-        self.tables[many] = reseat(self.counts[many], others, self.parent(totals)[self.word[many]], s["discount"], self.random)
-        others = s["root_theta"] + s["root_discount"] * np.maximum(totals["root"] - self.root, 0)
-        flat = np.full(len(self.words), 1 / (s["vocabulary"] + 1))
-        self.root = reseat(self.customers(), others, flat, s["root_discount"], self.random)
-
-    def totals(self) -> np.ndarray:
-        """Tables per restaurant, then customers and tables of the parent."""
-        size = self.settings["contexts"] + 1
-        tables = np.bincount(self.contexts, self.tables, minlength=size)
-        return np.concatenate([tables, [self.tables.sum(), self.root.sum()]])
-
-
-def _unpacked(vector: np.ndarray) -> dict:
-    return {"tables": vector[:-2], "customers": float(vector[-2]), "root": float(vector[-1])}
+        return (customers - d * root + (theta + d * totals[1]) / (s["vocabulary"] + 1)) / (theta + totals[0])
+
+    def round(self, number: int, at_contexts: np.ndarray, totals: tuple) -> None:
+        """Reseats everybody, given the tables per context and in the parent of the round before."""
+        s, many, random = self.settings, self.many, np.random.default_rng([self.settings["seed"], self.p, number])
+        others = s["theta"] + s["discount"] * np.maximum(at_contexts[self.contexts[many]] - self.tables[many], 0)
+        base = self.parent(self.customers(), self.root, totals)[self.word[many]]
+        self.tables[many] = reseat(self.counts[many], others, base, s["discount"], random)
+        customers = self.customers()
+        seen = np.flatnonzero(customers > 0)
+        others = s["root_theta"] + s["root_discount"] * np.maximum(totals[1] - self.root[seen], 0)
+        flat = np.full(len(seen), 1 / (s["vocabulary"] + 1))
+        self.root[seen] = reseat(customers[seen], others, flat, s["root_discount"], random)
+
+    def keep(self, at_contexts: np.ndarray) -> None:
+        """Takes the present round into the average, given all its tables per context."""
+        self.sums += self.tables[self.many].astype(np.int64)
+        self.kept.append((self.customers(), self.root.copy(), at_contexts))
+
+    def slices(self, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+        """The contexts of this part by the part that adds up their tables, in order of their hash."""
+        owner = _part(self.ctx, parts)
+        order = np.argsort(owner, kind="stable")
+        cuts = np.flatnonzero(np.diff(owner[order])) + 1
+        for own in np.split(order, cuts):
+            if len(own):
+                yield int(owner[own[0]]), own
+
+    def at_contexts(self, mail: pd.DataFrame, kind: int, parts: int, which: int = 0) -> np.ndarray:
+        """The sums that the contexts' parts have sent."""
+        found, out = dict(self.slices(parts)), np.zeros(len(self.ctx))
+        for r in mail[mail["kind"] == kind].itertuples(index=False):
+            out[found[int(r.sender)]] = _numbers(r.v[which], "<i8")
+        return out
+
+    def state(self) -> list[bytes]:
+        whole = [self.tables[self.many], self.root, self.sums, *(a for row in self.kept for a in row)]
+        return [_packed(a.astype("<i8")) for a in whole]
+
+    def resume(self, mail: pd.DataFrame) -> Seating:
+        for r in mail[mail["kind"] == STATE].itertuples(index=False):
+            tables, root, sums, *kept = (_numbers(b, "<i8") for b in r.v)
+            self.tables[self.many], self.root, self.sums = tables, root.astype(float), sums.copy()
+            self.kept = [tuple(kept[k : k + 3]) for k in range(0, len(kept), 3)]
+        return self
+
+
+def _mail(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[x.split()[0] for x in _MAIL.split(", ")])
+
+
+def _opening(parts: int):
+    """The tables and customers of each part's contexts before the first round, and sums of the part."""
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                s = Seating(r, {})
+                tables = np.bincount(s.contexts, s.tables, minlength=len(s.ctx)).astype("<i8")
+                customers = np.bincount(s.contexts, s.counts, minlength=len(s.ctx)).astype("<i8")
+                n, w = s.counts, s.customers()
+                sums = [n.sum(), (w > 0).sum(), w.sum(), (n == 1).sum(), (n == 2).sum(), (w == 1).sum(), (w == 2).sum()]
+                rows = [(s.p, s.p, STATE, [], [float(x) for x in sums])]
+                for q, own in s.slices(parts):
+                    rows.append((q, s.p, OPEN, [s.ctx[own].tobytes(), _packed(tables[own]), _packed(customers[own])], None))
+                yield _mail(rows)
 
-def _summed(rows: DataFrame, size: int) -> np.ndarray:
-    """Sum of the vectors in column ``v`` of all rows; 64 partial sums reach the driver."""
-
-    def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(size)
-        for v in frame["v"]:
-            total += np.frombuffer(v, "<f8")
-        return pd.DataFrame({"v": [total.tobytes()]})
+    return run
 
-    parts = rows.groupBy(F.pmod("p", F.lit(64)).alias("g")).applyInPandas(add, "v binary").collect()
-    return sum((np.frombuffer(r["v"], "<f8") for r in parts), np.zeros(size))
 
+def _meeting(frame: pd.DataFrame) -> pd.DataFrame:
+    """Numbers the contexts of one part, for each sender; adds up their tables and customers."""
+    rows, q = [], int(frame["p"].iloc[0])
+    listed = [np.frombuffer(v[0], "<u8") for v in frame["v"]]
+    _, place = np.unique(np.concatenate(listed), return_inverse=True)
+    sums = [np.bincount(place, np.concatenate([_numbers(v[k], "<i8") for v in frame["v"]])).astype("<i8") for k in (1, 2)]
+    upto = np.cumsum([0, *map(len, listed)])
+    for k, sender in enumerate(frame["sender"]):
+        at = place[upto[k] : upto[k + 1]]
+        rows.append((q, int(sender), PLACES, [_packed(np.diff(at, prepend=0).astype("<i8"))], None))
+        rows.append((int(sender), q, FIRST, [_packed(x[at]) for x in sums], None))
+    return _mail(rows)
+
+
+def _adding_up(frame: pd.DataFrame) -> pd.DataFrame:
+    """The tables of all parts in the contexts of one part, sent back to each of them."""
+    places = {int(r.sender): np.cumsum(_numbers(r.v[0], "<i8")) for r in frame[frame["kind"] == PLACES].itertuples(index=False)}
+    total = np.zeros(max(int(at.max()) for at in places.values()) + 1, "<i8")
+    for r in frame[frame["kind"] == TABLES].itertuples(index=False):
+        total[places[int(r.sender)]] += _numbers(r.v[0], "<i8")  # a sender names a context once
+    q = int(frame["p"].iloc[0])
+    return _mail([(sender, q, TOTALS, [_packed(total[at])], None) for sender, at in places.items()])
+
+
+def _advancing(number: int, settings: dict, totals: tuple, burn_in: int, parts: int):
+    def run(counts: pd.DataFrame, mail: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for r in counts.itertuples(index=False):
+            s = Seating(r, settings).resume(mail)
+            before = s.at_contexts(mail, FIRST if number == 1 else TOTALS, parts)
+            if number - 1 > burn_in:
+                s.keep(before)
+            s.round(number, before, totals)
+            tables = np.bincount(s.contexts, s.tables, minlength=len(s.ctx)).astype("<i8")
+            rows.append((s.p, s.p, STATE, s.state(), [float(s.tables.sum()), float(s.root.sum())]))
+            rows += [(q, s.p, TABLES, [_packed(tables[own])], None) for q, own in s.slices(parts)]
+        return _mail(rows)
 
-def _per_part(frames: Iterator[pd.DataFrame], make) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        rows = [{"p": r.p, "v": make(r).astype("<f8").tobytes()} for r in frame.itertuples(index=False)]
-        if rows:
-            yield pd.DataFrame(rows)
+    return run
 
 
 class Model:
-    """Counts by part, the totals of all rounds, and what scoring needs of them."""
-
-    def __init__(self, counts: DataFrame, contexts: int, parts: int, burn_in: int, samples: int, seed: int):
-        self.counts, self.parts, self.burn_in = counts, parts, burn_in
-        size = contexts + 1
+    """Counts by part, and what the parts know after the last round."""
 
-        def facts(r) -> np.ndarray:
-            n, sizes = np.frombuffer(r.last, "<i8"), np.frombuffer(r.sizes, "<u4")
-            at = np.frombuffer(r.contexts, "<u2")
-            seen = [n.sum(), len(sizes), (n == 1).sum(), (n == 2).sum(), (sizes == 1).sum(), (sizes == 2).sum()]
-            return np.concatenate([np.bincount(at, n, minlength=size), np.bincount(at, minlength=size), seen])
-
-        found = _summed(counts.mapInPandas(lambda fs: _per_part(fs, facts), "p int, v binary"), 2 * size + 6)
-        self.customers, pairs = found[:size], found[size : 2 * size]
-        tokens, vocabulary, n1, n2, w1, w2 = found[2 * size :]
+    def __init__(self, counts: DataFrame, parts: int, burn_in: int, samples: int, seed: int):
+        self.counts, self.parts = counts, parts
+        opened = materialize(counts.mapInPandas(_opening(parts), _MAIL), "pitman-yor-open")
+        tokens, vocabulary, pairs, n1, n2, w1, w2 = _summed(opened, 7)
         self.tokens, self.vocabulary = int(tokens), int(vocabulary)
         share = lambda a, b: float(np.clip(a / max(a + 2 * b, 1), 0.1, 0.95))
         self.settings = {
-            "contexts": contexts,
+            "tokens": self.tokens,
             "vocabulary": self.vocabulary,
             "theta": THETA,
             "root_theta": ROOT_THETA,
             "discount": share(n1, n2),
             "root_discount": share(w1, w2),
             "seed": seed,
+            "kept": [],
         }
-        # before the first round every dish has one table wherever it is served
-        self.history = [_unpacked(np.concatenate([pairs, [pairs.sum(), vocabulary]]))]
-        for _ in range(burn_in + samples if self.tokens else 0):
-            history, settings = self.history, self.settings
-
-            def advance(r, history=history, settings=settings) -> np.ndarray:
-                return _replayed(r, history, settings).totals()
-
-            rows = counts.mapInPandas(lambda fs, f=advance: _per_part(fs, f), "p int, v binary")
-            self.history = [*history, _unpacked(_summed(rows, size + 2))]
+        asked = opened.where(F.col("kind") == OPEN).groupBy("p").applyInPandas(_meeting, _MAIL)
+        met = materialize(asked, "pitman-yor-contexts")
+        places, first = met.where(F.col("kind") == PLACES), met.where(F.col("kind") == FIRST)
+        self.ends, totals = first, (pairs, vocabulary)
+        rounds = burn_in + max(samples, 1) if self.tokens else 0
+        for k in range(1, rounds + 1):
+            step = _advancing(k, self.settings, totals, burn_in, parts)
+            mail = first if k == 1 else self.ends
+            made = materialize(counts.groupBy("p").cogroup(mail.groupBy("p")).applyInPandas(step, _MAIL), "pitman-yor-round")
+            totals = tuple(_summed(made, 2))
+            if k > burn_in:
+                self.settings["kept"].append(totals)
+            sent = made.where(F.col("kind") == TABLES).unionByName(places)
+            added = sent.groupBy("p").applyInPandas(_adding_up, _MAIL)
+            self.ends = added.unionByName(made.where(F.col("kind") == STATE))
+        if rounds:
+            self.ends = materialize(self.ends.unionByName(first), "pitman-yor-ends")
 
     def hot(self) -> dict[int, int]:
         """Words with more than a quarter of a part's share of the tokens, at most 4 * parts, and
@@ -264,8 +365,8 @@ class Model:
         def pick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 for r in frame.itertuples(index=False):
-                    sizes, words = np.frombuffer(r.sizes, "<u4"), np.frombuffer(r.words, "<u8")
-                    n = np.bincount(np.repeat(np.arange(len(sizes)), sizes), np.frombuffer(r.last, "<i8"), len(sizes))
+                    sizes, words = _numbers(r.sizes, "<u4"), np.frombuffer(r.words, "<u8")
+                    n = np.bincount(np.repeat(np.arange(len(sizes)), sizes), _numbers(r.last, "<i8"), len(sizes))
                     own = n > least
                     yield pd.DataFrame({"w": words[own].view(np.int64), "salts": np.ceil(n[own] / least).astype(np.int64)})
 
@@ -273,71 +374,60 @@ class Model:
         return {r["w"] & 0xFFFFFFFFFFFFFFFF: r["salts"] for r in rows}
 
 
-def _replayed(r, history: list[dict], settings: dict) -> Seating:
-    seating = Seating(r.words, r.sizes, r.contexts, r.last, int(r.p), settings)
-    for totals in history:
-        seating.round(totals)
-    return seating
-
-
-def _prediction(r, history: list[dict], settings: dict, burn_in: int) -> dict:
-    """Averages over the kept rounds: discounted customers of each dish per context; the parent's
-    probabilities stay apart by round, as each goes with that round's tables."""
-    seating = Seating(r.words, r.sizes, r.contexts, r.last, int(r.p), settings)
-    kept, parents = np.zeros(len(seating.counts)), []
-    for k, totals in enumerate(history[:-1]):
-        seating.round(totals)
-        if k >= burn_in:
-            kept += seating.counts - settings["discount"] * seating.tables
-            parents.append(seating.parent(history[k + 1]))
-    n = np.bincount(seating.word, seating.counts, minlength=len(seating.words))
-    return {
-        "words": seating.words,
-        "sizes": seating.sizes,
-        "contexts": seating.contexts,
-        "kept": kept / max(len(parents), 1),
-        "parents": np.array(parents).reshape(len(parents), len(seating.words)),
-        "counts": n,
-    }
+def _summed(mail: DataFrame, size: int) -> list[float]:
+    """The parts' sums, added up by Spark."""
+    rows = mail.where(F.col("kind") == STATE)
+    got = rows.agg(*(F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(size))).first()
+    return [float(x or 0) for x in got]
 
 
-def _hot_rows(model: Model, salts: dict[int, int]):
-    history, settings, burn_in, parts = model.history, model.settings, model.burn_in, model.parts
+def _prediction(r, mail: pd.DataFrame, settings: dict, parts: int) -> tuple[Seating, np.ndarray]:
+    """The part's seating, and the averaged probability of each of its pairs."""
+    s = Seating(r, settings).resume(mail)
+    if not settings["tokens"]:
+        return s, np.ones(len(s.counts))
+    s.keep(s.at_contexts(mail, TOTALS, parts))
+    customers = s.at_contexts(mail, FIRST, parts, 1)
+    d, theta, rounds = settings["discount"], settings["theta"], len(s.kept)
+    p = s.counts.astype(float) * rounds
+    p[s.counts == 1] -= d * rounds
+    p[s.many] -= d * s.sums
+    for (seated, root, tables), totals in zip(s.kept, settings["kept"], strict=True):
+        p += (theta + d * tables)[s.contexts] * s.parent(seated, root, totals)[s.word]
+    return s, p / rounds / (theta + customers)[s.contexts]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for r in frame.itertuples(index=False):
-                words = np.frombuffer(r.words, "<u8")
-                own = [i for i, w in enumerate(words.tolist()) if w in salts]
-                if not own:
-                    continue
-                made = _prediction(r, history, settings, burn_in)
-                upto = np.concatenate([[0], np.cumsum(made["sizes"])])
-                out = []
-                for i in own:
-                    at = slice(upto[i], upto[i + 1])
-                    values = np.concatenate([[made["counts"][i]], made["parents"][:, i], made["kept"][at]])
-                    word = words[i : i + 1]
-                    for salt in range(1, salts[int(word[0])]):
-                        out.append(
-                            {
-                                "p": int(_part(word, parts, salt)[0]),
-                                "uid": -1,
-                                "kind": 1,
-                                "words": word.tobytes(),
-                                "sizes": made["sizes"][i : i + 1].astype("<u4").tobytes(),
-                                "contexts": made["contexts"][at].astype("<u2").tobytes(),
-                                "last": values.astype("<f8").tobytes(),
-                                "n_docs": 0,
-                            }
-                        )
-                if out:
-                    yield pd.DataFrame(out)
+
+def _hot_rows(model: Model, salts: dict[int, int]):
+    settings, parts = model.settings, model.parts
+
+    def run(counts: pd.DataFrame, mail: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for r in counts.itertuples(index=False):
+            words = np.frombuffer(r.words, "<u8")
+            own = [i for i, w in enumerate(words.tolist()) if w in salts]
+            if not own:
+                continue
+            s, p = _prediction(r, mail, settings, parts)
+            upto = np.concatenate([[0], np.cumsum(s.sizes)])
+            for i in own:
+                at, word = slice(upto[i], upto[i + 1]), words[i : i + 1]
+                row = {
+                    "uid": -1,
+                    "kind": HOT,
+                    "words": word.tobytes(),
+                    "sizes": b"",
+                    "ctx": s.ctx[s.contexts[at]].tobytes(),
+                    "contexts": b"",
+                    "last": np.concatenate([[s.counts[at].sum()], p[at]]).astype("<f8").tobytes(),
+                    "n_docs": 0,
+                }
+                out += [row | {"p": int(_part(word, parts, salt)[0])} for salt in range(1, salts[int(word[0])])]
+        return pd.DataFrame(out, columns=[x.split()[0] for x in _PACKET.split(", ")])
 
     return run
 
 
-def _sending(contexts: int, parts: int, salts: dict[int, int], kind: pa.DataType):
+def _sending(parts: int, salts: dict[int, int], kind: pa.DataType):
     """Per chunk: a packet for each part, and the list of its documents."""
     hot = np.array(sorted(salts), np.uint64)
     dealt = np.array([salts[int(w)] for w in hot], np.int64)
@@ -345,7 +435,9 @@ def _sending(contexts: int, parts: int, salts: dict[int, int], kind: pa.DataType
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 24
         for batch in chunks(batches, "text", CHUNK, CHUNK_TEXTS):
-            tokens = _Tokens(texts_of(batch, "text"), contexts)
+            if not batch.num_rows:
+                continue
+            tokens = _Tokens(texts_of(batch, "text"))
             order = np.argsort(tokens.token, kind="stable")
             sizes = np.bincount(tokens.token, minlength=len(tokens.hashes))
             # chunk ids count from a multiple of a power of two in each task
@@ -361,8 +453,8 @@ def _sending(contexts: int, parts: int, salts: dict[int, int], kind: pa.DataType
                 [
                     pa.array([r[0] for r in rows] + [deal % parts], pa.int32()),
                     pa.array([uid] * (n + 1), pa.int64()),
-                    pa.array([2] * n + [3], pa.int32()),
-                    *(pa.array([r[k] for r in rows] + none, pa.binary()) for k in range(1, 5)),
+                    pa.array([TOKENS] * n + [LISTED], pa.int32()),
+                    *(pa.array([r[k] for r in rows] + none, pa.binary()) for k in range(1, 6)),
                     pa.array([batch.num_rows] * (n + 1), pa.int32()),
                     pa.array([None] * n + [batch.column("id").to_pylist()], pa.list_(kind)),
                     pa.array([None] * n + [tokens.counts.tolist()], pa.list_(pa.int64())),
@@ -380,71 +472,47 @@ DOC_BLOCK = 256
 
 
 def _scoring(model: Model):
-    history, settings, burn_in, customers = model.history, model.settings, model.burn_in, model.customers
-    contexts, d, theta = settings["contexts"], settings["discount"], settings["theta"]
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("kind", kind="stable")
-        kept_rounds = history[1 + burn_in :] or history[:1]
-        tables = np.array([h["tables"] for h in kept_rounds])
-        room = theta + customers
-        unseen = [
-            (settings["root_theta"] + settings["root_discount"] * h["root"])
-            / (settings["vocabulary"] + 1)
-            / (settings["root_theta"] + h["customers"])
-            for h in kept_rounds
-        ]
-        rounds = len(kept_rounds)
-        words, counts, parents, kept, keys = [], [], [], [], []
-        for r in frame[frame["kind"] < 2].itertuples(index=False):
-            if r.kind == 0:
-                made = _prediction(r, history, settings, burn_in)
-            else:
-                v, own = np.frombuffer(r.last, "<f8"), np.frombuffer(r.contexts, "<u2").astype(np.int64)
-                made = {
-                    "words": np.frombuffer(r.words, "<u8"),
-                    "sizes": np.array([len(own)]),
-                    "contexts": own,
-                    "kept": v[1 + rounds :],
-                    "parents": v[1 : 1 + rounds].reshape(rounds, 1),
-                    "counts": v[:1],
-                }
-            base = sum(len(w) for w in words)
-            words.append(made["words"]), counts.append(made["counts"]), parents.append(made["parents"]), kept.append(made["kept"])
-            keys.append(np.repeat(np.arange(base, base + len(made["words"])), made["sizes"]) * (contexts + 1) + made["contexts"])
-        # the last word and key match nothing: they stand for all that is unknown
-        words = np.concatenate([*words, np.zeros(0, np.uint64)])
-        counts = np.concatenate([*counts, [0.0]])
-        parents = np.concatenate([*parents, np.array(unseen).reshape(rounds, 1)], axis=1)
-        keys, kept = np.concatenate([*keys, [np.iinfo(np.int64).max]]), np.concatenate([*kept, [0.0]])
-        order = np.argsort(words, kind="stable")
-        sorted_words = np.concatenate([words[order], np.zeros(0, np.uint64)])
+    settings, parts = model.settings, model.parts
+
+    def run(own: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
+        words, counts, ctx, keys, logs = [], [], [], [], []
+        for r in own.itertuples(index=False):
+            s, p = _prediction(r, frame, settings, parts)
+            words.append(s.words), ctx.append(s.ctx), logs.append(np.log10(p))
+            counts.append(np.bincount(s.word, s.counts, minlength=len(s.words)))
+            keys.append((s.word, s.contexts))
+        for r in frame[frame["kind"] == HOT].itertuples(index=False):
+            v, listed = np.frombuffer(r.last, "<f8"), np.frombuffer(r.ctx, "<u8")
+            words.append(np.frombuffer(r.words, "<u8")), ctx.append(listed), logs.append(np.log10(v[1:]))
+            counts.append(v[:1])
+            keys.append((np.zeros(len(listed), np.int64), np.arange(len(listed))))
         out, nothing = [], dict.fromkeys(("ids", "n_tokens", *_SUMS))
 
         def blocks(r) -> Iterator[tuple[dict, slice]]:
             for k in range(0, r.n_docs, DOC_BLOCK):
                 yield nothing | {"uid": r.uid, "block": k // DOC_BLOCK}, slice(k, k + DOC_BLOCK)
 
-        for r in frame[frame["kind"] >= 2].itertuples(index=False):
-            if r.kind == 3:
-                out += [row | {"ids": r.ids[at], "n_tokens": r.n_tokens[at]} for row, at in blocks(r)]
-                continue
-            asked = np.frombuffer(r.words, "<u8")
-            sizes = np.frombuffer(r.sizes, "<u4").astype(np.int64)
-            number = np.full(len(asked), len(words))
-            if len(words):
-                at = np.minimum(np.searchsorted(sorted_words, asked), len(words) - 1)
-                number = np.where(sorted_words[at] == asked, order[at], len(words))
-            number = np.repeat(number, sizes)
-            context = np.frombuffer(r.contexts, "<u2").astype(np.int64)
-            key = number * (contexts + 1) + context
-            at = np.searchsorted(keys, key)
-            p = np.where(keys[at] == key, kept[at], 0.0)
-            for k in range(rounds):
-                p = p + (theta + d * tables[k][context]) * parents[k][number] / rounds
-            text = np.frombuffer(r.last, "<u2")
-            sums = (np.log10(p / room[context]), np.log10(counts[number] + 1), (counts[number] > 0).astype(float))
-            made = [np.bincount(text, x, minlength=r.n_docs) for x in sums]
+        for r in frame[frame["kind"] == LISTED].itertuples(index=False):
+            out += [row | {"ids": r.ids[at], "n_tokens": r.n_tokens[at]} for row, at in blocks(r)]
+        if words:
+            # words and contexts numbered by their hashes, pairs sorted
+            known, number = np.unique(np.concatenate(words), return_inverse=True)
+            listed, place = np.unique(np.concatenate(ctx), return_inverse=True)
+            counts = np.bincount(number, np.concatenate(counts))
+            w, c = np.cumsum([0, *map(len, words)]), np.cumsum([0, *map(len, ctx)])
+            key = np.concatenate([number[a + i] * len(listed) + place[b + j] for a, b, (i, j) in zip(w, c, keys)])
+            logs = np.concatenate(logs)
+            if np.any(key[1:] < key[:-1]):
+                order = np.argsort(key)
+                key, logs = key[order], logs[order]
+            del keys, number, place, words, ctx
+        for r in frame[frame["kind"] == TOKENS].itertuples(index=False):
+            at = np.searchsorted(known, np.frombuffer(r.words, "<u8"))
+            number = np.repeat(at, _numbers(r.sizes, "<u4"))
+            context = np.searchsorted(listed, np.frombuffer(r.ctx, "<u8"))[_numbers(r.contexts, "<u4")]
+            score = logs[np.searchsorted(key, number * len(listed) + context)]
+            text, n = _numbers(r.last, "<u2"), counts[number]
+            made = [np.bincount(text, x, minlength=r.n_docs) for x in (score, np.log10(n + 1), (n > 0).astype(float))]
             made[2] = made[2].astype("<u4")
             out += [row | {name: x[at].tobytes() for name, x in zip(_SUMS, made, strict=True)} for row, at in blocks(r)]
         return pd.DataFrame(out, columns=["uid", "block", "ids", "n_tokens", *_SUMS])
@@ -466,17 +534,11 @@ def _adding(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-_COUNTS = "p int, words binary, sizes binary, contexts binary, last binary"
-
-
-def count_by_part(source: DataFrame, contexts: int, parts: int) -> DataFrame:
-    """Training counts of ``source`` (``text, train``) as a written table, one row per part."""
-    spark = source.sparkSession
-    place = scratch_path(spark, "pitman-yor")
-    sent = source.select("text", "train").where("train").mapInArrow(_counting(contexts, parts), _COUNTS)
-    joined = sent.groupBy("p").applyInPandas(lambda f: _joined(f, contexts), _COUNTS)
-    joined.write.option("compression", "zstd").parquet(place)
-    return spark.read.schema(_COUNTS).parquet(place)
+def count_by_part(source: DataFrame, parts: int) -> DataFrame:
+    """Counts of all pairs of ``source`` (``text, train``), zero for those of held-out texts alone:
+    one row per part, each in the bucket of its part."""
+    sent = source.select("text", "train").mapInArrow(_counting(parts), _COUNTS)
+    return write_buckets(sent.groupBy("p").applyInPandas(_joined, _COUNTS), "pitman-yor", "p", parts)
 
 
 def score_documents(
@@ -484,7 +546,6 @@ def score_documents(
     train: str,
     id: str = "doc_id",
     text: str = "text",
-    contexts: int = CONTEXTS,
     burn_in: int = BURN_IN,
     samples: int = SAMPLES,
     seed: int = 11,
@@ -494,35 +555,27 @@ def score_documents(
     The boolean column ``train`` says which rows are learned from (NULL: not). Tokens are the words
     of the text, A-Z in lower case, and one end. ``score`` is the model's log10 probability of the
     text, ``base_score`` that of add-one unigrams. A NULL or empty text is its end alone; a NULL id
-    stays NULL. Without training rows every token is the one unknown word, of probability 1. Equal
+    stays NULL. A very long text is one chunk. Without training rows every token is the one unknown word, of probability 1. Equal
     texts get scores equal but for the order of summation; an empty table gives no rows. No other
     column is used.
     """
-    if not 0 < contexts < 65535:
-        raise ValueError("contexts must be below 65535")
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     source = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), F.col(train).alias("train"))
-    counts = count_by_part(source, contexts, parts)
-    model = Model(counts, contexts, parts, burn_in, samples, seed)
+    model = Model(count_by_part(source, parts), parts, burn_in, samples, seed)
+    by_part = model.counts.groupBy("p")
 
     salts = model.hot()
     kind = source.schema["id"].dataType.simpleString()
     from pyspark.sql.pandas.types import to_arrow_type
 
     schema = f"{_PACKET}, ids array<{kind}>, n_tokens array<long>"
-    tokens = source.select("id", "text").mapInArrow(
-        _sending(contexts, parts, salts, to_arrow_type(source.schema["id"].dataType)), schema
-    )
-    none = [F.lit(None).cast(f"array<{kind}>").alias("ids"), F.lit(None).cast("array<long>").alias("n_tokens")]
-    hot = counts.mapInPandas(_hot_rows(model, salts), _PACKET).select("*", *none)
-    own = counts.select(
-        *("p", F.lit(-1).cast("long").alias("uid"), F.lit(0).alias("kind"), "words", "sizes", "contexts", "last"),
-        F.lit(0).alias("n_docs"),
-        *none,
-    )
+    tokens = source.select("id", "text").mapInArrow(_sending(parts, salts, to_arrow_type(source.schema["id"].dataType)), schema)
+    hot = by_part.cogroup(model.ends.groupBy("p")).applyInPandas(_hot_rows(model, salts), _PACKET)
+    known = model.ends.drop("sums").withColumns({"uid": F.lit(-1).cast("long"), "n_docs": F.lit(0)})
+    asked = tokens.unionByName(hot, allowMissingColumns=True).unionByName(known, allowMissingColumns=True)
     sums = "uid long, block int, ids array<{0}>, n_tokens array<long>, scores binary, logs binary, known binary".format(kind)
-    partial = tokens.unionByName(own).unionByName(hot).groupBy("p").applyInPandas(_scoring(model), sums)
+    partial = by_part.cogroup(asked.groupBy("p")).applyInPandas(_scoring(model), sums)
     added = partial.groupBy("uid", "block").applyInPandas(_adding, f"id {kind}, n_tokens long, scores double, logs double, known long")
     share = float(np.log10(model.tokens + model.vocabulary + 1))
     return added.select(

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from statloom.llm import pitman_yor as py
 
-CONTEXTS = 64
-
 
 def tokens(text):
     return [w.encode() for w in words(low(text))] + [b""]
@@ -23,7 +21,7 @@ def split(docs):
 
 @pytest.fixture(scope="module")
 def scored(split):
-    return py.score_documents(split, "train", contexts=CONTEXTS).collect()
+    return py.score_documents(split, "train").collect()
 
 
 def is_train(i):
@@ -43,44 +41,76 @@ def test_counts_and_base(rows, scored):
 
 
 def test_scores_follow_the_seating(split, rows, scored):
-    """The scores are those of the averaged predictive probabilities, summed up one by one; for
-    every context these add up to 1 over the vocabulary and the unknown word."""
-    source = split.select("text", "train")
+    """Every context word has its own restaurant, whose tables are those of all parts together; the
+    scores are those of the averaged predictive probabilities, summed up one by one; for every
+    context these add up to 1 over the vocabulary and the unknown word."""
     parts = py.shuffle_partitions(split.sparkSession)
-    model = py.Model(py.count_by_part(source, CONTEXTS, parts), CONTEXTS, parts, py.BURN_IN, py.SAMPLES, 11)
-    s, kept, parent = model.settings, defaultdict(float), {}
+    model = py.Model(py.count_by_part(split.select("text", "train"), parts), parts, py.BURN_IN, py.SAMPLES, 11)
+    s, mail = model.settings, model.ends.toPandas()
+    theta, d, rounds = s["theta"], s["discount"], range(py.SAMPLES)
+    pair, parent, told, known, last = {}, {}, {}, {}, Counter()
     for r in model.counts.toPandas().itertuples(index=False):
-        made = py._prediction(r, model.history, s, model.burn_in)
-        pairs = np.repeat(made["words"], made["sizes"]).tolist()
-        for w, c, k in zip(pairs, made["contexts"].tolist(), made["kept"]):
-            kept[w, c] += k
-        for i, w in enumerate(made["words"].tolist()):
-            parent[w] = made["parents"][:, i]
-    rounds = model.history[1 + model.burn_in :]
-    unseen = np.array(
-        [
-            (s["root_theta"] + s["root_discount"] * h["root"]) / (s["vocabulary"] + 1) / (s["root_theta"] + h["customers"])
-            for h in rounds
-        ]
-    )
+        own = mail[mail["p"] == r.p]
+        seating, p = py._prediction(r, own, s, parts)
+        assert ((seating.tables >= np.minimum(seating.counts, 1)) & (seating.tables <= seating.counts)).all()
+        words_, ctx = seating.words.tolist(), seating.ctx.tolist()
+        for w, c, x, n, t in zip(seating.word, seating.contexts, p, seating.counts, seating.tables, strict=True):
+            pair[words_[w], ctx[c]] = x
+            last[ctx[c]] += t
+            known[words_[w], ctx[c]] = n
+        up = [seating.parent(a, b, t) for (a, b, _), t in zip(seating.kept, s["kept"], strict=True)]
+        parent |= {w: [up[k][i] for k in rounds] for i, w in enumerate(words_)}
+        customers = seating.at_contexts(own, py.FIRST, parts, 1)
+        for i, c in enumerate(ctx):
+            row = ([seating.kept[k][2][i] for k in rounds], customers[i])
+            assert told.setdefault(c, row) == row
+    name = lambda t: xxhash.xxh64_intdigest(t)
+    counts, served = Counter(), Counter()
+    for r in rows:
+        own = tokens(r[1])
+        for before, t in zip([b"", *own], own):
+            counts[name(t), name(before)] += is_train(r[0])
+            served[name(before)] += is_train(r[0])
+    assert known == counts
+    assert {c: n for c, (_, n) in told.items()} == served and {c: t[-1] for c, (t, _) in told.items()} == last
+    assert len(told) > 100
 
     def p(word, context):
+        if (word, context) in pair:
+            return pair[word, context]
+        tables, n = told[context]
+        unseen = [(s["root_theta"] + s["root_discount"] * b) / (s["vocabulary"] + 1) / (s["root_theta"] + a) for a, b in s["kept"]]
         up = parent.get(word, unseen)
-        weight = np.array([s["theta"] + s["discount"] * h["tables"][context] for h in rounds])
-        return (kept.get((word, context), 0.0) + (weight * up).mean()) / (s["theta"] + model.customers[context])
+        return sum((theta + d * tables[k]) * up[k] for k in rounds) / len(rounds) / (theta + n)
 
-    for context in (0, 7, CONTEXTS):
-        assert sum(p(w, context) for w in [*parent, -1]) == pytest.approx(1, abs=1e-9)
+    seen = [w for w in parent if any(known.get((w, c), 0) for c in told)]
+    assert len(seen) == s["vocabulary"]
+    for context in (name(b""), *list(told)[:5]):
+        assert sum(p(w, context) for w in [*seen, -1]) == pytest.approx(1, abs=1e-9)
     want = []
     for r in rows:
-        hashes = [xxhash.xxh64_intdigest(t) for t in tokens(r[1])]
-        before = [CONTEXTS, *(h % CONTEXTS for h in hashes[:-1])]
-        want.append((str(r[0]), len(hashes), sum(math.log10(p(w, c)) for w, c in zip(hashes, before))))
+        own = [name(t) for t in tokens(r[1])]
+        want.append((str(r[0]), len(own), sum(math.log10(p(w, c)) for c, w in zip([name(b""), *own], own))))
     made = sorted((str(r.doc_id), r.n_tokens, r.score) for r in scored)
     for a, b in zip(made, sorted(want), strict=True):
         assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-9)
 
 
+def test_contexts_are_told_apart(spark):
+    """Whatever the number of context words, what follows each of them is learned by itself."""
+    docs = spark.range(6000).selectExpr("id AS doc_id", "concat('a', id % 3000, ' b', id % 3000) AS text", "true AS train")
+    last = docs.limit(0).unionByName(
+        spark.createDataFrame([(-1, "a7 b7", False), (-2, "a7 b8", False)], "doc_id long, text string, train boolean")
+    )
+    got = {r.doc_id: r.score for r in py.score_documents(docs.unionByName(last), "train").where("doc_id < 0").collect()}
+    assert got[-1] - got[-2] > 2
+
+
+def test_packed_numbers():
+    for a in (np.arange(5, dtype="<u4"), np.zeros(0, "<i8"), np.array([2**40, -3], "<i8"), np.arange(70000, dtype="<u2")):
+        assert (py._numbers(py._packed(a), a.dtype.str) == a).all()
+
+
 def test_better_than_unigrams(rows, scored):
     held = [r for r in scored if not is_train(r.doc_id)]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
@@ -92,7 +122,7 @@ def test_common_words_are_dealt_over_parts(spark, split, scored, monkeypatch):
     """Dealing every word over several parts changes nothing."""
     many = lambda self: {int(w): 3 for r in self.counts.collect() for w in np.frombuffer(r.words, "<u8")}
     monkeypatch.setattr(py.Model, "hot", many)
-    again = py.score_documents(split.repartition(5), "train", contexts=CONTEXTS).collect()
+    again = py.score_documents(split.repartition(5), "train").collect()
     key = lambda r: (str(r.doc_id), r.n_tokens)
     for a, b in zip(sorted(scored, key=key), sorted(again, key=key), strict=True):
         assert a.doc_id == b.doc_id and a.score == pytest.approx(b.score, rel=1e-9) and a.n_known == b.n_known
@@ -115,7 +145,7 @@ def test_reseating_is_a_restaurant():
 
 
 def test_without_training_rows_and_without_rows(docs, no_docs):
-    alone = py.score_documents(docs.withColumn("train", F.lit(None).cast("boolean")), "train", contexts=CONTEXTS).collect()
+    alone = py.score_documents(docs.withColumn("train", F.lit(None).cast("boolean")), "train").collect()
     assert len(alone) == docs.count()
     assert all(r.score == r.base_score == 0 and r.n_known == r.train_tokens == 0 for r in alone)
     assert py.score_documents(no_docs.withColumn("train", F.lit(True)), "train").count() == 0

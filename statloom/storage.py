@@ -54,6 +54,15 @@ def clear_scratch(spark: SparkSession) -> int:
     return gone
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes one hand-over table that no later step reads."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+    left = _written.get(spark.sparkContext.applicationId, [])
+    if path in left:
+        left.remove(path)
+
+
 #: Folders of hand-over tables of each application, and names of those that the session's catalog knows.
 _written: dict[str, list[str]] = {}
 _tables: dict[str, list[str]] = {}

@@ -29,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.common import chunks, flat_words, mixed, numbered, ragged, shuffle_partitions, texts_of
-from statloom.storage import materialize, write_buckets
+from statloom.llm.common import chunks, flat_words, mixed, numbered, ragged, release, shuffle_partitions, texts_of
+from statloom.storage import discard, scratch_path, write_buckets
 
 #: Rounds before the first and rounds that are averaged; concentrations.
 BURN_IN, SAMPLES = 2, 3
@@ -60,6 +60,15 @@ def _numbers(b: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
+def _listed(hashes: np.ndarray) -> bytes:
+    """Ascending hashes as compressed differences."""
+    return _packed(np.diff(hashes.astype("<u8"), prepend=np.zeros(1, "<u8")))
+
+
+def _hashes(b: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(b, "<u8"), dtype="<u8")
+
+
 class _Tokens:
     """The tokens of some texts: number of the word, number of the word before, text."""
 
@@ -68,10 +77,10 @@ class _Tokens:
         distinct, which = numbered(words)
         self.hashes = np.fromiter((*map(xxhash.xxh64_intdigest, distinct), END), np.uint64, len(distinct) + 1)
         ends = np.cumsum(counts)
-        self.token = np.insert(which, ends, len(distinct)).astype(np.int64)
+        self.token = np.insert(which, ends, len(distinct)).astype(np.int32)
         self.counts = counts + 1
-        self.context = np.concatenate([[len(distinct)], self.token[:-1]])
-        self.text = np.repeat(np.arange(len(texts)), self.counts)
+        self.context = np.concatenate([np.array([len(distinct)], np.int32), self.token[:-1]])
+        self.text = np.repeat(np.arange(len(texts), dtype=np.int32), self.counts)
 
 
 def _part(hashes: np.ndarray, parts: int, salt: np.ndarray | int = 0) -> np.ndarray:
@@ -79,11 +88,12 @@ def _part(hashes: np.ndarray, parts: int, salt: np.ndarray | int = 0) -> np.ndar
         return (mixed(hashes + np.asarray(salt, np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(parts)).astype(np.int64)
 
 
-def _packets(hashes, part, sizes, contexts, last) -> Iterator[tuple]:
+def _packets(hashes, part, sizes, contexts, last, ascending=False) -> Iterator[tuple]:
     """Splits entries sorted by word into one packet per part, words in order of their hash.
 
     ``sizes`` counts the entries of each word; ``contexts`` (numbers of words) and ``last`` hold the
-    entries. A packet lists the hashes of its contexts and numbers them.
+    entries. A packet lists the hashes of its contexts and numbers them. ``last`` goes as differences if
+    it is ``ascending`` within a word.
     """
     order = np.lexsort((hashes, part))
     order = order[sizes[order] > 0]
@@ -96,14 +106,14 @@ def _packets(hashes, part, sizes, contexts, last) -> Iterator[tuple]:
         if a < b:
             own = order[a:b]
             entries = slice(upto[a], upto[b])
-            listed, number = np.unique(contexts[entries], return_inverse=True)
+            listed, number = np.unique(hashes[contexts[entries]], return_inverse=True)
             yield (
                 int(part[own[0]]),
-                hashes[own].astype("<u8").tobytes(),
+                _listed(hashes[own]),
                 _packed(sizes[own].astype("<u4")),
-                hashes[listed].astype("<u8").tobytes(),
+                _listed(listed),
                 _packed(number.astype("<u4")),
-                _packed(last[entries]),
+                _packed(np.diff(last[entries], prepend=last.dtype.type(0)) if ascending else last[entries]),
             )
 
 
@@ -115,7 +125,7 @@ def _counting(parts: int):
             tokens = _Tokens(texts_of(batch, "text"))
             train = np.array([bool(k) for k in batch.column("train").to_pylist()])
             size = len(tokens.hashes)
-            code, n = np.unique((tokens.token * size + tokens.context) * 2 + train[tokens.text], return_counts=True)
+            code, n = np.unique((tokens.token.astype(np.int64) * size + tokens.context) * 2 + train[tokens.text], return_counts=True)
             n *= code & 1
             code >>= 1
             first = np.flatnonzero(np.diff(code, prepend=-1))
@@ -126,27 +136,29 @@ def _counting(parts: int):
                 [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 6))],
                 [x.split()[0] for x in _COUNTS.split(", ")],
             )
+        release()
 
     return run
 
 
 def _joined(frame: pd.DataFrame) -> pd.DataFrame:
     """One row per part: its words, their contexts, and counts."""
-    words = np.frombuffer(b"".join(frame["words"]), "<u8")
+    words = np.concatenate([_hashes(b) for b in frame["words"]])
     sizes = np.concatenate([_numbers(b, "<u4") for b in frame["sizes"]]).astype(np.int64)
     distinct, number = np.unique(words, return_inverse=True)
-    ctx, place = np.unique(np.frombuffer(b"".join(frame["ctx"]), "<u8"), return_inverse=True)
-    base = np.cumsum([0, *(len(b) // 8 for b in frame["ctx"])])
+    lists = [_hashes(b) for b in frame["ctx"]]
+    ctx, place = np.unique(np.concatenate(lists), return_inverse=True)
+    base = np.cumsum([0, *map(len, lists)])
     at = np.concatenate([place[a + _numbers(b, "<u4")] for a, b in zip(base, frame["contexts"])])
     code = np.repeat(number, sizes) * len(ctx) + at
-    del at, words, place
+    del at, words, place, lists
     code, place = np.unique(code, return_inverse=True)
     counts = np.bincount(place, np.concatenate([_numbers(b, "<u4") for b in frame["last"]])).astype("<i8")
     row = {
         "p": int(frame["p"].iloc[0]),
-        "words": distinct.astype("<u8").tobytes(),
+        "words": _listed(distinct),
         "sizes": _packed(np.bincount(code // len(ctx), minlength=len(distinct)).astype("<u4")),
-        "ctx": ctx.astype("<u8").tobytes(),
+        "ctx": _listed(ctx),
         "contexts": _packed((code % len(ctx)).astype("<u4")),
         "last": _packed(counts),
     }
@@ -188,9 +200,9 @@ class Seating:
 
     def __init__(self, r, settings: dict):
         self.p, self.settings = int(r.p), settings
-        self.words = np.frombuffer(r.words, "<u8")
+        self.words = _hashes(r.words)
         self.sizes = _numbers(r.sizes, "<u4").astype(np.int64)
-        self.ctx = np.frombuffer(r.ctx, "<u8")
+        self.ctx = _hashes(r.ctx)
         self.contexts = _numbers(r.contexts, "<u4").astype(np.int64)
         self.counts = _numbers(r.last, "<i8")
         self.word = np.repeat(np.arange(len(self.words)), self.sizes)
@@ -273,7 +285,7 @@ def _opening(parts: int):
                 sums = [n.sum(), (w > 0).sum(), w.sum(), (n == 1).sum(), (n == 2).sum(), (w == 1).sum(), (w == 2).sum()]
                 rows = [(s.p, s.p, STATE, [], [float(x) for x in sums])]
                 for q, own in s.slices(parts):
-                    rows.append((q, s.p, OPEN, [s.ctx[own].tobytes(), _packed(tables[own]), _packed(customers[own])], None))
+                    rows.append((q, s.p, OPEN, [_listed(s.ctx[own]), _packed(tables[own]), _packed(customers[own])], None))
                 yield _mail(rows)
 
     return run
@@ -282,7 +294,7 @@ def _opening(parts: int):
 def _meeting(frame: pd.DataFrame) -> pd.DataFrame:
     """Numbers the contexts of one part, for each sender; adds up their tables and customers."""
     rows, q = [], int(frame["p"].iloc[0])
-    listed = [np.frombuffer(v[0], "<u8") for v in frame["v"]]
+    listed = [_hashes(v[0]) for v in frame["v"]]
     _, place = np.unique(np.concatenate(listed), return_inverse=True)
     sums = [np.bincount(place, np.concatenate([_numbers(v[k], "<i8") for v in frame["v"]])).astype("<i8") for k in (1, 2)]
     upto = np.cumsum([0, *map(len, listed)])
@@ -325,7 +337,17 @@ class Model:
 
     def __init__(self, counts: DataFrame, parts: int, burn_in: int, samples: int, seed: int):
         self.counts, self.parts = counts, parts
-        opened = materialize(counts.mapInPandas(_opening(parts), _MAIL), "pitman-yor-open")
+        spark = counts.sparkSession
+
+        def written(mail: DataFrame, *used: str) -> tuple[DataFrame, str]:
+            """``mail`` as a table; those it was made from go, if nothing else reads them."""
+            place = scratch_path(spark, "pitman-yor")
+            mail.write.parquet(place)
+            for old in used:
+                discard(spark, old)
+            return spark.read.schema(_MAIL).parquet(place), place
+
+        opened, last = written(counts.mapInPandas(_opening(parts), _MAIL))
         tokens, vocabulary, pairs, n1, n2, w1, w2 = _summed(opened, 7)
         self.tokens, self.vocabulary = int(tokens), int(vocabulary)
         share = lambda a, b: float(np.clip(a / max(a + 2 * b, 1), 0.1, 0.95))
@@ -340,22 +362,23 @@ class Model:
             "kept": [],
         }
         asked = opened.where(F.col("kind") == OPEN).groupBy("p").applyInPandas(_meeting, _MAIL)
-        met = materialize(asked, "pitman-yor-contexts")
-        places, first = met.where(F.col("kind") == PLACES), met.where(F.col("kind") == FIRST)
+        met, numbered_at = written(asked, last)
+        numbering, first = met.where(F.col("kind") == PLACES), met.where(F.col("kind") == FIRST)
         self.ends, totals = first, (pairs, vocabulary)
         rounds = burn_in + max(samples, 1) if self.tokens else 0
         for k in range(1, rounds + 1):
             step = _advancing(k, self.settings, totals, burn_in, parts)
             mail = first if k == 1 else self.ends
-            made = materialize(counts.groupBy("p").cogroup(mail.groupBy("p")).applyInPandas(step, _MAIL), "pitman-yor-round")
+            moved = counts.groupBy("p").cogroup(mail.groupBy("p")).applyInPandas(step, _MAIL)
+            made, last = written(moved, *([last] if k > 1 else []))
             totals = tuple(_summed(made, 2))
             if k > burn_in:
                 self.settings["kept"].append(totals)
-            sent = made.where(F.col("kind") == TABLES).unionByName(places)
+            sent = made.where(F.col("kind") == TABLES).unionByName(numbering)
             added = sent.groupBy("p").applyInPandas(_adding_up, _MAIL)
             self.ends = added.unionByName(made.where(F.col("kind") == STATE))
         if rounds:
-            self.ends = materialize(self.ends.unionByName(first), "pitman-yor-ends")
+            self.ends, _ = written(self.ends.unionByName(first), last, numbered_at)
 
     def hot(self) -> dict[int, int]:
         """Words with more than a quarter of a part's share of the tokens, at most 4 * parts, and
@@ -365,7 +388,7 @@ class Model:
         def pick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 for r in frame.itertuples(index=False):
-                    sizes, words = _numbers(r.sizes, "<u4"), np.frombuffer(r.words, "<u8")
+                    sizes, words = _numbers(r.sizes, "<u4"), _hashes(r.words)
                     n = np.bincount(np.repeat(np.arange(len(sizes)), sizes), _numbers(r.last, "<i8"), len(sizes))
                     own = n > least
                     yield pd.DataFrame({"w": words[own].view(np.int64), "salts": np.ceil(n[own] / least).astype(np.int64)})
@@ -403,7 +426,7 @@ def _hot_rows(model: Model, salts: dict[int, int]):
     def run(counts: pd.DataFrame, mail: pd.DataFrame) -> pd.DataFrame:
         out = []
         for r in counts.itertuples(index=False):
-            words = np.frombuffer(r.words, "<u8")
+            words = _hashes(r.words)
             own = [i for i, w in enumerate(words.tolist()) if w in salts]
             if not own:
                 continue
@@ -414,9 +437,9 @@ def _hot_rows(model: Model, salts: dict[int, int]):
                 row = {
                     "uid": -1,
                     "kind": HOT,
-                    "words": word.tobytes(),
+                    "words": _listed(word),
                     "sizes": b"",
-                    "ctx": s.ctx[s.contexts[at]].tobytes(),
+                    "ctx": _listed(s.ctx[s.contexts[at]]),
                     "contexts": b"",
                     "last": np.concatenate([[s.counts[at].sum()], p[at]]).astype("<f8").tobytes(),
                     "n_docs": 0,
@@ -447,7 +470,7 @@ def _sending(parts: int, salts: dict[int, int], kind: pa.DataType):
                 at = np.minimum(np.searchsorted(hot, tokens.hashes), len(hot) - 1)
                 salt = np.where(hot[at] == tokens.hashes, deal % dealt[at], 0)
             part = _part(tokens.hashes, parts, salt)
-            rows = list(_packets(tokens.hashes, part, sizes, tokens.context[order], tokens.text[order].astype("<u2")))
+            rows = list(_packets(tokens.hashes, part, sizes, tokens.context[order], tokens.text[order].astype("<u2"), ascending=True))
             n, none = len(rows), [None]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -462,6 +485,7 @@ def _sending(parts: int, salts: dict[int, int], kind: pa.DataType):
                 [*(x.split()[0] for x in _PACKET.split(", ")), "ids", "n_tokens"],
             )
             uid += 1
+        release()
 
     return run
 
@@ -481,9 +505,10 @@ def _scoring(model: Model):
             words.append(s.words), ctx.append(s.ctx), logs.append(np.log10(p))
             counts.append(np.bincount(s.word, s.counts, minlength=len(s.words)))
             keys.append((s.word, s.contexts))
+            del s, p
         for r in frame[frame["kind"] == HOT].itertuples(index=False):
-            v, listed = np.frombuffer(r.last, "<f8"), np.frombuffer(r.ctx, "<u8")
-            words.append(np.frombuffer(r.words, "<u8")), ctx.append(listed), logs.append(np.log10(v[1:]))
+            v, listed = np.frombuffer(r.last, "<f8"), _hashes(r.ctx)
+            words.append(_hashes(r.words)), ctx.append(listed), logs.append(np.log10(v[1:]))
             counts.append(v[:1])
             keys.append((np.zeros(len(listed), np.int64), np.arange(len(listed))))
         out, nothing = [], dict.fromkeys(("ids", "n_tokens", *_SUMS))
@@ -507,11 +532,11 @@ def _scoring(model: Model):
                 key, logs = key[order], logs[order]
             del keys, number, place, words, ctx
         for r in frame[frame["kind"] == TOKENS].itertuples(index=False):
-            at = np.searchsorted(known, np.frombuffer(r.words, "<u8"))
+            at = np.searchsorted(known, _hashes(r.words))
             number = np.repeat(at, _numbers(r.sizes, "<u4"))
-            context = np.searchsorted(listed, np.frombuffer(r.ctx, "<u8"))[_numbers(r.contexts, "<u4")]
+            context = np.searchsorted(listed, _hashes(r.ctx))[_numbers(r.contexts, "<u4")]
             score = logs[np.searchsorted(key, number * len(listed) + context)]
-            text, n = _numbers(r.last, "<u2"), counts[number]
+            text, n = np.cumsum(_numbers(r.last, "<u2"), dtype="<u2"), counts[number]
             made = [np.bincount(text, x, minlength=r.n_docs) for x in (score, np.log10(n + 1), (n > 0).astype(float))]
             made[2] = made[2].astype("<u4")
             out += [row | {name: x[at].tobytes() for name, x in zip(_SUMS, made, strict=True)} for row, at in blocks(r)]

@@ -518,6 +518,15 @@ def lookup_last_default(spark, d):
     )
 
 
+def lookup_hot_key(spark, d):
+    """A dictionary too large to broadcast, and one key with a good half of the rows."""
+    rows = table(spark, d, "lineitem").select(
+        *("l_orderkey", "l_linenumber"), F.when(F.col("l_linenumber") <= 3, 1).otherwise(F.col("l_orderkey")).cast("long").alias("k")
+    )
+    entries = table(spark, d, "orders").select(F.col("o_orderkey").cast("long").alias("k"), "o_orderkey", "o_orderpriority")
+    return merge.lookup(rows, entries, "k", "o_orderpriority", ["o_orderkey"], max_rows=0)
+
+
 def _orders(spark, d):
     return table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
 
@@ -853,7 +862,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         impute_median, drop_any_null,
         parse_age, last_token, clean_name, name_first_two, name_first_last, parse_money, main_role,
         position_buckets, bucket_counts, union_roles, sort_first_token,
-        merge_wide, merge_wide_union, merge_suffixes, merge_skips_repeats, key_violations, lookup_first, lookup_last_default,
+        merge_wide, merge_wide_union, merge_suffixes, merge_skips_repeats, key_violations, lookup_first, lookup_last_default, lookup_hot_key,
         dedup_first, dedup_last, filter_threshold, role_filter,
         global_profile, group_profile, group_profile_wide, rollup_profile, narrowed_profile,
         group_means, distinct_groups, all_zero_stats,

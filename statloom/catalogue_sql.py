@@ -384,6 +384,9 @@ ORACLE: dict[str, str] = {
         HAVING count(*) > 1""",
     "lookup_first": f"""SELECT c.c_custkey, c_name, o_orderpriority FROM customer c
         LEFT JOIN {look('ASC')} ON c.c_custkey = f.c_custkey""",
+    "lookup_hot_key": """SELECT l_orderkey, l_linenumber, k, o_orderpriority FROM (
+            SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_linenumber <= 3 THEN 1 ELSE l_orderkey END AS BIGINT) AS k
+            FROM lineitem) LEFT JOIN orders ON o_orderkey = k""",
     "lookup_last_default": f"""SELECT c.c_custkey, c_name, CASE WHEN f.c_custkey IS NULL THEN 'Unknown'
         ELSE o_orderpriority END AS o_orderpriority FROM customer c
         LEFT JOIN {look('DESC')} ON c.c_custkey = f.c_custkey""",

@@ -49,7 +49,7 @@ def impute_median(
     named = medians.select(
         quoted(group), *[quoted(c).alias(f"__median_{c}") for c in columns]
     )
-    joined = join_bounded(data, named, [group], "left")
+    joined = join_bounded(data, named, [group], "left", sketched=True)
     filled = {
         c: F.coalesce(quoted(c), quoted(f"__median_{c}"), F.lit(0.0)) for c in columns
     }

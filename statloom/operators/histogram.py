@@ -44,7 +44,7 @@ def histogram(df: DataFrame, stats: list[str], bins: int, group: str | None = No
         ranges += [low.alias(f"lo{i}"), high.alias(f"hi{i}")]
     ends = values.groupBy(*[quoted(g) for g in ids]).agg(*ranges)
     if group:
-        ranged = join_bounded(values, ends, ids)
+        ranged = join_bounded(values, ends, ids, sketched=True)
     else:
         row = ends.first()  # two numbers per statistic
         ranged = values.select("*", *[F.lit(row[c]).cast("double").alias(c) for c in ends.columns])

@@ -42,7 +42,7 @@ def narrowed_medians(
 
     shares = F.array(F.lit(0.5 - BRACKET), F.lit(0.5 + BRACKET))
     cuts = values.groupBy(*by).agg(F.percentile_approx("value", shares, ACCURACY).alias("cuts"))
-    bracketed = join_bounded(values, cuts, keys)
+    bracketed = join_bounded(values, cuts, keys, sketched=True)
     side = F.when(F.col("value") < F.col("cuts")[0], -1).when(F.col("value") > F.col("cuts")[1], 1)
     inside = F.when(side.isNull(), F.col("value"))
     counts = bracketed.groupBy(*by, side.alias("side"), inside.alias("value")).agg(
@@ -104,7 +104,7 @@ def _narrow(
     cuts = cells.groupBy(*by).agg(F.percentile_approx("value", shares, accuracy).alias("cuts"))
     above = [(F.col("value") > F.col("cuts")[i]).cast("int") for i in range(PIECES - 1)]
     piece = reduce(lambda a, b: a + b, above)
-    split = join_bounded(cells, cuts, keys).withColumn("piece", piece).drop("cuts")
+    split = join_bounded(cells, cuts, keys, sketched=True).withColumn("piece", piece).drop("cuts")
 
     counts = split.groupBy(*by, "piece").agg(F.sum("n").alias("held"))
     upto = F.sum("held").over(Window.partitionBy(*by).orderBy("piece"))
@@ -121,7 +121,7 @@ def _narrow(
         )
     )
     ends = materialize(ends, "ends")
-    kept = join_bounded(split, ends.select(*by, "first", "last"), keys)
+    kept = join_bounded(split, ends.select(*by, "first", "last"), keys, sketched=True)
     kept = kept.filter("piece BETWEEN first AND last").select(*by, "value", "n")
     return materialize(kept, "cells"), ends.select(*by, "low", "high")
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.operators.schema import quoted
-from statloom.storage import join_bounded
+from statloom.storage import BROADCAST_ROWS, join_bounded
 
 
 def dedup(df: DataFrame, key: list[str], order: list[str], keep: str = "first") -> DataFrame:
@@ -155,13 +155,17 @@ def lookup(
     order: list[str],
     keep: str = "first",
     default=None,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Add ``value`` from a dictionary whose keys may repeat (first or last entry counts)."""
+    """Add ``value`` from a dictionary whose keys may repeat (first or last entry counts).
+
+    A dictionary of more than ``max_rows`` keys is joined by a shuffle that spreads hot keys of ``df``.
+    """
     entries = dedup(dictionary, [key], order, keep).select(quoted(key), quoted(value))
     if default is None:
-        return join_bounded(df, entries, [key], "left")
+        return join_bounded(df, entries, [key], "left", max_rows, sketched=True)
     # only a key the dictionary lacks takes the default; an entry may hold NULL itself
-    marked = join_bounded(df, entries.withColumn("__hit", F.lit(True)), [key], "left")
+    marked = join_bounded(df, entries.withColumn("__hit", F.lit(True)), [key], "left", max_rows, sketched=True)
     return marked.withColumn(
         value, F.when(F.col("__hit"), quoted(value)).otherwise(F.lit(default))
     ).drop("__hit")

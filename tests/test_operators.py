@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from statloom import storage
 from statloom.operators import features, histogram, merge, profile, ranking, schema
 from statloom.operators.median import narrowed_medians
 from statloom.storage import join_bounded, materialize
@@ -95,14 +96,45 @@ def test_merge_fails_or_skips_on_a_repeated_key(spark, lead, first):
         merge.assert_unique(bad, ["k"])
 
 
-@pytest.mark.parametrize("max_rows", [100, 0])
-def test_join_bounded_same_result_broadcast_or_salted(spark, max_rows):
+@pytest.mark.parametrize("max_rows, sketched", [(100, False), (0, False), (0, True)])
+def test_join_bounded_same_result_broadcast_or_salted(spark, max_rows, sketched):
     big = spark.createDataFrame([("h", i) for i in range(50)] + [(None, 50), ("q", 51)], "k string, i int")
     small = spark.createDataFrame([("h", 1.0), (None, 2.0)], "k string, m double")
-    left = join_bounded(big, small, ["k"], "left", max_rows=max_rows, salts=4)
+    left = join_bounded(big, small, ["k"], "left", max_rows=max_rows, salts=4, sketched=sketched)
     got = {r.i: r.m for r in left.collect()}
     assert got == {**{i: 1.0 for i in range(50)}, 50: 2.0, 51: None}
-    assert join_bounded(big, small, ["k"], max_rows=max_rows, salts=4).count() == 51
+    assert join_bounded(big, small, ["k"], max_rows=max_rows, salts=4, sketched=sketched).count() == 51
+
+
+def test_only_hot_keys_are_salted(spark):
+    """One key has half of the rows: it alone is repeated, and its rows spread over the tasks."""
+    big = spark.range(40_000).selectExpr("if(id % 2 = 0, 7, 100 + id % 10000) AS k", "id AS i", "1 AS __k0")
+    small = spark.range(12_000).selectExpr("id AS k", "id * 2 AS m")
+    hot = storage.hot_keys(big, ["k"])
+    assert hot == [r.h for r in spark.sql("SELECT xxhash64(7L) AS h").collect()]
+    assert storage._repeated(small, ["k"], hot, 8).count() == 12_000 + 7
+    joined = join_bounded(big, small, ["k"], max_rows=0, salts=8, sketched=True)
+    assert joined.count() == 40_000 and joined.where("m <> 2 * k").isEmpty()
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert f"{hot[0]}" in plan and "__salt" in plan and "__copy" in plan
+
+
+def test_without_hot_keys_nothing_is_salted(spark):
+    big = spark.range(5_000).selectExpr("id % 2500 AS k", "id AS i")
+    small = spark.range(2_600).selectExpr("id AS k", "id * 2 AS m")
+    assert storage.hot_keys(big, ["k"]) == [] and storage.hot_keys(big.limit(0), ["k"]) == []
+    joined = join_bounded(big, small, ["k"], "left", max_rows=0, sketched=True)
+    assert joined.columns == ["k", "i", "m"] and joined.count() == 5_000 and joined.where("m <> 2 * k").isEmpty()
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "__salt" not in plan
+
+
+def test_keys_of_two_types_or_fractions_are_salted_whole(spark):
+    big = spark.range(3_000).selectExpr("cast(if(id % 2 = 0, 7, id) AS int) AS k", "if(id % 3 = 0, -0.0D, 0.0D) AS f")
+    small = spark.range(3_000).selectExpr("id AS k", "id AS m")
+    assert join_bounded(big, small, ["k"], max_rows=0, sketched=True).count() == 3_000
+    zero = spark.sql("SELECT 0.0D AS f, 1 AS m")
+    assert join_bounded(big, zero, ["f"], max_rows=0, sketched=True).count() == 3_000
 
 
 def test_lookup_default_only_for_absent_keys(spark):

@@ -19,6 +19,7 @@ from statloom.functions.similarity import token_sort_ratio
 from statloom.operators import cluster, features, fuzzy, histogram, merge, profile, ranking, schema
 from statloom.operators import value_model as values
 from statloom.operators.median import narrowed_medians
+from statloom.operators.ordering import with_places
 from statloom.plans import transfers
 from statloom.sources import html, tables
 from statloom.storage import materialize, scratch_path
@@ -463,6 +464,12 @@ def sort_first_token(spark, d):
     return schema.sort_by_first_word(rows, "name", "c_custkey")
 
 
+def first_token_places(spark, d):
+    """The order of ``sort_first_token`` as a column."""
+    rows = sort_first_token(spark, d)
+    return with_places(rows, [txt.first_word(F.col("name")), F.col("name").asc_nulls_last(), F.col("c_custkey").asc_nulls_last()])
+
+
 # --- merge, look-ups, filters --------------------------------------------------------------------
 
 
@@ -570,6 +577,11 @@ def rollup_profile(spark, d):
     return profile.rollup_profile(filled(spark, d), "nation", STATS)
 
 
+def rollup_places(spark, d):
+    """The order of ``rollup_profile`` as a column: the whole table, then the groups ascending."""
+    return with_places(rollup_profile(spark, d), [(F.col("nation") == profile.TOTAL).desc(), F.col("nation").asc()])
+
+
 def narrowed_profile(spark, d):
     """The profile by narrowing instead of in-memory medians, over raw line items."""
     rows = table(spark, d, "lineitem").select("l_returnflag", "l_extendedprice", "l_quantity")
@@ -586,6 +598,11 @@ def distinct_groups(spark, d):
     return profile.distinct_groups(wide(spark, d), "nation")
 
 
+def group_places(spark, d):
+    """The order of ``distinct_groups`` as a column."""
+    return with_places(distinct_groups(spark, d), [F.col("nation").asc()])
+
+
 def all_zero_stats(spark, d):
     return profile.all_zero_stats(ranked_input(spark, d), RANKED)
 
@@ -826,6 +843,11 @@ def value_model(spark, d):
     return values.value_all_roles(_priced_lines(spark, d), configs, "l_returnflag", "value", "line", out)
 
 
+def value_places(spark, d):
+    """The order of ``value_model`` as a column: highest estimate first."""
+    return with_places(value_model(spark, d), [F.col("predicted_m").desc(), *map(F.col, ("line", "l_partkey", "l_suppkey"))])
+
+
 def roles_skipped(spark, d):
     """Valued rows per role; a role without rows is left out."""
     rows = table(spark, d, "lineitem").select(
@@ -874,5 +896,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         roles_skipped,
         elbow_curve, elbow_drawn, elbow_drawn_curve, kmeans_assign, cluster_sizes, cluster_profile, pca_2d, pca_shares,
         value_model,
+        first_token_places, rollup_places, group_places, value_places,
     )
 }

@@ -485,4 +485,13 @@ ORACLE: dict[str, str] = {
     + f""" SELECT 1 AS component, {r6("(SELECT x FROM e1) / sum(x)")} AS share FROM cov WHERE i = j
     UNION ALL SELECT 2, {r6("(SELECT x FROM e2) / sum(x)")} FROM cov WHERE i = j""",
     "value_model": least_squares() + " ORDER BY predicted_m DESC, line, l_partkey, l_suppkey",
+    "first_token_places": f"""SELECT c_custkey, name, row_number() OVER (ORDER BY n_name, name, c_custkey) AS place
+        FROM (SELECT c_custkey, n_name, n_name || ' ' || c_name AS name FROM {CUSTOMERS})""",
+    "rollup_places": ZERO + f"""SELECT *, row_number() OVER (ORDER BY nation = 'all' DESC, nation NULLS FIRST) AS place FROM (
+        SELECT CASE WHEN grouping(nation) = 1 THEN 'all' ELSE nation END AS nation,
+        {moments(STATS)} FROM z GROUP BY GROUPING SETS ((), (nation)))""",
+    "group_places": WIDE + """SELECT nation, row_number() OVER (ORDER BY nation NULLS FIRST) AS place
+        FROM (SELECT DISTINCT nation FROM w)""",
+    "value_places": "SELECT *, row_number() OVER (ORDER BY predicted_m DESC, line, l_partkey, l_suppkey) AS place FROM ("
+    + least_squares() + ")",
 }

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from statloom import storage
-from statloom.operators import features, histogram, merge, profile, ranking, schema
+from statloom.operators import features, histogram, merge, ordering, profile, ranking, schema
 from statloom.operators.median import narrowed_medians
 from statloom.storage import join_bounded, materialize
 
@@ -417,3 +417,27 @@ def test_bucketed_tables_merge_without_exchange(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         _written[app] = kept
+
+
+# --- orders --------------------------------------------------------------------------------------
+
+
+def test_places_are_those_of_a_plain_sort(spark):
+    """Half of the rows share the ordering value; nulls come first, others descend."""
+    drawn = random.Random(3)
+    rows = [(None if i % 11 == 0 else "h" if i % 2 else drawn.choice("abxyz"), i, {"a": i}) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "k string, place int, m map<string,int>").withColumn("id", F.col("place")).repartition(7)
+    got = ordering.with_places(df, [F.col("k").desc_nulls_first()])
+    assert got.columns == ["k", "m", "id", "place"]
+    made = [(r.place, r.k, r.id) for r in got.orderBy("place").collect()]
+    want = sorted(((k, i) for k, i, _ in rows), key=lambda r: (r[0] is not None, -ord(r[0] or "a"), r[1]))
+    assert made == [(n, *row) for n, row in enumerate(want, 1)]
+    assert ordering.with_places(df.limit(0), [F.col("k")]).count() == 0
+
+
+def test_hot_value_spreads_over_tasks(spark):
+    df = spark.range(8_000).selectExpr("'same' AS k", "id")
+    got = ordering.with_places(df, [F.col("k")])
+    assert got.where("place <> id + 1").isEmpty()
+    ranges = ordering._sorted_ranges(df, [F.col("k")]).groupBy(F.shiftright("__at", ordering.ROW_BITS)).count().collect()
+    assert len(ranges) > 1 and max(r["count"] for r in ranges) < 5_000

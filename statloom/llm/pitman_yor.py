@@ -2,10 +2,12 @@
 
 A token's context is the word before it, or the end before a text's first word. Every context word has
 a restaurant of its own; all of them share the unigram restaurant as their parent, whose own base is
-uniform over the vocabulary. Customers are the training tokens. Their seating is sampled in rounds: all
-customers of a dish in a restaurant are reseated given everybody else, first in the context restaurants,
-then, one customer for each of their tables, in the parent. The predictive probabilities of the last
-rounds are averaged.
+uniform over the vocabulary. Customers are the training tokens. Their seating is sampled by Gibbs, a
+dish at a time: all customers of a dish in a restaurant are taken out and seated given everybody else,
+first in the context restaurants, then, one customer for each of their tables, in the parent. Dishes of a
+round are seated side by side, given the round before. Up to 16 customers the draw is that of the
+conditional distribution, beyond that it is made forward from the first customer. The predictive
+probabilities of the last rounds are averaged.
 
 Work is split by dish: a part owns the counts of its words in all contexts, in one bucket of a table
 that never moves again. What a dish needs to know of a restaurant is the number of its tables. These
@@ -35,6 +37,8 @@ from statloom.storage import discard, scratch_path, write_buckets
 #: Rounds before the first and rounds that are averaged; concentrations.
 BURN_IN, SAMPLES = 2, 3
 THETA, ROOT_THETA = 1.0, 1.0
+#: Customers up to which a dish is drawn from its conditional distribution; dishes drawn at once.
+EXACT, DISHES = 16, 4096
 #: Bytes and texts of a chunk; a text's number within its chunk takes two bytes.
 CHUNK, CHUNK_TEXTS = 12 << 20, 1 << 16
 END = xxhash.xxh64_intdigest(b"")
@@ -165,22 +169,55 @@ def _joined(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([row])
 
 
+def _conditional(customers: int, weight: np.ndarray, base: np.ndarray, discount: float, random) -> np.ndarray:
+    """Tables of dishes with equally many customers, drawn from their distribution given everybody else.
+
+    Customer n + 1 counts (weight + discount * t) * base for a new table and n - discount * t for the t
+    tables there; a seating counts the product. Sums over all seatings of the later customers, from
+    the last one back, turn these into the probabilities of each step.
+    """
+    t = np.arange(1, customers + 1)
+    new = (weight[:, None] + discount * t) * base[:, None]
+    later = {customers: np.ones((len(weight), customers))}
+    for n in range(customers - 1, 0, -1):
+        taken = later[n + 1][:, :n] * (n - discount * t[:n])
+        later[n] = new[:, :n] * later[n + 1][:, 1 : n + 1] + taken
+    rows, tables = np.arange(len(weight)), np.ones(len(weight), np.int64)
+    for n in range(1, customers):
+        opens = new[rows, tables - 1] * later[n + 1][rows, tables]
+        tables += random.random(len(rows)) * later[n][rows, tables - 1] < opens
+    return tables
+
+
 def reseat(customers: np.ndarray, weight: np.ndarray, base: np.ndarray, discount: float, random) -> np.ndarray:
-    """Tables after seating all customers of each dish anew, one after the other.
+    """Tables after all customers of each dish were taken out and seated anew, given everybody else.
 
     ``weight`` is concentration plus discount times all other tables of the restaurant, ``base`` the
-    parent's probability of the dish. Customer n + 1 opens a table with odds
-    (weight + discount * t) * base : n - discount * t. From the 16th customer on, runs of up to an
-    eighth of those seated are drawn at once, with the odds at the middle of the run.
+    parent's probability of the dish. Dishes of up to ``EXACT`` customers are drawn from their
+    conditional distribution. Beyond that customers enter one after the other, with odds
+    (weight + discount * t) * base : n - discount * t, and from the 16th on in runs of up to an eighth
+    of those seated, with the odds at the middle of the run.
     """
+    out = np.ones(len(customers))
     order = np.argsort(-customers, kind="stable")
-    left, weight, base = customers[order].astype(np.int64), weight[order], base[order]
-    tables, n = np.ones(len(order)), 1
+    many = int(np.searchsorted(-customers[order], -EXACT, "left"))
+    out[order[:many]] = _forward(customers[order[:many]].astype(np.int64), weight[order[:many]], base[order[:many]], discount, random)
+    for n in range(2, EXACT + 1):
+        own = np.flatnonzero(customers == n)
+        for k in range(0, len(own), DISHES):
+            at = own[k : k + DISHES]
+            out[at] = _conditional(n, weight[at], base[at], discount, random)
+    return out
+
+
+def _forward(left: np.ndarray, weight: np.ndarray, base: np.ndarray, discount: float, random) -> np.ndarray:
+    """Tables of dishes, most customers first, that are seated customer by customer or in runs."""
+    tables, n = np.ones(len(left)), 1
     upto = len(left)
     while True:
         upto = int(np.searchsorted(-left[:upto], -n, "left"))  # dishes with more than n customers
         if not upto:
-            break
+            return tables
         run = max(1, n // 8) if n >= 16 else 1
         t = tables[:upto]
         new = (weight[:upto] + discount * t) * base[:upto]
@@ -190,9 +227,6 @@ def reseat(customers: np.ndarray, weight: np.ndarray, base: np.ndarray, discount
         else:
             t += random.binomial(np.minimum(run, left[:upto] - n), p)
         n += run
-    out = np.empty(len(order))
-    out[order] = tables
-    return out
 
 
 class Seating:
@@ -226,8 +260,11 @@ class Seating:
     def round(self, number: int, at_contexts: np.ndarray, totals: tuple) -> None:
         """Reseats everybody, given the tables per context and in the parent of the round before."""
         s, many, random = self.settings, self.many, np.random.default_rng([self.settings["seed"], self.p, number])
-        others = s["theta"] + s["discount"] * np.maximum(at_contexts[self.contexts[many]] - self.tables[many], 0)
-        base = self.parent(self.customers(), self.root, totals)[self.word[many]]
+        own, word = self.tables[many], self.word[many]
+        others = s["theta"] + s["discount"] * np.maximum(at_contexts[self.contexts[many]] - own, 0)
+        # the dish's own customers leave the parent, too
+        left = self.customers()[word] - own
+        base = self.parent(left, np.minimum(self.root[word], left), (totals[0] - own, totals[1]))
         self.tables[many] = reseat(self.counts[many], others, base, s["discount"], random)
         customers = self.customers()
         seen = np.flatnonzero(customers > 0)

@@ -1,5 +1,6 @@
 import math
-from collections import Counter, defaultdict
+from collections import Counter
+from itertools import product
 
 import numpy as np
 import pytest
@@ -129,9 +130,9 @@ def test_common_words_are_dealt_over_parts(spark, split, scored, monkeypatch):
 
 
 def test_reseating_is_a_restaurant():
-    """The mean number of tables is that of seating one customer after the other."""
+    """The mean number of tables of many customers is that of seating one after the other."""
     random, trials = np.random.default_rng(1), 3000
-    for customers, weight, base, d in ((2, 0.7, 0.3, 0.5), (12, 5.0, 0.1, 0.7), (60, 20.0, 0.05, 0.8), (60, 0.5, 0.9, 0.2)):
+    for customers, weight, base, d in ((60, 20.0, 0.05, 0.8), (60, 0.5, 0.9, 0.2)):
         plain = []
         for _ in range(trials):
             t = 1
@@ -144,6 +145,26 @@ def test_reseating_is_a_restaurant():
         assert fast.mean() == pytest.approx(np.mean(plain), rel=0.06)
 
 
+@pytest.mark.parametrize("customers, weight, base, d", [(2, 0.7, 0.3, 0.5), (5, 8.0, 0.2, 0.7), (7, 0.5, 0.9, 0.2), (9, 3.0, 0.4, 0.8)])
+def test_few_customers_are_drawn_from_their_conditional(customers, weight, base, d):
+    """All seatings of the customers at tables, each with the product of what its steps count."""
+    exact = Counter()
+    for steps in product((0, 1), repeat=customers - 1):
+        t, share = 1, 1.0
+        for n, opens in enumerate(steps, 1):
+            share *= (weight + d * t) * base if opens else n - d * t
+            t += opens
+        exact[t] += share
+    trials = 40_000
+    mixed = np.where(np.arange(2 * trials) % 2, customers, 1)  # among dishes of one customer
+    same = lambda x: np.full(2 * trials, x)
+    drawn = py.reseat(mixed, same(weight), same(base), d, np.random.default_rng(5))
+    assert (drawn[::2] == 1).all()
+    made, total = Counter(drawn[1::2].tolist()), sum(exact.values())
+    for t in range(1, customers + 1):
+        assert made[t] / trials == pytest.approx(exact[t] / total, abs=0.012)
+
+
 def test_without_training_rows_and_without_rows(docs, no_docs):
     alone = py.score_documents(docs.withColumn("train", F.lit(None).cast("boolean")), "train").collect()
     assert len(alone) == docs.count()

@@ -481,7 +481,9 @@ def _hot_rows(model: Model, salts: dict[int, int]):
                     "last": np.concatenate([[s.counts[at].sum()], p[at]]).astype("<f8").tobytes(),
                     "n_docs": 0,
                 }
-                out += [row | {"p": int(_part(word, parts, salt)[0])} for salt in range(1, salts[int(word[0])])]
+                # salts may meet in one part, and the part that owns the word knows it already
+                to = set(_part(word, parts, np.arange(1, salts[int(word[0])])).tolist()) - {s.p}
+                out += [row | {"p": q} for q in sorted(to)]
         return pd.DataFrame(out, columns=[x.split()[0] for x in _PACKET.split(", ")])
 
     return run

@@ -129,6 +129,19 @@ def test_common_words_are_dealt_over_parts(spark, split, scored, monkeypatch):
         assert a.doc_id == b.doc_id and a.score == pytest.approx(b.score, rel=1e-9) and a.n_known == b.n_known
 
 
+def test_a_part_counts_a_common_word_once(spark):
+    """More salts than parts, so that several of a word's salts meet in one part."""
+    texts = ["the " * 9 + f"w{i % 5}" for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("train", F.lit(True))
+    got = py.score_documents(docs.repartition(4), "train").collect()
+    counts = Counter(t for x in texts for t in tokens(x))
+    n, v = sum(counts.values()), len(counts)
+    assert len(got) == len(texts)
+    for r in got:
+        want = sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in tokens(texts[r.doc_id]))
+        assert r.base_score == pytest.approx(want, rel=1e-9)
+
+
 def test_reseating_is_a_restaurant():
     """The mean number of tables of many customers is that of seating one after the other."""
     random, trials = np.random.default_rng(1), 3000

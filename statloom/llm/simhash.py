@@ -5,12 +5,13 @@ they meet under the key of that pair of bands. Under a key the fingerprints are
 a block stores its bits vertically: one plane per bit position, one lane per fingerprint. A
 fingerprint is compared with a whole block plane by plane; carry-save counters hold, per lane, the
 number of differing bits so far, and the block is given up as soon as no lane is within the radius.
-The links become components in the usual alternation of large and small stars.
+The links become components in the usual alternation of large and small stars, or in one task if
+they are few.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -26,6 +27,8 @@ from statloom.storage import materialize
 SHINGLE, RADIUS, SEED = 3, 2, 42
 #: Fingerprints of one block; under a key every pair of blocks is a group of its own.
 BLOCK = 2048
+#: Edges (of 16 bytes) that one task joins up; more go through rounds of stars.
+TOGETHER = 100_000
 
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
@@ -110,10 +113,9 @@ def within(marks: np.ndarray, block: np.ndarray, radius: int) -> np.ndarray:
     return np.unpackbits(result.view(np.uint8), axis=1, bitorder="little")[:, : len(block)].astype(bool)
 
 
-def _stars(left: np.ndarray, right: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links that span the components of the linked pairs left x right (left x left if the same)."""
-    marks = np.unique(np.concatenate([left, right]))
-    parent = np.arange(len(marks))
+def _roots(size: int, linked: Iterable[tuple[int, int]]) -> list[int]:
+    """For each number below ``size`` the least one that the links lead to."""
+    parent = list(range(size))
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -121,12 +123,18 @@ def _stars(left: np.ndarray, right: np.ndarray, radius: int) -> list[tuple[int,
             i = parent[i]
         return i
 
-    at, to = np.searchsorted(marks, left), np.searchsorted(marks, right)
-    for k in range(0, len(left), 256):
-        for i, j in np.argwhere(within(left[k : k + 256], right, radius)):
-            a, b = root(at[k + i]), root(to[j])
-            parent[max(a, b)] = min(a, b)
-    return [(int(marks[i]), int(marks[r])) for i in range(len(marks)) if (r := root(i)) != i]
+    for i, j in linked:
+        a, b = root(i), root(j)
+        parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(size)]
+
+
+def _stars(left: np.ndarray, right: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Links that span the components of the linked pairs left x right (left x left if the same)."""
+    marks = np.unique(np.concatenate([left, right]))
+    at, to = np.searchsorted(marks, left).tolist(), np.searchsorted(marks, right).tolist()
+    linked = ((at[k + i], to[j]) for k in range(0, len(left), 256) for i, j in np.argwhere(within(left[k : k + 256], right, radius)))
+    return [(int(marks[i]), int(marks[r])) for i, r in enumerate(_roots(len(marks), linked)) if r != i]
 
 
 def _links(radius: int):
@@ -188,14 +196,29 @@ def links(marks: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFra
     return sorted_pairs.mapInPandas(_links(radius), "hi long, lo long").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``(hi, lo)``: every node of ``edges`` that is not the least of its component, with the least."""
+def _joined_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The result of :func:`components` for the edges of one task."""
+    frame = pd.concat([*frames, pd.DataFrame({"hi": [], "lo": []}, dtype="int64")], ignore_index=True)
+    nodes, number = np.unique(frame[["hi", "lo"]].to_numpy("int64").ravel(), return_inverse=True)
+    root = np.array(_roots(len(nodes), number.reshape(-1, 2).tolist()), np.int64)
+    other = np.flatnonzero(root != np.arange(len(nodes)))
+    yield pd.DataFrame({"hi": nodes[other], "lo": nodes[root[other]]})
+
+
+def components(edges: DataFrame, together: int = TOGETHER) -> DataFrame:
+    """``(hi, lo)``: every node of ``edges`` that is not the least of its component, with the least.
+
+    Up to ``together`` edges are joined up by one task; the rounds of more take some ten jobs each,
+    whose tasks would have next to nothing to do.
+    """
 
     def seal(df: DataFrame) -> tuple[DataFrame, tuple]:
         kept = materialize(df, "simhash-stars")
         return kept, tuple(kept.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
 
     edges, state = seal(edges)
+    if state[0] <= together:
+        return edges.coalesce(1).mapInPandas(_joined_up, "hi long, lo long")
     while state[0]:
         both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         least = materialize(both.groupBy("hi").agg(F.least(F.min("lo"), F.col("hi")).alias("m")), "simhash-least")

@@ -81,3 +81,23 @@ def test_empty_table_and_clashing_columns(docs, no_docs, rows):
     assert simhash.simhash_groups(no_docs).count() == 0
     got = simhash.simhash_groups(docs.selectExpr("*", "1 as fingerprint", "2 as Component_ID"))
     assert got.columns == ["doc_id", "lang", "source", "n_chars", "fingerprint", "component_id"] and got.count() == len(rows)
+
+
+@pytest.mark.parametrize("together", [0, simhash.TOGETHER])
+def test_few_edges_take_no_rounds(spark, monkeypatch, together):
+    """Long chains, rings and stars with repeated edges; by rounds and in one task the same."""
+    rnd, written = random.Random(4), []
+    pairs = [(i + 1, i) for i in range(-30, 30)] + [(100 + i, 100 + (i * 7 + 1) % 40) for i in range(40)]
+    pairs += [(200 + i, 200) for i in range(1, 25)] * 2 + [(rnd.randint(300, 400), rnd.randint(300, 400)) for _ in range(60)]
+    pairs = [(max(p), min(p)) for p in pairs if p[0] != p[1]]
+    label = {n: n for p in pairs for n in p}
+    while any(label[a] != label[b] for a, b in pairs):
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    keep = simhash.materialize
+    monkeypatch.setattr(simhash, "materialize", lambda df, name: written.append(name) or keep(df, name))
+    frame = spark.createDataFrame(rnd.sample(pairs, len(pairs)), "hi long, lo long").repartition(5)
+    got = simhash.components(frame, together).collect()
+    assert sorted((r.hi, r.lo) for r in got) == sorted((a, b) for a, b in label.items() if a != b)
+    assert (len(written) > 9) if not together else written == ["simhash-stars"]
+    assert simhash.components(frame.where("false"), together).count() == 0

@@ -7,7 +7,6 @@ drop white space before anything else; any other one gets whole texts.
 from __future__ import annotations
 
 import json
-import re
 from itertools import repeat
 
 import numpy as np
@@ -15,14 +14,17 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-from statloom.llm.common import flat_words, ragged
+from statloom.llm.common import distinct_words, ragged
 
 #: When a task has gathered so many words it forgets, before the next texts, those it has met only
 #: in so few of them.
 WORDS_KEPT, FORGOTTEN = 250_000, 2
-_PLAIN = regex.compile(r"[\x21-\x7EÀ-ÿ]{1,256}")
-_ODD = re.compile(rb"[\x00-\x08\x0E-\x1F\x7F]")
 _END, _BREAK = "\0", "\n"
+#: Kinds of bytes: letter (and the break between words) 0, other printable ASCII 1, part of another character 2,
+#: control 4, part of a letter from À to ÿ 8, of a sign among these 9.
+_KINDS = np.full(256, 2, np.uint8)
+_KINDS[:128] = [0 if chr(b).isalpha() or b == 10 else 1 if 0x20 < b < 0x7F else 4 for b in range(128)]
+_KINDS[[0xC3, *range(0x80, 0xC0)]], _KINDS[[0x97, 0xB7]] = 8, 9
 
 
 def default_path() -> str:
@@ -72,6 +74,11 @@ class Encoder:
         ranks[_BREAK.encode()] = self.line
         self.special = special
         self.pieces = regex.compile(pattern)
+        # a run of letters is one piece, unless the pattern tries anything before that may begin with a letter
+        before, runs, _ = pattern.partition("|[\\p{L}]+|")
+        self.whole_runs = bool(runs) and all(a.startswith("'") for a in before.split("|"))
+        self.closing = np.zeros(self.line + 1, bool)
+        self.closing[[number for token, number in vocab.items() if token.endswith("</w>")]] = True
         self.fast = tiktoken.Encoding(
             "words", pat_str=r"[^\x00\n]+\x00|\n", mergeable_ranks=ranks, special_tokens={}
         )
@@ -94,33 +101,49 @@ class Encoder:
         self.number = {words[k]: i for i, k in enumerate(kept.tolist())}
 
     def _learn(self, words: list[bytes]) -> None:
-        texts = b"\n".join(words).decode().split("\n")  # words have no line ends
-        plain = self._quick(words, texts) if self.fast else [False] * len(words)
-        quick = [t for t, p in zip(texts, plain, strict=True) if p]
-        slow = self.whole.encode_batch([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False)
+        plain, letters = self._quick(words) if self.fast else np.zeros((2, len(words)), bool)
+        slow = self.whole.encode_batch([words[i].decode() for i in np.flatnonzero(~plain).tolist()], add_special_tokens=False)
         made: list[np.ndarray] = [np.array(e.ids, np.uint32) for e in slow]
         ids, sizes = np.concatenate([np.zeros(0, np.uint32), *made]), np.zeros(len(words), np.int64)
-        mask = np.array(plain, bool)
-        sizes[~mask] = [len(m) for m in made]
+        sizes[~plain] = [len(m) for m in made]
         starts = np.zeros(len(words), np.int64)
-        starts[~mask] = np.cumsum(sizes[~mask]) - sizes[~mask]
-        if quick:
-            marked = self.pieces.sub(r"\g<0>" + _END, _BREAK.join(quick).lower())
-            flat = np.array(self.fast.encode_ordinary(marked), np.uint32)
+        starts[~plain] = np.cumsum(sizes[~plain]) - sizes[~plain]
+        mixed = plain & ~letters
+        if mixed.any():
+            lines = _BREAK.encode().join([words[i] for i in np.flatnonzero(mixed).tolist()]).decode()
+            flat = self._flat(self.pieces.sub(r"\g<0>" + _END, lines.lower()))
             ends = np.concatenate([np.flatnonzero(flat == self.line), [len(flat)]])
             begins = np.concatenate([[0], ends[:-1] + 1])
-            starts[mask], sizes[mask] = begins + len(ids), ends - begins
+            starts[mixed], sizes[mixed] = begins + len(ids), ends - begins
+            ids = np.concatenate([ids, flat])
+        if letters.any():
+            run = _END.encode().join([*(words[i] for i in np.flatnonzero(letters).tolist()), b""])
+            flat = self._flat(run.decode().lower())
+            ends = np.flatnonzero(self.closing[flat]) + 1
+            begins = np.concatenate([[0], ends[:-1]])
+            starts[letters], sizes[letters] = begins + len(ids), ends - begins
             ids = np.concatenate([ids, flat])
         self.starts = np.concatenate([self.starts, starts + len(self.ids)])
         self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
         self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
 
-    def _quick(self, words: list[bytes], texts: list[str]) -> list[bool]:
-        """Which words the faster library may encode: printable Latin letters, no special token."""
-        blob = b" ".join(words)
-        if _ODD.search(blob) or any(s.encode() in blob for s in self.special):
-            return [bool(_PLAIN.fullmatch(t)) and not any(s in t for s in self.special) for t in texts]
-        return [len(t) <= 256 if t.isascii() else bool(_PLAIN.fullmatch(t)) for t in texts]
+    def _flat(self, marked: str) -> np.ndarray:
+        return np.array(self.fast.encode_ordinary(marked), np.uint32)
+
+    def _quick(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Which words the faster library may encode (printable Latin letters, no special token), and
+        which of them are one piece as they have letters alone."""
+        blob = _BREAK.encode().join([*words, b""])
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        kinds = np.bitwise_or.reduceat(_KINDS[np.frombuffer(blob, np.uint8)], starts)
+        plain = (kinds & 6) == 0
+        for i in np.flatnonzero(plain & (sizes > 256)).tolist():
+            plain[i] = len(words[i].decode()) <= 256
+        special = [s.encode() for s in self.special if s.encode() in blob]
+        for i in np.flatnonzero(plain).tolist() if special else ():
+            plain[i] = not any(s in words[i] for s in special)
+        return plain, plain & (kinds & 1 == 0) & self.whole_runs
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and the number of ids of each text."""
@@ -129,14 +152,14 @@ class Encoder:
             return np.concatenate([np.zeros(0, np.uint32), *(np.array(m, np.uint32) for m in made)]), np.array(
                 [len(m) for m in made], np.int64
             )
-        words, counts = flat_words(texts)
+        distinct, at, counts = distinct_words(texts)
         if len(self.number) > WORDS_KEPT:
             self._forget_rare()
-        which = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
-        if len(missing := np.flatnonzero(which < 0)):
-            unknown = [words[i] for i in missing.tolist()]
-            self._learn(list(dict.fromkeys(unknown)))
-            which[missing] = np.fromiter(map(self.number.__getitem__, unknown), np.int64, len(unknown))
+        found = np.fromiter(map(self.number.get, distinct, repeat(-1)), np.int64, len(distinct))
+        if len(missing := np.flatnonzero(found < 0)):
+            found[missing] = np.arange(len(self.number), len(self.number) + len(missing))
+            self._learn([distinct[i] for i in missing.tolist()])
+        which = found[at]
         self.met = np.concatenate([self.met, np.zeros(len(self.number) - len(self.met), np.int64)])
         self.met += np.bincount(which, minlength=len(self.met))
         sizes = self.sizes[which]

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from statloom.llm import packing, tokens, training_order
+from statloom.llm import common, packing, tokens, training_order
 
 
 @pytest.fixture(scope="module")
@@ -162,3 +162,26 @@ def test_frequent_words_are_remembered(monkeypatch):
         ids, _ = encoder.encode([text.encode()] * 2)
         assert ids.tolist() == whole.encode(text).ids * 2
     assert b"the" in encoder.number and len(encoder.number) < 100
+
+
+def test_words_numbered_from_bytes():
+    """Distinct words, their numbers and counts as by the plain way, for all white space and odd bytes."""
+    rnd = np.random.default_rng(6)
+    for size in (0, 1, 5, 40):
+        texts = [bytes(rnd.choice(list(b"ab \t\n\x0b\x0c\r\x1c\x85\xa0\xc3\x00"), rnd.integers(0, 30)).tolist()) for _ in range(size)]
+        plain, counts = common.flat_words(texts)
+        distinct, which = common.numbered(plain)
+        got = common.distinct_words(texts)
+        assert got[0] == distinct and got[1].tolist() == which.tolist() and got[2].tolist() == counts.tolist()
+
+
+def test_words_of_letters_need_no_pattern(monkeypatch):
+    """Runs of letters go to the faster library as they are; their ids are the tokenizer's own."""
+    encoder, whole = tokens.Encoder(tokens.default_path()), Tokenizer.from_file(tokens.default_path())
+    words = ["Wort", "größe", "ÀÿÖ", "a×b", "÷", "é" * 256, "é" * 257, "a" * 256, "a" * 257, "ćma", "it's", "x7", "a\x7f", "é"]
+    plain, letters = encoder._quick([w.encode() for w in words])
+    assert [w for w, p in zip(words, plain) if not p] == ["é" * 257, "a" * 257, "ćma", "a\x7f", "é"]
+    assert [w for w, one in zip(words, letters) if one] == ["Wort", "größe", "ÀÿÖ", "é" * 256, "a" * 256]
+    ids, counts = encoder.encode([w.encode() for w in words])
+    wanted = [whole.encode(w, add_special_tokens=False).ids for w in words]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == wanted

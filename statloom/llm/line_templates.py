@@ -14,7 +14,6 @@ Texts that are equal count once, so that exact copies of a document do not empty
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.common import chunks, mixed, numbered, ragged, texts_of
+from statloom.llm.common import arrow_rows, chunks, distinct_words, mixed, ragged, release, texts_of
 from statloom.storage import join_bounded, materialize
 
 #: Leading words on the way to a leaf, share of a line's words after these that must agree with its
@@ -36,53 +35,81 @@ LEAST_WORDS, SHORT_WORDS, SHORT_TEXTS, TEXTS = 3, 8, 10, 3
 #: in blocks. Both give the same templates.
 LEAF_LINES, LEAF_WORDS = 2_000, 4_000_000
 
-_DIGIT = re.compile(rb"[0-9]")
+#: Bytes of lines that a task cuts into words at once (a longer line is alone), documents of a batch
+#: that goes to Python, words of the lines that are counted by position at once.
+CHUNK, BATCH_ROWS, CHUNK_WORDS = 2 << 20, 1_000, 1 << 19
+
+
+def _letters(words: list[bytes]) -> np.ndarray:
+    """The hash of each word, where all words with a digit are the same one."""
+    flat = np.frombuffer(b"".join(words), np.uint8)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    variable = np.logical_or.reduceat((flat >= ord("0")) & (flat <= ord("9")), np.cumsum(size) - size)
+    letter = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    letter[variable] = xxhash.xxh64_intdigest(b"<*>")
+    return letter
+
+
+def _slices(texts: list[bytes], most: int) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """Lines of all texts, the text of each and its number there, in runs of ``most`` bytes (a longer line is alone)."""
+    lines, row, number, held = [], [], [], 0
+    for i, text in enumerate(texts):
+        for k, line in enumerate(text.split(b"\n")):
+            if lines and held + len(line) > most:
+                yield lines, np.array(row), np.array(number)
+                lines, row, number, held = [], [], [], 0
+            lines.append(line), row.append(i), number.append(k)
+            held += len(line) + 1
+    if lines:
+        yield lines, np.array(row), np.array(number)
 
 
 def _lines(id: str, text: str, depth: int, least: int, schema: pa.Schema):
+    def hashed(lines: list[bytes], row: np.ndarray, number: np.ndarray, ids: pa.Array, hashes: np.ndarray) -> pa.RecordBatch | None:
+        distinct, which, size = distinct_words(lines)
+        long = size >= least
+        if not long.any():
+            return None
+        letter = _letters(distinct)[which[np.repeat(long, size)]]
+        row, number, size = row[long], number[long], size[long]
+        start = np.cumsum(size) - size
+        most = int(size.max())
+        places, sizes = mixed(np.arange(1, most + 1)), mixed(np.arange(most + 1))[size]
+        with np.errstate(over="ignore"):
+            placed = mixed(letter + places[ragged(np.zeros_like(size), size)])
+            line, leaf = np.add.reduceat(placed, start) + sizes, sizes
+            for k in range(depth):
+                deep = size > k
+                leaf[deep] += placed[start[deep] + k]
+        short = pa.py_buffer(letter.astype("<u2"))  # 16 bits of each word tell positions apart
+        ends = pa.py_buffer(np.concatenate([[0], 2 * (start + size)]).astype(np.int32))
+        columns = {
+            "id": ids.take(pa.array(row)),
+            "text_hash": pa.array(hashes[row]),
+            "line_no": pa.array(number),
+            "line": pa.array(line.view(np.int64)),
+            "leaf": pa.array(leaf.view(np.int64)),
+            "n": pa.array(size),
+            "letters": pa.Array.from_buffers(pa.binary(), len(size), [None, ends, short]),
+        }
+        return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in schema], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, text):
-            rows, numbers, sizes, words, hashes = [], [], [], [], []
-            for i, t in enumerate(texts_of(batch, text)):
-                hashes.append(xxhash.xxh64_intdigest(t))
-                for k, line in enumerate(t.split(b"\n")):
-                    own = line.split()
-                    if len(own) >= least:
-                        rows.append(i), numbers.append(k), sizes.append(len(own))
-                        words += own
-            if not rows:
-                continue
-            distinct, which = numbered(words)
-            digest = xxhash.xxh64_intdigest
-            letter = np.fromiter(
-                (digest(b"<*>" if _DIGIT.search(w) else w) for w in distinct), np.uint64, len(distinct)
-            )[which]
-            row, size = np.array(rows), np.array(sizes)
-            start = np.cumsum(size) - size
-            place = (np.arange(len(which)) - np.repeat(start, size)).astype(np.uint64)
-            with np.errstate(over="ignore"):
-                placed = mixed(letter + mixed(place + np.uint64(1)))
-                line = np.add.reduceat(placed, start) + mixed(size)
-                leading = np.where(place < depth, placed, np.uint64(0))
-                leaf = np.add.reduceat(leading, start) + mixed(size)
-            short = letter.astype("<u2").tobytes()  # 16 bits of each word tell positions apart
-            columns = {
-                "id": batch.column(id).take(pa.array(row)),
-                "text_hash": pa.array(np.array(hashes, np.uint64)[row].view(np.int64)),
-                "line_no": pa.array(numbers, pa.int32()),
-                "line": pa.array(line.view(np.int64)),
-                "leaf": pa.array(leaf.view(np.int64)),
-                "n": pa.array(size, pa.int32()),
-                "letters": pa.array([short[2 * a : 2 * (a + b)] for a, b in zip(start.tolist(), sizes, strict=True)], pa.binary()),
-            }
-            yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in schema], schema=schema)
+        for batch in chunks(batches, text, CHUNK):
+            texts = texts_of(batch, text)
+            hashes = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)
+            for lines, row, number in _slices(texts, CHUNK):
+                made = hashed(lines, row, number, batch.column(id), hashes)
+                if made is not None:
+                    yield made
+        release()
 
     return run
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per line and position."""
-    for batch in batches:
+    for batch in chunks(batches, "letters", 2 * CHUNK_WORDS):
         size = batch.column("n").to_numpy()
         letters = np.frombuffer(b"".join(batch.column("letters").to_pylist()), "<u2").astype(np.int32)
         spread = pa.array(np.repeat(np.arange(batch.num_rows), size))
@@ -119,9 +146,14 @@ def _banded(agree: float, depth: int):
     agree share a block (leaf and words of a band).
     """
 
+    def told(batch: pa.RecordBatch, rows: list[int], keys: list[int]) -> pa.RecordBatch:
+        taken = batch.select(["leaf", "line", "n", "texts", "letters"]).take(pa.array(rows, pa.int64()))
+        key = pa.array(np.array(keys, np.uint64).view(np.int64))
+        return pa.RecordBatch.from_arrays([key, *taken.columns], ["block", "leaf", "line", "n", "texts", "letters"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, keys = [], []
+            rows, keys, held = [], [], 0
             for i, (leaf, n, letters) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("leaf", "n", "letters")), strict=True)):
                 need, beyond = _needed(n, agree, depth), max(n - depth, 0)
                 bands = max(beyond - need, 0) + 1
@@ -129,9 +161,11 @@ def _banded(agree: float, depth: int):
                 for k in range(bands):
                     own = leaf.to_bytes(8, "little", signed=True) + k.to_bytes(4, "little") + letters[2 * cuts[k] : 2 * cuts[k + 1]]
                     rows.append(i), keys.append(xxhash.xxh64_intdigest(own))
-            taken = batch.select(["leaf", "line", "n", "texts", "letters"]).take(pa.array(rows, pa.int64()))
-            key = pa.array(np.array(keys, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([key, *taken.columns], ["block", "leaf", "line", "n", "texts", "letters"])
+                    held += len(letters)
+                    if held >= CHUNK:  # each band has a copy of the line
+                        yield told(batch, rows, keys)
+                        rows, keys, held = [], [], 0
+            yield told(batch, rows, keys)
 
     return run
 
@@ -306,7 +340,8 @@ def drop_recurring_lines(
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(spark.createDataFrame([], schema).schema)
-    lines = materialize(source.mapInArrow(_lines("id", "text", depth, least_words, arrow), schema), "lines")
+    with arrow_rows(spark, BATCH_ROWS):
+        lines = materialize(source.mapInArrow(_lines("id", "text", depth, least_words, arrow), schema), "lines")
 
     # one row per line and text, then per line: hot lines are summed up before they move
     first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "line_no"))).alias("first")

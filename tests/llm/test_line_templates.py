@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from statloom.llm import line_templates as lt
@@ -217,3 +218,58 @@ def test_kept_lines_are_copied_once(spark):
     assert kept == ",".join(str(i) for i in range(1, 100_000, 3)) and time.perf_counter() - start < 20
     one = spark.sql("SELECT array('a') AS l, array(0) AS d UNION ALL SELECT array('a', 'b', 'c'), array(0, 2)")
     assert sorted(r[0] for r in one.select(_kept(F.col("l"), F.col("d"))).collect()) == [[], ["b"]]
+
+
+def cut(texts):
+    """The rows of ``lt._lines``, and the most bytes that Python and numpy held meanwhile."""
+    import tracemalloc
+
+    kinds = {"id": pa.int64(), "text_hash": pa.int64(), "line_no": pa.int32(), "line": pa.int64(), "leaf": pa.int64()}
+    schema = pa.schema([*kinds.items(), ("n", pa.int32()), ("letters", pa.binary())])
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["id", "text"])
+    tracemalloc.start()
+    try:
+        out = list(lt._lines("id", "text", 3, 3, schema)(iter([batch])))
+        return pa.Table.from_batches(out, schema), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_task_does_not_grow_with_its_batch(spark, monkeypatch):
+    """8 MB in many texts, and in one, are cut bit by bit; so are the rows that go to Python."""
+    rnd = random.Random(3)
+    lines = [" ".join(rnd.choices(("of", "the", "and", "a1", "words", "ünd"), k=40)) for _ in range(200)]
+    texts = ["\n".join(lines[(i + k) % 200] for k in range(20)) for i in range(2_000)]
+    for given in (texts, ["\n".join(texts)]):
+        rows, held = cut(given)
+        assert rows.num_rows == 40_000 and held < 80 << 20
+    confs, write = [], lt.materialize
+    monkeypatch.setattr(lt, "materialize", lambda df, label: confs.append((label, spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))) or write(df, label))
+    lt.drop_recurring_lines(spark.createDataFrame(made_up(), D))
+    assert [int(n) for label, n in confs if label == "lines"] == [lt.BATCH_ROWS]
+    assert confs[-1][1] == spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != str(lt.BATCH_ROWS)
+
+
+def test_lines_do_not_depend_on_where_texts_are_cut(monkeypatch):
+    texts = [t for _, t in made_up()] + ["\n", "a b\x1cc d\r\n  x1 y2\t z \x0bw\n\nq", "ends in words of a line\n"]
+    whole, _ = cut(texts)
+    for most in (1, 40, 1_000):
+        monkeypatch.setattr(lt, "CHUNK", most)
+        assert cut(texts)[0].equals(whole)
+    want = [(i, k, line_hash([letter(w) for w in own])) for i, t in enumerate(texts) for k, x in enumerate((t or "").split("\n")) if len(own := re.findall(r"[^\x20\x09-\x0D]+", x)) > 2]
+    assert list(zip(*(whole[c].to_pylist() for c in ("id", "line_no", "line")), strict=True)) == want
+
+
+def test_words_and_bands_of_long_lines_come_in_small_batches():
+    rnd = np.random.default_rng(5)
+    letters = [rnd.integers(0, 60_000, 1_003, dtype=np.uint16).tobytes() for _ in range(600)]
+    kinds = {"leaf": pa.int64(), "line": pa.int64(), "n": pa.int32(), "texts": pa.int64(), "letters": pa.binary()}
+    columns = [[7] * 600, list(range(600)), [1_003] * 600, [1] * 600, letters]
+    batch = pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], list(kinds))
+    cells = list(lt._cells(iter([batch])))
+    assert sum(b.num_rows for b in cells) == 600 * 1_003 and max(b.num_rows for b in cells) <= lt.CHUNK_WORDS
+    rows = copies = 0
+    for b in lt._banded(0.7, 3)(iter([batch.slice(0, 20)])):
+        assert b.nbytes < 2 * lt.CHUNK
+        rows, copies = rows + b.num_rows, copies + sum(x in letters for x in b.column("letters").to_pylist())
+    assert rows == copies == 20 * 301
